@@ -17,12 +17,19 @@ def key_partition(key_text, n: int) -> Column:
     return F.pmod(h, F.lit(n)).cast("int")
 
 
-def spread_partition(n: int) -> Column:
-    """Partition for records without a key: spread evenly across ``n`` partitions."""
-    return F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")
+def spread_partition(n: int, seq=None) -> Column:
+    """Partition for records without a key: spread evenly across ``n`` partitions.
+
+    With a sequence column the spread is round-robin by it (the same on replay); without one
+    it follows the row's position in its task.
+    """
+    if seq is None:
+        return F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")
+    s = F.col(seq) if isinstance(seq, str) else seq
+    return F.pmod(s, F.lit(n)).cast("int")
 
 
-def choose_partition(key_text, n: int) -> Column:
+def choose_partition(key_text, n: int, seq=None) -> Column:
     """Keyed records by :func:`key_partition`, key-less ones by :func:`spread_partition`."""
     k = F.col(key_text) if isinstance(key_text, str) else key_text
-    return F.when(k.isNull(), spread_partition(n)).otherwise(key_partition(k, n))
+    return F.when(k.isNull(), spread_partition(n, seq)).otherwise(key_partition(k, n))

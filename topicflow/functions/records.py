@@ -90,10 +90,19 @@ def encode_key(col) -> Column:
     return _c(col).cast("string").cast("binary")
 
 
+# Timestamps are written with all six fraction digits (Spark's default keeps milliseconds).
+JSON_WRITE_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
 def encode_value(*cols, keep_nulls: bool = True) -> Column:
     """Columns → JSON object bytes. Null fields are written as ``null`` like Python's encoder
-    (Spark's default would drop them)."""
-    opts = {"ignoreNullFields": "false"} if keep_nulls else {}
+    (Spark's default would drop them); timestamps keep microseconds."""
+    opts = dict(JSON_WRITE_OPTIONS)
+    if keep_nulls:
+        opts["ignoreNullFields"] = "false"
     return F.to_json(F.struct(*[_c(c) for c in cols]), opts).cast("binary")
 
 

@@ -24,9 +24,10 @@ DURABLE_SINK_OPTIONS = {
 
 
 def assign_partition(df: DataFrame, key_text: str | Column, n: int,
-                     out: str = "partition") -> DataFrame:
-    """Same key → same partition (md5 rule); records without a key are spread evenly."""
-    return df.withColumn(out, choose_partition(key_text, n))
+                     out: str = "partition", seq=None) -> DataFrame:
+    """Same key → same partition (md5 rule); records without a key are spread evenly
+    (round-robin by ``seq`` when given)."""
+    return df.withColumn(out, choose_partition(key_text, n, seq))
 
 
 def assign_offsets(df: DataFrame, order_key: str | Column, *,

@@ -11,11 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicflow.functions import records as R
+from topicflow.functions import tracing as TR
 from topicflow.operators import groups as G
+from topicflow.operators import orders as O
+from topicflow.operators import progress as P
+from topicflow.operators import tracing as TS
 from topicflow.operators.groups import Group
 from topicflow.plans import sql as S
+from topicflow.sources import testtopic as TT
 from topicflow.sources.testtopic import events_topic
-from topicflow.sources.topics import EARLIEST, LATEST
+from topicflow.sources.topics import EARLIEST, LATEST, read_topic
 
 ALL_TOPICS = ("demo.click", "demo.view", "demo.error", "demo.purchase", "demo.signup")
 
@@ -31,6 +37,20 @@ DEMO_GROUPS = (
 )
 
 Plan = Callable[[SparkSession, str], DataFrame]
+
+
+def log(spark: SparkSession, sf_dir: str, topics=ALL_TOPICS) -> DataFrame:
+    """The events topics as stored in the file log (written once per application)."""
+    return read_topic(spark, TT.events_log(spark, sf_dir), topics)
+
+
+def ntz(c: str):
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
+def done(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records each demo group has processed and committed."""
+    return G.consumed(log(spark, sf_dir), DEMO_GROUPS)
 REGISTRY: dict[str, tuple[Plan, str | None]] = {}
 
 
@@ -53,7 +73,7 @@ SELECT grp AS "group", topic, partition,
                 coalesce(min(CASE WHEN started THEN "offset" END), max("offset") + 1)) AS lag
 FROM fan GROUP BY grp, topic, partition""", DEMO_GROUPS))
 def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.consumer_lag(events_topic(spark, sf_dir), DEMO_GROUPS)
+    return G.consumer_lag(log(spark, sf_dir), DEMO_GROUPS)
 
 
 @register("positions", S.with_topic("""
@@ -61,13 +81,13 @@ SELECT grp AS "group", topic, partition, max("offset") + 1 AS committed,
        max("offset") + 1 AS next_fetch
 FROM fan WHERE consumed GROUP BY grp, topic, partition""", DEMO_GROUPS))
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.positions(G.consumed(events_topic(spark, sf_dir), DEMO_GROUPS))
+    return G.positions(G.consumed(log(spark, sf_dir), DEMO_GROUPS))
 
 
 @register("list_groups", S.with_topic("""
 SELECT DISTINCT grp AS "group" FROM fan WHERE consumed""", DEMO_GROUPS))
 def list_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.list_groups(G.consumed(events_topic(spark, sf_dir), DEMO_GROUPS))
+    return G.list_groups(G.consumed(log(spark, sf_dir), DEMO_GROUPS))
 
 
 @register("topic_profile", S.with_topic("""
@@ -75,7 +95,315 @@ SELECT topic, partition, min("offset") AS begin_offset, max("offset") + 1 AS end
        count(*) AS records
 FROM rec GROUP BY topic, partition"""))
 def topic_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.topic_profile(events_topic(spark, sf_dir))
+    return G.topic_profile(log(spark, sf_dir))
+
+
+
+# ---------------------------------------------------------------- scans and start positions
+
+TRACEPARENT_SQL = ("'00-' || md5(CAST(event_id AS VARCHAR)) || '-' || "
+                   "substr(sha256('produce:' || CAST(event_id AS VARCHAR)), 1, 16) || '-' || "
+                   "CASE WHEN event_type <> 'error' THEN '01' ELSE '00' END")
+
+
+@register("topic_scan", S.with_topic("""
+SELECT topic, partition, "offset", CAST(user_id AS VARCHAR) AS key, props AS value,
+       ts AS timestamp, event_type
+FROM rec"""))
+def topic_scan(spark, sf_dir):
+    r = log(spark, sf_dir)
+    return r.select("topic", "partition", "offset", R.decode_key().alias("key"),
+                    R.value_text().alias("value"), ntz("timestamp"),
+                    R.header_value("event-type").alias("event_type"))
+
+
+@register("multi_topic", S.with_topic("""
+SELECT topic, partition, "offset", CAST(user_id AS VARCHAR) AS key FROM rec
+WHERE topic IN ('demo.purchase', 'demo.signup')"""))
+def multi_topic(spark, sf_dir):
+    r = log(spark, sf_dir, "demo.purchase,demo.signup")
+    return r.select("topic", "partition", "offset", R.decode_key().alias("key"))
+
+
+@register("start_earliest", S.with_topic("""
+SELECT 'payments' AS "group", topic, partition, "offset" FROM rec
+WHERE topic = 'demo.purchase'"""))
+def start_earliest(spark, sf_dir):
+    g = next(x for x in DEMO_GROUPS if x.name == "payments")
+    return (G.start_filter(log(spark, sf_dir), g)
+            .select(F.lit(g.name).alias("group"), "topic", "partition", "offset"))
+
+
+@register("start_latest", S.with_topic("""
+SELECT 'kitchen' AS "group", topic, partition, "offset" FROM rec
+WHERE topic = 'demo.purchase' AND ts >= TIMESTAMP '2024-01-05 00:00:00'"""))
+def start_latest(spark, sf_dir):
+    g = next(x for x in DEMO_GROUPS if x.name == "kitchen")
+    return (G.start_filter(log(spark, sf_dir), g)
+            .select(F.lit(g.name).alias("group"), "topic", "partition", "offset"))
+
+
+# ---------------------------------------------------------------- decoding
+
+@register("decode_key", S.with_topic("""
+SELECT topic, partition, "offset", CAST(user_id AS VARCHAR) AS key_text FROM rec"""))
+def decode_key(spark, sf_dir):
+    return log(spark, sf_dir).select("topic", "partition", "offset",
+                                     R.decode_key_strict().alias("key_text"))
+
+
+@register("json_strict", S.with_topic("""
+SELECT topic, partition, "offset", CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM rec"""))
+def json_strict(spark, sf_dir):
+    r = log(spark, sf_dir)
+    return r.select("topic", "partition", "offset",
+                    R.decode_json_strict("value", "k bigint")["k"].alias("k"))
+
+
+@register("json_or_text", S.with_topic("""
+SELECT topic, partition, "offset", json_valid(props) AS is_json,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k, props AS raw FROM rec"""))
+def json_or_text(spark, sf_dir):
+    d = R.decode_json_or_text()
+    r = log(spark, sf_dir).select("topic", "partition", "offset", d.alias("d"))
+    return r.select("topic", "partition", "offset", F.col("d.is_json").alias("is_json"),
+                    F.try_variant_get("d.json", "$.k", "bigint").alias("k"),
+                    F.col("d.raw").alias("raw"))
+
+
+@register("header_map", S.with_topic(f"""
+SELECT topic, partition, "offset", event_type, {TRACEPARENT_SQL} AS traceparent,
+       2 AS n_headers FROM rec"""))
+def header_map(spark, sf_dir):
+    r = log(spark, sf_dir).select("topic", "partition", "offset", R.header_map().alias("h"))
+    return r.select("topic", "partition", "offset",
+                    F.col("h")["event-type"].alias("event_type"),
+                    F.col("h")["traceparent"].alias("traceparent"),
+                    F.size("h").alias("n_headers"))
+
+
+@register("by_event_type", S.with_topic("""
+SELECT event_type, count(*) AS records, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k_sum
+FROM rec GROUP BY event_type"""))
+def by_event_type(spark, sf_dir):
+    r = log(spark, sf_dir).select(R.header_map()["event-type"].alias("event_type"),
+                                  F.try_variant_get(R.decode_json_or_text()["json"], "$.k",
+                                                    "bigint").alias("k"))
+    return r.groupBy("event_type").agg(F.count(F.lit(1)).alias("records"),
+                                       F.sum("k").alias("k_sum"))
+
+
+@register("encode_roundtrip", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events""")
+def encode_roundtrip(spark, sf_dir):
+    ev = TT.table(spark, sf_dir, "events")
+    enc = ev.select(R.encode_value("event_id", "ts", "user_id", "event_type", "value", "props")
+                    .alias("v"))
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, " \
+             "value double, props string"
+    return enc.select(R.decode_json_strict("v", schema).alias("o")).select("o.*")
+
+
+@register("record_lines", S.with_topic("""
+SELECT topic, partition, "offset",
+       printf('partition=%d offset=%d key=%s value=%s', partition, "offset",
+              CAST(user_id AS VARCHAR), props) AS line
+FROM rec"""))
+def record_lines(spark, sf_dir):
+    r = log(spark, sf_dir)
+    return r.select("topic", "partition", "offset",
+                    F.format_string("partition=%d offset=%d key=%s value=%s", F.col("partition"),
+                                    F.col("offset"), R.decode_key(), R.value_text()).alias("line"))
+
+
+# ---------------------------------------------------------------- publishing
+
+@register("offset_assign", S.with_topic("""
+SELECT event_id, topic, partition, "offset" FROM rec"""))
+def offset_assign(spark, sf_dir):
+    return events_topic(spark, sf_dir, keep_event_id=True).select(
+        "event_id", "topic", "partition", "offset")
+
+
+@register("key_partition", S.with_topic("""
+SELECT topic, CAST(user_id AS VARCHAR) AS key_text, count(DISTINCT partition) AS partitions,
+       min(partition) AS partition, count(*) AS records
+FROM rec GROUP BY topic, CAST(user_id AS VARCHAR)"""))
+def key_partition(spark, sf_dir):
+    return G.key_stability(log(spark, sf_dir))
+
+
+@register("key_spread", S.with_topic("""
+SELECT topic, partition, count(*) AS records, count(DISTINCT user_id) AS distinct_keys
+FROM rec GROUP BY topic, partition"""))
+def key_spread(spark, sf_dir):
+    return G.key_spread(log(spark, sf_dir))
+
+
+@register("delivery_report", S.with_topic("""
+SELECT event_id, topic, partition, "offset", 'delivered' AS status FROM rec"""))
+def delivery_report(spark, sf_dir):
+    back = log(spark, sf_dir).select(
+        "topic", "partition", "offset",
+        TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER))["trace_id"].alias("tid"))
+    sent = TT.table(spark, sf_dir, "events").select(
+        "event_id", F.md5(F.col("event_id").cast("string")).alias("tid"))
+    return (sent.join(back, "tid", "left")
+            .select("event_id", "topic", "partition", "offset",
+                    F.when(F.col("offset").isNotNull(), F.lit("delivered"))
+                    .otherwise(F.lit("missing")).alias("status")))
+
+
+# ---------------------------------------------------------------- groups
+
+@register("group_fan_out", S.with_topic("""
+SELECT grp AS "group", topic, partition, count(*) AS records, min("offset") AS first_offset,
+       max("offset") AS last_offset
+FROM fan WHERE started GROUP BY grp, topic, partition""", DEMO_GROUPS))
+def group_fan_out(spark, sf_dir):
+    f = G.fan_out(log(spark, sf_dir), DEMO_GROUPS).where("started")
+    return f.groupBy("group", "topic", "partition").agg(
+        F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"))
+
+
+@register("unconsumed", S.with_topic("""
+SELECT grp AS "group", topic, partition, "offset" FROM fan WHERE started AND NOT consumed""",
+                                     DEMO_GROUPS))
+def unconsumed(spark, sf_dir):
+    f = G.fan_out(log(spark, sf_dir), DEMO_GROUPS)
+    sent = f.where("started").select("group", "topic", "partition", "offset")
+    got = f.where("consumed").select("group", "topic", "partition", "offset")
+    return G.unconsumed(sent, got, on=("group", "topic", "partition", "offset"))
+
+
+# ---------------------------------------------------------------- progress
+
+@register("consumed_total", S.with_topic("""
+SELECT grp AS "group", count(*) AS records FROM fan WHERE consumed GROUP BY grp""", DEMO_GROUPS))
+def consumed_total(spark, sf_dir):
+    return P.consumed_total(done(spark, sf_dir))
+
+
+THROUGHPUT_SQL = """
+SELECT "group", records, first_ts, last_ts, seconds,
+       CASE WHEN seconds = 0 THEN CAST(records AS DOUBLE) ELSE records / seconds END AS rate
+FROM (SELECT grp AS "group", count(*) AS records, min(ts) AS first_ts, max(ts) AS last_ts,
+             date_diff('microsecond', min(ts), max(ts)) / 1000000.0 AS seconds
+      FROM fan WHERE consumed GROUP BY grp)"""
+
+
+@register("throughput", S.with_topic(THROUGHPUT_SQL, DEMO_GROUPS))
+def throughput(spark, sf_dir):
+    t = P.throughput(done(spark, sf_dir))
+    return t.select("group", "records", ntz("first_ts"), ntz("last_ts"), "seconds", "rate")
+
+
+@register("progress_points", S.with_topic("""
+SELECT "group", n, topic, partition, "offset",
+       CASE WHEN secs = 0 THEN CAST(n AS DOUBLE) ELSE n / secs END AS rate
+FROM (SELECT grp AS "group", topic, partition, "offset",
+             row_number() OVER (PARTITION BY grp ORDER BY ts, topic, partition, "offset") AS n,
+             date_diff('microsecond', min(ts) OVER (PARTITION BY grp), ts) / 1000000.0 AS secs
+      FROM fan WHERE consumed)
+WHERE n % 5000 = 0""", DEMO_GROUPS))
+def progress_points(spark, sf_dir):
+    return P.progress_points(done(spark, sf_dir), P.PROGRESS_EVERY)
+
+
+@register("first_five", S.with_topic("""
+SELECT "group", n, topic, partition, "offset"
+FROM (SELECT grp AS "group", topic, partition, "offset",
+             row_number() OVER (PARTITION BY grp ORDER BY ts, topic, partition, "offset") AS n
+      FROM fan WHERE consumed)
+WHERE n <= 5""", DEMO_GROUPS))
+def first_five(spark, sf_dir):
+    return P.first_n(done(spark, sf_dir), P.FIRST_N).select(
+        "group", "n", "topic", "partition", "offset")
+
+
+@register("limit_n", S.with_topic("""
+SELECT topic, partition, "offset", ts AS timestamp FROM rec
+ORDER BY ts, topic, partition, "offset" LIMIT 30"""))
+def limit_n(spark, sf_dir):
+    return P.limit_n(log(spark, sf_dir), 30).select("topic", "partition", "offset",
+                                                     ntz("timestamp"))
+
+
+@register("every_nth_offset", S.with_topic("""
+SELECT topic, partition, "offset", CAST(user_id AS VARCHAR) AS key FROM rec
+WHERE "offset" % 3000 = 0"""))
+def every_nth_offset(spark, sf_dir):
+    return P.every_nth_offset(log(spark, sf_dir), P.SAMPLE_EVERY_OFFSETS).select(
+        "topic", "partition", "offset", R.decode_key().alias("key"))
+
+
+@register("order_check", S.with_topic("""
+SELECT topic, partition, count(*) AS records, count(DISTINCT "offset") AS distinct_offsets,
+       min("offset") AS begin_offset, max("offset") + 1 AS end_offset,
+       (count(*) = count(DISTINCT "offset")
+        AND count(*) = max("offset") + 1 - min("offset")) AS dense
+FROM rec GROUP BY topic, partition"""))
+def order_check(spark, sf_dir):
+    return P.order_check(log(spark, sf_dir))
+
+
+@register("rate_window", S.with_topic("""
+SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS records
+FROM rec GROUP BY topic, time_bucket(INTERVAL 1 HOUR, ts)"""))
+def rate_window(spark, sf_dir):
+    w = P.rate_window(log(spark, sf_dir), "1 hour")
+    return w.select("topic", ntz("window_start"), ntz("window_end"), "records")
+
+
+# ---------------------------------------------------------------- trace links
+
+@register("trace_format", f"""
+SELECT event_id, {TRACEPARENT_SQL} AS traceparent FROM events""")
+def trace_format(spark, sf_dir):
+    ev = TT.table(spark, sf_dir, "events")
+    return ev.select("event_id", TR.format_traceparent(
+        F.md5(F.col("event_id").cast("string")), TT.produce_span_id(F.col("event_id")),
+        F.col("event_type") != "error").alias("traceparent"))
+
+
+@register("trace_parse", S.with_topic("""
+SELECT topic, partition, "offset", md5(CAST(event_id AS VARCHAR)) AS trace_id,
+       substr(sha256('produce:' || CAST(event_id AS VARCHAR)), 1, 16) AS span_id,
+       event_type <> 'error' AS sampled
+FROM rec"""))
+def trace_parse(spark, sf_dir):
+    r = log(spark, sf_dir).select(
+        "topic", "partition", "offset",
+        TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER)).alias("c"))
+    return r.select("topic", "partition", "offset", "c.trace_id", "c.span_id", "c.sampled")
+
+
+@register("trace_header", f"""
+SELECT event_id, 1 AS n_headers, {TRACEPARENT_SQL} AS traceparent FROM events""")
+def trace_header(spark, sf_dir):
+    ev = TT.table(spark, sf_dir, "events")
+    h = TR.trace_header(F.md5(F.col("event_id").cast("string")),
+                        TT.produce_span_id(F.col("event_id")), F.col("event_type") != "error")
+    return ev.select("event_id", F.coalesce(F.size(h), F.lit(0)).alias("n_headers"),
+                     F.element_at(h, 1)["value"].cast("string").alias("traceparent"))
+
+
+@register("trace_link", S.with_topic("""
+SELECT grp AS reader, md5(CAST(event_id AS VARCHAR)) AS trace_id,
+       substr(sha256('consume:' || grp || ':' || md5(CAST(event_id AS VARCHAR)) || ':'
+                     || CAST("offset" AS VARCHAR)), 1, 16) AS span_id,
+       substr(sha256('produce:' || CAST(event_id AS VARCHAR)), 1, 16) AS parent_span_id,
+       'kafka.consume' AS name, 'kafka' AS system, topic AS destination, partition, "offset",
+       event_id AS parent_event_id
+FROM fan WHERE consumed""", DEMO_GROUPS))
+def trace_link(spark, sf_dir):
+    spans = TS.consume_spans(done(spark, sf_dir))
+    ev = TT.table(spark, sf_dir, "events")
+    produced = ev.select(F.md5(F.col("event_id").cast("string")).alias("trace_id"),
+                         TT.produce_span_id(F.col("event_id")).alias("span_id"), "event_id")
+    return TS.link_spans(spans, produced)
 
 
 def queries() -> dict[str, Plan]:

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +45,7 @@ def events_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").cast("binary").alias("value"),
         F.concat(F.lit(TOPIC_PREFIX), F.col("event_type")).alias("topic"),
         key_partition(key_text, PARTITIONS).alias("partition"),
-        F.col("ts").alias("timestamp"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
         make_headers(**{
             "event-type": F.col("event_type"),
             "traceparent": format_traceparent(
@@ -58,3 +60,110 @@ def events_topic(spark: SparkSession, sf_dir: str, keep_event_id: bool = False)
     recs = assign_offsets(events_records(spark, sf_dir), "event_id")
     cols = ["key", "value", "topic", "partition", "offset", "timestamp", "headers"]
     return recs.select(*(["event_id"] if keep_event_id else []), *cols)
+
+
+# ------------------------------------------------------------------ stored copy of the log
+
+_LOGS: dict[tuple[str, str], str] = {}
+
+
+def events_log(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a Parquet file log holding the events topic, written once per application.
+
+    Written with :func:`topicflow.operators.publish.publish` into the shared checkpoint
+    folder, so reports read the log the way consumers would: by topic directory, with
+    offsets stored.
+    """
+    from topicflow.operators.publish import publish
+    from topicflow.session import scratch_dir
+
+    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    root = _LOGS.get(memo)
+    if root and os.path.exists(root):
+        return root
+    root = scratch_dir(spark, "events-log")
+    publish(events_records(spark, sf_dir), root, "event_id")
+    _LOGS[memo] = root
+    return root
+
+
+# --------------------------------------------------------- mixed-shape order topic
+
+ORDERS_TOPIC = "food.orders"
+# An order's items go into one record; a very large order is cut into records of at most
+# this many line numbers, since one record cannot grow without bound.
+ITEMS_PER_RECORD = 1024
+
+
+def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order (and chunk): sorted items array, first sku and total quantity."""
+    li = table(spark, sf_dir, "lineitem")
+    item = F.struct(F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("sku"),
+                    F.col("l_quantity").cast("bigint").alias("qty"))
+    return (li.select(F.col("l_orderkey").alias("o_orderkey"),
+                      F.floor(F.col("l_linenumber") / ITEMS_PER_RECORD).cast("int").alias("chunk"),
+                      item.alias("it"))
+            .groupBy("o_orderkey", "chunk")
+            .agg(F.array_sort(F.collect_list("it")).alias("items"),
+                 F.sum(F.col("it.qty")).alias("total_qty")))
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders ⋈ items ⋈ customer as JSON values in five producer shapes (by priority):
+
+    1 widget {id, item, ts}; 2 simple {order_id, user, item, quantity};
+    3 cart {order_id, user_id, items[{sku,qty}], amount, status}; 4 food {order_id, seq,
+    restaurant, items[sku], total, ts (no zone)}; 5 file {order_id (int), user, items, total,
+    status, ts (Z)}. Columns: o_orderkey, chunk, shape, key, value (+ envelope columns).
+    """
+    from topicflow.functions.records import encode_value
+    from topicflow.operators.orders import RESTAURANTS
+
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    it = order_items(spark, sf_dir)
+    j = (o.join(it, "o_orderkey", "left")
+         .join(c, o["o_custkey"] == c["c_custkey"], "left")
+         .withColumn("chunk", F.coalesce(F.col("chunk"), F.lit(0))))
+    shape = F.substring("o_orderpriority", 1, 1).cast("int")
+    first_sku = F.col("items")[0]["sku"]
+    ts_z = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    ts_local = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    okey = F.col("o_orderkey")
+    rest = F.element_at(F.array(*[F.lit(r) for r in RESTAURANTS]),
+                        (F.pmod(F.col("o_custkey"), F.lit(len(RESTAURANTS))) + 1).cast("int"))
+    value = (
+        F.when(shape == 1, encode_value(okey.alias("id"), first_sku.alias("item"),
+                                        ts_z.alias("ts")))
+        .when(shape == 2, encode_value(F.concat(F.lit("o"), okey.cast("string")).alias("order_id"),
+                                       F.col("c_name").alias("user"), first_sku.alias("item"),
+                                       F.col("total_qty").alias("quantity")))
+        .when(shape == 3, encode_value(F.substring(F.md5(okey.cast("string")), 1, 8).alias("order_id"),
+                                       F.col("o_custkey").alias("user_id"), F.col("items"),
+                                       F.round("o_totalprice", 2).alias("amount"),
+                                       F.lit("CREATED").alias("status")))
+        .when(shape == 4, encode_value(F.md5(okey.cast("string")).alias("order_id"),
+                                       okey.alias("seq"), rest.alias("restaurant"),
+                                       F.transform("items", lambda x: x["sku"]).alias("items"),
+                                       F.col("o_totalprice").alias("total"), ts_local.alias("ts")))
+        .otherwise(encode_value(okey.alias("order_id"), F.col("c_name").alias("user"),
+                                F.col("items"), F.col("o_totalprice").alias("total"),
+                                F.lit("PLACED").alias("status"), ts_z.alias("ts")))
+    )
+    key = F.when(shape.isin(2, 5), F.col("c_name"))
+    return j.select(
+        "o_orderkey", "chunk", shape.alias("shape"),
+        key.cast("binary").alias("key"), value.alias("value"),
+        F.lit(ORDERS_TOPIC).alias("topic"),
+        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
+        (okey * 16 + F.col("chunk")).alias("seq_no"),
+        key.alias("key_text"),
+    )
+
+
+def orders_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed-shape order topic with partitions (key rule / round-robin) and offsets."""
+    from topicflow.operators.publish import assign_offsets, assign_partition
+
+    recs = assign_partition(order_records(spark, sf_dir), "key_text", PARTITIONS, seq="seq_no")
+    return assign_offsets(recs, "seq_no").drop("key_text")
