@@ -406,6 +406,97 @@ def trace_link(spark, sf_dir):
     return TS.link_spans(spans, produced)
 
 
+
+# ---------------------------------------------------------------- order payloads
+
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TT.orders_topic(spark, sf_dir)
+
+
+CANON_COLS = ("topic", "partition", "offset", "order_id", "user", "total", "status",
+              "restaurant", "seq", "ts")
+
+
+@register("normalize_orders", S.with_orders("""
+SELECT topic, partition, "offset", order_id, "user", total, status, restaurant, seq, ts, sku, qty
+FROM canon_items"""))
+def normalize_orders(spark, sf_dir):
+    return O.explode_items(O.normalize_orders(order_log(spark, sf_dir))).select(
+        *CANON_COLS, "sku", "qty")
+
+
+@register("route_cost", S.with_orders("""
+SELECT topic, partition, "offset", order_id, restaurant,
+       CASE WHEN restaurant IN ('Tandoori Tales', 'Masala Magic') THEN 2 ELSE 1 END AS prep_cost
+FROM canon WHERE restaurant IS NOT NULL"""))
+def route_cost(spark, sf_dir):
+    o = O.normalize_orders(order_log(spark, sf_dir)).where(F.col("restaurant").isNotNull())
+    return o.select("topic", "partition", "offset", "order_id", "restaurant",
+                    O.prep_cost().alias("prep_cost"))
+
+
+@register("require_fields", S.with_orders("""
+SELECT topic, partition, "offset", 'missing:restaurant' AS reason FROM canon WHERE shape <> 4"""))
+def require_fields(spark, sf_dir):
+    o = O.normalize_orders(order_log(spark, sf_dir))
+    _, rejects = O.require_fields(o, ["order_id", "restaurant", "seq"])
+    return rejects.select("topic", "partition", "offset", "reason")
+
+
+DEAD_LETTER_SQL = """
+SELECT topic, partition, "offset", reason FROM (
+  SELECT topic, partition, "offset",
+    CASE shape WHEN 1 THEN 'missing:order_id'
+               WHEN 2 THEN CASE WHEN first_sku IS NULL THEN 'missing:item' END
+               WHEN 5 THEN CASE WHEN c_name IS NULL THEN 'missing:user' ELSE 'missing:item' END
+               ELSE 'missing:user' END AS reason
+  FROM canon)
+WHERE reason IS NOT NULL"""
+
+
+@register("dead_letter", S.with_orders(DEAD_LETTER_SQL))
+def dead_letter(spark, sf_dir):
+    from topicflow.schema import SIMPLE_ORDER
+    r = order_log(spark, sf_dir)
+    d = r.select("topic", "partition", "offset",
+                 F.from_json(R.value_text(), SIMPLE_ORDER).alias("o")).select(
+        "topic", "partition", "offset", "o.*")
+    _, rejects = O.require_fields(d, ["order_id", "user", "item", "quantity"])
+    return rejects.select("topic", "partition", "offset", "reason")
+
+
+def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API order requests from line items: user = customer name, item = part, quantity."""
+    li = TT.table(spark, sf_dir, "lineitem")
+    o = TT.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = TT.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
+         .join(c, F.col("o_custkey") == c["c_custkey"], "left"))
+    return j.select("l_orderkey", "l_linenumber", F.col("c_name").alias("user"),
+                    F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("item"),
+                    F.col("l_quantity").cast("bigint").alias("quantity"))
+
+
+@register("validate_quantity", """
+SELECT l_orderkey, l_linenumber, "user", item, quantity,
+  CASE WHEN "user" IS NULL THEN 'missing:user' WHEN item IS NULL THEN 'missing:item'
+       WHEN quantity IS NULL THEN 'missing:quantity'
+       WHEN quantity NOT BETWEEN 1 AND 20 THEN 'range:quantity not in 1..20' END AS reason
+FROM (SELECT l.l_orderkey, l.l_linenumber, c.c_name AS "user",
+             'part-' || CAST(l.l_partkey AS VARCHAR) AS item,
+             CAST(l.l_quantity AS BIGINT) AS quantity
+      FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
+      LEFT JOIN customer c ON c.c_custkey = o.o_custkey)""")
+def validate_quantity(spark, sf_dir):
+    return order_requests(spark, sf_dir).withColumn("reason", O.validation_reason())
+
+
+@register("shape_order", None)
+def shape_order(spark, sf_dir):
+    ok, _ = O.validate_orders(order_requests(spark, sf_dir))
+    return O.shape_orders(ok)
+
+
 def queries() -> dict[str, Plan]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
