@@ -21,7 +21,10 @@ from topicflow.operators.groups import Group
 from topicflow.plans import sql as S
 from topicflow.sources import testtopic as TT
 from topicflow.sources.testtopic import events_topic
+from topicflow.sources import files as FI
 from topicflow.sources.topics import EARLIEST, LATEST, read_topic
+from topicflow.session import scratch_dir
+from topicflow.streaming import streams as ST
 
 ALL_TOPICS = ("demo.click", "demo.view", "demo.error", "demo.purchase", "demo.signup")
 
@@ -497,6 +500,215 @@ def shape_order(spark, sf_dir):
     return O.shape_orders(ok)
 
 
+# ---------------------------------------------------------------- streams and files
+#
+# Streaming reports run their query to the end of the input (availableNow) into files in
+# the shared checkpoint folder and return what the sink committed.
+
+def _ck(spark, name):
+    return scratch_dir(spark, f"ck-{name}")
+
+
+def stream_log(spark: SparkSession, sf_dir: str, topics=ALL_TOPICS, **opts) -> DataFrame:
+    return read_topic(spark, TT.events_log(spark, sf_dir), topics, streaming=True,
+                      options=opts or None)
+
+
+@register("stream_scan", S.with_topic("""
+SELECT topic, partition, "offset", CAST(user_id AS VARCHAR) AS key, props AS value,
+       ts AS timestamp
+FROM rec"""))
+def stream_scan(spark, sf_dir):
+    s = stream_log(spark, sf_dir, maxFilesPerTrigger="8").select(
+        "topic", "partition", "offset", R.decode_key().alias("key"),
+        R.value_text().alias("value"), ntz("timestamp"))
+    out = scratch_dir(spark, "stream-scan")
+    ST.await_all([ST.copy_stream(s, out, _ck(spark, "stream-scan"))])
+    return spark.read.parquet(out)
+
+
+@register("drain", S.with_topic("""
+SELECT topic, partition, count(*) AS records, max("offset") + 1 AS end_offset
+FROM rec GROUP BY topic, partition"""))
+def drain(spark, sf_dir):
+    s = stream_log(spark, sf_dir).groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("records"), (F.max("offset") + 1).alias("end_offset"))
+    out = scratch_dir(spark, "drain")
+
+    def each(batch, batch_id):
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (s.writeStream.outputMode("complete").foreachBatch(each)
+         .option("checkpointLocation", _ck(spark, "drain")).trigger(availableNow=True).start())
+    ST.await_all([q])
+    return spark.read.parquet(out)
+
+
+WORKER_SQL = """
+SELECT topic, partition, "offset", order_id, c_name AS "user", first_sku AS item,
+       total_qty AS quantity
+FROM canon WHERE shape = 2 AND first_sku IS NOT NULL"""
+
+
+def _simple_orders(batch: DataFrame) -> DataFrame:
+    from topicflow.schema import SIMPLE_ORDER
+    d = batch.select("topic", "partition", "offset",
+                     F.from_json(R.value_text(), SIMPLE_ORDER).alias("o")).select(
+        "topic", "partition", "offset", "o.*")
+    return d.withColumn("reason", O.missing_reason(["order_id", "user", "item", "quantity"]))
+
+
+@register("worker", S.with_orders(WORKER_SQL))
+def worker(spark, sf_dir):
+    s = read_topic(spark, TT.orders_log(spark, sf_dir), TT.ORDERS_TOPIC, streaming=True,
+                   options={"maxFilesPerTrigger": "4"})
+    out = scratch_dir(spark, "worker")
+    ST.await_all([ST.run_worker(s, _simple_orders, out, _ck(spark, "worker"))])
+    return ST.read_outcome(spark, out, ST.OK).select(
+        "topic", "partition", "offset", "order_id", "user", "item", "quantity")
+
+
+RESUME_CUT = "2024-01-15 00:00:00"
+
+
+@register("resume", S.with_topic(f"""
+SELECT topic, partition, "offset",
+       CASE WHEN ts < TIMESTAMP '{RESUME_CUT}' THEN 1 ELSE 2 END AS run
+FROM rec"""))
+def resume(spark, sf_dir):
+    from topicflow.operators.publish import publish
+    from topicflow.schema import ENVELOPE
+    recs = TT.events_records(spark, sf_dir)
+    cut = F.col("timestamp") < F.lit(RESUME_CUT).cast("timestamp")
+    root, out, ck = scratch_dir(spark, "resume-log"), scratch_dir(spark, "resume-out"), \
+        _ck(spark, "resume")
+
+    def run():
+        s = read_topic(spark, root, ALL_TOPICS, streaming=True).select(
+            "topic", "partition", "offset", F.lit(None).cast("string").alias("reason"))
+        q = ST.run_worker(s, lambda b: b, out, ck)
+        ST.await_all([q])
+        return q.lastProgress["batchId"] if q.lastProgress else -1
+
+    publish(recs.where(cut), root, "event_id")
+    first_last = run()
+    existing = spark.read.schema(ENVELOPE).parquet(root)
+    publish(recs.where(~cut), root, "event_id", existing=existing)
+    run()
+    got = ST.read_outcome(spark, out, ST.OK)
+    return got.select("topic", "partition", "offset",
+                      F.when(F.col("batch_id") <= first_last, 1).otherwise(2).alias("run"))
+
+
+@register("dedup", S.with_topic("""
+SELECT topic, partition, "offset", ts AS timestamp FROM rec"""))
+def dedup(spark, sf_dir):
+    from topicflow.schema import ENVELOPE
+    src = spark.read.schema(ENVELOPE).parquet(TT.events_log(spark, sf_dir))
+    replay = scratch_dir(spark, "replay-log")
+    for _ in range(2):  # the same records delivered twice (an at-least-once replay)
+        src.write.mode("append").partitionBy("topic", "partition").parquet(replay)
+    s = read_topic(spark, replay, ALL_TOPICS, streaming=True,
+                   options={"maxFilesPerTrigger": "8"})
+    d = ST.dedup_stream(s).select("topic", "partition", "offset", ntz("timestamp"))
+    out = scratch_dir(spark, "dedup")
+    ST.await_all([ST.copy_stream(d, out, _ck(spark, "dedup"))])
+    return spark.read.parquet(out)
+
+
+@register("fan_out_stream", S.with_topic("""
+SELECT grp AS "group", topic, partition, "offset" FROM fan WHERE consumed""", DEMO_GROUPS))
+def fan_out_stream(spark, sf_dir):
+    streams = {}
+    for g in DEMO_GROUPS:
+        s = stream_log(spark, sf_dir, g.topics)
+        s = G.start_filter(s, g)
+        if g.consumed_until is not None:
+            s = s.where(F.col("timestamp").cast("timestamp_ntz")
+                        < F.lit(g.consumed_until).cast("timestamp_ntz"))
+        else:
+            s = s.where(F.lit(False))
+        streams[g.name] = s.select("topic", "partition", "offset")
+    out = scratch_dir(spark, "fan-out")
+    ST.await_all(ST.run_group_streams(streams, out, _ck(spark, "fan-out")))
+    return spark.read.parquet(out).select("group", "topic", "partition", "offset")
+
+
+@register("topic_to_file", "SELECT props AS value FROM events")
+def topic_to_file(spark, sf_dir):
+    s = stream_log(spark, sf_dir).select(R.value_text().alias("value"))
+    out = scratch_dir(spark, "topic-to-file")
+    ST.await_all([ST.copy_stream(s, out, _ck(spark, "topic-to-file"), fmt="text")])
+    return spark.read.text(out)
+
+
+ORDER_FILE_SQL = """
+SELECT o.o_orderkey AS order_id, c.c_name AS "user", o.o_totalprice AS total
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
+
+
+@register("jsonl_lines", ORDER_FILE_SQL)
+def jsonl_lines(spark, sf_dir):
+    lines = FI.read_jsonl(spark, TT.order_file_dir(spark, sf_dir))
+    v = R.value_text()
+    return lines.select(F.get_json_object(v, "$.order_id").cast("bigint").alias("order_id"),
+                        F.get_json_object(v, "$.user").alias("user"),
+                        F.get_json_object(v, "$.total").cast("double").alias("total"))
+
+
+@register("order_file", """
+SELECT o.o_orderkey AS order_id, c.c_name AS "user", i.sku, i.qty, o.o_totalprice AS total,
+       'PLACED' AS status, o.o_orderdate AS ts
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+LEFT JOIN (SELECT l_orderkey, 'part-' || CAST(l_partkey AS VARCHAR) AS sku,
+                  CAST(l_quantity AS BIGINT) AS qty FROM lineitem) i
+  ON i.l_orderkey = o.o_orderkey""")
+def order_file(spark, sf_dir):
+    o = FI.read_order_file(spark, TT.order_file_dir(spark, sf_dir))
+    x = o.select("order_id", "user", F.explode_outer("items").alias("it"), "total", "status",
+                 ntz("ts"))
+    return x.select("order_id", "user", F.col("it.sku").alias("sku"),
+                    F.col("it.qty").alias("qty"), "total", "status", "ts")
+
+
+@register("file_to_topic", ORDER_FILE_SQL)
+def file_to_topic(spark, sf_dir):
+    from topicflow.operators.publish import assign_offsets, log_ends, to_envelope
+    from topicflow.functions.partitioning import spread_partition
+    from topicflow.schema import ENVELOPE
+    src = FI.read_jsonl(spark, TT.order_file_dir(spark, sf_dir), streaming=True)
+    root = scratch_dir(spark, "file-topic-log")
+
+    def each(batch, batch_id):
+        existing = spark.read.schema(ENVELOPE).parquet(root) if batch_id > 0 else None
+        recs = (batch.withColumn("topic", F.lit(TT.ORDERS_TOPIC))
+                .withColumn("partition", spread_partition(TT.PARTITIONS))
+                .withColumn("_seq", F.monotonically_increasing_id()))
+        ends = log_ends(existing) if existing is not None else None
+        env = to_envelope(assign_offsets(recs, "_seq", log_end=ends))
+        env.write.mode("append").partitionBy("topic", "partition").parquet(root)
+
+    q = (src.writeStream.foreachBatch(each).option("checkpointLocation", _ck(spark, "f2t"))
+         .trigger(availableNow=True).start())
+    ST.await_all([q])
+    back = read_topic(spark, root, TT.ORDERS_TOPIC)
+    v = R.value_text()
+    return back.select(F.get_json_object(v, "$.order_id").cast("bigint").alias("order_id"),
+                       F.get_json_object(v, "$.user").alias("user"),
+                       F.get_json_object(v, "$.total").cast("double").alias("total"))
+
+
+@register("publish_readback", S.with_orders("""
+SELECT topic, partition, "offset", key_text AS key,
+       CASE WHEN shape = 1 THEN NULL ELSE order_id END AS order_id
+FROM canon JOIN (SELECT o_orderkey AS k2, chunk AS c2, key_text FROM ordkey) x
+  ON x.k2 = canon.o_orderkey AND x.c2 = canon.chunk"""))
+def publish_readback(spark, sf_dir):
+    r = read_topic(spark, TT.orders_log(spark, sf_dir), TT.ORDERS_TOPIC)
+    return r.select("topic", "partition", "offset", R.decode_key().alias("key"),
+                    F.get_json_object(R.value_text(), "$.order_id").alias("order_id"))
+
+
 def queries() -> dict[str, Plan]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -167,3 +167,56 @@ def orders_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     recs = assign_partition(order_records(spark, sf_dir), "key_text", PARTITIONS, seq="seq_no")
     return assign_offsets(recs, "seq_no").drop("key_text")
+
+
+def orders_log(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a Parquet file log holding the order topic, written once per application."""
+    from topicflow.operators.publish import assign_partition, publish
+    from topicflow.session import scratch_dir
+
+    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#orders")
+    root = _LOGS.get(memo)
+    if root and os.path.exists(root):
+        return root
+    root = scratch_dir(spark, "orders-log")
+    recs = assign_partition(order_records(spark, sf_dir), "key_text", PARTITIONS, seq="seq_no")
+    publish(recs, root, "seq_no")
+    _LOGS[memo] = root
+    return root
+
+
+def order_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order in the order-file shape as JSON lines, as a producer's file would hold
+    them: lines of pending orders padded with spaces, and a blank line after each urgent
+    open order."""
+    from topicflow.functions.records import encode_value
+
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    it = order_items(spark, sf_dir).where(F.col("chunk") == 0).drop("chunk", "total_qty")
+    j = o.join(it, "o_orderkey", "left").join(c, o["o_custkey"] == c["c_custkey"], "left")
+    line = encode_value(F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("user"),
+                        "items", F.col("o_totalprice").alias("total"),
+                        F.lit("PLACED").alias("status"),
+                        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"),
+                        ).cast("string")
+    padded = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("  "), line, F.lit(" ")))\
+        .otherwise(line)
+    lines = j.select(padded.alias("value"))
+    blanks = j.where((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT"))\
+        .select(F.lit("   ").alias("value"))
+    return lines.unionByName(blanks)
+
+
+def order_file_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of JSON-lines order files derived from the driver tables (written once)."""
+    from topicflow.session import scratch_dir
+
+    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#jsonl")
+    root = _LOGS.get(memo)
+    if root and os.path.exists(root):
+        return root
+    root = scratch_dir(spark, "order-files")
+    order_file_lines(spark, sf_dir).write.mode("overwrite").text(root + "/in")
+    _LOGS[memo] = root + "/in"
+    return root + "/in"
