@@ -53,6 +53,17 @@ def decode_json_or_text(value="value") -> Column:
     return F.struct(parsed.alias("json"), raw.alias("raw"), parsed.isNotNull().alias("is_json"))
 
 
+def parse_once(df, keep, **parsed):
+    """Select ``keep`` columns plus each ``name=expression`` evaluated exactly once per row.
+
+    A filter on a field derived from a parsed value would otherwise be pushed below the
+    projection and inline the parse once per reference. Producing the parsed values from a
+    one-row generator keeps them above any pushed filter, so each value is parsed once.
+    """
+    packed = F.array(F.struct(*[e.alias(n) for n, e in parsed.items()]))
+    return df.select(*keep, F.inline(packed))
+
+
 def header_map(headers="headers") -> Column:
     """Header list → MAP<STRING,STRING>: last duplicate wins, empty value → null, null list → {}.
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.functions.records import decode_json_or_text
+from topicflow.functions.records import decode_json_or_text, parse_once
 from topicflow.schema import POSITION
 
 # The demo restaurants and the two kitchens that take longer.
@@ -59,7 +59,7 @@ def normalize_orders(records: DataFrame, value: str = "value",
                      keep: Sequence[str] = POSITION) -> DataFrame:
     """Records of any order shape → canonical columns (order_id, user, items, total, status,
     restaurant, seq, ts) plus ``keep`` columns; values that are not JSON objects give nulls."""
-    parsed = records.select(*keep, decode_json_or_text(value)["json"].alias("_j"))
+    parsed = parse_once(records, keep, _j=decode_json_or_text(value)["json"])
     j = F.col("_j")
     return parsed.select(
         *keep,

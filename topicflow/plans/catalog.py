@@ -413,7 +413,8 @@ def trace_link(spark, sf_dir):
 # ---------------------------------------------------------------- order payloads
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TT.orders_topic(spark, sf_dir)
+    """The order topic as stored in its file log (published once per application)."""
+    return read_topic(spark, TT.orders_log(spark, sf_dir), TT.ORDERS_TOPIC)
 
 
 CANON_COLS = ("topic", "partition", "offset", "order_id", "user", "total", "status",
@@ -461,8 +462,8 @@ WHERE reason IS NOT NULL"""
 def dead_letter(spark, sf_dir):
     from topicflow.schema import SIMPLE_ORDER
     r = order_log(spark, sf_dir)
-    d = r.select("topic", "partition", "offset",
-                 F.from_json(R.value_text(), SIMPLE_ORDER).alias("o")).select(
+    d = R.parse_once(r, ["topic", "partition", "offset"],
+                     o=F.from_json(R.value_text(), SIMPLE_ORDER)).select(
         "topic", "partition", "offset", "o.*")
     _, rejects = O.require_fields(d, ["order_id", "user", "item", "quantity"])
     return rejects.select("topic", "partition", "offset", "reason")
@@ -552,8 +553,8 @@ FROM canon WHERE shape = 2 AND first_sku IS NOT NULL"""
 
 def _simple_orders(batch: DataFrame) -> DataFrame:
     from topicflow.schema import SIMPLE_ORDER
-    d = batch.select("topic", "partition", "offset",
-                     F.from_json(R.value_text(), SIMPLE_ORDER).alias("o")).select(
+    d = R.parse_once(batch, ["topic", "partition", "offset"],
+                     o=F.from_json(R.value_text(), SIMPLE_ORDER)).select(
         "topic", "partition", "offset", "o.*")
     return d.withColumn("reason", O.missing_reason(["order_id", "user", "item", "quantity"]))
 

@@ -73,3 +73,16 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def widen(df):
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    Small inputs stored as one file of one row group scan as a single task, which would run
+    every per-row expression (hashing, JSON) on one core. Large inputs already have many
+    splits and pass through untouched, so this never adds a shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -27,7 +27,8 @@ PARTITIONS = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from topicflow.session import widen
+    return widen(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def produce_span_id(event_id) -> F.Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.schema import ENVELOPE, ENVELOPE_COLUMNS
+from topicflow.session import widen
 
 EARLIEST = "earliest"
 LATEST = "latest"
@@ -53,7 +54,7 @@ def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str], *,
     df = df.where(F.col("topic").isin(names))
     if start == LATEST and not streaming:
         df = df.where(F.lit(False))
-    return df
+    return df if streaming else widen(df)
 
 
 def from_positions(records: DataFrame, positions: DataFrame,
