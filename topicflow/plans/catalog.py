@@ -710,6 +710,27 @@ def publish_readback(spark, sf_dir):
                     F.get_json_object(R.value_text(), "$.order_id").alias("order_id"))
 
 
+
+WINDOW_DELAY = "10 minutes"
+
+
+@register("rate_window_stream", S.with_topic("""
+SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS records
+FROM rec GROUP BY topic, time_bucket(INTERVAL 1 HOUR, ts)
+HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
+       <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""))
+def rate_window_stream(spark, sf_dir):
+    """Hourly records per topic as a stream: a window is final (emitted once, append mode)
+    when the watermark (latest event time − 10 minutes) has passed its end; windows still
+    open when the input ends stay in state for the next run."""
+    s = ST.stream_window_counts(stream_log(spark, sf_dir), "1 hour", delay=WINDOW_DELAY)
+    s = s.select("topic", ntz("window_start"), ntz("window_end"), "records")
+    out = scratch_dir(spark, "rate-window")
+    ST.await_all([ST.copy_stream(s, out, _ck(spark, "rate-window"))])
+    return spark.read.parquet(out)
+
+
 def queries() -> dict[str, Plan]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
