@@ -731,6 +731,35 @@ def rate_window_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+
+@register("trace_link_stream", S.with_topic("""
+SELECT grp AS reader, md5(CAST(event_id AS VARCHAR)) AS trace_id,
+       substr(sha256('consume:' || grp || ':' || md5(CAST(event_id AS VARCHAR)) || ':'
+                     || CAST("offset" AS VARCHAR)), 1, 16) AS span_id,
+       substr(sha256('produce:' || CAST(event_id AS VARCHAR)), 1, 16) AS parent_span_id,
+       'kafka.consume' AS name, 'kafka' AS system, topic AS destination, partition, "offset",
+       topic AS parent_topic, partition AS parent_partition, "offset" AS parent_offset
+FROM fan WHERE consumed AND grp = 'analytics'""", DEMO_GROUPS))
+def trace_link_stream(spark, sf_dir):
+    """Span links as a stream-stream join: the analytics group's consume spans against the
+    producer's spans (its header context and delivery position, read from the log as a
+    second stream), both with watermarks and a one-hour bound."""
+    g = next(x for x in DEMO_GROUPS if x.name == "analytics")
+    recs = G.start_filter(stream_log(spark, sf_dir, g.topics), g).where(
+        F.col("timestamp").cast("timestamp_ntz") < F.lit(g.consumed_until).cast("timestamp_ntz"))
+    spans = TS.consume_spans(recs.withColumn("group", F.lit(g.name)), ts="timestamp")
+    sent = stream_log(spark, sf_dir).select(
+        TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER)).alias("c"),
+        "topic", "partition", "offset", F.col("timestamp").alias("produced_ts"))
+    produced = sent.select(F.col("c.trace_id").alias("trace_id"),
+                           F.col("c.span_id").alias("span_id"),
+                           "topic", "partition", "offset", "produced_ts")
+    linked = TS.link_spans_stream(spans, produced).drop("ts", "parent_produced_ts")
+    out = scratch_dir(spark, "trace-link-stream")
+    ST.await_all([ST.copy_stream(linked, out, _ck(spark, "trace-link-stream"))])
+    return spark.read.parquet(out)
+
+
 def queries() -> dict[str, Plan]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
