@@ -103,13 +103,15 @@ def lag_from_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
     Partitions a group has no position for count from the log's begin. Both inputs are
     aggregated to one row per topic partition before the join, so the join is small.
     """
+    from topicflow.sources.topics import broadcast_if_small
+
     bounds = log.groupBy("topic", "partition").agg(
         F.min("offset").alias("log_begin_offset"),
         (F.max("offset") + 1).alias("log_end_offset"))
-    groups = positions.select("group", "topic").distinct()
+    pos = broadcast_if_small(positions.select("group", "topic", "partition", "committed"))
+    groups = pos.select("group", "topic").distinct()
     grid = bounds.join(groups, "topic")
-    j = grid.join(positions.select("group", "topic", "partition", "committed"),
-                  ["group", "topic", "partition"], "left")
+    j = grid.join(pos, ["group", "topic", "partition"], "left")
     cur = F.coalesce(F.col("committed"), F.col("log_begin_offset"))
     return j.select("group", "topic", "partition", cur.alias("current_offset"),
                     "log_end_offset", (F.col("log_end_offset") - cur).alias("lag"))
