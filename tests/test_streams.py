@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from topicflow.operators.publish import assign_partition, publish
+from topicflow.operators.publish import assign_partition, publish, read_log_ends
 from topicflow.schema import ENVELOPE
 from topicflow.sources.files import read_jsonl
 from topicflow.sources.topics import read_topic
@@ -21,7 +21,7 @@ def _records(spark, lo, hi):
 
 def test_resume_reads_nothing_twice(spark, scratch):
     root, out, ck = scratch("log"), scratch("out"), scratch("ck")
-    publish(_records(spark, 0, 50), root, "seq")
+    publish(_records(spark, 0, 50), root, "seq", batch=0)
 
     def run():
         s = read_topic(spark, root, "t", streaming=True).select(
@@ -30,7 +30,8 @@ def test_resume_reads_nothing_twice(spark, scratch):
 
     run()
     run()  # nothing new: no batch, no duplicate
-    publish(_records(spark, 50, 80), root, "seq", existing=spark.read.schema(ENVELOPE).parquet(root))
+    publish(_records(spark, 50, 80), root, "seq", existing=spark.read.schema(ENVELOPE).parquet(root),
+            batch=1)
     run()
     got = ST.read_outcome(spark, out)
     assert got.count() == 80
@@ -90,7 +91,7 @@ def test_bounded_fetch_progress_and_stop(spark, scratch):
     root, out, ck = scratch("log"), scratch("out"), scratch("ck")
     for lo in range(0, 40, 10):  # four appends → several files
         existing = spark.read.schema(ENVELOPE).parquet(root) if lo else None
-        publish(_records(spark, lo, lo + 10), root, "seq", existing=existing)
+        publish(_records(spark, lo, lo + 10), root, "seq", existing=existing, batch=lo // 10)
     listener = ST.ProgressLog()
     spark.streams.addListener(listener)
     try:
@@ -113,8 +114,40 @@ def test_bounded_fetch_progress_and_stop(spark, scratch):
                        .select("topic", "partition", "offset"), out2, ck2, trigger="1 second")
     q.processAllAvailable()
     q.stop()
-    publish(_records(spark, 40, 50), root, "seq", existing=spark.read.schema(ENVELOPE).parquet(root))
+    publish(_records(spark, 40, 50), root, "seq", ends=read_log_ends(spark, root, 3), batch=4)
     ST.await_all([ST.copy_stream(read_topic(spark, root, "t", streaming=True)
                                  .select("topic", "partition", "offset"), out2, ck2)])
     got = spark.read.parquet(out2)
     assert got.count() == 50 and got.distinct().count() == 50
+
+
+def test_republishing_a_batch_does_not_duplicate(spark, scratch):
+    """A publish re-run with the same batch number (after a failure) replaces its files,
+    and the saved log ends let the next batch continue without scanning the log."""
+    root = scratch("log")
+    publish(_records(spark, 0, 20), root, "seq", batch=0)
+    publish(_records(spark, 0, 20), root, "seq", batch=0)  # the same batch again
+    publish(_records(spark, 20, 30), root, "seq", ends=read_log_ends(spark, root, 0), batch=1)
+    log = read_topic(spark, root, "t")
+    assert log.count() == 30
+    from topicflow.operators.progress import order_check
+    assert all(r.dense and r.begin_offset == 0 for r in order_check(log).collect())
+    ends = {r.partition: r.log_end_offset for r in read_log_ends(spark, root, 1).collect()}
+    assert sum(ends.values()) == 30
+
+
+def test_publish_stream_continues_offsets(spark, scratch):
+    """Stream → log: several micro-batches, offsets dense across them."""
+    d, root = scratch("in"), scratch("log")
+    for i in range(3):
+        with open(f"{d}/f{i}.jsonl", "w") as f:
+            f.write("\n".join(f'{{"n": {i * 100 + j}}}' for j in range(25)) + "\n")
+    src = read_jsonl(spark, d, streaming=True, options={"maxFilesPerTrigger": "1"})
+    src = src.withColumn("topic", F.lit("t")).drop("file")
+    q = ST.publish_stream(src, root, scratch("ck"), partitions=2)
+    ST.await_all([q])
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    log = read_topic(spark, root, "t")
+    assert log.count() == 75
+    from topicflow.operators.progress import order_check
+    assert all(r.dense and r.begin_offset == 0 for r in order_check(log).collect())

@@ -72,24 +72,57 @@ def log_ends(log: DataFrame) -> DataFrame:
     return log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("log_end_offset"))
 
 
+# Small side table of the file log: one row per topic partition with its end offset, one
+# version per publish batch (like a broker's log-end offsets). Directories starting with an
+# underscore are invisible to readers of the log itself.
+LOG_ENDS_DIR = "_log_ends"
+
+
+def _ends_path(root: str, batch: int) -> str:
+    return f"{root.rstrip('/')}/{LOG_ENDS_DIR}/batch={batch}"
+
+
+def read_log_ends(spark, root: str, batch: int) -> DataFrame | None:
+    """End offsets as of publish ``batch`` (None when that version does not exist)."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(_ends_path(root, batch))
+    except AnalysisException:
+        return None
+
+
 def publish(records: DataFrame, root: str, order_key: str | Column, *,
-            existing: DataFrame | None = None, fmt: str = "parquet",
-            options: dict | None = None) -> DataFrame:
-    """Append records to a topic log and return the delivery report (envelope frame).
+            existing: DataFrame | None = None, ends: DataFrame | None = None,
+            batch: int = 0, fmt: str = "parquet", options: dict | None = None) -> None:
+    """Append records to a topic log.
 
     ``records`` carries key/value/headers/topic/partition (see :func:`assign_partition`).
-    For the Parquet file log, offsets continue ``existing`` (the log as read now) and files
-    are written under ``topic=…/partition=…``. For ``fmt="kafka"`` the broker assigns
-    partitions' offsets itself and ``options`` must hold ``kafka.bootstrap.servers``.
-    One writer per topic at a time keeps offsets dense.
+    For the Parquet file log, offsets continue the log: from ``ends`` (topic, partition,
+    log_end_offset) when given, else from ``existing`` (the log as read now, one scan), else 0.
+    Files go under ``topic=…/partition=…/batch=<batch>`` and the batch folders are replaced
+    with dynamic partition overwrite, so re-running a publish with the same ``batch`` (after a
+    failure) never duplicates records. The new end offsets are saved as version ``batch`` of
+    the log-ends table for the next publish. One writer per topic at a time keeps offsets
+    dense. For ``fmt="kafka"`` the broker assigns partitions' offsets itself and ``options``
+    must hold ``kafka.bootstrap.servers``.
     """
     if fmt == "kafka":
         (records.select("topic", "key", "value", "headers", "partition")
          .write.format("kafka").options(**(options or {})).save())
-        return records
-    ends = log_ends(existing) if existing is not None else None
+        return
+    spark = records.sparkSession
+    if ends is None and existing is not None:
+        ends = log_ends(existing)
     report = to_envelope(assign_offsets(records, order_key, log_end=ends))
-    (report.write.mode("append").partitionBy("topic", "partition")
+    (report.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
      .options(**{k: v for k, v in (options or {}).items() if not k.startswith("kafka.")})
-     .format(fmt).save(root))
-    return report
+     .partitionBy("topic", "partition", "batch").format(fmt).save(root))
+    # End offsets from what was written (read back by partition pruning, not recomputed).
+    written = spark.read.format(fmt).load(root).where(F.col("batch") == batch)
+    new = log_ends(written)
+    if ends is not None:
+        new = (ends.select("topic", "partition", "log_end_offset").unionByName(new)
+               .groupBy("topic", "partition")
+               .agg(F.max("log_end_offset").alias("log_end_offset")))
+    new.write.mode("overwrite").parquet(_ends_path(root, batch))

@@ -591,10 +591,10 @@ def resume(spark, sf_dir):
         ST.await_all([q])
         return q.lastProgress["batchId"] if q.lastProgress else -1
 
-    publish(recs.where(cut), root, "event_id")
+    from topicflow.operators.publish import read_log_ends
+    publish(recs.where(cut), root, "event_id", batch=0)
     first_last = run()
-    existing = spark.read.schema(ENVELOPE).parquet(root)
-    publish(recs.where(~cut), root, "event_id", existing=existing)
+    publish(recs.where(~cut), root, "event_id", ends=read_log_ends(spark, root, 0), batch=1)
     run()
     got = ST.read_outcome(spark, out, ST.OK)
     return got.select("topic", "partition", "offset",
@@ -674,23 +674,10 @@ def order_file(spark, sf_dir):
 
 @register("file_to_topic", ORDER_FILE_SQL)
 def file_to_topic(spark, sf_dir):
-    from topicflow.operators.publish import assign_offsets, log_ends, to_envelope
-    from topicflow.functions.partitioning import spread_partition
-    from topicflow.schema import ENVELOPE
     src = FI.read_jsonl(spark, TT.order_file_dir(spark, sf_dir), streaming=True)
     root = scratch_dir(spark, "file-topic-log")
-
-    def each(batch, batch_id):
-        existing = spark.read.schema(ENVELOPE).parquet(root) if batch_id > 0 else None
-        recs = (batch.withColumn("topic", F.lit(TT.ORDERS_TOPIC))
-                .withColumn("partition", spread_partition(TT.PARTITIONS))
-                .withColumn("_seq", F.monotonically_increasing_id()))
-        ends = log_ends(existing) if existing is not None else None
-        env = to_envelope(assign_offsets(recs, "_seq", log_end=ends))
-        env.write.mode("append").partitionBy("topic", "partition").parquet(root)
-
-    q = (src.writeStream.foreachBatch(each).option("checkpointLocation", _ck(spark, "f2t"))
-         .trigger(availableNow=True).start())
+    q = ST.publish_stream(src.withColumn("topic", F.lit(TT.ORDERS_TOPIC)), root,
+                          _ck(spark, "f2t"), partitions=TT.PARTITIONS)
     ST.await_all([q])
     back = read_topic(spark, root, TT.ORDERS_TOPIC)
     v = R.value_text()

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from topicflow.schema import ORDER_FILE
 
 
-def read_jsonl(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, streaming: bool = False,
+               options: dict | None = None) -> DataFrame:
     """Lines of JSON-lines files as records: trimmed, blank lines dropped, no key, value as
     text (not parsed), plus the source file. A stream picks up new files dropped into the
     directory (lines appended to a file already read are not seen)."""
-    reader = spark.readStream if streaming else spark.read
+    reader = (spark.readStream if streaming else spark.read).options(**(options or {}))
     lines = reader.text(path).select(F.trim("value").alias("line"),
                                      F.col("_metadata.file_path").alias("file"))
     return lines.where(F.col("line") != "").select(

@@ -74,6 +74,36 @@ def copy_stream(stream: DataFrame, output: str, checkpoint: str, *, fmt: str = "
     return _trigger(w, trigger).start()
 
 
+def publish_stream(stream: DataFrame, root: str, checkpoint: str, *, partitions: int,
+                   key_text: str | Column | None = None,
+                   trigger: str | None = "availableNow") -> StreamingQuery:
+    """Continuously append a stream of records (key/value/headers/topic) to a file log.
+
+    Each micro-batch gets partitions (by key, or spread), dense offsets continuing the log
+    ends saved by the previous batch (a small table, so no scan of the log), and is written
+    as publish batch ``batch_id``: a micro-batch replayed after a failure replaces its own
+    files instead of appending twice.
+    """
+    from topicflow.functions.partitioning import choose_partition
+    from topicflow.operators.publish import log_ends, publish, read_log_ends
+
+    spark = stream.sparkSession
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        ends = read_log_ends(spark, root, batch_id - 1) if batch_id > 0 else None
+        if ends is None and batch_id > 0:  # cold start on a log without saved ends
+            from topicflow.schema import ENVELOPE
+            ends = log_ends(spark.read.schema(ENVELOPE).parquet(root))
+        k = F.lit(None).cast("string") if key_text is None else (
+            F.col(key_text) if isinstance(key_text, str) else key_text)
+        recs = (batch.withColumn("partition", choose_partition(k, partitions))
+                .withColumn("_tf_seq", F.monotonically_increasing_id()))
+        publish(recs, root, "_tf_seq", ends=ends, batch=batch_id)
+
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 def dedup_stream(stream: DataFrame, keys: Sequence[str] = POSITION, ts: str = "timestamp",
                  delay: str = "31 days") -> DataFrame:
     """Drop replayed records: first copy of each key within the watermark delay wins.
