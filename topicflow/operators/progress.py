@@ -62,7 +62,8 @@ def first_n(consumed: DataFrame, n: int = FIRST_N, by: Sequence[str] = ("group",
     """The first ``n`` records of each reader in reading order (planned as a group limit, so
     each task keeps at most ``n`` rows per reader before the shuffle)."""
     w = Window.partitionBy(*by).orderBy(*READ_ORDER)
-    return (consumed.withColumn("n", F.row_number().over(w)).where(F.col("n") <= n))
+    return (consumed.withColumn("n", F.row_number().over(w).cast("bigint"))
+            .where(F.col("n") <= n))
 
 
 def limit_n(records: DataFrame, n: int) -> DataFrame:

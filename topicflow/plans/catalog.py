@@ -186,7 +186,8 @@ def header_map(spark, sf_dir):
 
 
 @register("by_event_type", S.with_topic("""
-SELECT event_type, count(*) AS records, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k_sum
+SELECT event_type, count(*) AS records,
+       CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum
 FROM rec GROUP BY event_type"""))
 def by_event_type(spark, sf_dir):
     r = log(spark, sf_dir).select(R.header_map()["event-type"].alias("event_type"),

@@ -59,7 +59,7 @@ it AS (
          'part-' || CAST(l_partkey AS VARCHAR) AS sku, CAST(l_quantity AS BIGINT) AS qty
   FROM lineitem),
 itagg AS (
-  SELECT o_orderkey, chunk, min(sku) AS first_sku, sum(qty) AS total_qty
+  SELECT o_orderkey, chunk, min(sku) AS first_sku, CAST(sum(qty) AS BIGINT) AS total_qty
   FROM it GROUP BY o_orderkey, chunk),
 ord AS (
   SELECT o.o_orderkey, coalesce(a.chunk, 0) AS chunk,
