@@ -66,3 +66,24 @@ def test_shape_orders_stable_ids(spark):
     b = O.shape_orders(df, stable_id=["n"]).first()
     assert a.order_id == b.order_id and a.key_text == "u"
     assert len(O.shape_orders(df).withColumn("l", F.length("order_id")).first().order_id) == 36
+
+
+def test_hot_order_is_split_into_bounded_records(spark, scratch):
+    """One order holding thousands of copies of a line is cut into records of ≤ 1024 items,
+    and every item is kept."""
+    from topicflow.sources import testtopic as TT
+
+    d = scratch("li")
+    hot = spark.range(5000).select(F.lit(7).cast("bigint").alias("l_orderkey"),
+                                   F.lit(1).cast("bigint").alias("l_partkey"),
+                                   F.lit(1).cast("int").alias("l_linenumber"),
+                                   F.lit(3.0).alias("l_quantity"))
+    small = spark.createDataFrame([(8, 2, 1, 1.0), (8, 3, 2, 2.0)],
+                                  "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double")
+    hot.unionByName(small).repartition(4).write.parquet(f"{d}/lineitem.parquet")
+    items = TT.order_items(spark, d).collect()
+    sizes = {(r.o_orderkey, r.chunk): len(r["items"]) for r in items}
+    assert sum(n for (k, _), n in sizes.items() if k == 7) == 5000
+    assert max(n for (k, _), n in sizes.items() if k == 7) <= 1024
+    assert len([1 for (k, _) in sizes if k == 7]) >= 5
+    assert sizes[(8, 0)] == 2  # small orders keep one record, chunk 0

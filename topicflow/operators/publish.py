@@ -93,7 +93,8 @@ def read_log_ends(spark, root: str, batch: int) -> DataFrame | None:
 
 def publish(records: DataFrame, root: str, order_key: str | Column, *,
             existing: DataFrame | None = None, ends: DataFrame | None = None,
-            batch: int = 0, fmt: str = "parquet", options: dict | None = None) -> None:
+            batch: int = 0, tie_breakers: Sequence[str] = (), fmt: str = "parquet",
+            options: dict | None = None) -> None:
     """Append records to a topic log.
 
     ``records`` carries key/value/headers/topic/partition (see :func:`assign_partition`).
@@ -113,7 +114,8 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *,
     spark = records.sparkSession
     if ends is None and existing is not None:
         ends = log_ends(existing)
-    report = to_envelope(assign_offsets(records, order_key, log_end=ends))
+    report = to_envelope(assign_offsets(records, order_key, log_end=ends,
+                                        tie_breakers=tie_breakers))
     (report.withColumn("batch", F.lit(batch)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .options(**{k: v for k, v in (options or {}).items() if not k.startswith("kafka.")})

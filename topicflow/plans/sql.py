@@ -53,9 +53,12 @@ def with_topic(body: str, groups: Sequence[Group] | None = None, extra: str = ""
 
 
 # The mixed-shape order topic (same rules as topicflow.sources.testtopic.order_records).
+# Chunks: line-number chunk × 2^20; the further split of a chunk holding more than 1024 rows
+# (a hash of each row's file position) is not restated, as no order in the driver tables has
+# more than a few lines.
 ORDERS_CTE = """
 it AS (
-  SELECT l_orderkey AS o_orderkey, CAST(floor(l_linenumber / 1024) AS INTEGER) AS chunk,
+  SELECT l_orderkey AS o_orderkey, CAST(floor(l_linenumber / 1024) AS BIGINT) * 1048576 AS chunk,
          'part-' || CAST(l_partkey AS VARCHAR) AS sku, CAST(l_quantity AS BIGINT) AS qty
   FROM lineitem),
 itagg AS (
@@ -70,7 +73,7 @@ ord AS (
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey),
 ordkey AS (
   SELECT *, CASE WHEN shape IN (2, 5) THEN c_name END AS key_text,
-         o_orderkey * 16 + chunk AS seq_no
+         o_orderkey + chunk AS seq_no
   FROM ord),
 ordpart AS (
   SELECT *, CASE WHEN key_text IS NULL THEN CAST(seq_no % 3 AS INTEGER)
@@ -79,7 +82,7 @@ ordpart AS (
   FROM ordkey),
 olog AS (
   SELECT *, 'food.orders' AS topic,
-         row_number() OVER (PARTITION BY partition ORDER BY seq_no) - 1 AS "offset"
+         row_number() OVER (PARTITION BY partition ORDER BY o_orderkey, chunk) - 1 AS "offset"
   FROM ordpart),
 canon AS (
   SELECT topic, partition, "offset", o_orderkey, chunk, shape, first_sku, total_qty, no_items,

@@ -91,20 +91,38 @@ def events_log(spark: SparkSession, sf_dir: str) -> str:
 # --------------------------------------------------------- mixed-shape order topic
 
 ORDERS_TOPIC = "food.orders"
-# An order's items go into one record; a very large order is cut into records of at most
-# this many line numbers, since one record cannot grow without bound.
+# An order's items go into one record. One record cannot grow without bound, so an order
+# (or a run of copies of one line) with more items than this is cut into several records.
 ITEMS_PER_RECORD = 1024
+# Sub-chunk numbers of one line-number chunk stay below this.
+_SUB = 1 << 20
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order (and chunk): sorted items array, first sku and total quantity."""
-    li = table(spark, sf_dir, "lineitem")
-    item = F.struct(F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("sku"),
-                    F.col("l_quantity").cast("bigint").alias("qty"))
-    return (li.select(F.col("l_orderkey").alias("o_orderkey"),
-                      F.floor(F.col("l_linenumber") / ITEMS_PER_RECORD).cast("int").alias("chunk"),
-                      item.alias("it"))
-            .groupBy("o_orderkey", "chunk")
+    """Per order and chunk: sorted items array, first sku and total quantity.
+
+    Items are chunked by line number; a chunk holding more than ``ITEMS_PER_RECORD`` rows
+    (possible with repeated line numbers) is split further by a hash of each row's file
+    position, so no single group — and no single task — collects an unbounded array. The
+    group sizes come from a partial aggregate; the join back is on the order key, where
+    adaptive execution splits a skewed partition.
+    """
+    from topicflow.session import widen
+
+    raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    li = widen(raw.select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.floor(F.col("l_linenumber") / ITEMS_PER_RECORD).cast("bigint").alias("_lchunk"),
+        F.struct(F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("sku"),
+                 F.col("l_quantity").cast("bigint").alias("qty")).alias("it"),
+        F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_pos")))
+    sizes = li.groupBy("o_orderkey", "_lchunk").agg(F.count(F.lit(1)).alias("_n"))
+    # pieces average half the limit, so the hash split keeps every piece under it
+    pieces = F.ceil(F.col("_n") * 2 / ITEMS_PER_RECORD)
+    sub = F.when(F.col("_n") > ITEMS_PER_RECORD, F.pmod(F.col("_pos"), pieces)).otherwise(0)
+    chunked = li.join(sizes, ["o_orderkey", "_lchunk"]).select(
+        "o_orderkey", (F.col("_lchunk") * _SUB + sub).cast("bigint").alias("chunk"), "it")
+    return (chunked.groupBy("o_orderkey", "chunk")
             .agg(F.array_sort(F.collect_list("it")).alias("items"),
                  F.sum(F.col("it.qty")).alias("total_qty")))
 
@@ -125,7 +143,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     it = order_items(spark, sf_dir)
     j = (o.join(it, "o_orderkey", "left")
          .join(c, o["o_custkey"] == c["c_custkey"], "left")
-         .withColumn("chunk", F.coalesce(F.col("chunk"), F.lit(0))))
+         .withColumn("chunk", F.coalesce(F.col("chunk"), F.lit(0).cast("bigint"))))
     shape = F.substring("o_orderpriority", 1, 1).cast("int")
     first_sku = F.col("items")[0]["sku"]
     ts_z = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -157,7 +175,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.cast("binary").alias("key"), value.alias("value"),
         F.lit(ORDERS_TOPIC).alias("topic"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
-        (okey * 16 + F.col("chunk")).alias("seq_no"),
+        (okey + F.col("chunk")).alias("seq_no"),
         key.alias("key_text"),
     )
 
@@ -167,7 +185,7 @@ def orders_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     from topicflow.operators.publish import assign_offsets, assign_partition
 
     recs = assign_partition(order_records(spark, sf_dir), "key_text", PARTITIONS, seq="seq_no")
-    return assign_offsets(recs, "seq_no").drop("key_text")
+    return assign_offsets(recs, "o_orderkey", tie_breakers=("chunk",)).drop("key_text")
 
 
 def orders_log(spark: SparkSession, sf_dir: str) -> str:
@@ -181,7 +199,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> str:
         return root
     root = scratch_dir(spark, "orders-log")
     recs = assign_partition(order_records(spark, sf_dir), "key_text", PARTITIONS, seq="seq_no")
-    publish(recs, root, "seq_no")
+    publish(recs, root, "o_orderkey", tie_breakers=("chunk",))
     _LOGS[memo] = root
     return root
 
@@ -194,7 +212,8 @@ def order_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    it = order_items(spark, sf_dir).where(F.col("chunk") == 0).drop("chunk", "total_qty")
+    # one line per order record: a very large order spans several lines (see order_items)
+    it = order_items(spark, sf_dir).drop("chunk", "total_qty")
     j = o.join(it, "o_orderkey", "left").join(c, o["o_custkey"] == c["c_custkey"], "left")
     line = encode_value(F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("user"),
                         "items", F.col("o_totalprice").alias("total"),
