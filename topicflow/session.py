@@ -50,6 +50,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_BASE: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -63,8 +66,12 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             base = None
     if not base:
+        base = _LOCAL_BASE.get("dir")
+    if not base:
+        # Only when no shared folder is configured (local runs, tests): a private one,
+        # registered as the context's checkpoint directory.
         base = tempfile.mkdtemp(prefix="topicflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        _LOCAL_BASE["dir"] = base
         spark.sparkContext.setCheckpointDir(base)
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
@@ -82,7 +89,9 @@ def widen(df):
     every per-row expression (hashing, JSON) on one core. Large inputs already have many
     splits and pass through untouched, so this never adds a shuffle at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        small = df.rdd.getNumPartitions() < cores
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(cores) if small else df
