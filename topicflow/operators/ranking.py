@@ -5,6 +5,8 @@ hot topic partition (or one busy consumer group) would serialise the job. Here t
 cut into fixed-width buckets: a small table counts rows per (group, bucket), a prefix sum over
 it gives each bucket's first number, and rows are numbered inside their bucket only. The big
 side is shuffled once, on (group, bucket); no task ever holds more than one bucket of a group.
+The counting branch reads only the group and key columns (column pruning), so for records
+whose payload dominates their size it costs a small fraction of the main read.
 """
 
 from __future__ import annotations
