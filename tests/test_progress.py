@@ -60,3 +60,26 @@ def test_lag_from_positions(spark):
     pos = spark.createDataFrame([("g", "t", 0, 3)], "group string, topic string, partition int, committed bigint")
     got = {(r.partition): (r.current_offset, r.lag) for r in G.lag_from_positions(log, pos).collect()}
     assert got == {0: (3, 2), 1: (0, 5)}
+
+
+def test_range_row_number_with_hot_group_and_burst(spark):
+    """A third of the rows in one reader, most of them at the same instant: numbering is
+    exact and the burst is spread over several tasks."""
+    from topicflow.operators.ranking import range_row_number
+
+    rows = []
+    for i in range(3000):
+        g = "hot" if i % 3 == 0 else f"g{i % 7}"
+        ts = "2024-01-01 00:00:00" if i % 3 == 0 and i % 2 == 0 else f"2024-01-01 00:{i % 60:02d}:00"
+        rows.append((g, ts, "t", i % 4, i))
+    df = spark.createDataFrame(rows, "group string, ts string, topic string, partition int, offset bigint") \
+        .withColumn("timestamp", F.col("ts").cast("timestamp")).drop("ts")
+    order = ["timestamp", "topic", "partition", "offset"]
+    got = range_row_number(df, ["group"], order, num_partitions=8, out="n")
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("group").orderBy(*order)).cast("bigint"))
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert want.select(*got.columns).exceptAll(got).count() == 0
+    spread = (df.repartitionByRange(8, "group", *order)
+              .where((F.col("group") == "hot") & (F.col("timestamp") == F.lit("2024-01-01").cast("timestamp")))
+              .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread > 1

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicflow.functions.rates import rate, seconds_between
-from topicflow.operators.ranking import bucketed_row_number
+from topicflow.operators.ranking import range_row_number
 
 # Reading order of one reader across its partitions: by record time, then log position.
 READ_ORDER = ("timestamp", "topic", "partition", "offset")
@@ -33,17 +33,13 @@ def throughput(consumed: DataFrame, by: Sequence[str] = ("group",),
                       rate(F.col("records"), secs).alias("rate"))
 
 
-def _micros(ts: str):
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
-
 def read_sequence(consumed: DataFrame, by: Sequence[str] = ("group",),
                   ts: str = "timestamp", out: str = "n") -> DataFrame:
-    """Number each reader's records 1, 2, … in reading order, without sorting a reader's
-    records in one task (time-bucketed prefix sums, one-second buckets)."""
-    return bucketed_row_number(consumed, by, _micros(ts),
-                               tie_breakers=("topic", "partition", "offset"),
-                               width=1 << 20, out=out)
+    """Number each reader's records 1, 2, … in reading order (time, then log position),
+    without sorting a reader's records — or a burst of equal timestamps — in one task.
+    Keeps the reader and position columns only."""
+    narrow = consumed.select(*by, ts, "topic", "partition", "offset")
+    return range_row_number(narrow, by, [ts, "topic", "partition", "offset"], out=out)
 
 
 def progress_points(consumed: DataFrame, every: int = PROGRESS_EVERY,

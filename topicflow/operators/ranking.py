@@ -41,3 +41,35 @@ def bucketed_row_number(df: DataFrame, by: Sequence[str], key: Column | str, *,
     inside = Window.partitionBy(*by, _B).orderBy(k, *tie_breakers)
     return (joined.withColumn(out, F.col(_BASE) + F.row_number().over(inside))
             .drop(_B, _BASE))
+
+
+def range_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
+                     num_partitions: int | None = None, out: str = "row_number") -> DataFrame:
+    """Add ``out`` = 1-based row number within ``by`` in ``order`` order, for any sort key.
+
+    ``(by, order)`` must be unique per row (a log position is). The rows are range-partitioned
+    on the whole key — Spark samples the bounds, so a hot group or a burst of equal
+    timestamps is spread over many tasks — and sorted inside each task. The partition id and
+    position of every row are then fixed by a reliable checkpoint (in the shared checkpoint
+    folder), so a recomputation after an executor loss cannot renumber them. A small table of
+    rows per (task, group) gives each task's first number per group. Pass only the columns
+    needed: the checkpoint writes what ``df`` holds.
+    """
+    from topicflow.session import scratch_dir
+
+    spark = df.sparkSession
+    scratch_dir(spark, "rank")  # makes sure a checkpoint folder is registered
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*by, *order]
+    placed = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_tf_pid", F.spark_partition_id())
+              .withColumn("_tf_pos", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    per_task = placed.groupBy("_tf_pid", *by).agg(F.count(F.lit(1)).alias(_N),
+                                                  F.min("_tf_pos").alias("_tf_first"))
+    before = Window.partitionBy(*by).orderBy("_tf_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_task.select("_tf_pid", *by, "_tf_first",
+                             F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_BASE))
+    numbered = placed.join(starts, ["_tf_pid", *by])
+    return (numbered.withColumn(out, F.col(_BASE) + F.col("_tf_pos") - F.col("_tf_first") + 1)
+            .drop("_tf_pid", "_tf_pos", "_tf_first", _BASE))
