@@ -23,6 +23,12 @@ DURABLE_SINK_OPTIONS = {
 }
 
 
+def kafka_sink_options(servers: str, extra: dict | None = None) -> dict:
+    """Options for Spark's Kafka sink: brokers plus the durable producer settings; ``extra``
+    overrides. The sink takes ``topic`` and ``partition`` from the columns of each row."""
+    return {"kafka.bootstrap.servers": servers, **DURABLE_SINK_OPTIONS, **(extra or {})}
+
+
 def assign_partition(df: DataFrame, key_text: str | Column, n: int,
                      out: str = "partition", seq=None) -> DataFrame:
     """Same key → same partition (md5 rule); records without a key are spread evenly
@@ -104,12 +110,12 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *,
     with dynamic partition overwrite, so re-running a publish with the same ``batch`` (after a
     failure) never duplicates records. The new end offsets are saved as version ``batch`` of
     the log-ends table for the next publish. One writer per topic at a time keeps offsets
-    dense. For ``fmt="kafka"`` the broker assigns partitions' offsets itself and ``options``
-    must hold ``kafka.bootstrap.servers``.
+    dense. For ``fmt="kafka"``, ``root`` is the bootstrap servers and the broker assigns
+    offsets itself.
     """
     if fmt == "kafka":
         (records.select("topic", "key", "value", "headers", "partition")
-         .write.format("kafka").options(**(options or {})).save())
+         .write.format("kafka").options(**kafka_sink_options(root, options)).save())
         return
     spark = records.sparkSession
     if ends is None and existing is not None:

@@ -41,13 +41,9 @@ def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str], *,
     opts = dict(options or {})
     if fmt == "kafka":
         reader = spark.readStream if streaming else spark.read
-        r = (reader.format("kafka").option("kafka.bootstrap.servers", source)
-             .option("subscribe", ",".join(names)).option("includeHeaders", "true"))
-        if streaming:
-            r = r.option("startingOffsets", start)
-        elif start == LATEST:
-            r = r.option("startingOffsets", LATEST)
-        return r.options(**opts).load().select(*ENVELOPE_COLUMNS)
+        r = reader.format("kafka").options(**kafka_source_options(source, names, start,
+                                                                  streaming, opts))
+        return r.load().select(*ENVELOPE_COLUMNS)
 
     reader = spark.readStream if streaming else spark.read
     df = reader.schema(ENVELOPE).options(**opts).parquet(source).select(*ENVELOPE_COLUMNS)
@@ -57,6 +53,23 @@ def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str], *,
     return df if streaming else widen(df)
 
 
+def kafka_source_options(servers: str, topics: Sequence[str], start: str = EARLIEST,
+                         streaming: bool = False, extra: dict | None = None) -> dict:
+    """Options for Spark's Kafka source: subscription, headers on, start rule.
+
+    A stream uses ``startingOffsets`` only on its first run (the checkpoint wins after);
+    a batch read spans ``startingOffsets``..``endingOffsets`` (latest), so ``latest`` as the
+    start reads nothing. Bounded fetch: ``maxOffsetsPerTrigger``, ``kafka.fetch.max.bytes``,
+    ``kafka.max.poll.records`` pass through in ``extra``.
+    """
+    opts = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics),
+            "includeHeaders": "true", "startingOffsets": start}
+    if not streaming:
+        opts["endingOffsets"] = LATEST
+    opts.update(extra or {})
+    return opts
+
+
 def from_positions(records: DataFrame, positions: DataFrame,
                    column: str = "committed") -> DataFrame:
     """Records at or past a group's committed position (resume in batch).
