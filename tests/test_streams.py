@@ -151,3 +151,62 @@ def test_publish_stream_continues_offsets(spark, scratch):
     assert log.count() == 75
     from topicflow.operators.progress import order_check
     assert all(r.dense and r.begin_offset == 0 for r in order_check(log).collect())
+
+
+def _crash_once_after(real, crash_batch):
+    """Wrap a batch writer: the first time ``crash_batch`` is written, fail right after the
+    write, as a driver crash between writing and committing would."""
+    state = {"crashed": False}
+
+    def wrapper(*args, **kwargs):
+        real(*args, **kwargs)
+        batch = kwargs.get("batch", args[2] if len(args) > 2 else None)
+        if batch == crash_batch and not state["crashed"]:
+            state["crashed"] = True
+            raise RuntimeError("simulated crash after write, before commit")
+    return wrapper
+
+
+def test_worker_crash_between_write_and_commit(spark, scratch, monkeypatch):
+    import pytest
+    root, out, ck = scratch("log"), scratch("out"), scratch("ck")
+    for b, lo in enumerate(range(0, 40, 10)):
+        publish(_records(spark, lo, lo + 10), root, "seq", batch=b,
+                ends=read_log_ends(spark, root, b - 1) if b else None)
+    monkeypatch.setattr(ST, "write_batch", _crash_once_after(ST.write_batch, 1))
+
+    def start():
+        s = read_topic(spark, root, "t", streaming=True, options={"maxFilesPerTrigger": "2"})
+        s = s.select("topic", "partition", "offset", F.lit(None).cast("string").alias("reason"))
+        return ST.run_worker(s, lambda b: b, out, ck)
+
+    with pytest.raises(Exception):
+        ST.await_all([start()])
+    ST.await_all([start()])  # restart: batch 1 is replayed and overwrites its own output
+    got = ST.read_outcome(spark, out)
+    assert got.count() == 40
+    assert got.select("topic", "partition", "offset").distinct().count() == 40
+
+
+def test_publish_stream_crash_between_write_and_commit(spark, scratch, monkeypatch):
+    import pytest
+    from topicflow.operators import publish as PUB
+    from topicflow.operators.progress import order_check
+
+    d, root, ck = scratch("in"), scratch("log"), scratch("ck")
+    for i in range(3):
+        with open(f"{d}/f{i}.jsonl", "w") as f:
+            f.write("\n".join(f'{{"n": {i * 100 + j}}}' for j in range(20)) + "\n")
+    monkeypatch.setattr(PUB, "publish", _crash_once_after(PUB.publish, 1))
+
+    def start():
+        src = read_jsonl(spark, d, streaming=True, options={"maxFilesPerTrigger": "1"})
+        return ST.publish_stream(src.withColumn("topic", F.lit("t")).drop("file"), root, ck,
+                                 partitions=2)
+
+    with pytest.raises(Exception):
+        ST.await_all([start()])
+    ST.await_all([start()])
+    log = read_topic(spark, root, "t")
+    assert log.count() == 60
+    assert all(r.dense and r.begin_offset == 0 for r in order_check(log).collect())
