@@ -55,6 +55,16 @@ def done(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records each demo group has processed and committed."""
     return G.consumed(log(spark, sf_dir), DEMO_GROUPS)
 REGISTRY: dict[str, tuple[Plan, str | None]] = {}
+# Main input table of each report (for records-per-second figures); events unless listed.
+INPUT_TABLE = {
+    **{q: "orders" for q in ("normalize_orders", "route_cost", "require_fields", "dead_letter",
+                             "worker", "jsonl_lines", "file_to_topic", "publish_readback")},
+    **{q: "lineitem" for q in ("validate_quantity", "shape_order", "order_file")},
+}
+
+
+def input_table(name: str) -> str:
+    return INPUT_TABLE.get(name, "events")
 
 
 def register(name: str, oracle: str | None):
