@@ -108,12 +108,21 @@ def test_bounded_fetch_progress_and_stop(spark, scratch):
         spark.streams.removeListener(listener)
     assert spark.read.parquet(out).count() == 40
 
-    # processing-time trigger: stop cleanly, append, restart on the same checkpoint
+    # processing-time trigger: idle notice, clean stop, append, restart on the same checkpoint
     out2, ck2 = scratch("out2"), scratch("ck2")
-    q = ST.copy_stream(read_topic(spark, root, "t", streaming=True)
-                       .select("topic", "partition", "offset"), out2, ck2, trigger="1 second")
-    q.processAllAvailable()
-    q.stop()
+    idle = ST.ProgressLog()
+    spark.streams.addListener(idle)
+    try:
+        q = ST.copy_stream(read_topic(spark, root, "t", streaming=True)
+                           .select("topic", "partition", "offset"), out2, ck2, trigger="1 second")
+        q.processAllAvailable()
+        deadline = time.time() + 20
+        while time.time() < deadline and str(q.id) not in idle.idle:
+            time.sleep(0.5)
+        assert str(q.id) in idle.idle  # no new data → the listener hears the query is idle
+        q.stop()
+    finally:
+        spark.streams.removeListener(idle)
     publish(_records(spark, 40, 50), root, "seq", ends=read_log_ends(spark, root, 3), batch=4)
     ST.await_all([ST.copy_stream(read_topic(spark, root, "t", streaming=True)
                                  .select("topic", "partition", "offset"), out2, ck2)])
