@@ -128,6 +128,6 @@ def shape_orders(requests: DataFrame, stable_id: Sequence[str] | None = None) ->
     random UUID per row, as the API does.
     """
     oid = (F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in stable_id]), 256)
-           if stable_id else F.expr("uuid()"))
+           if stable_id else F.uuid())
     return requests.select(oid.alias("order_id"), "user", "item", "quantity",
                            F.col("user").alias("key_text"))
