@@ -19,11 +19,11 @@ from topicflow.operators import progress as P
 from topicflow.operators import tracing as TS
 from topicflow.operators.groups import Group
 from topicflow.plans import sql as S
+from topicflow.session import scratch_dir
+from topicflow.sources import files as FI
 from topicflow.sources import testtopic as TT
 from topicflow.sources.testtopic import events_topic
-from topicflow.sources import files as FI
 from topicflow.sources.topics import EARLIEST, LATEST, read_topic
-from topicflow.session import scratch_dir
 from topicflow.streaming import streams as ST
 
 ALL_TOPICS = ("demo.click", "demo.view", "demo.error", "demo.purchase", "demo.signup")
@@ -54,6 +54,8 @@ def ntz(c: str):
 def done(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records each demo group has processed and committed."""
     return G.consumed(log(spark, sf_dir), DEMO_GROUPS)
+
+
 REGISTRY: dict[str, tuple[Plan, str | None]] = {}
 # Main input table of each report (for records-per-second figures); events unless listed.
 INPUT_TABLE = {
@@ -111,7 +113,6 @@ def topic_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.topic_profile(log(spark, sf_dir))
 
 
-
 # ---------------------------------------------------------------- scans and start positions
 
 TRACEPARENT_SQL = ("'00-' || md5(CAST(event_id AS VARCHAR)) || '-' || "
@@ -420,7 +421,6 @@ def trace_link(spark, sf_dir):
     return TS.link_spans(spans, produced)
 
 
-
 # ---------------------------------------------------------------- order payloads
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -588,8 +588,9 @@ SELECT topic, partition, "offset",
        CASE WHEN ts < TIMESTAMP '{RESUME_CUT}' THEN 1 ELSE 2 END AS run
 FROM rec"""))
 def resume(spark, sf_dir):
-    from topicflow.operators.publish import publish
-    from topicflow.schema import ENVELOPE
+    """A worker run, then more records published, then a second run on the same checkpoint:
+    the second run reads exactly the new records."""
+    from topicflow.operators.publish import publish, read_log_ends
     recs = TT.events_records(spark, sf_dir)
     cut = F.col("timestamp") < F.lit(RESUME_CUT).cast("timestamp")
     root, out, ck = scratch_dir(spark, "resume-log"), scratch_dir(spark, "resume-out"), \
@@ -602,7 +603,6 @@ def resume(spark, sf_dir):
         ST.await_all([q])
         return q.lastProgress["batchId"] if q.lastProgress else -1
 
-    from topicflow.operators.publish import read_log_ends
     publish(recs.where(cut), root, "event_id", batch=0)
     first_last = run()
     publish(recs.where(~cut), root, "event_id", ends=read_log_ends(spark, root, 0), batch=1)
@@ -615,10 +615,11 @@ def resume(spark, sf_dir):
 @register("dedup", S.with_topic("""
 SELECT topic, partition, "offset", ts AS timestamp FROM rec"""))
 def dedup(spark, sf_dir):
-    from topicflow.schema import ENVELOPE
-    src = spark.read.schema(ENVELOPE).parquet(TT.events_log(spark, sf_dir))
+    """The log delivered twice (an at-least-once replay) and read as a stream: every record
+    comes out once."""
+    src = log(spark, sf_dir)
     replay = scratch_dir(spark, "replay-log")
-    for _ in range(2):  # the same records delivered twice (an at-least-once replay)
+    for _ in range(2):
         src.write.mode("append").partitionBy("topic", "partition").parquet(replay)
     s = read_topic(spark, replay, ALL_TOPICS, streaming=True,
                    options={"maxFilesPerTrigger": "8"})
@@ -708,7 +709,6 @@ def publish_readback(spark, sf_dir):
                     F.get_json_object(R.value_text(), "$.order_id").alias("order_id"))
 
 
-
 WINDOW_DELAY = "10 minutes"
 
 
@@ -729,7 +729,6 @@ def rate_window_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-
 @register("trace_link_stream", S.with_topic("""
 SELECT grp AS reader, md5(CAST(event_id AS VARCHAR)) AS trace_id,
        substr(sha256('consume:' || grp || ':' || md5(CAST(event_id AS VARCHAR)) || ':'
@@ -758,7 +757,6 @@ def trace_link_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-
 # ---------------------------------------------------------------- stored positions
 
 _POSITIONS: dict[tuple[str, str], str] = {}
