@@ -117,6 +117,18 @@ def lag_from_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
                     "log_end_offset", (F.col("log_end_offset") - cur).alias("lag"))
 
 
+def lag_from_ends(ends: DataFrame, positions: DataFrame, group: str) -> DataFrame:
+    """Lag of one reader from the log-ends side table (topic, partition, log_end_offset) and
+    its positions (topic, partition, committed): no scan of the log. Partitions the reader
+    has not read yet count from offset 0, where the file log begins."""
+    pos = positions.select("topic", "partition", "committed")
+    j = ends.join(pos, ["topic", "partition"], "left")
+    cur = F.coalesce(F.col("committed"), F.lit(0).cast("bigint"))
+    return j.select(F.lit(group).alias("group"), "topic", "partition",
+                    cur.alias("current_offset"), "log_end_offset",
+                    (F.col("log_end_offset") - cur).alias("lag"))
+
+
 def positions(consumed_records: DataFrame, by: Sequence[str] = ("group",)) -> DataFrame:
     """Committed position and next fetch per reader and partition: last offset read + 1."""
     return consumed_records.groupBy(*by, "topic", "partition").agg(

@@ -807,6 +807,30 @@ def read_from_positions(spark, sf_dir):
         "topic", "partition", "offset")
 
 
+
+@register("worker_lag", S.with_topic(f"""
+SELECT 'worker' AS "group", topic, partition,
+       count(*) FILTER (WHERE ts < TIMESTAMP '{RESUME_CUT}') AS current_offset,
+       count(*) AS log_end_offset,
+       count(*) FILTER (WHERE ts >= TIMESTAMP '{RESUME_CUT}') AS lag
+FROM rec GROUP BY topic, partition"""))
+def worker_lag(spark, sf_dir):
+    """Lag of a streaming worker from what it committed (its output) and the log-ends side
+    table: the worker drains the log, more records are published, and the lag is exactly
+    the new records — without scanning the log."""
+    from topicflow.operators.publish import publish, read_log_ends
+    recs = TT.events_records(spark, sf_dir)
+    cut = F.col("timestamp") < F.lit(RESUME_CUT).cast("timestamp")
+    root, out = scratch_dir(spark, "lag-log"), scratch_dir(spark, "lag-out")
+    publish(recs.where(cut), root, "event_id", batch=0)
+    s = read_topic(spark, root, ALL_TOPICS, streaming=True).select(
+        "topic", "partition", "offset", F.lit(None).cast("string").alias("reason"))
+    ST.await_all([ST.run_worker(s, lambda b: b, out, _ck(spark, "lag"))])
+    publish(recs.where(~cut), root, "event_id", ends=read_log_ends(spark, root, 0), batch=1)
+    done_pos = G.positions(spark.read.parquet(out), by=())
+    return G.lag_from_ends(read_log_ends(spark, root, 1), done_pos, "worker")
+
+
 def queries() -> dict[str, Plan]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
