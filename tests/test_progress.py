@@ -83,3 +83,10 @@ def test_range_row_number_with_hot_group_and_burst(spark):
               .where((F.col("group") == "hot") & (F.col("timestamp") == F.lit("2024-01-01").cast("timestamp")))
               .select(F.spark_partition_id().alias("p")).distinct().count())
     assert spread > 1
+
+
+def test_lag_from_ends(spark):
+    ends = spark.createDataFrame([("t", 0, 10), ("t", 1, 4)], "topic string, partition int, log_end_offset bigint")
+    pos = spark.createDataFrame([("t", 0, 7)], "topic string, partition int, committed bigint")
+    got = {r.partition: (r.current_offset, r.lag) for r in G.lag_from_ends(ends, pos, "w").collect()}
+    assert got == {0: (7, 3), 1: (0, 4)}

@@ -219,3 +219,24 @@ def test_publish_stream_crash_between_write_and_commit(spark, scratch, monkeypat
     log = read_topic(spark, root, "t")
     assert log.count() == 60
     assert all(r.dense and r.begin_offset == 0 for r in order_check(log).collect())
+
+
+def test_latest_start_on_the_file_log(spark, scratch):
+    """'latest' skips what the log held at the first start, reads what comes after, and after
+    a restart still reads records that arrived while the stream was down."""
+    root, out, ck = scratch("log"), scratch("out"), scratch("ck")
+    publish(_records(spark, 0, 20), root, "seq", batch=0)
+
+    def run():
+        s = read_topic(spark, root, "t", streaming=True, start="latest", checkpoint=ck)
+        ST.await_all([ST.copy_stream(s.select("topic", "partition", "offset",
+                                              F.col("key").cast("string").alias("k")), out, ck)])
+
+    run()
+    assert spark.read.parquet(out).count() == 0
+    publish(_records(spark, 20, 30), root, "seq", ends=read_log_ends(spark, root, 0), batch=1)
+    run()
+    publish(_records(spark, 30, 45), root, "seq", ends=read_log_ends(spark, root, 1), batch=2)
+    run()
+    got = sorted(int(r.k) for r in spark.read.parquet(out).collect())
+    assert got == list(range(20, 45))

@@ -831,6 +831,29 @@ def worker_lag(spark, sf_dir):
     return G.lag_from_ends(read_log_ends(spark, root, 1), done_pos, "worker")
 
 
+
+@register("stream_latest", S.with_topic(f"""
+SELECT topic, partition, "offset" FROM rec WHERE ts >= TIMESTAMP '{RESUME_CUT}'"""))
+def stream_latest(spark, sf_dir):
+    """A stream that starts at 'latest' on a log holding the first half of the events, then
+    runs again after the second half is published: it reads exactly the second half."""
+    from topicflow.operators.publish import publish, read_log_ends
+    recs = TT.events_records(spark, sf_dir)
+    cut = F.col("timestamp") < F.lit(RESUME_CUT).cast("timestamp")
+    root, out, ck = scratch_dir(spark, "latest-log"), scratch_dir(spark, "latest-out"), \
+        _ck(spark, "latest")
+
+    def run():
+        s = read_topic(spark, root, ALL_TOPICS, streaming=True, start=LATEST, checkpoint=ck)
+        ST.await_all([ST.copy_stream(s.select("topic", "partition", "offset"), out, ck)])
+
+    publish(recs.where(cut), root, "event_id", batch=0)
+    run()
+    publish(recs.where(~cut), root, "event_id", ends=read_log_ends(spark, root, 0), batch=1)
+    run()
+    return spark.read.parquet(out)
+
+
 def queries() -> dict[str, Plan]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

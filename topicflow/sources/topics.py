@@ -27,13 +27,15 @@ def _topics(topics: str | Sequence[str]) -> list[str]:
 
 def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str], *,
                fmt: str = "parquet", streaming: bool = False, start: str = EARLIEST,
-               options: dict | None = None) -> DataFrame:
+               options: dict | None = None, checkpoint: str | None = None) -> DataFrame:
     """Records of one or more topics (``"a,b"`` or a list) in the envelope schema.
 
     ``source`` is the log root for the file log, or the bootstrap servers for ``fmt="kafka"``.
     ``start`` applies when no position is known yet: ``earliest`` reads the whole log,
     ``latest`` only records that arrive after the first run (streams) — in batch it yields
-    the records past the current end, i.e. none. A stream's checkpoint overrides it on resume.
+    the records past the current end, i.e. none. A stream's checkpoint overrides it on resume;
+    a file-log stream starting at ``latest`` needs its ``checkpoint`` folder, where the log
+    ends seen at its first start are kept.
     Extra ``options`` pass through (bounded fetch: ``maxOffsetsPerTrigger``,
     ``maxFilesPerTrigger``, ``maxBytesPerTrigger``).
     """
@@ -50,9 +52,42 @@ def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str], *,
     df = df.where(F.col("topic").isin(names))
     if start == LATEST and not streaming:
         df = df.where(F.lit(False))
+    if start == LATEST and streaming:
+        if checkpoint is None:
+            raise ValueError("a file-log stream starting at 'latest' needs its checkpoint folder")
+        df = from_positions(df, first_start_positions(spark, source, checkpoint),
+                            column="log_end_offset")
     return df if streaming else widen(df)
 
 
+START_POSITIONS_DIR = "_tf_start_positions"
+
+
+def first_start_positions(spark: SparkSession, root: str, checkpoint: str) -> DataFrame:
+    """Log ends (topic, partition, log_end_offset) as of a stream's first start.
+
+    Saved beside the stream's checkpoint on the first start and read back on every restart,
+    so ``latest`` means "after the first start", as with a broker: records that arrive while
+    the stream is down are still read. Taken from the log-ends side table (no log scan).
+    """
+    from pyspark.errors import AnalysisException
+
+    path = f"{checkpoint.rstrip('/')}/{START_POSITIONS_DIR}"
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        pass
+    schema = "topic string, partition int, log_end_offset bigint"
+    try:
+        ends = (spark.read.parquet(f"{root.rstrip('/')}/_log_ends")
+                .groupBy("topic", "partition")
+                .agg(F.max("log_end_offset").alias("log_end_offset")))
+    except AnalysisException:  # empty log: everything is new
+        ends = spark.createDataFrame([], schema)
+    ends.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def kafka_source_options(servers: str, topics: Sequence[str], start: str = EARLIEST,
                          streaming: bool = False, extra: dict | None = None) -> dict:
     """Options for Spark's Kafka source: subscription, headers on, start rule.
