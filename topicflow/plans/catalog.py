@@ -664,9 +664,9 @@ FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
 def jsonl_lines(spark, sf_dir):
     lines = FI.read_jsonl(spark, TT.order_file_dir(spark, sf_dir))
     v = R.value_text()
-    return lines.select(F.get_json_object(v, "$.order_id").cast("bigint").alias("order_id"),
+    return lines.select(F.get_json_object(v, "$.order_id").try_cast("bigint").alias("order_id"),
                         F.get_json_object(v, "$.user").alias("user"),
-                        F.get_json_object(v, "$.total").cast("double").alias("total"))
+                        F.get_json_object(v, "$.total").try_cast("double").alias("total"))
 
 
 @register("order_file", """
@@ -693,9 +693,9 @@ def file_to_topic(spark, sf_dir):
     ST.await_all([q])
     back = read_topic(spark, root, TT.ORDERS_TOPIC)
     v = R.value_text()
-    return back.select(F.get_json_object(v, "$.order_id").cast("bigint").alias("order_id"),
+    return back.select(F.get_json_object(v, "$.order_id").try_cast("bigint").alias("order_id"),
                        F.get_json_object(v, "$.user").alias("user"),
-                       F.get_json_object(v, "$.total").cast("double").alias("total"))
+                       F.get_json_object(v, "$.total").try_cast("double").alias("total"))
 
 
 @register("publish_readback", S.with_orders("""

@@ -144,7 +144,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (o.join(it, "o_orderkey", "left")
          .join(c, o["o_custkey"] == c["c_custkey"], "left")
          .withColumn("chunk", F.coalesce(F.col("chunk"), F.lit(0).cast("bigint"))))
-    shape = F.substring("o_orderpriority", 1, 1).cast("int")
+    shape = F.substring("o_orderpriority", 1, 1).try_cast("int")
     first_sku = F.col("items")[0]["sku"]
     ts_z = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     ts_local = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
