@@ -90,3 +90,14 @@ def test_lag_from_ends(spark):
     pos = spark.createDataFrame([("t", 0, 7)], "topic string, partition int, committed bigint")
     got = {r.partition: (r.current_offset, r.lag) for r in G.lag_from_ends(ends, pos, "w").collect()}
     assert got == {0: (7, 3), 1: (0, 4)}
+
+
+def test_fan_out_only_subscribed_topics(spark):
+    recs = spark.createDataFrame([("a", 0, 0), ("b", 0, 0), ("zzz", 0, 0)],
+                                 "topic string, partition int, offset bigint") \
+        .withColumn("timestamp", F.lit("2024-01-02").cast("timestamp"))
+    groups = [G.Group("g1", ("a", "b"), "earliest"),
+              G.Group("g2", ("b",), "latest", joined_at="2024-01-01 00:00:00",
+                      consumed_until="2024-01-03 00:00:00")]
+    got = sorted((r.topic, r.group, r.started, r.consumed) for r in G.fan_out(recs, groups).collect())
+    assert got == [("a", "g1", True, False), ("b", "g1", True, False), ("b", "g2", True, True)]

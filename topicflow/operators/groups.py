@@ -36,19 +36,23 @@ def _ts(text: str | None) -> Column:
     return F.lit(None).cast("timestamp_ntz") if text is None else F.lit(text).cast("timestamp_ntz")
 
 
-def _group_array(groups: Sequence[Group]) -> Column:
-    """The group list as one literal array; one entry per (group, subscribed topic)."""
-    entries = [F.struct(F.lit(g.name).alias("group"), F.lit(t).alias("g_topic"),
-                        F.lit(g.start).alias("start"), _ts(g.joined_at).alias("joined_at"),
-                        _ts(g.consumed_until).alias("until"))
-               for g in groups for t in g.topics]
-    return F.array(*entries)
+def _subscriptions(groups: Sequence[Group]) -> Column:
+    """The group list as one literal map: topic → array of its subscribers' settings."""
+    entry = lambda g: F.struct(F.lit(g.name).alias("group"), F.lit(g.start).alias("start"),
+                               _ts(g.joined_at).alias("joined_at"),
+                               _ts(g.consumed_until).alias("until"))
+    topics = sorted({t for g in groups for t in g.topics})
+    pairs = []
+    for t in topics:
+        pairs += [F.lit(t), F.array(*[entry(g) for g in groups if t in g.topics])]
+    return F.create_map(*pairs)
 
 
 def fan_out(records: DataFrame, groups: Sequence[Group], ts: str = "timestamp") -> DataFrame:
     """Every record once per group subscribed to its topic, with ``group``, ``started``
-    (at or past the group's start) and ``consumed`` (started and committed) flags."""
-    mine = F.filter(_group_array(groups), lambda g: g["g_topic"] == F.col("topic"))
+    (at or past the group's start) and ``consumed`` (started and committed) flags. The
+    subscribers of a record's topic come from one map lookup, whatever the number of groups."""
+    mine = F.element_at(_subscriptions(groups), F.col("topic"))
     t = F.col(ts).cast("timestamp_ntz")
     return (records.withColumn("_tf_g", F.explode(mine))
             .withColumn("group", F.col("_tf_g.group"))
