@@ -126,8 +126,10 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *,
      .option("partitionOverwriteMode", "dynamic")
      .options(**{k: v for k, v in (options or {}).items() if not k.startswith("kafka.")})
      .partitionBy("topic", "partition", "batch").format(fmt).save(root))
-    # End offsets from what was written (read back by partition pruning, not recomputed).
-    written = spark.read.format(fmt).load(root).where(F.col("batch") == batch)
+    # End offsets from what was written, read back rather than recomputed. The glob lists
+    # only this batch's folders, not every file of the log.
+    written = (spark.read.format(fmt).option("basePath", root)
+               .load(f"{root.rstrip('/')}/topic=*/partition=*/batch={batch}"))
     new = log_ends(written)
     if ends is not None:
         new = (ends.select("topic", "partition", "log_end_offset").unionByName(new)
