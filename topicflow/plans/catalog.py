@@ -768,7 +768,7 @@ def stored_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     import os
     memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     path = _POSITIONS.get(memo)
-    if not path or not os.path.exists(path):
+    if not TT.still_there(path):
         path = scratch_dir(spark, "positions")
         G.positions(done(spark, sf_dir)).write.mode("overwrite").parquet(path)
         _POSITIONS[memo] = path

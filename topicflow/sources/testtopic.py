@@ -68,6 +68,16 @@ def events_topic(spark: SparkSession, sf_dir: str, keep_event_id: bool = False)
 _LOGS: dict[tuple[str, str], str] = {}
 
 
+def still_there(path: str | None) -> bool:
+    """A memoised folder is reused while it exists (local paths are checked; cluster paths,
+    written under the shared checkpoint folder, are trusted for the application's life)."""
+    if not path:
+        return False
+    if "://" in path and not path.startswith("file:"):
+        return True
+    return os.path.exists(path.removeprefix("file:"))
+
+
 def events_log(spark: SparkSession, sf_dir: str) -> str:
     """Root of a Parquet file log holding the events topic, written once per application.
 
@@ -80,7 +90,7 @@ def events_log(spark: SparkSession, sf_dir: str) -> str:
 
     memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     root = _LOGS.get(memo)
-    if root and os.path.exists(root):
+    if still_there(root):
         return root
     root = scratch_dir(spark, "events-log")
     publish(events_records(spark, sf_dir), root, "event_id")
@@ -195,7 +205,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> str:
 
     memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#orders")
     root = _LOGS.get(memo)
-    if root and os.path.exists(root):
+    if still_there(root):
         return root
     root = scratch_dir(spark, "orders-log")
     recs = assign_partition(order_records(spark, sf_dir), "key_text", PARTITIONS, seq="seq_no")
@@ -234,7 +244,7 @@ def order_file_dir(spark: SparkSession, sf_dir: str) -> str:
 
     memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#jsonl")
     root = _LOGS.get(memo)
-    if root and os.path.exists(root):
+    if still_there(root):
         return root
     root = scratch_dir(spark, "order-files")
     order_file_lines(spark, sf_dir).write.mode("overwrite").text(root + "/in")
