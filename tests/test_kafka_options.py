@@ -17,3 +17,8 @@ def test_sink_options_durable_by_default():
     o = kafka_sink_options("b:9092", {"kafka.linger.ms": "5"})
     assert o["kafka.acks"] == "all" and o["kafka.enable.idempotence"] == "true"
     assert o["kafka.linger.ms"] == "5" and o["kafka.bootstrap.servers"] == "b:9092"
+
+
+def test_pattern_subscription_option():
+    o = kafka_source_options("b:9092", [], pattern="demo\\..*", streaming=True)
+    assert o["subscribePattern"] == "demo\\..*" and "subscribe" not in o

@@ -240,3 +240,18 @@ def test_latest_start_on_the_file_log(spark, scratch):
     run()
     got = sorted(int(r.k) for r in spark.read.parquet(out).collect())
     assert got == list(range(20, 45))
+
+
+def test_topic_pattern_prunes_folders(spark, scratch):
+    root = scratch("log")
+    recs = _records(spark, 0, 30).withColumn(
+        "topic", F.when(F.col("seq") < 10, "demo.a").when(F.col("seq") < 20, "demo.b").otherwise("other"))
+    publish(recs, root, "seq")
+    df = read_topic(spark, root, pattern=r"^demo\.")
+    assert df.count() == 20
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    assert "PartitionFilters: [isnotnull(topic" in buf.getvalue() and "RLIKE" in buf.getvalue()

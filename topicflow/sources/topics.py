@@ -25,10 +25,12 @@ def _topics(topics: str | Sequence[str]) -> list[str]:
     return list(topics)
 
 
-def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str], *,
+def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str] | None = None, *,
                fmt: str = "parquet", streaming: bool = False, start: str = EARLIEST,
-               options: dict | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Records of one or more topics (``"a,b"`` or a list) in the envelope schema.
+               options: dict | None = None, checkpoint: str | None = None,
+               pattern: str | None = None) -> DataFrame:
+    """Records of one or more topics (``"a,b"`` or a list, or every topic whose name matches
+    the regular expression ``pattern``) in the envelope schema.
 
     ``source`` is the log root for the file log, or the bootstrap servers for ``fmt="kafka"``.
     ``start`` applies when no position is known yet: ``earliest`` reads the whole log,
@@ -39,17 +41,20 @@ def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str], *,
     Extra ``options`` pass through (bounded fetch: ``maxOffsetsPerTrigger``,
     ``maxFilesPerTrigger``, ``maxBytesPerTrigger``).
     """
-    names = _topics(topics)
+    if (topics is None) == (pattern is None):
+        raise ValueError("give either topics or a pattern")
+    names = _topics(topics) if topics is not None else []
     opts = dict(options or {})
     if fmt == "kafka":
         reader = spark.readStream if streaming else spark.read
         r = reader.format("kafka").options(**kafka_source_options(source, names, start,
-                                                                  streaming, opts))
+                                                                  streaming, opts, pattern))
         return r.load().select(*ENVELOPE_COLUMNS)
 
     reader = spark.readStream if streaming else spark.read
     df = reader.schema(ENVELOPE).options(**opts).parquet(source).select(*ENVELOPE_COLUMNS)
-    df = df.where(F.col("topic").isin(names))
+    # a filter on the topic directory column: whole folders are pruned
+    df = df.where(F.col("topic").isin(names) if pattern is None else F.col("topic").rlike(pattern))
     if start == LATEST and not streaming:
         df = df.where(F.lit(False))
     if start == LATEST and streaming:
@@ -89,7 +94,8 @@ def first_start_positions(spark: SparkSession, root: str, checkpoint: str) -> Da
 
 
 def kafka_source_options(servers: str, topics: Sequence[str], start: str = EARLIEST,
-                         streaming: bool = False, extra: dict | None = None) -> dict:
+                         streaming: bool = False, extra: dict | None = None,
+                         pattern: str | None = None) -> dict:
     """Options for Spark's Kafka source: subscription, headers on, start rule.
 
     A stream uses ``startingOffsets`` only on its first run (the checkpoint wins after);
@@ -97,8 +103,12 @@ def kafka_source_options(servers: str, topics: Sequence[str], start: str = EARLI
     start reads nothing. Bounded fetch: ``maxOffsetsPerTrigger``, ``kafka.fetch.max.bytes``,
     ``kafka.max.poll.records`` pass through in ``extra``.
     """
-    opts = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics),
-            "includeHeaders": "true", "startingOffsets": start}
+    opts = {"kafka.bootstrap.servers": servers, "includeHeaders": "true",
+            "startingOffsets": start}
+    if pattern is not None:
+        opts["subscribePattern"] = pattern
+    else:
+        opts["subscribe"] = ",".join(topics)
     if not streaming:
         opts["endingOffsets"] = LATEST
     opts.update(extra or {})
