@@ -19,7 +19,7 @@ from topicflow.operators import progress as P
 from topicflow.operators import tracing as TS
 from topicflow.operators.groups import Group
 from topicflow.plans import sql as S
-from topicflow.session import scratch_dir
+from topicflow.session import app_id, scratch_dir
 from topicflow.sources import files as FI
 from topicflow.sources import testtopic as TT
 from topicflow.sources.testtopic import events_topic
@@ -766,7 +766,7 @@ def stored_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The demo groups' committed positions, written once as a table (as a commit log would
     hold them) and read back."""
     import os
-    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    memo = (app_id(spark), os.path.abspath(sf_dir))
     path = _POSITIONS.get(memo)
     if not TT.still_there(path):
         path = scratch_dir(spark, "positions")

@@ -55,16 +55,33 @@ def configure(spark: SparkSession) -> SparkSession:
 _LOCAL_BASE: dict[str, str] = {}
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (used to memoise per-application outputs)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", "connect")
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The shared folder is read from ``spark.checkpoint.dir``; only when the session has none
     (local runs, tests) is a private one created and registered.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    base = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not base:
         try:
-            base = spark.conf.get("spark.checkpoint.dir")
+            base = spark.conf.get("spark.checkpoint.dir", None)
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             base = None
     if not base:
@@ -74,9 +91,10 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
         # registered as the context's checkpoint directory.
         base = tempfile.mkdtemp(prefix="topicflow-ckpt-")
         _LOCAL_BASE["dir"] = base
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     sub = f"{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
     path = base.rstrip("/") + "/" + sub
     if "://" not in path:

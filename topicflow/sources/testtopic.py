@@ -20,6 +20,7 @@ from topicflow.functions.partitioning import key_partition
 from topicflow.functions.records import make_headers
 from topicflow.functions.tracing import format_traceparent
 from topicflow.operators.publish import assign_offsets
+from topicflow.session import app_id
 
 # Fixed values of the test topic.
 TOPIC_PREFIX = "demo."
@@ -88,7 +89,7 @@ def events_log(spark: SparkSession, sf_dir: str) -> str:
     from topicflow.operators.publish import publish
     from topicflow.session import scratch_dir
 
-    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    memo = (app_id(spark), os.path.abspath(sf_dir))
     root = _LOGS.get(memo)
     if still_there(root):
         return root
@@ -203,7 +204,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> str:
     from topicflow.operators.publish import assign_partition, publish
     from topicflow.session import scratch_dir
 
-    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#orders")
+    memo = (app_id(spark), os.path.abspath(sf_dir) + "#orders")
     root = _LOGS.get(memo)
     if still_there(root):
         return root
@@ -242,7 +243,7 @@ def order_file_dir(spark: SparkSession, sf_dir: str) -> str:
     """Folder of JSON-lines order files derived from the driver tables (written once)."""
     from topicflow.session import scratch_dir
 
-    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#jsonl")
+    memo = (app_id(spark), os.path.abspath(sf_dir) + "#jsonl")
     root = _LOGS.get(memo)
     if still_there(root):
         return root
