@@ -113,6 +113,16 @@ def topic_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.topic_profile(log(spark, sf_dir))
 
 
+@register("topic_ends", S.with_topic("""
+SELECT topic, partition, min("offset") AS begin_offset, max("offset") + 1 AS end_offset,
+       count(*) AS records
+FROM rec GROUP BY topic, partition"""))
+def topic_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic profile from the log-ends side table written at publish time."""
+    from topicflow.operators.publish import read_log_ends
+    return G.profile_from_ends(read_log_ends(spark, TT.events_log(spark, sf_dir), 0))
+
+
 # ---------------------------------------------------------------- scans and start positions
 
 TRACEPARENT_SQL = ("'00-' || md5(CAST(event_id AS VARCHAR)) || '-' || "
