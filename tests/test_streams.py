@@ -255,3 +255,27 @@ def test_topic_pattern_prunes_folders(spark, scratch):
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
     assert "PartitionFilters: [isnotnull(topic" in buf.getvalue() and "RLIKE" in buf.getvalue()
+
+
+def test_positions_from_checkpoint(spark, scratch):
+    """Kafka-source offsets as Spark writes them (offsets/<n>, commits/<n>): the latest
+    committed batch gives the group's positions; a file-source checkpoint gives none."""
+    import os
+    ck = scratch("kafka-ck")
+    os.makedirs(f"{ck}/offsets"); os.makedirs(f"{ck}/commits")
+    meta = '{"batchWatermarkMs":0,"batchTimestampMs":1,"conf":{}}'
+    for n, offs in enumerate(['{"demo.orders":{"0":5,"1":3}}', '{"demo.orders":{"0":9,"1":4}}',
+                              '{"demo.orders":{"0":12,"1":8}}']):
+        with open(f"{ck}/offsets/{n}", "w") as f:
+            f.write(f"v1\n{meta}\n{offs}")
+    for n in (0, 1):  # batch 2 was planned but not committed
+        with open(f"{ck}/commits/{n}", "w") as f:
+            f.write('v1\n{"nextBatchWatermarkMs":0}')
+    got = {r.partition: r.committed for r in ST.positions_from_checkpoint(spark, ck).collect()}
+    assert got == {0: 9, 1: 4}
+
+    root, out, ck2 = scratch("log"), scratch("out"), scratch("ck")
+    publish(_records(spark, 0, 5), root, "seq")
+    ST.await_all([ST.copy_stream(read_topic(spark, root, "t", streaming=True)
+                                 .select("topic", "partition", "offset"), out, ck2)])
+    assert ST.positions_from_checkpoint(spark, ck2).count() == 0

@@ -136,6 +136,30 @@ def run_group_streams(streams: dict[str, DataFrame], output: str, checkpoint_roo
     return qs
 
 
+def positions_from_checkpoint(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Committed positions (topic, partition, committed) of a Kafka-reading stream, from its
+    checkpoint: the offsets of the latest batch that has a commit marker.
+
+    ``offsets/<n>`` holds a version line, a metadata line, then one JSON line per source; a
+    Kafka source's line maps topic → partition → next offset to read. Lines of other sources
+    do not have that shape and drop out. Read with Spark; nothing is listed by hand.
+    """
+    root = checkpoint.rstrip("/")
+    commits = spark.read.text(f"{root}/commits").select(
+        F.col("_metadata.file_name").try_cast("bigint").alias("batch"))
+    last = commits.agg(F.max("batch").alias("batch"))
+    lines = (spark.read.text(f"{root}/offsets")
+             .select(F.col("_metadata.file_name").try_cast("bigint").alias("batch"), "value")
+             .join(last, "batch"))
+    parsed = lines.select(F.from_json("value", "map<string,map<string,bigint>>").alias("m"))
+    return (parsed.where(F.col("m").isNotNull())
+            .select(F.explode("m").alias("topic", "parts"))
+            .select("topic", F.explode("parts").alias("partition", "committed"))
+            .select("topic", F.col("partition").try_cast("int").alias("partition"),
+                    "committed")
+            .where(F.col("partition").isNotNull() & F.col("committed").isNotNull()))
+
+
 def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
     for q in queries:
         q.awaitTermination(timeout_s)
