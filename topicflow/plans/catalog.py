@@ -468,28 +468,35 @@ def require_fields(spark, sf_dir):
     return rejects.select("topic", "partition", "offset", "reason")
 
 
-DEAD_LETTER_SQL = """
-SELECT topic, partition, "offset", reason FROM (
-  SELECT topic, partition, "offset",
-    CASE shape WHEN 1 THEN 'missing:order_id'
-               WHEN 2 THEN CASE WHEN first_sku IS NULL THEN 'missing:item' END
-               WHEN 5 THEN CASE WHEN c_name IS NULL THEN 'missing:user' ELSE 'missing:item' END
-               ELSE 'missing:user' END AS reason
-  FROM canon)
+# The orders worker's verdict on every order record (reason null when it can be processed).
+ORDER_REASONS_SQL = """
+SELECT topic, partition, "offset",
+  CASE shape WHEN 1 THEN 'missing:order_id'
+             WHEN 2 THEN CASE WHEN first_sku IS NULL THEN 'missing:item' END
+             WHEN 5 THEN CASE WHEN c_name IS NULL THEN 'missing:user' ELSE 'missing:item' END
+             ELSE 'missing:user' END AS reason
+FROM canon"""
+DEAD_LETTER_SQL = f"""
+SELECT topic, partition, "offset", reason FROM ({ORDER_REASONS_SQL})
 WHERE reason IS NOT NULL"""
 
 
-@register("dead_letter", S.with_orders(DEAD_LETTER_SQL))
-def dead_letter(spark, sf_dir):
+def _order_rejects(records: DataFrame) -> DataFrame:
+    """Records the orders worker cannot process (fields of the simple order shape missing),
+    with their position and reason."""
     from topicflow.schema import SIMPLE_ORDER
-    r = order_log(spark, sf_dir)
-    d = R.parse_once(r, ["topic", "partition", "offset"],
+    d = R.parse_once(records, ["topic", "partition", "offset"],
                      o=F.from_json(R.value_text(), SIMPLE_ORDER)).select(
         "topic", "partition", "offset", "o.*")
     _, rejects = O.require_fields(d, ["order_id", "user", "item", "quantity"])
     return rejects.select("topic", "partition", "offset", "reason")
 
 
+@register("dead_letter", S.with_orders(DEAD_LETTER_SQL))
+def dead_letter(spark, sf_dir):
+    return _order_rejects(order_log(spark, sf_dir))
+
+
 def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API order requests from line items: user = customer name, item = part, quantity."""
     li = TT.table(spark, sf_dir, "lineitem")
@@ -864,6 +871,24 @@ def stream_latest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+
+@register("trace_failures", S.with_orders("""
+SELECT 'orders-worker' AS reader, tid AS trace_id,
+       substr(sha256('consume:orders-worker:' || tid || ':' || CAST("offset" AS VARCHAR)), 1, 16)
+         AS span_id,
+       CAST(NULL AS VARCHAR) AS parent_span_id, 'kafka.consume' AS name, 'kafka' AS system,
+       topic AS destination, partition, "offset", reason AS exception
+FROM (SELECT *, md5(topic || ':' || CAST(partition AS VARCHAR) || ':' || CAST("offset" AS VARCHAR))
+             AS tid
+      FROM (""" + ORDER_REASONS_SQL + """))"""))
+def trace_failures(spark, sf_dir):
+    """The orders worker's consume spans with the failure of each rejected record recorded
+    on its span (the topic carries no trace headers, so every span is a root)."""
+    r = order_log(spark, sf_dir)
+    spans = TS.consume_spans(r.withColumn("group", F.lit("orders-worker")))
+    return TS.spans_with_failures(spans, _order_rejects(r))
+
+
 def queries() -> dict[str, Plan]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
