@@ -497,14 +497,15 @@ def dead_letter(spark, sf_dir):
     return _order_rejects(order_log(spark, sf_dir))
 
 
-def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_requests(spark: SparkSession, sf_dir: str, keep_identity: bool = False) -> DataFrame:
     """API order requests from line items: user = customer name, item = part, quantity."""
     li = TT.table(spark, sf_dir, "lineitem")
     o = TT.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = TT.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
          .join(c, F.col("o_custkey") == c["c_custkey"], "left"))
-    return j.select("l_orderkey", "l_linenumber", F.col("c_name").alias("user"),
+    extra = ["l_partkey", "l_suppkey"] if keep_identity else []
+    return j.select("l_orderkey", "l_linenumber", *extra, F.col("c_name").alias("user"),
                     F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("item"),
                     F.col("l_quantity").cast("bigint").alias("quantity"))
 
@@ -523,10 +524,19 @@ def validate_quantity(spark, sf_dir):
     return order_requests(spark, sf_dir).withColumn("reason", O.validation_reason())
 
 
-@register("shape_order", None)
+@register("shape_order", """
+SELECT sha256(concat_ws('|', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR),
+                        CAST(l.l_partkey AS VARCHAR), CAST(l.l_suppkey AS VARCHAR))) AS order_id,
+       c.c_name AS "user", 'part-' || CAST(l.l_partkey AS VARCHAR) AS item,
+       CAST(l.l_quantity AS BIGINT) AS quantity, c.c_name AS key_text
+FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
+LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+WHERE c.c_name IS NOT NULL AND CAST(l.l_quantity AS BIGINT) BETWEEN 1 AND 20""")
 def shape_order(spark, sf_dir):
-    ok, _ = O.validate_orders(order_requests(spark, sf_dir))
-    return O.shape_orders(ok)
+    """Valid requests shaped as API orders, with replay-stable ids (a hash of the request's
+    identity) instead of random UUIDs, so a recomputed task produces the same ids."""
+    ok, _ = O.validate_orders(order_requests(spark, sf_dir, keep_identity=True))
+    return O.shape_orders(ok, stable_id=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
 # ---------------------------------------------------------------- streams and files
