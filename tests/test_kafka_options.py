@@ -22,3 +22,10 @@ def test_sink_options_durable_by_default():
 def test_pattern_subscription_option():
     o = kafka_source_options("b:9092", [], pattern="demo\\..*", streaming=True)
     assert o["subscribePattern"] == "demo\\..*" and "subscribe" not in o
+
+
+def test_cluster_profile_settings():
+    from topicflow.session import CLUSTER_CONF, DEFAULT_CONF
+    assert CLUSTER_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+    assert CLUSTER_CONF["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert DEFAULT_CONF["spark.sql.adaptive.enabled"] == "true"
