@@ -29,3 +29,10 @@ def test_cluster_profile_settings():
     assert CLUSTER_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
     assert CLUSTER_CONF["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert DEFAULT_CONF["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_missing_connector_is_named(spark):
+    import pytest
+    from topicflow.sources.topics import read_topic
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_topic(spark, "localhost:9092", "demo.orders", fmt="kafka")

@@ -114,8 +114,10 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *,
     offsets itself.
     """
     if fmt == "kafka":
-        (records.select("topic", "key", "value", "headers", "partition")
-         .write.format("kafka").options(**kafka_sink_options(root, options)).save())
+        from topicflow.sources.topics import kafka_connector_hint
+        with kafka_connector_hint():
+            (records.select("topic", "key", "value", "headers", "partition")
+             .write.format("kafka").options(**kafka_sink_options(root, options)).save())
         return
     spark = records.sparkSession
     if ends is None and existing is not None:

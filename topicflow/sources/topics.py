@@ -7,6 +7,7 @@ file log laid out as ``<root>/topic=<name>/partition=<n>/``. In the file log ``t
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +50,8 @@ def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str] | N
         reader = spark.readStream if streaming else spark.read
         r = reader.format("kafka").options(**kafka_source_options(source, names, start,
                                                                   streaming, opts, pattern))
-        return r.load().select(*ENVELOPE_COLUMNS)
+        with kafka_connector_hint():
+            return r.load().select(*ENVELOPE_COLUMNS)
 
     reader = spark.readStream if streaming else spark.read
     df = reader.schema(ENVELOPE).options(**opts).parquet(source).select(*ENVELOPE_COLUMNS)
@@ -93,6 +95,21 @@ def first_start_positions(spark: SparkSession, root: str, checkpoint: str) -> Da
     return spark.read.parquet(path)
 
 
+@contextlib.contextmanager
+def kafka_connector_hint():
+    """Turn Spark's "data source not found" for ``kafka`` into a message naming the package."""
+    from pyspark.errors import AnalysisException
+    try:
+        yield
+    except AnalysisException as e:
+        if "kafka" in str(e).lower() and "find" in str(e).lower():
+            raise RuntimeError(
+                "Spark's Kafka connector is not on the classpath: start Spark with "
+                "--packages org.apache.spark:spark-sql-kafka-0-10_<scala>:<spark version>"
+            ) from e
+        raise
+
+
 def kafka_source_options(servers: str, topics: Sequence[str], start: str = EARLIEST,
                          streaming: bool = False, extra: dict | None = None,
                          pattern: str | None = None) -> dict:
