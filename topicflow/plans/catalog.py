@@ -671,7 +671,9 @@ def fan_out_stream(spark, sf_dir):
         streams[g.name] = s.select("topic", "partition", "offset")
     out = scratch_dir(spark, "fan-out")
     ST.await_all(ST.run_group_streams(streams, out, _ck(spark, "fan-out")))
-    return spark.read.parquet(out).select("group", "topic", "partition", "offset")
+    schema = next(iter(streams.values())).schema
+    return ST.read_group_outputs(spark, out, list(streams), schema).select(
+        "group", "topic", "partition", "offset")
 
 
 @register("topic_to_file", "SELECT props AS value FROM events")

@@ -127,11 +127,11 @@ def stream_window_counts(stream: DataFrame, size: str, by: Sequence[str] = ("top
 
 def run_group_streams(streams: dict[str, DataFrame], output: str, checkpoint_root: str, *,
                       trigger: str | None = "availableNow") -> list[StreamingQuery]:
-    """Fan-out: one query and one checkpoint per group, each writing its own folder."""
+    """Fan-out: one query and one checkpoint per group, each writing its own folder (read
+    them back with :func:`read_group_outputs`)."""
     qs = []
     for group, df in streams.items():
-        qs.append(copy_stream(df.withColumn("group", F.lit(group)),
-                              f"{output.rstrip('/')}/group={group}",
+        qs.append(copy_stream(df, f"{output.rstrip('/')}/group={group}",
                               f"{checkpoint_root.rstrip('/')}/{group}", trigger=trigger))
     return qs
 
@@ -160,6 +160,23 @@ def positions_from_checkpoint(spark: SparkSession, checkpoint: str) -> DataFrame
             .where(F.col("partition").isNotNull() & F.col("committed").isNotNull()))
 
 
+def read_group_outputs(spark: SparkSession, output: str, groups, schema=None) -> DataFrame:
+    """What each group's sink committed, as one frame with a ``group`` column.
+
+    Each sink folder is read by its own path: only then does Spark use the sink's commit log
+    and skip files of a batch that failed before committing. ``schema`` (the streams' schema)
+    lets a group that committed no rows read as empty.
+    """
+    def one(g):
+        r = spark.read.schema(schema) if schema is not None else spark.read
+        return r.parquet(f"{output.rstrip('/')}/group={g}").withColumn("group", F.lit(g))
+    frames = [one(g) for g in groups]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
     for q in queries:
         q.awaitTermination(timeout_s)
