@@ -47,7 +47,8 @@ def progress_points(consumed: DataFrame, every: int = PROGRESS_EVERY,
     """Every ``every``-th record of a reader, with its position and the rate so far
     (records ÷ seconds since the reader's first record)."""
     numbered = read_sequence(consumed, by, ts)
-    firsts = consumed.groupBy(*by).agg(F.min(ts).alias("_first"))
+    # one row per reader (bounded by the configured groups): broadcast
+    firsts = F.broadcast(consumed.groupBy(*by).agg(F.min(ts).alias("_first")))
     pts = numbered.where(F.col("n") % every == 0).join(firsts, list(by))
     secs = seconds_between("_first", ts)
     return pts.select(*by, "n", "topic", "partition", "offset",

@@ -51,7 +51,9 @@ def assign_offsets(df: DataFrame, order_key: str | Column, *,
     if log_end is None:
         start = F.lit(0).cast("bigint")
     else:
-        ends = log_end.select(*by, F.col("log_end_offset").alias("_tf_start"))
+        # one row per topic partition (bounded by the topics' configuration): broadcast, so
+        # the numbered rows are never shuffled by partition, where one may be hot
+        ends = F.broadcast(log_end.select(*by, F.col("log_end_offset").alias("_tf_start")))
         numbered = numbered.join(ends, on=list(by), how="left")
         start = F.coalesce(F.col("_tf_start"), F.lit(0)).cast("bigint")
     return (numbered.withColumn(out, (start + F.col("_tf_rn") - 1).cast("bigint"))
