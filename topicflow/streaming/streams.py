@@ -96,6 +96,9 @@ def publish_stream(stream: DataFrame, root: str, checkpoint: str, *, partitions:
             ends = log_ends(spark.read.schema(ENVELOPE).parquet(root))
         k = F.lit(None).cast("string") if key_text is None else (
             F.col(key_text) if isinstance(key_text, str) else key_text)
+        # The sequence is the row's place in the micro-batch scan (task index + position).
+        # A file source reads a batch's files in the same splits and order every time, so
+        # both branches of the numbering (and a replay) see the same sequence.
         recs = (batch.withColumn("partition", choose_partition(k, partitions))
                 .withColumn("_tf_seq", F.monotonically_increasing_id()))
         publish(recs, root, "_tf_seq", ends=ends, batch=batch_id)
