@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -96,35 +95,35 @@ def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", "connect")
 
 
-def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory.
+def _is_local(spark: SparkSession) -> bool:
+    sc = _context(spark)
+    return sc is not None and sc.master.split("[")[0] == "local"
+
+
+def checkpoint_base(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``, registered for ``checkpoint()``.
 
-    The shared folder is read from ``spark.checkpoint.dir``; only when the session has none
-    (local runs, tests) is a private one created and registered.
+    Only a session whose master is ``local`` may leave the setting out (tests): it then gets a
+    private folder. On a cluster a machine-local folder would lose data, so this raises.
     """
     sc = _context(spark)
     base = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not base:
-        try:
-            base = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - unset key raises on some versions
-            base = None
+        base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
         base = _LOCAL_BASE.get("dir")
     if not base:
-        # Only when no shared folder is configured (local runs, tests): a private one,
-        # registered as the context's checkpoint directory.
-        base = tempfile.mkdtemp(prefix="topicflow-ckpt-")
-        _LOCAL_BASE["dir"] = base
-        if sc is not None:
-            sc.setCheckpointDir(base)
-    elif sc is not None and sc.getCheckpointDir() is None:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _LOCAL_BASE["dir"] = tempfile.mkdtemp(prefix="topicflow-ckpt-")
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
-    sub = f"{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
-    path = base.rstrip("/") + "/" + sub
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return base.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
+    """A fresh folder under the cluster's shared checkpoint directory (made by its first writer)."""
+    return f"{checkpoint_base(spark)}/{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
 
 
 def widen(df):
