@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from topicflow.llm import decontaminate as decon
+from topicflow.llm import packing
 from topicflow.llm.common import table
 
 
@@ -23,7 +26,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of 2048, best fit decreasing."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_best_fit_packing": op5_best_fit_packing,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
