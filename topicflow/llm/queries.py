@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from topicflow.llm import decontaminate as decon
-from topicflow.llm import packing
+from topicflow.llm import packing, token_store
 from topicflow.llm.common import table
+from topicflow.session import scratch_dir
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
 
 
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids, written as Huffman blocks and read back."""
+    path = scratch_dir(spark, "token-store")
+    token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_store.read(spark, path, with_ids=False).withColumnRenamed("doc", "doc_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of 2048, best fit decreasing."""
     docs = table(spark, sf_dir, "documents")
@@ -34,6 +42,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_token_store": op3_token_store,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
