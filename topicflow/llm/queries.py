@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from topicflow.llm import decontaminate as decon
-from topicflow.llm import packing, token_store
+from topicflow.llm import packing, simhash, token_store
 from topicflow.llm.common import table
 from topicflow.session import scratch_dir
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints of 3-word shingles differ in at most 3 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents that lie in a window of ten benchmark words, by suffix arrays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,5 +51,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_store": op3_token_store,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
