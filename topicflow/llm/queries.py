@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from topicflow.llm import decontaminate as decon
-from topicflow.llm import packing, simhash, token_store
+from topicflow.llm import embedding_dedup, packing, simhash, token_store
 from topicflow.llm.common import table
 from topicflow.session import scratch_dir
 
@@ -22,6 +22,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label with a cosine of at least 0.93."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents that lie in a window of ten benchmark words, by suffix arrays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,5 +57,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_store": op3_token_store,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
