@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from topicflow.llm import decontaminate as decon
-from topicflow.llm import embedding_dedup, packing, simhash, token_store
+from topicflow.llm import embedding_dedup, license_scan, packing, simhash, token_store
 from topicflow.llm.common import table
 from topicflow.session import scratch_dir
 
@@ -27,6 +27,21 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents, by diagonal voting."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.phrase)
+    starts = F.transform(base, lambda s: s.first)
+
+    def labels(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s.label))), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"), "score")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents that lie in a window of ten benchmark words, by suffix arrays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,5 +73,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
+        "op9_license_scan": op9_license_scan,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
