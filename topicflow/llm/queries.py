@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from topicflow.llm import decontaminate as decon
-from topicflow.llm import embedding_dedup, license_scan, packing, simhash, token_store
+from topicflow.llm import embedding_dedup, license_scan, packing, secret_scan, simhash, token_store
 from topicflow.llm.common import table
 from topicflow.session import scratch_dir
 
@@ -54,6 +54,20 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents; a document is a repository, its source the owner."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s.kind < 3)
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
+        count(3).alias("n_owned"), "n_examples")
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written as Huffman blocks and read back."""
     path = scratch_dir(spark, "token-store")
@@ -69,6 +83,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op3_token_store": op3_token_store,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
