@@ -10,11 +10,20 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from topicflow.llm import decontaminate as decon
-from topicflow.llm import embedding_dedup, license_scan, packing, secret_scan, simhash, token_store
+from topicflow.llm import (
+    embedding_dedup, license_scan, line_dedup, packing, secret_scan, sharding, simhash, token_store,
+)
 from topicflow.llm.common import table
 from topicflow.session import scratch_dir
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt to shards of at most 16 MiB of text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("size"))
+    found = sharding.assign_shards(docs, "doc_id", F.col("size"), sharding.LIMIT)
+    return found.select("doc_id", "shard", "n_bytes", "shard_bytes")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints of 3-word shingles differ in at most 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -68,6 +77,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(3).alias("n_owned"), "n_examples")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of repeated three-line windows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, counts=("n_lines", "n_removed"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written as Huffman blocks and read back."""
     path = scratch_dir(spark, "token-store")
@@ -84,8 +99,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_line_dedup": op2_line_dedup,
         "op3_token_store": op3_token_store,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_sharding": op6_sharding,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_license_scan": op9_license_scan,

@@ -2,6 +2,75 @@
 
 from __future__ import annotations
 
+from topicflow.llm import sharding
+
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, u.ln, u.line, regexp_replace(u.line, '^[ \t\r\x0B\x0C]+|[ \t\r\x0B\x0C]+$', '', 'g') AS bare
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+       LATERAL (SELECT unnest(parts) AS line, generate_subscripts(parts, 1) AS ln) u),
+numbered AS (
+  SELECT *, count(*) FILTER (bare <> '') OVER (PARTITION BY doc_id ORDER BY ln) AS i FROM lines),
+windows AS (
+  SELECT doc_id, i, bare || chr(10) || lead(bare, 1) OVER w || chr(10) || lead(bare, 2) OVER w AS body
+  FROM numbered WHERE bare <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) AS occurrence
+  FROM windows WHERE body IS NOT NULL),
+covered AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM ranked, (SELECT unnest([0, 1, 2]) AS k) WHERE occurrence > 1)
+SELECT n.doc_id,
+       coalesce(string_agg(n.line, chr(10) ORDER BY n.ln) FILTER (c.i IS NULL), '') AS text,
+       CAST(count(*) FILTER (n.bare <> '') AS BIGINT) AS n_lines,
+       CAST(count(*) FILTER (n.bare <> '' AND c.i IS NOT NULL) AS BIGINT) AS n_removed
+FROM numbered n LEFT JOIN covered c ON n.doc_id = c.doc_id AND n.i = c.i
+GROUP BY n.doc_id"""
+
+SHARDING = """
+WITH rows_ AS (
+  SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h,
+         CAST(strlen(text) AS BIGINT) AS n_bytes FROM documents),
+levels AS (
+  SELECT doc_id, n_bytes, d, h >> (60 - d) AS p FROM rows_, (SELECT unnest(range(0, 25)) AS d)),
+buckets AS (SELECT d, p, sum(n_bytes) AS b, count(*) AS c FROM levels GROUP BY d, p),
+leaves AS (
+  SELECT l.doc_id, l.n_bytes, l.d, l.p, b.b,
+         row_number() OVER (PARTITION BY l.doc_id ORDER BY l.d) AS turn
+  FROM levels l JOIN buckets b USING (d, p) WHERE b.b <= {limit} OR b.c = 1)
+SELECT doc_id, CASE WHEN d = 0 THEN '' ELSE right(lpad(bin(p), 60, '0'), d) END AS shard, n_bytes,
+       CAST(b AS BIGINT) AS shard_bytes
+FROM leaves WHERE turn = 1"""
+
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS body
+  FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, size, u.i, array_to_string(w[u.i : u.i + size - 1], ' ') AS body
+  FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - size + 2)) AS i) u),
+found AS (
+  SELECT doc_id, i, x.size, item_id FROM doc_windows x JOIN item_windows y ON x.size = y.size AND x.body = y.body),
+hits AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, LATERAL (SELECT unnest(range(0, size)) AS k) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_line_dedup": LINE_DEDUP,
+        "op6_sharding": SHARDING.format(limit=sharding.LIMIT),
+        "op10_benchmark_decontamination": DECONTAMINATION,
+    }
