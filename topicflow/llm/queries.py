@@ -11,7 +11,7 @@ import public_tokenizers
 
 from topicflow.llm import decontaminate as decon
 from topicflow.llm import (
-    embedding_dedup, license_scan, line_dedup, packing, secret_scan, sharding, simhash, token_store,
+    embedding_dedup, license_scan, line_dedup, packing, quality_rules, secret_scan, sharding, simhash, token_store,
 )
 from topicflow.llm.common import table
 from topicflow.session import scratch_dir
@@ -90,6 +90,15 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, path, with_ids=False).withColumnRenamed("doc", "doc_id")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of all documents, by rules learnt from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_rules.score(docs, model)
+    return scored.select("doc_id", quality_rules.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= quality_rules.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of 2048, best fit decreasing."""
     docs = table(spark, sf_dir, "documents")
@@ -101,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op2_line_dedup": op2_line_dedup,
         "op3_token_store": op3_token_store,
+        "op4_quality_classifier": op4_quality_classifier,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_sharding": op6_sharding,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
