@@ -122,25 +122,22 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = 3, most: int = MO
             m = np.concatenate([np.zeros(len(pairs), np.int64), mask[long_]])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(m)], ["a", "b", "mask"])
 
-    spark = fingerprints.sparkSession
-    masks = [0]
-    todo = fingerprints.select("fp", F.lit(0).cast("long").alias("mask"))
+    first = F.array(*[F.lit(_signed(m)) for m in _submasks(0, max_bits)])
+    keyed = fingerprints.select("fp", F.explode(first).alias("mask"))
     links = None
     while True:
-        finer = {m: _submasks(m, max_bits) for m in masks}
-        table = spark.createDataFrame(  # a constant number of rows, whatever the data
-            [(_signed(m), [_signed(x) for x in sub]) for m, sub in finer.items()], "mask long, finer array<long>")
-        keyed = todo.join(F.broadcast(table), "mask").select("fp", F.explode("finer").alias("mask"))
-        keyed = keyed.withColumn("block", F.col("fp").bitwiseAND(F.col("mask"))).distinct() if links is not None \
-            else keyed.withColumn("block", F.col("fp").bitwiseAND(F.col("mask")))
+        keyed = keyed.withColumn("block", F.col("fp").bitwiseAND(F.col("mask")))
         sorted_ = keyed.repartition("mask", "block").sortWithinPartitions("mask", "block", "fp")
         found = materialize(sorted_.mapInArrow(link, "a long, b long, mask long"))
         new = found.where("mask = 0").select("a", "b")
         links = new if links is None else links.unionByName(new)
         todo = found.where("mask != 0").select(F.col("a").alias("fp"), "mask")
-        masks = [r.mask % (1 << 64) for r in todo.select("mask").distinct().collect()]  # of a constant number
+        masks = [r.mask % (1 << 64) for r in todo.select("mask").distinct().collect()]
         if not masks:
             return links.distinct()
+        table = fingerprints.sparkSession.createDataFrame(  # of 20 rows, then 400: whatever the data
+            [(_signed(m), [_signed(x) for x in _submasks(m, max_bits)]) for m in masks], "mask long, finer array<long>")
+        keyed = todo.join(F.broadcast(table), "mask").select("fp", F.explode("finer").alias("mask")).distinct()
 
 
 def components(fingerprints: DataFrame, id_col: str, max_bits: int = 3, most: int = MOST) -> DataFrame:
