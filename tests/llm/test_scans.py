@@ -1,0 +1,93 @@
+"""Secret scan (1), license scan (9), benchmark decontamination (10)."""
+
+import plain
+import pytest
+from pyspark.sql import functions as F
+
+from topicflow.llm import decontaminate, license_scan, queries, secret_scan
+
+
+def test_secrets_of_the_documents(spark, sf, documents):
+    got = queries.op1_secret_scan(spark, sf).drop("n_owned", "n_examples")
+    assert plain.rows_of(got) == sorted(plain.secrets(documents), key=repr)
+
+
+def test_secrets_of_awkward_rows(tables):
+    found = secret_scan.scan(tables[0])
+    spans = secret_scan.joined(F.col("spans"))
+    got = plain.rows_of(found.select("doc_id", spans.alias("spans")))
+    assert got == sorted(((r[0], r[5]) for r in plain.secrets(plain.awkward())), key=repr)
+    by_id = {r.doc_id: r for r in found.collect()}
+    assert by_id[18].n_examples == 1 and not by_id[18].spans  # three owners: a widely copied example
+    assert [s.kind for s in by_id[17].spans] == [3]           # one owner
+    assert secret_scan.scan(tables[1]).count() == 0
+
+
+def test_secret_scan_runs_no_python(spark, sf):
+    plan = queries.op1_secret_scan(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_licenses_of_the_documents(spark, sf, documents):
+    got = queries.op9_license_scan(spark, sf)
+    want = plain.license_base([d[:2] for d in documents], license_scan.PHRASES)
+    assert plain.rows_of(got.drop("labels", "score")) == sorted(want, key=repr)
+    for r in got.collect():
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_licenses_of_awkward_rows(spark, tables):
+    found = license_scan.scan(tables[0])
+    base = F.filter("spans", lambda s: s.phrase)
+    got = plain.rows_of(found.select("doc_id", "n_words", F.size(base).alias("n")))
+    want = plain.license_base([r[:2] for r in plain.awkward()], license_scan.PHRASES)
+    assert got == sorted((w[:3] for w in want), key=repr)
+    assert license_scan.scan(tables[1]).count() == 0
+
+
+def test_license_spans_bear_added_and_missing_words(spark):
+    notice = license_scan.TEMPLATES["bsd"][0]
+    words = notice.split()
+    edited = words[:6] + ["really"] + words[6:12] + words[13:]
+    texts = [notice, " ".join(edited), " ".join(words[:8]), notice + " x " * 40 + notice]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [s.label for s in r.spans] for r in license_scan.scan(docs).collect()}
+    assert spans == {0: ["bsd"], 1: ["bsd"], 2: [], 3: ["bsd", "bsd"]}
+
+
+ITEMS = [(1, " ".join(f"item{i}" for i in range(14))), (2, "item0 item1"), (3, plain.SENTENCE), (3, plain.SENTENCE),
+         (4, ""), (5, None), (None, "no id here")]
+
+
+def digest(found):
+    ids = F.array_sort(F.array_compact("found.items"))
+    n = F.aggregate("found.hits", F.lit(0).cast("long"), lambda a, h: a + h.end - h.first)
+    return found.select("doc_id", "found.n_words", n.alias("n"), F.size("found.items").alias("items"),
+                        F.sha2(F.array_join(ids, ","), 256).alias("hash"), (n > 0).alias("hit"))
+
+
+@pytest.mark.parametrize("options", [{}, {"shard_words": 40}, {"block_words": 10}])
+def test_benchmark_windows_of_awkward_rows(spark, tables, options):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = tables[0].drop("found")
+    got = plain.rows_of(digest(decontaminate.find_matches(docs, items, **options)))
+    want = plain.decontaminated([r[:2] for r in plain.awkward()], ITEMS)
+    assert got == sorted(want, key=repr)
+    kept = decontaminate.decontaminate(tables[0], items, **options)
+    assert kept.columns == tables[0].columns
+    assert plain.rows_of(kept.select("doc_id")) == sorted(((w[0],) for w in want if not w[5]), key=repr)
+
+
+def test_benchmark_matches_are_the_longest(spark):
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(30)))], "item_id long, text string")
+    text = "a b " + " ".join(f"w{i}" for i in range(5, 25)) + " c " + " ".join(f"w{i}" for i in range(9))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = decontaminate.find_matches(docs, items).first().found
+    assert [tuple(m) for m in found.matches] == [("1", 5, 2, 20)] and [tuple(h) for h in found.hits] == [(2, 22)]
+
+
+def test_benchmark_empty_tables(spark, tables):
+    none = spark.createDataFrame([], "item_id long, text string")
+    items = spark.createDataFrame(ITEMS, none.schema)
+    assert decontaminate.decontaminate(tables[1], items).count() == 0
+    assert decontaminate.decontaminate(tables[0], none).count() == tables[0].count()
