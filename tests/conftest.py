@@ -20,4 +20,9 @@ def spark():
 @pytest.fixture
 def scratch(spark):
     from topicflow.session import scratch_dir
-    return lambda name="t": scratch_dir(spark, name)
+
+    def folder(name="t"):
+        path = scratch_dir(spark, name).removeprefix("file:")
+        os.makedirs(path)  # tests also write files there themselves
+        return path
+    return folder

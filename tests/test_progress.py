@@ -7,28 +7,34 @@ from pyspark.sql import functions as F
 
 from topicflow.operators import groups as G
 from topicflow.operators import progress as P
-from topicflow.operators.publish import assign_offsets, assign_partition, log_ends
-from topicflow.operators.ranking import bucketed_row_number
+from topicflow.operators.publish import assign_offsets, assign_partition
+from topicflow.operators.ranking import range_row_number
 
 
-def test_bucketed_row_number_equals_row_number(spark):
+def test_numbering_of_sparse_and_repeated_keys(spark):
+    """Hashed keys, and one key on half of the rows: numbers are dense in key order and the rows are spread."""
     rnd = random.Random(7)
-    # a skewed group (a third of the rows in "hot") and tiny buckets force many buckets
-    rows = [("hot" if i % 3 == 0 else f"g{i % 11}", rnd.randrange(0, 10_000)) for i in range(3000)]
-    rows = [(g, k * 3000 + i) for i, (g, k) in enumerate(rows)]  # unique keys
-    df = spark.createDataFrame(rows, "g string, k bigint")
-    got = bucketed_row_number(df, ["g"], "k", width=1 << 12, out="n")
-    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("k")))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    rows = [("hot" if i % 3 else f"g{i % 11}", 5 if i % 2 else rnd.randrange(-2**62, 2**62), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, k bigint, i int").repartition(8)
+    got = range_row_number(df, ["g"], ["k"], out="n").collect()
+    assert sorted((r.g, r.k, r.i) for r in got) == sorted(rows)
+    for g in {r.g for r in got}:
+        own = sorted((r.n, r.k) for r in got if r.g == g)
+        assert [n for n, _ in own] == list(range(1, len(own) + 1)) and [k for _, k in own] == sorted(k for _, k in own)
+    from topicflow.operators.ranking import place_rows
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would join so few rows again
+    try:
+        same = place_rows(df, ["g"], ["k"]).where("g = 'hot' and k = 5")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert same.select("_tf_pid").distinct().count() > 1
 
 
 def test_offsets_dense_and_continue_existing_log(spark):
     df = spark.range(0, 500).select(F.col("id").alias("seq"), F.lit("t").alias("topic"),
                                     (F.col("id") % 7).cast("string").alias("k"))
     df = assign_partition(df, "k", 3)
-    first = assign_offsets(df.where("seq < 200"), "seq", width=16)
-    second = assign_offsets(df.where("seq >= 200"), "seq", log_end=log_ends(first), width=16)
-    both = first.unionByName(second)
+    both = assign_offsets(df, "seq")
     chk = P.order_check(both).collect()
     assert all(r.dense and r.begin_offset == 0 for r in chk)
     # the same key always lands in the same partition
@@ -39,12 +45,41 @@ def test_positions_after_two_records(spark):
     df = spark.createDataFrame([("g", "t", 0, 0), ("g", "t", 0, 1)],
                                "group string, topic string, partition int, offset bigint")
     r = G.positions(df).first()
-    assert (r.committed, r.next_fetch) == (2, 2)
+    assert r.committed == 2
+
+
+def test_next_fetch_runs_ahead_of_the_commit(spark):
+    df = spark.createDataFrame([("t", 0, i, f"2024-01-0{i + 1} 12:00:00") for i in range(6)] + [("t", 0, 6, None)],
+                               "topic string, partition int, offset bigint, at string") \
+        .withColumn("timestamp", F.col("at").cast("timestamp"))
+    groups = [G.Group("g", ("t",), "latest", joined_at="2024-01-02 00:00:00", consumed_until="2024-01-03 00:00:00",
+                      fetched_until="2024-01-05 00:00:00"),
+              G.Group("e", ("t",), "earliest"), G.Group("n", ("t",), "latest")]
+    got = {r.group: (r.start_offset, r.committed, r.next_fetch, r.has_committed)
+           for r in G.group_positions(df, groups).collect()}
+    assert got == {"g": (1, 2, 4, True), "e": (0, 0, 0, False), "n": (7, 7, 7, False)}
+
+
+def test_summaries_equal_the_fan_out(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice("abc"), rnd.randrange(3), i, f"2024-01-{rnd.randrange(1, 29):02d} 0{rnd.randrange(10)}:00:00")
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, at string") \
+        .withColumn("timestamp", F.col("at").cast("timestamp")).drop("at")
+    groups = [G.Group("x", ("a", "b"), "earliest", consumed_until="2024-01-20 00:00:00"),
+              G.Group("y", ("b", "c"), "latest", joined_at="2024-01-05 00:00:00", consumed_until="2024-01-15 00:00:00")]
+    for flag in ("started", "consumed"):
+        whole = G.fan_out(df, groups).where(flag).groupBy("group", "topic", "partition").agg(
+            F.count("*"), F.min("offset"), F.max("offset"), F.min("timestamp"), F.max("timestamp"))
+        small = G.fan_out_summary(G.interval_summary(df, groups), groups).where(flag).groupBy(
+            "group", "topic", "partition").agg(F.sum("records"), F.min("first_offset"), F.max("last_offset"),
+                                               F.min("first_ts"), F.max("last_ts"))
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, small.collect()))
 
 
 def test_rate_zero_span_is_count(spark):
-    df = spark.createDataFrame([("g", 1)] * 4, "group string, x int").withColumn(
-        "timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    df = spark.createDataFrame([("g", 4)], "group string, records bigint").withColumns({"first_ts": at, "last_ts": at})
     r = P.throughput(df).first()
     assert r.seconds == 0 and r.rate == 4.0
 
@@ -55,18 +90,16 @@ def test_every_nth_offset(spark):
 
 
 def test_lag_from_positions(spark):
-    log = spark.createDataFrame([("t", p, o) for p in (0, 1) for o in range(5)],
-                                "topic string, partition int, offset bigint")
+    log = spark.createDataFrame([("t", 0, 0, 5), ("t", 1, 1, 5)],
+                                "topic string, partition int, log_begin_offset bigint, log_end_offset bigint")
     pos = spark.createDataFrame([("g", "t", 0, 3)], "group string, topic string, partition int, committed bigint")
     got = {(r.partition): (r.current_offset, r.lag) for r in G.lag_from_positions(log, pos).collect()}
-    assert got == {0: (3, 2), 1: (0, 5)}
+    assert got == {0: (3, 2), 1: (1, 4)}
 
 
 def test_range_row_number_with_hot_group_and_burst(spark):
     """A third of the rows in one reader, most of them at the same instant: numbering is
     exact and the burst is spread over several tasks."""
-    from topicflow.operators.ranking import range_row_number
-
     rows = []
     for i in range(3000):
         g = "hot" if i % 3 == 0 else f"g{i % 7}"
@@ -75,7 +108,7 @@ def test_range_row_number_with_hot_group_and_burst(spark):
     df = spark.createDataFrame(rows, "group string, ts string, topic string, partition int, offset bigint") \
         .withColumn("timestamp", F.col("ts").cast("timestamp")).drop("ts")
     order = ["timestamp", "topic", "partition", "offset"]
-    got = range_row_number(df, ["group"], order, num_partitions=8, out="n")
+    got = range_row_number(df, ["group"], order, out="n")
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("group").orderBy(*order)).cast("bigint"))
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     assert want.select(*got.columns).exceptAll(got).count() == 0
@@ -86,7 +119,8 @@ def test_range_row_number_with_hot_group_and_burst(spark):
 
 
 def test_lag_from_ends(spark):
-    ends = spark.createDataFrame([("t", 0, 10), ("t", 1, 4)], "topic string, partition int, log_end_offset bigint")
+    ends = spark.createDataFrame([("t", 0, 0, 10), ("t", 1, 0, 4)],
+                                 "topic string, partition int, log_begin_offset bigint, log_end_offset bigint")
     pos = spark.createDataFrame([("t", 0, 7)], "topic string, partition int, committed bigint")
     got = {r.partition: (r.current_offset, r.lag) for r in G.lag_from_ends(ends, pos, "w").collect()}
     assert got == {0: (7, 3), 1: (0, 4)}

@@ -1,8 +1,10 @@
 """Streaming: resume from the checkpoint, exactly-once batch output, dedup, JSON lines."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from topicflow.operators.publish import assign_partition, publish, read_log_ends
+from topicflow.operators.progress import order_check, rate_window
+from topicflow.operators.publish import assign_partition, delivery_report, forget_old_ends, publish, read_log_ends
 from topicflow.schema import ENVELOPE
 from topicflow.sources.files import read_jsonl
 from topicflow.sources.topics import read_topic
@@ -21,7 +23,7 @@ def _records(spark, lo, hi):
 
 def test_resume_reads_nothing_twice(spark, scratch):
     root, out, ck = scratch("log"), scratch("out"), scratch("ck")
-    publish(_records(spark, 0, 50), root, "seq", batch=0)
+    publish(_records(spark, 0, 50), root, "seq")
 
     def run():
         s = read_topic(spark, root, "t", streaming=True).select(
@@ -30,8 +32,7 @@ def test_resume_reads_nothing_twice(spark, scratch):
 
     run()
     run()  # nothing new: no batch, no duplicate
-    publish(_records(spark, 50, 80), root, "seq", existing=spark.read.schema(ENVELOPE).parquet(root),
-            batch=1)
+    publish(_records(spark, 50, 80), root, "seq")
     run()
     got = ST.read_outcome(spark, out)
     assert got.count() == 80
@@ -63,22 +64,10 @@ def test_worker_keeps_rejects(spark, scratch):
     assert ST.read_outcome(spark, out, ST.REJECTED).count() == 4
 
 
-def test_dedup_drops_replayed_copies(spark, scratch):
-    root, out, ck = scratch("log"), scratch("out"), scratch("ck")
-    publish(_records(spark, 0, 30), root, "seq")
-    replay = scratch("replay")
-    src = spark.read.schema(ENVELOPE).parquet(root)
-    for _ in range(2):
-        src.write.mode("append").partitionBy("topic", "partition").parquet(replay)
-    s = read_topic(spark, replay, "t", streaming=True, options={"maxFilesPerTrigger": "1"})
-    ST.await_all([ST.copy_stream(ST.dedup_stream(s).select("topic", "partition", "offset"), out, ck)])
-    assert spark.read.parquet(out).count() == 30
-
-
 def test_jsonl_blank_and_padded_lines(spark, scratch):
     d = scratch("jsonl")
     with open(f"{d}/a.jsonl", "w") as f:
-        f.write('{"order_id": 1}\n\n   \n  {"order_id": 2}  \n')
+        f.write('{"order_id": 1}\n\n   \n \t\n\t {"order_id": 2} \t\n')
     got = [bytes(r.value).decode() for r in read_jsonl(spark, d).collect()]
     assert got == ['{"order_id": 1}', '{"order_id": 2}']
 
@@ -90,8 +79,7 @@ def test_bounded_fetch_progress_and_stop(spark, scratch):
 
     root, out, ck = scratch("log"), scratch("out"), scratch("ck")
     for lo in range(0, 40, 10):  # four appends → several files
-        existing = spark.read.schema(ENVELOPE).parquet(root) if lo else None
-        publish(_records(spark, lo, lo + 10), root, "seq", existing=existing, batch=lo // 10)
+        publish(_records(spark, lo, lo + 10), root, "seq")
     listener = ST.ProgressLog()
     spark.streams.addListener(listener)
     try:
@@ -123,26 +111,123 @@ def test_bounded_fetch_progress_and_stop(spark, scratch):
         q.stop()
     finally:
         spark.streams.removeListener(idle)
-    publish(_records(spark, 40, 50), root, "seq", ends=read_log_ends(spark, root, 3), batch=4)
+    publish(_records(spark, 40, 50), root, "seq")
     ST.await_all([ST.copy_stream(read_topic(spark, root, "t", streaming=True)
                                  .select("topic", "partition", "offset"), out2, ck2)])
     got = spark.read.parquet(out2)
     assert got.count() == 50 and got.distinct().count() == 50
 
 
-def test_republishing_a_batch_does_not_duplicate(spark, scratch):
-    """A publish re-run with the same batch number (after a failure) replaces its files,
-    and the saved log ends let the next batch continue without scanning the log."""
+def test_republishing_an_id_does_not_duplicate(spark, scratch):
+    """A publish re-run under its id (after a failure) replaces its files; one without an id appends."""
     root = scratch("log")
-    publish(_records(spark, 0, 20), root, "seq", batch=0)
-    publish(_records(spark, 0, 20), root, "seq", batch=0)  # the same batch again
-    publish(_records(spark, 20, 30), root, "seq", ends=read_log_ends(spark, root, 0), batch=1)
+    publish(_records(spark, 0, 20), root, "seq", publish_id="a")
+    publish(_records(spark, 0, 20), root, "seq", publish_id="a")
+    report = publish(_records(spark, 20, 30), root, "seq")
     log = read_topic(spark, root, "t")
-    assert log.count() == 30
-    from topicflow.operators.progress import order_check
+    assert log.count() == 30 and report.where("status = 'delivered'").count() == 10
     assert all(r.dense and r.begin_offset == 0 for r in order_check(log).collect())
-    ends = {r.partition: r.log_end_offset for r in read_log_ends(spark, root, 1).collect()}
-    assert sum(ends.values()) == 30
+    assert sum(r.log_end_offset for r in read_log_ends(spark, root).collect()) == 30
+    publish(_records(spark, 0, 20), root, "seq")
+    publish(_records(spark, 0, 20), root, "seq")
+    assert read_topic(spark, root, "t").count() == 70
+    assert all(r.dense for r in order_check(read_topic(spark, root, "t")).collect())
+    forget_old_ends(spark, root, keep=2)
+    publish(_records(spark, 0, 5), root, "seq")
+    assert sum(r.log_end_offset for r in read_log_ends(spark, root).collect()) == 75
+
+
+def test_publish_numbers_null_and_repeated_keys_and_reports_failures(spark, scratch):
+    root = scratch("log")
+    recs = _records(spark, 0, 40).withColumns({
+        "seq": F.when(F.col("seq") % 2 == 0, F.lit(7)).otherwise(F.when(F.col("seq") > 20, F.xxhash64("seq"))),
+        "topic": F.when(F.col("key").cast("string") == "3", F.lit(None)).otherwise(F.col("topic")),
+        "partition": F.when(F.col("key").cast("string") == "4", F.lit(None)).otherwise(F.col("partition"))})
+    rows = delivery_report(publish(recs, root, "seq"), "key").collect()
+    failed = {bytes(r.key).decode(): r.error for r in rows if r.status == "failed"}
+    assert len(rows) == 40 and failed == {"3": "missing:topic", "4": "missing:partition"}
+    log = read_topic(spark, root, "t")
+    assert log.count() == 38 and all(r.dense for r in order_check(log).collect())
+    kept = spark.read.parquet(f"{root}/_rejects").collect()
+    assert sorted((bytes(r.key).decode(), r.error) for r in kept) == sorted(failed.items())
+
+
+def test_publish_stream_appends_and_passes_blank_files(spark, scratch):
+    """A new stream on a filled log keeps what is there; a blank file is an empty micro-batch."""
+    d, root = scratch("in"), scratch("log")
+    publish(_records(spark, 0, 20), root, "seq")
+    for i, text in enumerate(('{"n": 1}\n{"n": 2}\n', " \n\t\n", '{"n": 3}\n')):
+        with open(f"{d}/f{i}.jsonl", "w") as f:
+            f.write(text)
+    src = read_jsonl(spark, d, streaming=True, options={"maxFilesPerTrigger": "1"})
+    ck = scratch("ck")
+    for _ in range(2):
+        ST.await_all([ST.publish_stream(src.withColumn("topic", F.lit("t")).drop("file"), root, ck, partitions=2)])
+    log = read_topic(spark, root, "t")
+    assert log.count() == 23 and all(r.dense for r in order_check(log).collect())
+    empty = scratch("none")
+    publish(_records(spark, 0, 0), empty, "seq")
+    assert read_log_ends(spark, empty).count() == 0
+
+
+def _two_months(spark, scratch):
+    """A log of four publishes, newest first, over more than 60 days."""
+    root = scratch("log")
+    for lo in (30, 20, 10, 0):
+        recs = _records(spark, lo, lo + 10).withColumn(
+            "timestamp", F.timestamp_add("DAY", (F.col("seq") * 2).cast("int"), F.lit("2024-01-01").cast("timestamp")))
+        publish(recs, root, "seq")
+    return root
+
+
+def test_streams_do_not_depend_on_micro_batches(spark, scratch):
+    root = _two_months(spark, scratch)
+    replay, out = scratch("replay"), scratch("out")
+    src = spark.read.schema(ENVELOPE).parquet(root)
+    for _ in range(2):
+        src.write.mode("append").partitionBy("topic", "partition").parquet(replay)
+    one = {"maxFilesPerTrigger": "1"}
+    s = read_topic(spark, replay, "t", streaming=True, options=one).select("topic", "partition", "offset", "timestamp")
+    ST.await_all([ST.dedup_stream(s, f"{out}/dedup", scratch("ck"))])
+    got = spark.read.parquet(f"{out}/dedup")
+    assert got.count() == 40 and got.select("topic", "partition", "offset").distinct().count() == 40
+    s = read_topic(spark, root, "t", streaming=True, options=one)
+    ST.await_all([ST.window_counts(s, f"{out}/windows", scratch("ck"), "3 days")])
+    want = rate_window(src, "3 days").select("topic", "window_start", "window_end", "records")
+    got = ST.read_window_counts(spark, f"{out}/windows").select(*want.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_late_rows_and_timeouts_are_errors(spark, scratch):
+    root = _two_months(spark, scratch)
+    s = read_topic(spark, root, "t", streaming=True, options={"maxFilesPerTrigger": "1"})
+    counts = s.withWatermark("timestamp", "1 day").groupBy(F.window("timestamp", "1 day")).count().select("count")
+    with pytest.raises(RuntimeError, match="behind its watermark"):
+        ST.await_all([ST.copy_stream(counts, scratch("out"), scratch("ck"))])
+    q = ST.copy_stream(s.select("offset"), scratch("out"), scratch("ck"), trigger="1 hour")
+    try:
+        with pytest.raises(TimeoutError):
+            ST.await_all([q], timeout_s=0.5)
+    finally:
+        q.stop()
+
+
+def test_outcome_of_a_worker_that_met_no_record(spark, scratch):
+    assert ST.read_outcome(spark, f"{scratch('out')}/none", schema="offset bigint").count() == 0
+    with pytest.raises(ValueError):
+        ST.read_outcome(spark, f"{scratch('out')}/none")
+
+
+def test_checkpoint_folder_must_be_shared_off_local_masters(spark, monkeypatch):
+    from topicflow import session
+    monkeypatch.setattr(session, "_LOCAL_BASE", {})
+    monkeypatch.setattr(session, "_is_local", lambda spark: False)
+
+    class Bare:
+        sparkContext = None
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Bare())
 
 
 def test_publish_stream_continues_offsets(spark, scratch):
@@ -158,31 +243,27 @@ def test_publish_stream_continues_offsets(spark, scratch):
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     log = read_topic(spark, root, "t")
     assert log.count() == 75
-    from topicflow.operators.progress import order_check
     assert all(r.dense and r.begin_offset == 0 for r in order_check(log).collect())
 
 
-def _crash_once_after(real, crash_batch):
-    """Wrap a batch writer: the first time ``crash_batch`` is written, fail right after the
+def _crash_once_after(real, is_batch):
+    """Wrap a batch writer: the first time it has written the batch in question, fail right after the
     write, as a driver crash between writing and committing would."""
     state = {"crashed": False}
 
     def wrapper(*args, **kwargs):
         real(*args, **kwargs)
-        batch = kwargs.get("batch", args[2] if len(args) > 2 else None)
-        if batch == crash_batch and not state["crashed"]:
+        if is_batch(args, kwargs) and not state["crashed"]:
             state["crashed"] = True
             raise RuntimeError("simulated crash after write, before commit")
     return wrapper
 
 
 def test_worker_crash_between_write_and_commit(spark, scratch, monkeypatch):
-    import pytest
     root, out, ck = scratch("log"), scratch("out"), scratch("ck")
-    for b, lo in enumerate(range(0, 40, 10)):
-        publish(_records(spark, lo, lo + 10), root, "seq", batch=b,
-                ends=read_log_ends(spark, root, b - 1) if b else None)
-    monkeypatch.setattr(ST, "write_batch", _crash_once_after(ST.write_batch, 1))
+    for lo in range(0, 40, 10):
+        publish(_records(spark, lo, lo + 10), root, "seq")
+    monkeypatch.setattr(ST, "write_batch", _crash_once_after(ST.write_batch, lambda a, k: a[2] == 1))
 
     def start():
         s = read_topic(spark, root, "t", streaming=True, options={"maxFilesPerTrigger": "2"})
@@ -198,15 +279,13 @@ def test_worker_crash_between_write_and_commit(spark, scratch, monkeypatch):
 
 
 def test_publish_stream_crash_between_write_and_commit(spark, scratch, monkeypatch):
-    import pytest
     from topicflow.operators import publish as PUB
-    from topicflow.operators.progress import order_check
 
     d, root, ck = scratch("in"), scratch("log"), scratch("ck")
     for i in range(3):
         with open(f"{d}/f{i}.jsonl", "w") as f:
             f.write("\n".join(f'{{"n": {i * 100 + j}}}' for j in range(20)) + "\n")
-    monkeypatch.setattr(PUB, "publish", _crash_once_after(PUB.publish, 1))
+    monkeypatch.setattr(PUB, "publish", _crash_once_after(PUB.publish, lambda a, k: k["publish_id"].endswith("-1")))
 
     def start():
         src = read_jsonl(spark, d, streaming=True, options={"maxFilesPerTrigger": "1"})
@@ -225,7 +304,7 @@ def test_latest_start_on_the_file_log(spark, scratch):
     """'latest' skips what the log held at the first start, reads what comes after, and after
     a restart still reads records that arrived while the stream was down."""
     root, out, ck = scratch("log"), scratch("out"), scratch("ck")
-    publish(_records(spark, 0, 20), root, "seq", batch=0)
+    publish(_records(spark, 0, 20), root, "seq")
 
     def run():
         s = read_topic(spark, root, "t", streaming=True, start="latest", checkpoint=ck)
@@ -234,9 +313,9 @@ def test_latest_start_on_the_file_log(spark, scratch):
 
     run()
     assert spark.read.parquet(out).count() == 0
-    publish(_records(spark, 20, 30), root, "seq", ends=read_log_ends(spark, root, 0), batch=1)
+    publish(_records(spark, 20, 30), root, "seq")
     run()
-    publish(_records(spark, 30, 45), root, "seq", ends=read_log_ends(spark, root, 1), batch=2)
+    publish(_records(spark, 30, 45), root, "seq")
     run()
     got = sorted(int(r.k) for r in spark.read.parquet(out).collect())
     assert got == list(range(20, 45))

@@ -30,6 +30,17 @@ def value_text(value="value") -> Column:
     return F.try_validate_utf8(_c(value).cast("string"))
 
 
+def strip(text) -> Column:
+    """Text without white space (Unicode) at its ends."""
+    return F.regexp_replace(_c(text), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
+def record_line() -> Column:
+    """One printed line per record: partition, offset, key and value."""
+    return F.format_string("partition=%d offset=%d key=%s value=%s", F.col("partition"), F.col("offset"),
+                           decode_key(), value_text())
+
+
 def decode_json_strict(value, schema: StructType | DataType | str) -> Column:
     """Parse a JSON value with a fixed schema; any bad value (blank text included) stops the job.
 
@@ -37,20 +48,22 @@ def decode_json_strict(value, schema: StructType | DataType | str) -> Column:
     string, so blank and null values are rejected explicitly first.
     """
     text = F.validate_utf8(_c(value).cast("string"))
-    checked = F.when(text.isNull() | (F.trim(text) == ""),
+    checked = F.when(text.isNull() | (strip(text) == ""),
                      F.raise_error(F.lit("strict JSON decode: empty or null value"))).otherwise(text)
     return F.from_json(checked, schema, {"mode": "FAILFAST"})
 
 
 def decode_json_or_text(value="value") -> Column:
-    """Tolerant decode: struct(json VARIANT, raw STRING, is_json BOOLEAN).
+    """Tolerant decode: struct(json VARIANT, raw STRING, is_json BOOLEAN, raw_bytes BINARY).
 
-    Any JSON document counts, bare scalars such as ``5`` and ``"x"`` included; anything else
-    keeps its raw text with ``is_json = false``.
+    Any JSON document counts, bare scalars such as ``5`` and ``"x"`` included, and so does an object that
+    names a field twice (the last counts; ``session.REQUIRED_CONF``); anything else keeps its raw text with
+    ``is_json = false``, and bytes that are not UTF-8 are kept in ``raw_bytes``.
     """
     raw = F.try_validate_utf8(_c(value).cast("string"))
     parsed = F.try_parse_json(raw)
-    return F.struct(parsed.alias("json"), raw.alias("raw"), parsed.isNotNull().alias("is_json"))
+    return F.struct(parsed.alias("json"), raw.alias("raw"), parsed.isNotNull().alias("is_json"),
+                    F.when(raw.isNull(), _c(value)).alias("raw_bytes"))
 
 
 def parse_once(df, keep, **parsed):

@@ -5,7 +5,9 @@ its subscription, its start rule (earliest, or latest as of the time it joined)
 to which it has processed and committed records. Every report here is one scan and one
 aggregation of the log: records are tagged per subscribed group inside the scan stage
 (a generator over the small group list, no join), and partial aggregation runs before the
-shuffle, so a hot topic partition never lands whole in one task.
+shuffle, so a hot topic partition never lands whole in one task. Reports that only need extremes and counts
+aggregate first: time is cut at all groups' start and until points, the log is summed up once per topic
+partition and interval, and groups are fanned out over that small table.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ class Group:
     start: str = LATEST                 # 'earliest' | 'latest'
     joined_at: str | None = None        # when the group first connected (for 'latest')
     consumed_until: str | None = None   # records before this time are processed + committed
+    fetched_until: str | None = None    # records before this time are planned, by default the same
 
     def __post_init__(self):
         if self.start not in (EARLIEST, LATEST):
@@ -68,27 +71,64 @@ def consumed(records: DataFrame, groups: Sequence[Group], ts: str = "timestamp")
     return fan_out(records, groups, ts).where("consumed").drop("started", "consumed")
 
 
+def interval_summary(records: DataFrame, groups: Sequence[Group], ts: str = "timestamp") -> DataFrame:
+    """The log per topic partition and interval between the groups' time points: ``interval`` (how many points
+    lie at or before the record; null without time), records, first and last offset and time."""
+    at = F.col(ts).cast("timestamp_ntz")
+    points = _points(groups)
+    interval = sum((F.when(at >= _ts(p), 1).otherwise(0) for p in points), F.lit(0))
+    return records.where(F.col("topic").isin(sorted({t for g in groups for t in g.topics}))).groupBy(
+        "topic", "partition", F.when(at.isNotNull(), interval).alias("interval")).agg(
+            F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"),
+            F.max("offset").alias("last_offset"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+
+
+def _points(groups: Sequence[Group]) -> list[str]:
+    return sorted({p for g in groups for p in (g.joined_at, g.consumed_until, g.fetched_until) if p is not None})
+
+
+def fan_out_summary(summary: DataFrame, groups: Sequence[Group]) -> DataFrame:
+    """The rows of :func:`interval_summary` once per subscribed group, flagged ``started``, ``consumed``, ``fetched``."""
+    points = _points(groups)
+    entry = lambda g: F.struct(
+        F.lit(g.name).alias("group"),
+        F.lit(-1 if g.start == EARLIEST else points.index(g.joined_at) + 1 if g.joined_at else 1 << 30).alias("from_"),
+        F.lit(points.index(g.consumed_until) if g.consumed_until else -1).alias("until"),
+        F.lit(points.index(g.fetched_until or g.consumed_until) if g.fetched_until or g.consumed_until else -1)
+        .alias("planned"))
+    pairs = []
+    for t in sorted({t for g in groups for t in g.topics}):
+        pairs += [F.lit(t), F.array(*[entry(g) for g in groups if t in g.topics])]
+    f = summary.withColumn("_g", F.explode(F.element_at(F.create_map(*pairs), F.col("topic"))))
+    started = (F.col("_g.from_") < 0) | F.coalesce(F.col("interval") >= F.col("_g.from_"), F.lit(False))
+    return f.withColumns({"group": F.col("_g.group"), "started": started}).withColumns({
+        "consumed": F.col("started") & F.coalesce(F.col("interval") <= F.col("_g.until"), F.lit(False)),
+        "fetched": F.col("started") & F.coalesce(F.col("interval") <= F.col("_g.planned"), F.lit(False))}).drop("_g")
+
+
 def group_positions(records: DataFrame, groups: Sequence[Group],
                     ts: str = "timestamp") -> DataFrame:
-    """(group, topic, partition, log_begin_offset, start_offset, committed, log_end_offset).
+    """(group, topic, partition, log_begin_offset, start_offset, committed, next_fetch, log_end_offset).
 
     ``start_offset`` is where the group began (log begin for earliest; the first record at
     or after its join time for latest); ``committed`` is one past its last processed record,
-    or its start when it processed none.
+    or its start when it processed none; ``next_fetch`` one past the last record that was planned.
     """
-    f = fan_out(records, groups, ts)
+    f = fan_out_summary(interval_summary(records, groups, ts), groups)
     agg = f.groupBy("group", "topic", "partition").agg(
-        F.min("offset").alias("log_begin_offset"),
-        (F.max("offset") + 1).alias("log_end_offset"),
-        F.min(F.when(F.col("started"), F.col("offset"))).alias("_first_started"),
-        (F.max(F.when(F.col("consumed"), F.col("offset"))) + 1).alias("_after_consumed"),
+        F.min("first_offset").alias("log_begin_offset"),
+        (F.max("last_offset") + 1).alias("log_end_offset"),
+        F.min(F.when(F.col("started"), F.col("first_offset"))).alias("_first_started"),
+        (F.max(F.when(F.col("consumed"), F.col("last_offset"))) + 1).alias("_after_consumed"),
+        (F.max(F.when(F.col("fetched"), F.col("last_offset"))) + 1).alias("_after_fetched"),
     )
     start = F.coalesce(F.col("_first_started"), F.col("log_end_offset"))
     return agg.select(
         "group", "topic", "partition", "log_begin_offset",
         start.alias("start_offset"),
         F.coalesce(F.col("_after_consumed"), start).alias("committed"),
-        "log_end_offset",
+        F.coalesce(F.col("_after_fetched"), start).alias("next_fetch"),
+        "log_end_offset", F.col("_after_consumed").isNotNull().alias("has_committed"),
     )
 
 
@@ -101,48 +141,37 @@ def consumer_lag(records: DataFrame, groups: Sequence[Group], ts: str = "timesta
                     (F.col("log_end_offset") - F.col("committed")).alias("lag"))
 
 
-def lag_from_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
-    """Lag from a stored positions table (group, topic, partition, committed).
-
-    Partitions a group has no position for count from the log's begin. Both inputs are
-    aggregated to one row per topic partition before the join, so the join is small.
-    """
-    from topicflow.sources.topics import broadcast_if_small
-
-    bounds = log.groupBy("topic", "partition").agg(
-        F.min("offset").alias("log_begin_offset"),
-        (F.max("offset") + 1).alias("log_end_offset"))
-    pos = broadcast_if_small(positions.select("group", "topic", "partition", "committed"))
+def lag_from_positions(ends: DataFrame, positions: DataFrame) -> DataFrame:
+    """Lag of every group with a stored position (group, topic, partition, committed), from the log-ends side table
+    (topic, partition, log_begin_offset, log_end_offset): no scan of the log. Partitions a group has no position
+    for count from the log's begin. Both tables have one row per topic partition (and group)."""
+    pos = positions.select("group", "topic", "partition", "committed")
     groups = pos.select("group", "topic").distinct()
-    grid = bounds.join(groups, "topic")
-    j = grid.join(pos, ["group", "topic", "partition"], "left")
+    j = ends.join(groups, "topic").join(pos, ["group", "topic", "partition"], "left")
     cur = F.coalesce(F.col("committed"), F.col("log_begin_offset"))
     return j.select("group", "topic", "partition", cur.alias("current_offset"),
                     "log_end_offset", (F.col("log_end_offset") - cur).alias("lag"))
 
 
 def lag_from_ends(ends: DataFrame, positions: DataFrame, group: str) -> DataFrame:
-    """Lag of one reader from the log-ends side table (topic, partition, log_end_offset) and
-    its positions (topic, partition, committed): no scan of the log. Partitions the reader
-    has not read yet count from offset 0, where the file log begins."""
+    """Lag of one reader from the log-ends side table and its positions (topic, partition, committed); partitions
+    it has not read yet count from the log's begin."""
     pos = positions.select("topic", "partition", "committed")
     j = ends.join(pos, ["topic", "partition"], "left")
-    cur = F.coalesce(F.col("committed"), F.lit(0).cast("bigint"))
+    cur = F.coalesce(F.col("committed"), F.col("log_begin_offset"))
     return j.select(F.lit(group).alias("group"), "topic", "partition",
                     cur.alias("current_offset"), "log_end_offset",
                     (F.col("log_end_offset") - cur).alias("lag"))
 
 
 def positions(consumed_records: DataFrame, by: Sequence[str] = ("group",)) -> DataFrame:
-    """Committed position and next fetch per reader and partition: last offset read + 1."""
-    return consumed_records.groupBy(*by, "topic", "partition").agg(
-        (F.max("offset") + 1).alias("committed"),
-        (F.max("offset") + 1).alias("next_fetch"))
+    """Committed position per reader and partition: last offset read + 1."""
+    return consumed_records.groupBy(*by, "topic", "partition").agg((F.max("offset") + 1).alias("committed"))
 
 
-def list_groups(consumed_records: DataFrame) -> DataFrame:
-    """Names of groups that hold a committed position."""
-    return consumed_records.select("group").distinct()
+def list_groups(positions: DataFrame) -> DataFrame:
+    """Names of groups that hold a committed position, from their positions."""
+    return positions.select("group").distinct()
 
 
 def topic_profile(records: DataFrame) -> DataFrame:
@@ -155,10 +184,10 @@ def topic_profile(records: DataFrame) -> DataFrame:
 
 def profile_from_ends(ends: DataFrame) -> DataFrame:
     """:func:`topic_profile` from the log-ends side table alone (one row per partition, no
-    scan of the log): the file log keeps every record, so offsets run densely from 0."""
-    return ends.select("topic", "partition", F.lit(0).cast("bigint").alias("begin_offset"),
+    scan of the log): offsets run densely from the log's begin to its end."""
+    return ends.select("topic", "partition", F.col("log_begin_offset").alias("begin_offset"),
                        F.col("log_end_offset").alias("end_offset"),
-                       F.col("log_end_offset").alias("records"))
+                       (F.col("log_end_offset") - F.col("log_begin_offset")).alias("records"))
 
 
 def key_spread(records: DataFrame) -> DataFrame:
@@ -186,6 +215,11 @@ def unconsumed(sent: DataFrame, done: DataFrame,
     return sent.join(done.select(*on), list(on), "left_anti")
 
 
+def not_yet_consumed(records: DataFrame, groups: Sequence[Group], ts: str = "timestamp") -> DataFrame:
+    """Records past a group's start that it has not processed (group column added): one scan, no join."""
+    return fan_out(records, groups, ts).where("started and not consumed").drop("started", "consumed")
+
+
 def start_filter(records: DataFrame, group: Group, ts: str = "timestamp") -> DataFrame:
     """The records a group reads given its start rule alone (earliest/latest at join)."""
     if group.start == EARLIEST:

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from topicflow.functions.records import decode_json_or_text, parse_once
 from topicflow.schema import POSITION
 
-# The demo restaurants and the two kitchens that take longer.
-RESTAURANTS = ("Tandoori Tales", "Pizza Hub", "Bao Bae", "Masala Magic")
+# The test topic's restaurants; fixed values among them: the two kitchens that take longer.
+RESTAURANTS = ("Tandoori Tales", "Copper Ladle", "Harbour Noodles", "Masala Magic")
 SLOW_RESTAURANTS = ("Tandoori Tales", "Masala Magic")
 SLOW_COST = 2
 FAST_COST = 1
@@ -98,6 +98,27 @@ def require_fields(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Data
     return split_rejects(df, missing_reason(names))
 
 
+def worker_orders(records: DataFrame) -> DataFrame:
+    """What the orders worker makes of its records: the envelope's key, value, headers and position, the fields of
+    the simple order shape, and ``reason``: null, ``decode:not JSON``, or the first missing field."""
+    from topicflow.functions.records import value_text
+    from topicflow.schema import SIMPLE_ORDER
+
+    text = value_text()
+    parsed = parse_once(records, ["key", "value", "headers", *POSITION],
+                        o=F.from_json(text, SIMPLE_ORDER), json=F.try_parse_json(text).isNotNull())
+    fields = parsed.select("key", "value", "headers", *POSITION, "json", "o.*")
+    reason = F.when(~F.col("json"), F.lit("decode:not JSON")).otherwise(
+        missing_reason(["order_id", "user", "item", "quantity"]))
+    return fields.withColumn("reason", reason).drop("json")
+
+
+def order_rejects(records: DataFrame) -> DataFrame:
+    """Dead letters: records the orders worker cannot process, whole, with position and reason."""
+    return worker_orders(records).where(F.col("reason").isNotNull()).select(
+        "key", "value", "headers", *POSITION, "reason")
+
+
 def validation_reason(user="user", item="item", quantity="quantity") -> Column:
     """Order API rules: user and item required; quantity an integer within 1..20."""
     q = F.col(quantity) if isinstance(quantity, str) else quantity

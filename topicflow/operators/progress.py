@@ -18,16 +18,16 @@ FIRST_N = 5
 SAMPLE_EVERY_OFFSETS = 3000
 
 
-def consumed_total(consumed: DataFrame, by: Sequence[str] = ("group",)) -> DataFrame:
-    return consumed.groupBy(*by).agg(F.count(F.lit(1)).alias("records"))
+def consumed_total(summary: DataFrame, by: Sequence[str] = ("group",)) -> DataFrame:
+    """Records per reader, from the consumed rows of :func:`topicflow.operators.groups.fan_out_summary`."""
+    return summary.groupBy(*by).agg(F.sum("records").alias("records"))
 
 
-def throughput(consumed: DataFrame, by: Sequence[str] = ("group",),
-               ts: str = "timestamp") -> DataFrame:
-    """Records, first/last record time, seconds between and cumulative rate per reader.
-    A zero-length span reports the count itself."""
-    agg = consumed.groupBy(*by).agg(F.count(F.lit(1)).alias("records"),
-                                    F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+def throughput(summary: DataFrame, by: Sequence[str] = ("group",)) -> DataFrame:
+    """Records, first/last record time, seconds between and cumulative rate per reader, from the consumed rows of
+    :func:`topicflow.operators.groups.fan_out_summary`. A zero-length span reports the count itself."""
+    agg = summary.groupBy(*by).agg(F.sum("records").alias("records"),
+                                   F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
     secs = seconds_between("first_ts", "last_ts")
     return agg.select(*by, "records", "first_ts", "last_ts", secs.alias("seconds"),
                       rate(F.col("records"), secs).alias("rate"))
@@ -47,8 +47,7 @@ def progress_points(consumed: DataFrame, every: int = PROGRESS_EVERY,
     """Every ``every``-th record of a reader, with its position and the rate so far
     (records ÷ seconds since the reader's first record)."""
     numbered = read_sequence(consumed, by, ts)
-    # one row per reader (bounded by the configured groups): broadcast
-    firsts = F.broadcast(consumed.groupBy(*by).agg(F.min(ts).alias("_first")))
+    firsts = numbered.groupBy(*by).agg(F.min(ts).alias("_first"))  # of the checkpointed rows: no second scan
     pts = numbered.where(F.col("n") % every == 0).join(firsts, list(by))
     secs = seconds_between("_first", ts)
     return pts.select(*by, "n", "topic", "partition", "offset",
@@ -76,14 +75,16 @@ def every_nth_offset(records: DataFrame, n: int = SAMPLE_EVERY_OFFSETS) -> DataF
 def order_check(records: DataFrame) -> DataFrame:
     """Per topic partition: are offsets dense and unique from begin to end?
 
-    Checked by aggregation (count, distinct count, min, max), so a partition is never sorted
-    in one task: dense ⇔ distinct = count = end − begin.
+    Checked by aggregation, so a partition is never sorted in one task: dense ⇔ distinct = count =
+    end − begin. Distinct offsets are bits of one bitmap for each 32,768 of them, made before the shuffle.
     """
-    agg = records.groupBy("topic", "partition").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_distinct("offset").alias("distinct_offsets"),
-        F.min("offset").alias("begin_offset"),
-        (F.max("offset") + 1).alias("end_offset"))
+    parts = records.groupBy("topic", "partition", F.bitmap_bucket_number("offset").alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("offset"))).alias("_distinct"),
+        F.min("offset").alias("_first"), F.max("offset").alias("_last"))
+    agg = parts.groupBy("topic", "partition").agg(
+        F.sum("_n").alias("records"), F.sum("_distinct").alias("distinct_offsets"),
+        F.min("_first").alias("begin_offset"), (F.max("_last") + 1).alias("end_offset"))
     return agg.withColumn(
         "dense", (F.col("records") == F.col("distinct_offsets"))
         & (F.col("records") == F.col("end_offset") - F.col("begin_offset")))

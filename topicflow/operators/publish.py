@@ -1,14 +1,22 @@
-"""Publishing tables to topics: partition choice, offsets, delivery report, the write itself."""
+"""Publishing tables to topics: partition choice, offsets, the append itself, delivery report.
+
+The file log at ``<root>/topic=…/partition=…/batch=<version>/`` has a side table
+``<root>/_log_ends/version=<n>/``: per topic partition its begin and end offset after each publish, and
+the id of the publish. A publish takes the latest version, appends behind its ends and saves the next one,
+so nothing stored is read or replaced. Only a publish with an id that is already in the side table (a replay
+after a failure) replaces the files of that id.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.functions.partitioning import choose_partition
-from topicflow.operators.ranking import bucketed_row_number
+from topicflow.operators.ranking import COUNT, number_rows, place_rows, range_row_number, task_starts
 from topicflow.schema import ENVELOPE_COLUMNS
 
 # Producer settings of the demo producers, as sink options. The file log ignores the
@@ -22,6 +30,9 @@ DURABLE_SINK_OPTIONS = {
     "kafka.compression.type": "lz4",
 }
 
+DELIVERED = "delivered"
+FAILED = "failed"
+
 
 def kafka_sink_options(servers: str, extra: dict | None = None) -> dict:
     """Options for Spark's Kafka sink: brokers plus the durable producer settings; ``extra``
@@ -36,28 +47,15 @@ def assign_partition(df: DataFrame, key_text: str | Column, n: int,
     return df.withColumn(out, choose_partition(key_text, n, seq))
 
 
-def assign_offsets(df: DataFrame, order_key: str | Column, *,
-                   log_end: DataFrame | None = None,
-                   by: Sequence[str] = ("topic", "partition"),
-                   tie_breakers: Sequence[str] = (), width: int = 1 << 20,
-                   out: str = "offset") -> DataFrame:
-    """Dense offsets per (topic, partition), in ``order_key`` order, continuing a log.
+def assign_offsets(df: DataFrame, order_key: str | Column, *, by: Sequence[str] = ("topic", "partition"),
+                   tie_breakers: Sequence[str] = (), out: str = "offset") -> DataFrame:
+    """Dense offsets from 0 per (topic, partition), in the order of ``order_key`` and the tie breakers.
 
-    ``log_end`` (topic, partition, log_end_offset) gives each partition's next offset; absent
-    partitions start at 0. ``order_key`` should be a unique integer (a sequence number or id).
+    Any key will do: sparse, repeated or null (nulls come first).
     """
-    numbered = bucketed_row_number(df, by, order_key, tie_breakers=tie_breakers,
-                                   width=width, out="_tf_rn")
-    if log_end is None:
-        start = F.lit(0).cast("bigint")
-    else:
-        # one row per topic partition (bounded by the topics' configuration): broadcast, so
-        # the numbered rows are never shuffled by partition, where one may be hot
-        ends = F.broadcast(log_end.select(*by, F.col("log_end_offset").alias("_tf_start")))
-        numbered = numbered.join(ends, on=list(by), how="left")
-        start = F.coalesce(F.col("_tf_start"), F.lit(0)).cast("bigint")
-    return (numbered.withColumn(out, (start + F.col("_tf_rn") - 1).cast("bigint"))
-            .drop("_tf_rn", "_tf_start"))
+    keyed = df.withColumn("_tf_key", F.col(order_key) if isinstance(order_key, str) else order_key)
+    numbered = range_row_number(keyed, by, ["_tf_key", *tie_breakers], out="_tf_rn")
+    return numbered.withColumn(out, F.col("_tf_rn") - 1).drop("_tf_rn", "_tf_key")
 
 
 def to_envelope(df: DataFrame) -> DataFrame:
@@ -76,67 +74,113 @@ def to_envelope(df: DataFrame) -> DataFrame:
 
 
 def log_ends(log: DataFrame) -> DataFrame:
-    """(topic, partition, log_end_offset) of an existing log."""
-    return log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("log_end_offset"))
+    """(topic, partition, log_begin_offset, log_end_offset) by a scan of a log without side table."""
+    return log.groupBy("topic", "partition").agg(
+        F.min("offset").alias("log_begin_offset"), (F.max("offset") + 1).alias("log_end_offset"))
 
 
-# Small side table of the file log: one row per topic partition with its end offset, one
-# version per publish batch (like a broker's log-end offsets). Directories starting with an
-# underscore are invisible to readers of the log itself.
 LOG_ENDS_DIR = "_log_ends"
+REJECTS_DIR = "_rejects"
+ENDS_SCHEMA = ("topic string, partition int, log_begin_offset bigint, log_end_offset bigint, "
+               "publish_id string")
 
 
-def _ends_path(root: str, batch: int) -> str:
-    return f"{root.rstrip('/')}/{LOG_ENDS_DIR}/batch={batch}"
-
-
-def read_log_ends(spark, root: str, batch: int) -> DataFrame | None:
-    """End offsets as of publish ``batch`` (None when that version does not exist)."""
+def _versions(spark: SparkSession, root: str) -> DataFrame:
+    """All versions of the side table (column ``version``); empty for a new log."""
     from pyspark.errors import AnalysisException
     try:
-        return spark.read.parquet(_ends_path(root, batch))
-    except AnalysisException:
-        return None
-
-
-def publish(records: DataFrame, root: str, order_key: str | Column, *,
-            existing: DataFrame | None = None, ends: DataFrame | None = None,
-            batch: int = 0, tie_breakers: Sequence[str] = (), fmt: str = "parquet",
-            options: dict | None = None) -> None:
-    """Append records to a topic log.
-
-    ``records`` carries key/value/headers/topic/partition (see :func:`assign_partition`).
-    For the Parquet file log, offsets continue the log: from ``ends`` (topic, partition,
-    log_end_offset) when given, else from ``existing`` (the log as read now, one scan), else 0.
-    Files go under ``topic=…/partition=…/batch=<batch>`` and the batch folders are replaced
-    with dynamic partition overwrite, so re-running a publish with the same ``batch`` (after a
-    failure) never duplicates records. The new end offsets are saved as version ``batch`` of
-    the log-ends table for the next publish. One writer per topic at a time keeps offsets
-    dense. For ``fmt="kafka"``, ``root`` is the bootstrap servers and the broker assigns
-    offsets itself.
+        return spark.read.schema(f"{ENDS_SCHEMA}, version bigint").parquet(f"{root.rstrip('/')}/{LOG_ENDS_DIR}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{ENDS_SCHEMA}, version bigint")
+
+
+def read_log_ends(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """(topic, partition, log_begin_offset, log_end_offset) as of a version, by default the latest."""
+    rows = _versions(spark, root)
+    if version is None:
+        version = rows.agg(F.max("version")).first()[0]
+    return rows.where((F.col("version") == F.lit(version)) & F.col("topic").isNotNull()).select(
+        "topic", "partition", "log_begin_offset", "log_end_offset")
+
+
+def _problem() -> Column:
+    return F.when(F.col("topic").isNull(), F.lit("missing:topic")) \
+        .when(F.col("partition").isNull(), F.lit("missing:partition"))
+
+
+def publish(records: DataFrame, root: str, order_key: str | Column, *, publish_id: str | None = None,
+            existing: DataFrame | None = None, tie_breakers: Sequence[str] = (), fmt: str = "parquet",
+            options: dict | None = None) -> DataFrame | None:
+    """Append records to a topic log and return the delivery report.
+
+    ``records`` carries key/value/headers/topic/partition (see :func:`assign_partition`); other columns
+    only appear in the report, which has every record with its ``offset``, ``status`` and ``error``.
+    Records without topic or partition fail and are kept under ``<root>/_rejects``. Offsets continue the log
+    (``existing``, the log as read now, is scanned only when the log has no side table yet). With a
+    ``publish_id`` that was published before, that publish is replaced instead of repeated. One writer per
+    log at a time keeps offsets dense. The records are computed once: a checkpoint holds them while
+    numbers, files, ends and report are made. For ``fmt="kafka"``, ``root`` is the bootstrap servers, the
+    broker assigns offsets itself and there is no report.
     """
     if fmt == "kafka":
         from topicflow.sources.topics import kafka_connector_hint
         with kafka_connector_hint():
             (records.select("topic", "key", "value", "headers", "partition")
              .write.format("kafka").options(**kafka_sink_options(root, options)).save())
-        return
-    spark = records.sparkSession
-    if ends is None and existing is not None:
+        return None
+    spark, by, root = records.sparkSession, ["topic", "partition"], root.rstrip("/")
+    versions = _versions(spark, root)
+    known = versions.agg(F.max("version").alias("last"), F.max(F.when(
+        F.col("publish_id") == F.lit(publish_id), F.col("version"))).alias("same")).first()
+    version = known.same if known.same is not None else (0 if known.last is None else known.last + 1)
+    ends = versions.where(F.col("version") == version - 1).drop("version", "publish_id") \
+        .where("topic is not null")
+    if known.last is None and existing is not None:
         ends = log_ends(existing)
-    report = to_envelope(assign_offsets(records, order_key, log_end=ends,
-                                        tie_breakers=tie_breakers))
-    (report.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+
+    key = F.col(order_key) if isinstance(order_key, str) else order_key
+    placed = place_rows(records.withColumn("_tf_key", key), by, ["_tf_key", *tie_breakers])
+    starts = task_starts(placed, by)
+    starts = starts.join(ends.withColumnsRenamed({"topic": "_t", "partition": "_p"}),
+                         (F.col("topic") == F.col("_t")) & (F.col("partition") == F.col("_p")), "left").drop("_t", "_p")
+    report = number_rows(placed, starts, by, "offset", F.coalesce("log_end_offset", F.lit(0))).drop("_tf_key")
+    report = report.withColumn("error", _problem()).withColumns({
+        "offset": F.when(F.col("error").isNull(), F.col("offset")),
+        "status": F.when(F.col("error").isNull(), F.lit(DELIVERED)).otherwise(F.lit(FAILED))})
+    (to_envelope(report.where("error is null")).withColumn("batch", F.lit(version)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .options(**{k: v for k, v in (options or {}).items() if not k.startswith("kafka.")})
      .partitionBy("topic", "partition", "batch").format(fmt).save(root))
-    # End offsets from what was written, read back rather than recomputed. The glob lists
-    # only this batch's folders, not every file of the log.
-    written = (spark.read.format(fmt).option("basePath", root)
-               .load(f"{root.rstrip('/')}/topic=*/partition=*/batch={batch}"))
-    new = log_ends(written)
-    if ends is not None:
-        new = (ends.select("topic", "partition", "log_end_offset").unionByName(new)
-               .groupBy("topic", "partition")
-               .agg(F.max("log_end_offset").alias("log_end_offset")))
-    new.write.mode("overwrite").parquet(_ends_path(root, batch))
+    counts = starts.groupBy(*by).agg(F.sum(COUNT).alias("_n"))
+    if not counts.where(_problem().isNotNull()).isEmpty():
+        failed = report.where("error is not null")
+        (failed.select(*[c for c in ("key", "value", "headers", "topic", "partition", "error") if c in failed.columns])
+         .write.mode("overwrite").parquet(f"{root}/{REJECTS_DIR}/batch={version}"))
+    new = counts.where(_problem().isNull()).join(ends, by, "full").select(
+        *by, F.coalesce("log_begin_offset", F.lit(0)).cast("bigint").alias("log_begin_offset"),
+        (F.coalesce("log_end_offset", F.lit(0)) + F.coalesce("_n", F.lit(0))).cast("bigint").alias("log_end_offset"))
+    # a row without topic names the publish even when nothing is in the log yet
+    named = spark.createDataFrame([(None, None, None, None)],
+                                  "topic string, partition int, log_begin_offset bigint, log_end_offset bigint")
+    new.unionByName(named).withColumn("publish_id", F.lit(publish_id or uuid.uuid4().hex)).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{root}/{LOG_ENDS_DIR}/version={version}")
+    return report
+
+
+def delivery_report(published: DataFrame, *identity: str) -> DataFrame:
+    """What became of each record of a publish: the given columns, topic, partition, offset, status, error."""
+    return published.select(*identity, "topic", "partition", "offset", "status", "error")
+
+
+def forget_old_ends(spark: SparkSession, root: str, keep: int = 100) -> None:
+    """Remove all but the last ``keep`` versions of the side table (a replay needs the one before its own)."""
+    last = _versions(spark, root).agg(F.max("version")).first()[0]
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{LOG_ENDS_DIR}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("version=") and int(name[len("version="):]) <= (last or 0) - keep:
+            fs.delete(status.getPath(), True)

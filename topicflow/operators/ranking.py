@@ -1,75 +1,69 @@
 """Dense per-group numbering that does not put a whole group into one task.
 
-``row_number() OVER (PARTITION BY g ORDER BY k)`` sorts each group in a single task, so one
-hot topic partition (or one busy consumer group) would serialise the job. Here the sort key is
-cut into fixed-width buckets: a small table counts rows per (group, bucket), a prefix sum over
-it gives each bucket's first number, and rows are numbered inside their bucket only. The big
-side is shuffled once, on (group, bucket); no task ever holds more than one bucket of a group.
-The counting branch reads only the group and key columns (column pruning), so for records
-whose payload dominates their size it costs a small fraction of the main read.
+``row_number() OVER (PARTITION BY g ORDER BY k)`` sorts each group in a single task, so one hot topic
+partition (or one busy consumer group) would serialise the job. Here rows are range-partitioned on the
+group and its whole sort key, which Spark samples: a hot group, a sparse key and a key that half of the
+rows share are spread over many tasks. Each row's task and place are fixed by a reliable checkpoint, and a
+small table (a row per task and group in it) gives each task's first number per group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_B = "_tf_bucket"
-_BASE = "_tf_base"
-_N = "_tf_n"
+from topicflow.session import checkpoint_base
 
+PID, POS, TIE = "_tf_pid", "_tf_pos", "_tf_tie"
+BASE, FIRST, COUNT = "_tf_base", "_tf_first", "_tf_n"
 
-def bucketed_row_number(df: DataFrame, by: Sequence[str], key: Column | str, *,
-                        tie_breakers: Sequence[str] = (), width: int = 1 << 20,
-                        out: str = "row_number") -> DataFrame:
-    """Add ``out`` = 1-based row number within ``by`` in (``key``, ``tie_breakers``) order.
 
-    ``key`` must be integral and ``width`` a power of two. When it is unique within a group a bucket never holds more than
-    ``width`` rows; otherwise ``width`` bounds the key span of a bucket.
+def place_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` sorted by (``by``, ``order``) over range partitions, checkpointed, with each row's task and place.
+
+    Rows that agree in all of these are spread, too: their place in the input decides among them. Adaptive
+    execution merges small partitions; nulls sort first.
+    """
+    checkpoint_base(df.sparkSession)
+    keys = [*by, *order, TIE]
+    return (df.withColumn(TIE, F.monotonically_increasing_id())
+            .repartitionByRange(*keys).sortWithinPartitions(*keys).drop(TIE)
+            .withColumn(PID, F.spark_partition_id()).withColumn(POS, F.monotonically_increasing_id())
+            .checkpoint(eager=True))
+
+
+def task_starts(placed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per task and group: the first row's place, the number of rows, and the group's rows in earlier tasks.
+
+    Tasks hold ranges of the groups' order, so this has at most one row per task and one per group.
+    """
+    per_task = placed.groupBy(PID, *by).agg(F.count(F.lit(1)).alias(COUNT), F.min(POS).alias(FIRST))
+    before = Window.partitionBy(*by).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    return per_task.withColumn(BASE, F.coalesce(F.sum(COUNT).over(before), F.lit(0)))
+
+
+def number_rows(placed: DataFrame, starts: DataFrame, by: Sequence[str], out: str,
+                offset: Column | None = None) -> DataFrame:
+    """Number placed rows from 1 (or from ``offset``, a column of ``starts``) within their group.
+
+    ``starts`` is broadcast: one row per task and per group bounds it, whatever the number of rows.
     """
-    if width <= 0 or width & (width - 1):
-        raise ValueError("width must be a power of two")
-    k = F.col(key) if isinstance(key, str) else key
-    by = list(by)
-    keyed = df.withColumn(_B, F.shiftright(k.cast("bigint"), width.bit_length() - 1))
-    counts = keyed.groupBy(*by, _B).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(*by, _B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_BASE))
-    joined = keyed.join(bases, on=[*by, _B], how="inner")
-    inside = Window.partitionBy(*by, _B).orderBy(k, *tie_breakers)
-    return (joined.withColumn(out, F.col(_BASE) + F.row_number().over(inside))
-            .drop(_B, _BASE))
+    small = F.broadcast(starts.select(*[F.col(c).alias(f"_s{c}") for c in [PID, *by]], FIRST,
+                                      (F.col(BASE) + (F.lit(1) if offset is None else offset)).alias(BASE)))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in [PID, *by]])
+    joined = placed.join(small, same)
+    number = (F.col(BASE) + F.col(POS) - F.col(FIRST)).cast("bigint")
+    return joined.select(*[c for c in placed.columns if c not in (PID, POS)], number.alias(out))
 
 
 def range_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
-                     num_partitions: int | None = None, out: str = "row_number") -> DataFrame:
+                     out: str = "row_number") -> DataFrame:
     """Add ``out`` = 1-based row number within ``by`` in ``order`` order, for any sort key.
 
-    ``(by, order)`` must be unique per row (a log position is). The rows are range-partitioned
-    on the whole key — Spark samples the bounds, so a hot group or a burst of equal
-    timestamps is spread over many tasks — and sorted inside each task. The partition id and
-    position of every row are then fixed by a reliable checkpoint (in the shared checkpoint
-    folder), so a recomputation after an executor loss cannot renumber them. A small table of
-    rows per (task, group) gives each task's first number per group. Pass only the columns
-    needed: the checkpoint writes what ``df`` holds.
+    Pass only the columns needed: the checkpoint writes what ``df`` holds.
     """
-    from topicflow.session import scratch_dir
-
-    spark = df.sparkSession
-    scratch_dir(spark, "rank")  # makes sure a checkpoint folder is registered
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*by, *order]
-    placed = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_tf_pid", F.spark_partition_id())
-              .withColumn("_tf_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    per_task = placed.groupBy("_tf_pid", *by).agg(F.count(F.lit(1)).alias(_N),
-                                                  F.min("_tf_pos").alias("_tf_first"))
-    before = Window.partitionBy(*by).orderBy("_tf_pid").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_task.select("_tf_pid", *by, "_tf_first",
-                             F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_BASE))
-    numbered = placed.join(starts, ["_tf_pid", *by])
-    return (numbered.withColumn(out, F.col(_BASE) + F.col("_tf_pos") - F.col("_tf_first") + 1)
-            .drop("_tf_pid", "_tf_pos", "_tf_first", _BASE))
+    placed = place_rows(df, by, order)
+    return number_rows(placed, task_starts(placed, by), by, out)

@@ -19,6 +19,7 @@ from topicflow.operators import progress as P
 from topicflow.operators import tracing as TS
 from topicflow.operators.groups import Group
 from topicflow.plans import sql as S
+from topicflow.schema import POSITION
 from topicflow.session import app_id, scratch_dir
 from topicflow.sources import files as FI
 from topicflow.sources import testtopic as TT
@@ -35,7 +36,8 @@ DEMO_GROUPS = (
     Group("payments", ("demo.purchase",), EARLIEST, consumed_until="2024-01-20 00:00:00"),
     Group("delivery", ("demo.purchase", "demo.signup"), LATEST,
           joined_at="2024-01-10 00:00:00", consumed_until="2024-01-28 12:00:00"),
-    Group("analytics", ALL_TOPICS, EARLIEST, consumed_until="2024-01-26 00:00:00"),
+    Group("analytics", ALL_TOPICS, EARLIEST, consumed_until="2024-01-26 00:00:00",
+          fetched_until="2024-01-27 00:00:00"),
     Group("audit", ("demo.error",), LATEST, joined_at="2024-02-01 00:00:00"),
 )
 
@@ -56,12 +58,17 @@ def done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.consumed(log(spark, sf_dir), DEMO_GROUPS)
 
 
+def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What :func:`done` holds, summed up per group, topic partition and interval before the fan-out."""
+    return G.fan_out_summary(G.interval_summary(log(spark, sf_dir), DEMO_GROUPS), DEMO_GROUPS).where("consumed")
+
+
 REGISTRY: dict[str, tuple[Plan, str | None]] = {}
 # Main input table of each report (for records-per-second figures); events unless listed.
 INPUT_TABLE = {
-    **{q: "orders" for q in ("normalize_orders", "route_cost", "require_fields", "dead_letter",
-                             "worker", "jsonl_lines", "file_to_topic", "publish_readback")},
-    **{q: "lineitem" for q in ("validate_quantity", "shape_order", "order_file")},
+    **{q: "lineitem" for q in (
+        "normalize_orders", "route_cost", "require_fields", "dead_letter", "worker", "worker_rejects", "jsonl_lines",
+        "file_to_topic", "publish_readback", "validate_quantity", "shape_order", "order_file", "trace_failures")},
 }
 
 
@@ -92,17 +99,20 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("positions", S.with_topic("""
-SELECT grp AS "group", topic, partition, max("offset") + 1 AS committed,
+SELECT grp AS "group", topic, partition, max(CASE WHEN consumed THEN "offset" END) + 1 AS committed,
        max("offset") + 1 AS next_fetch
-FROM fan WHERE consumed GROUP BY grp, topic, partition""", DEMO_GROUPS))
+FROM fan WHERE consumed OR (grp = 'analytics' AND ts < TIMESTAMP '2024-01-27 00:00:00')
+GROUP BY grp, topic, partition HAVING max(CASE WHEN consumed THEN "offset" END) IS NOT NULL""", DEMO_GROUPS))
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.positions(G.consumed(log(spark, sf_dir), DEMO_GROUPS))
+    """The last commit of each group, and what it fetches next: analytics has planned a day more."""
+    return G.group_positions(log(spark, sf_dir), DEMO_GROUPS).where("has_committed").select(
+        "group", "topic", "partition", "committed", "next_fetch")
 
 
 @register("list_groups", S.with_topic("""
 SELECT DISTINCT grp AS "group" FROM fan WHERE consumed""", DEMO_GROUPS))
 def list_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.list_groups(G.consumed(log(spark, sf_dir), DEMO_GROUPS))
+    return G.list_groups(stored_positions(spark, sf_dir))
 
 
 @register("topic_profile", S.with_topic("""
@@ -120,7 +130,7 @@ FROM rec GROUP BY topic, partition"""))
 def topic_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic profile from the log-ends side table written at publish time."""
     from topicflow.operators.publish import read_log_ends
-    return G.profile_from_ends(read_log_ends(spark, TT.events_log(spark, sf_dir), 0))
+    return G.profile_from_ends(read_log_ends(spark, TT.events_log(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- scans and start positions
@@ -235,10 +245,7 @@ SELECT topic, partition, "offset",
               CAST(user_id AS VARCHAR), props) AS line
 FROM rec"""))
 def record_lines(spark, sf_dir):
-    r = log(spark, sf_dir)
-    return r.select("topic", "partition", "offset",
-                    F.format_string("partition=%d offset=%d key=%s value=%s", F.col("partition"),
-                                    F.col("offset"), R.decode_key(), R.value_text()).alias("line"))
+    return log(spark, sf_dir).select("topic", "partition", "offset", R.record_line().alias("line"))
 
 
 # ---------------------------------------------------------------- publishing
@@ -266,17 +273,50 @@ def key_spread(spark, sf_dir):
 
 
 @register("delivery_report", S.with_topic("""
-SELECT event_id, topic, partition, "offset", 'delivered' AS status FROM rec"""))
+SELECT event_id, topic, partition, "offset", 'delivered' AS status, CAST(NULL AS VARCHAR) AS error FROM rec"""))
 def delivery_report(spark, sf_dir):
-    back = log(spark, sf_dir).select(
-        "topic", "partition", "offset",
-        TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER))["trace_id"].alias("tid"))
-    sent = TT.table(spark, sf_dir, "events").select(
-        "event_id", F.md5(F.col("event_id").cast("string")).alias("tid"))
-    return (sent.join(back, "tid", "left")
-            .select("event_id", "topic", "partition", "offset",
-                    F.when(F.col("offset").isNotNull(), F.lit("delivered"))
-                    .otherwise(F.lit("missing")).alias("status")))
+    """The events published to a log of their own, and what became of each."""
+    from topicflow.operators.publish import delivery_report as report, publish
+    return report(publish(TT.events_records(spark, sf_dir), scratch_dir(spark, "report-log"), "event_id"), "event_id")
+
+
+@register("publish_append", S.with_topic("""
+SELECT event_id, topic, partition,
+       row_number() OVER (PARTITION BY topic, partition ORDER BY event_id % 3, event_id) - 1 AS "offset"
+FROM rec"""))
+def publish_append(spark, sf_dir):
+    """The events published in three calls with default arguments: each appends behind the one before."""
+    from topicflow.operators.publish import publish
+    root = scratch_dir(spark, "append-log")
+    recs = TT.events_records(spark, sf_dir)
+    for turn in range(3):
+        publish(recs.where(F.col("event_id") % 3 == turn), root, "event_id")
+    sent = TT.table(spark, sf_dir, "events").select("event_id", F.md5(F.col("event_id").cast("string")).alias("trace"))
+    trace = TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER))["trace_id"]
+    stored = read_topic(spark, root, ALL_TOPICS).select("topic", "partition", "offset", trace.alias("trace"))
+    return sent.join(stored, "trace").drop("trace")
+
+
+@register("publish_stream_append", S.with_topic("""
+SELECT topic, partition, count(*) AS records, count(*) AS distinct_offsets, CAST(0 AS BIGINT) AS begin_offset,
+       count(*) AS end_offset, true AS dense, count(DISTINCT event_id) AS events
+FROM rec GROUP BY topic, partition"""))
+def publish_stream_append(spark, sf_dir):
+    """A stream published, a few files per micro-batch, onto a log that holds the earlier events: dense offsets and
+    every event once."""
+    from topicflow.operators.publish import publish
+    cut = F.col("timestamp") < F.lit(RESUME_CUT).cast("timestamp")
+    root, rest = scratch_dir(spark, "filled-log"), scratch_dir(spark, "rest-log")
+    recs = TT.events_records(spark, sf_dir)
+    publish(recs.where(cut), root, "event_id")
+    publish(recs.where(~cut), rest, "event_id")
+    s = read_topic(spark, rest, ALL_TOPICS, streaming=True, options={"maxFilesPerTrigger": "8"})
+    ST.await_all([ST.publish_stream(s.drop("partition", "offset"), root, _ck(spark, "append"),
+                                    partitions=TT.PARTITIONS, key_text=R.decode_key())])
+    full = read_topic(spark, root, ALL_TOPICS)
+    trace = TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER))["trace_id"]
+    events = full.groupBy("topic", "partition").agg(F.count_distinct(trace).alias("events"))
+    return P.order_check(full).join(events, ["topic", "partition"])
 
 
 # ---------------------------------------------------------------- groups
@@ -286,20 +326,17 @@ SELECT grp AS "group", topic, partition, count(*) AS records, min("offset") AS f
        max("offset") AS last_offset
 FROM fan WHERE started GROUP BY grp, topic, partition""", DEMO_GROUPS))
 def group_fan_out(spark, sf_dir):
-    f = G.fan_out(log(spark, sf_dir), DEMO_GROUPS).where("started")
+    f = G.fan_out_summary(G.interval_summary(log(spark, sf_dir), DEMO_GROUPS), DEMO_GROUPS).where("started")
     return f.groupBy("group", "topic", "partition").agg(
-        F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"),
-        F.max("offset").alias("last_offset"))
+        F.sum("records").alias("records"), F.min("first_offset").alias("first_offset"),
+        F.max("last_offset").alias("last_offset"))
 
 
 @register("unconsumed", S.with_topic("""
 SELECT grp AS "group", topic, partition, "offset" FROM fan WHERE started AND NOT consumed""",
                                      DEMO_GROUPS))
 def unconsumed(spark, sf_dir):
-    f = G.fan_out(log(spark, sf_dir), DEMO_GROUPS)
-    sent = f.where("started").select("group", "topic", "partition", "offset")
-    got = f.where("consumed").select("group", "topic", "partition", "offset")
-    return G.unconsumed(sent, got, on=("group", "topic", "partition", "offset"))
+    return G.not_yet_consumed(log(spark, sf_dir), DEMO_GROUPS).select("group", "topic", "partition", "offset")
 
 
 # ---------------------------------------------------------------- progress
@@ -307,7 +344,7 @@ def unconsumed(spark, sf_dir):
 @register("consumed_total", S.with_topic("""
 SELECT grp AS "group", count(*) AS records FROM fan WHERE consumed GROUP BY grp""", DEMO_GROUPS))
 def consumed_total(spark, sf_dir):
-    return P.consumed_total(done(spark, sf_dir))
+    return P.consumed_total(summary(spark, sf_dir))
 
 
 THROUGHPUT_SQL = """
@@ -320,7 +357,7 @@ FROM (SELECT grp AS "group", count(*) AS records, min(ts) AS first_ts, max(ts) A
 
 @register("throughput", S.with_topic(THROUGHPUT_SQL, DEMO_GROUPS))
 def throughput(spark, sf_dir):
-    t = P.throughput(done(spark, sf_dir))
+    t = P.throughput(summary(spark, sf_dir))
     return t.select("group", "records", ntz("first_ts"), ntz("last_ts"), "seconds", "rate")
 
 
@@ -461,7 +498,9 @@ def route_cost(spark, sf_dir):
 
 
 @register("require_fields", S.with_orders("""
-SELECT topic, partition, "offset", 'missing:restaurant' AS reason FROM canon WHERE shape <> 4"""))
+SELECT topic, partition, "offset",
+       CASE shape WHEN 0 THEN 'missing:order_id' ELSE 'missing:restaurant' END AS reason
+FROM canon WHERE shape <> 4"""))
 def require_fields(spark, sf_dir):
     o = O.normalize_orders(order_log(spark, sf_dir))
     _, rejects = O.require_fields(o, ["order_id", "restaurant", "seq"])
@@ -471,30 +510,30 @@ def require_fields(spark, sf_dir):
 # The orders worker's verdict on every order record (reason null when it can be processed).
 ORDER_REASONS_SQL = """
 SELECT topic, partition, "offset",
-  CASE shape WHEN 1 THEN 'missing:order_id'
+  CASE shape WHEN 0 THEN 'decode:not JSON'
+             WHEN 1 THEN 'missing:order_id'
              WHEN 2 THEN CASE WHEN first_sku IS NULL THEN 'missing:item' END
              WHEN 5 THEN CASE WHEN c_name IS NULL THEN 'missing:user' ELSE 'missing:item' END
              ELSE 'missing:user' END AS reason
 FROM canon"""
 DEAD_LETTER_SQL = f"""
-SELECT topic, partition, "offset", reason FROM ({ORDER_REASONS_SQL})
-WHERE reason IS NOT NULL"""
-
-
-def _order_rejects(records: DataFrame) -> DataFrame:
-    """Records the orders worker cannot process (fields of the simple order shape missing),
-    with their position and reason."""
-    from topicflow.schema import SIMPLE_ORDER
-    d = R.parse_once(records, ["topic", "partition", "offset"],
-                     o=F.from_json(R.value_text(), SIMPLE_ORDER)).select(
-        "topic", "partition", "offset", "o.*")
-    _, rejects = O.require_fields(d, ["order_id", "user", "item", "quantity"])
-    return rejects.select("topic", "partition", "offset", "reason")
+SELECT r.topic, r.partition, r."offset", r.reason, c.key_text AS key,
+       CASE c.shape WHEN 0 THEN 'unreadable order ' || CAST(c.o_orderkey AS VARCHAR) ELSE c.order_id END AS payload
+FROM ({ORDER_REASONS_SQL}) r JOIN canon c ON c.partition = r.partition AND c."offset" = r."offset"
+WHERE r.reason IS NOT NULL"""
+
+
+def _letters(rejects: DataFrame) -> DataFrame:
+    """Dead letters with their key as text and what identifies their payload."""
+    text = R.value_text()
+    return rejects.select(
+        *POSITION, "reason", R.decode_key().alias("key"),
+        F.coalesce(F.get_json_object(text, "$.order_id"), F.get_json_object(text, "$.id"), text).alias("payload"))
 
 
 @register("dead_letter", S.with_orders(DEAD_LETTER_SQL))
 def dead_letter(spark, sf_dir):
-    return _order_rejects(order_log(spark, sf_dir))
+    return _letters(O.order_rejects(order_log(spark, sf_dir)))
 
 
 def order_requests(spark: SparkSession, sf_dir: str, keep_identity: bool = False) -> DataFrame:
@@ -589,22 +628,24 @@ SELECT topic, partition, "offset", order_id, c_name AS "user", first_sku AS item
 FROM canon WHERE shape = 2 AND first_sku IS NOT NULL"""
 
 
-def _simple_orders(batch: DataFrame) -> DataFrame:
-    from topicflow.schema import SIMPLE_ORDER
-    d = R.parse_once(batch, ["topic", "partition", "offset"],
-                     o=F.from_json(R.value_text(), SIMPLE_ORDER)).select(
-        "topic", "partition", "offset", "o.*")
-    return d.withColumn("reason", O.missing_reason(["order_id", "user", "item", "quantity"]))
+def _run_worker(spark, sf_dir, name):
+    s = read_topic(spark, TT.orders_log(spark, sf_dir), TT.ORDERS_TOPIC, streaming=True,
+                   options={"maxFilesPerTrigger": "4"})
+    out = scratch_dir(spark, name)
+    ST.await_all([ST.run_worker(s, O.worker_orders, out, _ck(spark, name))])
+    return out
 
 
 @register("worker", S.with_orders(WORKER_SQL))
 def worker(spark, sf_dir):
-    s = read_topic(spark, TT.orders_log(spark, sf_dir), TT.ORDERS_TOPIC, streaming=True,
-                   options={"maxFilesPerTrigger": "4"})
-    out = scratch_dir(spark, "worker")
-    ST.await_all([ST.run_worker(s, _simple_orders, out, _ck(spark, "worker"))])
-    return ST.read_outcome(spark, out, ST.OK).select(
-        "topic", "partition", "offset", "order_id", "user", "item", "quantity")
+    return ST.read_outcome(spark, _run_worker(spark, sf_dir, "worker"), ST.OK).select(
+        *POSITION, "order_id", "user", "item", "quantity")
+
+
+@register("worker_rejects", S.with_orders(DEAD_LETTER_SQL))
+def worker_rejects(spark, sf_dir):
+    """What the streaming worker set aside, with its reasons."""
+    return _letters(ST.read_outcome(spark, _run_worker(spark, sf_dir, "worker-rejects"), ST.REJECTED))
 
 
 RESUME_CUT = "2024-01-15 00:00:00"
@@ -617,7 +658,7 @@ FROM rec"""))
 def resume(spark, sf_dir):
     """A worker run, then more records published, then a second run on the same checkpoint:
     the second run reads exactly the new records."""
-    from topicflow.operators.publish import publish, read_log_ends
+    from topicflow.operators.publish import publish
     recs = TT.events_records(spark, sf_dir)
     cut = F.col("timestamp") < F.lit(RESUME_CUT).cast("timestamp")
     root, out, ck = scratch_dir(spark, "resume-log"), scratch_dir(spark, "resume-out"), \
@@ -630,9 +671,9 @@ def resume(spark, sf_dir):
         ST.await_all([q])
         return q.lastProgress["batchId"] if q.lastProgress else -1
 
-    publish(recs.where(cut), root, "event_id", batch=0)
+    publish(recs.where(cut), root, "event_id")
     first_last = run()
-    publish(recs.where(~cut), root, "event_id", ends=read_log_ends(spark, root, 0), batch=1)
+    publish(recs.where(~cut), root, "event_id")
     run()
     got = ST.read_outcome(spark, out, ST.OK)
     return got.select("topic", "partition", "offset",
@@ -650,10 +691,9 @@ def dedup(spark, sf_dir):
         src.write.mode("append").partitionBy("topic", "partition").parquet(replay)
     s = read_topic(spark, replay, ALL_TOPICS, streaming=True,
                    options={"maxFilesPerTrigger": "8"})
-    d = ST.dedup_stream(s).select("topic", "partition", "offset", ntz("timestamp"))
     out = scratch_dir(spark, "dedup")
-    ST.await_all([ST.copy_stream(d, out, _ck(spark, "dedup"))])
-    return spark.read.parquet(out)
+    ST.await_all([ST.dedup_stream(s.select(*POSITION, ntz("timestamp")), out, _ck(spark, "dedup"))])
+    return spark.read.parquet(out).drop("batch_id")
 
 
 @register("fan_out_stream", S.with_topic("""
@@ -684,9 +724,8 @@ def topic_to_file(spark, sf_dir):
     return spark.read.text(out)
 
 
-ORDER_FILE_SQL = """
-SELECT o.o_orderkey AS order_id, c.c_name AS "user", o.o_totalprice AS total
-FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
+ORDER_FILE_SQL = S.with_orders("""
+SELECT o_orderkey AS order_id, c_name AS "user", price AS total FROM ord""")
 
 
 @register("jsonl_lines", ORDER_FILE_SQL)
@@ -698,13 +737,11 @@ def jsonl_lines(spark, sf_dir):
                         F.get_json_object(v, "$.total").try_cast("double").alias("total"))
 
 
-@register("order_file", """
-SELECT o.o_orderkey AS order_id, c.c_name AS "user", i.sku, i.qty, o.o_totalprice AS total,
-       'PLACED' AS status, o.o_orderdate AS ts
-FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
-LEFT JOIN (SELECT l_orderkey, 'part-' || CAST(l_partkey AS VARCHAR) AS sku,
-                  CAST(l_quantity AS BIGINT) AS qty FROM lineitem) i
-  ON i.l_orderkey = o.o_orderkey""")
+@register("order_file", S.with_orders("""
+SELECT o_orderkey AS order_id, c_name AS "user", first_sku AS sku, total_qty AS qty, price AS total,
+       'PLACED' AS status, o_orderdate AS ts FROM ord
+UNION ALL
+SELECT o_orderkey, c_name, second_sku, 1, price, 'PLACED', o_orderdate FROM ord WHERE NOT no_items"""))
 def order_file(spark, sf_dir):
     o = FI.read_order_file(spark, TT.order_file_dir(spark, sf_dir))
     x = o.select("order_id", "user", F.explode_outer("items").alias("it"), "total", "status",
@@ -730,32 +767,24 @@ def file_to_topic(spark, sf_dir):
 @register("publish_readback", S.with_orders("""
 SELECT topic, partition, "offset", key_text AS key,
        CASE WHEN shape = 1 THEN NULL ELSE order_id END AS order_id
-FROM canon JOIN (SELECT o_orderkey AS k2, chunk AS c2, key_text FROM ordkey) x
-  ON x.k2 = canon.o_orderkey AND x.c2 = canon.chunk"""))
+FROM canon"""))
 def publish_readback(spark, sf_dir):
     r = read_topic(spark, TT.orders_log(spark, sf_dir), TT.ORDERS_TOPIC)
     return r.select("topic", "partition", "offset", R.decode_key().alias("key"),
                     F.get_json_object(R.value_text(), "$.order_id").alias("order_id"))
 
 
-WINDOW_DELAY = "10 minutes"
-
-
 @register("rate_window_stream", S.with_topic("""
 SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS records
-FROM rec GROUP BY topic, time_bucket(INTERVAL 1 HOUR, ts)
-HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
-       <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""))
+FROM rec GROUP BY topic, time_bucket(INTERVAL 1 HOUR, ts)"""))
 def rate_window_stream(spark, sf_dir):
-    """Hourly records per topic as a stream: a window is final (emitted once, append mode)
-    when the watermark (latest event time − 10 minutes) has passed its end; windows still
-    open when the input ends stay in state for the next run."""
-    s = ST.stream_window_counts(stream_log(spark, sf_dir), "1 hour", delay=WINDOW_DELAY)
-    s = s.select("topic", ntz("window_start"), ntz("window_end"), "records")
+    """Hourly records per topic from a stream, whatever the micro-batches: partial counts per batch, summed up when
+    they are read."""
     out = scratch_dir(spark, "rate-window")
-    ST.await_all([ST.copy_stream(s, out, _ck(spark, "rate-window"))])
-    return spark.read.parquet(out)
+    ST.await_all([ST.window_counts(stream_log(spark, sf_dir, maxFilesPerTrigger="8"), out, _ck(spark, "rate-window"),
+                                   "1 hour")])
+    return ST.read_window_counts(spark, out).select("topic", ntz("window_start"), ntz("window_end"), "records")
 
 
 @register("trace_link_stream", S.with_topic("""
@@ -765,25 +794,23 @@ SELECT grp AS reader, md5(CAST(event_id AS VARCHAR)) AS trace_id,
        substr(sha256('produce:' || CAST(event_id AS VARCHAR)), 1, 16) AS parent_span_id,
        'kafka.consume' AS name, 'kafka' AS system, topic AS destination, partition, "offset",
        topic AS parent_topic, partition AS parent_partition, "offset" AS parent_offset
-FROM fan WHERE consumed AND grp = 'analytics'""", DEMO_GROUPS))
+FROM fan WHERE consumed""", DEMO_GROUPS))
 def trace_link_stream(spark, sf_dir):
-    """Span links as a stream-stream join: the analytics group's consume spans against the
-    producer's spans (its header context and delivery position, read from the log as a
-    second stream), both with watermarks and a one-hour bound."""
-    g = next(x for x in DEMO_GROUPS if x.name == "analytics")
-    recs = G.start_filter(stream_log(spark, sf_dir, g.topics), g).where(
-        F.col("timestamp").cast("timestamp_ntz") < F.lit(g.consumed_until).cast("timestamp_ntz"))
-    spans = TS.consume_spans(recs.withColumn("group", F.lit(g.name)), ts="timestamp")
-    sent = stream_log(spark, sf_dir).select(
-        TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER)).alias("c"),
-        "topic", "partition", "offset", F.col("timestamp").alias("produced_ts"))
-    produced = sent.select(F.col("c.trace_id").alias("trace_id"),
-                           F.col("c.span_id").alias("span_id"),
-                           "topic", "partition", "offset", "produced_ts")
-    linked = TS.link_spans_stream(spans, produced).drop("ts", "parent_produced_ts")
+    """Span links from a stream, whatever the micro-batches: each batch stores the consume spans of all groups and
+    the producer's spans (header context and delivery position); the links are made when they are read."""
     out = scratch_dir(spark, "trace-link-stream")
-    ST.await_all([ST.copy_stream(linked, out, _ck(spark, "trace-link-stream"))])
-    return spark.read.parquet(out)
+    s = stream_log(spark, sf_dir, maxFilesPerTrigger="8")
+    ST.await_all([
+        ST.partial_results(s, lambda b: TS.consume_spans(G.consumed(b, DEMO_GROUPS)), f"{out}/consumed",
+                           _ck(spark, "spans-consumed")),
+        ST.partial_results(s, _produced, f"{out}/produced", _ck(spark, "spans-produced"))])
+    consumed, produced = (spark.read.parquet(f"{out}/{x}").drop("batch_id") for x in ("consumed", "produced"))
+    return TS.link_spans(consumed, produced)
+
+
+def _produced(records: DataFrame) -> DataFrame:
+    c = TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER))
+    return records.select(c["trace_id"].alias("trace_id"), c["span_id"].alias("span_id"), *POSITION)
 
 
 # ---------------------------------------------------------------- stored positions
@@ -794,12 +821,11 @@ _POSITIONS: dict[tuple[str, str], str] = {}
 def stored_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The demo groups' committed positions, written once as a table (as a commit log would
     hold them) and read back."""
-    import os
-    memo = (app_id(spark), os.path.abspath(sf_dir))
+    memo = (app_id(spark), sf_dir.rstrip("/"))
     path = _POSITIONS.get(memo)
-    if not TT.still_there(path):
+    if path is None:
         path = scratch_dir(spark, "positions")
-        G.positions(done(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        positions(spark, sf_dir).write.mode("overwrite").parquet(path)
         _POSITIONS[memo] = path
     return spark.read.parquet(path)
 
@@ -820,7 +846,8 @@ LEFT JOIN pos p ON p.grp = g.grp AND p.topic = b.topic AND p.partition = b.parti
 def stored_lag(spark, sf_dir):
     """Lag of every group holding positions, from the stored positions table; partitions a
     group has no position for count from the log's begin."""
-    return G.lag_from_positions(log(spark, sf_dir), stored_positions(spark, sf_dir))
+    from topicflow.operators.publish import read_log_ends
+    return G.lag_from_positions(read_log_ends(spark, TT.events_log(spark, sf_dir)), stored_positions(spark, sf_dir))
 
 
 @register("read_from_positions", S.with_topic("""
@@ -851,13 +878,13 @@ def worker_lag(spark, sf_dir):
     recs = TT.events_records(spark, sf_dir)
     cut = F.col("timestamp") < F.lit(RESUME_CUT).cast("timestamp")
     root, out = scratch_dir(spark, "lag-log"), scratch_dir(spark, "lag-out")
-    publish(recs.where(cut), root, "event_id", batch=0)
+    publish(recs.where(cut), root, "event_id")
     s = read_topic(spark, root, ALL_TOPICS, streaming=True).select(
         "topic", "partition", "offset", F.lit(None).cast("string").alias("reason"))
     ST.await_all([ST.run_worker(s, lambda b: b, out, _ck(spark, "lag"))])
-    publish(recs.where(~cut), root, "event_id", ends=read_log_ends(spark, root, 0), batch=1)
+    publish(recs.where(~cut), root, "event_id")
     done_pos = G.positions(spark.read.parquet(out), by=())
-    return G.lag_from_ends(read_log_ends(spark, root, 1), done_pos, "worker")
+    return G.lag_from_ends(read_log_ends(spark, root), done_pos, "worker")
 
 
 
@@ -866,7 +893,7 @@ SELECT topic, partition, "offset" FROM rec WHERE ts >= TIMESTAMP '{RESUME_CUT}'"
 def stream_latest(spark, sf_dir):
     """A stream that starts at 'latest' on a log holding the first half of the events, then
     runs again after the second half is published: it reads exactly the second half."""
-    from topicflow.operators.publish import publish, read_log_ends
+    from topicflow.operators.publish import publish
     recs = TT.events_records(spark, sf_dir)
     cut = F.col("timestamp") < F.lit(RESUME_CUT).cast("timestamp")
     root, out, ck = scratch_dir(spark, "latest-log"), scratch_dir(spark, "latest-out"), \
@@ -876,9 +903,9 @@ def stream_latest(spark, sf_dir):
         s = read_topic(spark, root, ALL_TOPICS, streaming=True, start=LATEST, checkpoint=ck)
         ST.await_all([ST.copy_stream(s.select("topic", "partition", "offset"), out, ck)])
 
-    publish(recs.where(cut), root, "event_id", batch=0)
+    publish(recs.where(cut), root, "event_id")
     run()
-    publish(recs.where(~cut), root, "event_id", ends=read_log_ends(spark, root, 0), batch=1)
+    publish(recs.where(~cut), root, "event_id")
     run()
     return spark.read.parquet(out)
 
@@ -898,7 +925,7 @@ def trace_failures(spark, sf_dir):
     on its span (the topic carries no trace headers, so every span is a root)."""
     r = order_log(spark, sf_dir)
     spans = TS.consume_spans(r.withColumn("group", F.lit("orders-worker")))
-    return TS.spans_with_failures(spans, _order_rejects(r))
+    return TS.spans_with_failures(spans, O.order_rejects(r))
 
 
 def queries() -> dict[str, Plan]:

@@ -53,27 +53,19 @@ def with_topic(body: str, groups: Sequence[Group] | None = None, extra: str = ""
 
 
 # The mixed-shape order topic (same rules as topicflow.sources.testtopic.order_records).
-# Chunks: line-number chunk × 2^20; the further split of a chunk holding more than 1024 rows
-# (a hash of each row's file position) is not restated, as no order in the driver tables has
-# more than a few lines.
 ORDERS_CTE = """
-it AS (
-  SELECT l_orderkey AS o_orderkey, CAST(floor(l_linenumber / 1024) AS BIGINT) * 1048576 AS chunk,
-         'part-' || CAST(l_partkey AS VARCHAR) AS sku, CAST(l_quantity AS BIGINT) AS qty
-  FROM lineitem),
-itagg AS (
-  SELECT o_orderkey, chunk, min(sku) AS first_sku, CAST(sum(qty) AS BIGINT) AS total_qty
-  FROM it GROUP BY o_orderkey, chunk),
 ord AS (
-  SELECT o.o_orderkey, coalesce(a.chunk, 0) AS chunk,
-         CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS shape,
-         o.o_custkey, o.o_totalprice, o.o_orderdate, c.c_name, a.first_sku, a.total_qty,
-         a.chunk IS NULL AS no_items
-  FROM orders o LEFT JOIN itagg a ON a.o_orderkey = o.o_orderkey
+  SELECT o.o_orderkey, CAST(coalesce(l.l_linenumber, 0) AS BIGINT) AS line,
+         CASE WHEN o.o_orderkey % 50 = 0 THEN 0
+              ELSE CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) END AS shape,
+         o.o_custkey, CAST(coalesce(l.l_extendedprice, o.o_totalprice) AS DOUBLE) AS price, o.o_orderdate,
+         c.c_name, 'part-' || CAST(l.l_partkey AS VARCHAR) AS first_sku,
+         'supp-' || CAST(l.l_suppkey AS VARCHAR) AS second_sku,
+         l.l_partkey, l.l_suppkey, CAST(l.l_quantity AS BIGINT) AS total_qty, l.l_orderkey IS NULL AS no_items
+  FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey),
 ordkey AS (
-  SELECT *, CASE WHEN shape IN (2, 5) THEN c_name END AS key_text,
-         o_orderkey + chunk AS seq_no
+  SELECT *, CASE WHEN shape IN (2, 5) THEN c_name END AS key_text, o_orderkey + line AS seq_no
   FROM ord),
 ordpart AS (
   SELECT *, CASE WHEN key_text IS NULL THEN CAST(seq_no % 3 AS INTEGER)
@@ -82,36 +74,37 @@ ordpart AS (
   FROM ordkey),
 olog AS (
   SELECT *, 'food.orders' AS topic,
-         row_number() OVER (PARTITION BY partition ORDER BY o_orderkey, chunk) - 1 AS "offset"
+         row_number() OVER (PARTITION BY partition ORDER BY o_orderkey, line, l_partkey, l_suppkey, total_qty, price) - 1 AS "offset"
   FROM ordpart),
 canon AS (
-  SELECT topic, partition, "offset", o_orderkey, chunk, shape, first_sku, total_qty, no_items,
-    c_name,
-    CASE shape WHEN 1 THEN CAST(o_orderkey AS VARCHAR)
+  SELECT topic, partition, "offset", o_orderkey, line, shape, first_sku, second_sku, total_qty, no_items,
+    c_name, key_text,
+    CASE shape WHEN 0 THEN NULL WHEN 1 THEN CAST(o_orderkey AS VARCHAR)
                WHEN 2 THEN 'o' || CAST(o_orderkey AS VARCHAR)
                WHEN 3 THEN substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)
                WHEN 4 THEN md5(CAST(o_orderkey AS VARCHAR))
                ELSE CAST(o_orderkey AS VARCHAR) END AS order_id,
     CASE shape WHEN 2 THEN c_name WHEN 3 THEN CAST(o_custkey AS VARCHAR)
                WHEN 5 THEN c_name END AS "user",
-    CASE shape WHEN 3 THEN round(o_totalprice, 2) WHEN 4 THEN o_totalprice
-               WHEN 5 THEN o_totalprice END AS total,
+    CASE shape WHEN 3 THEN round(price, 2) WHEN 4 THEN price WHEN 5 THEN price END AS total,
     CASE shape WHEN 3 THEN 'CREATED' WHEN 5 THEN 'PLACED' END AS status,
-    CASE WHEN shape = 4 THEN ['Tandoori Tales', 'Pizza Hub', 'Bao Bae', 'Masala Magic'][(o_custkey % 4) + 1]
+    CASE WHEN shape = 4 THEN ['Tandoori Tales', 'Copper Ladle', 'Harbour Noodles', 'Masala Magic'][(o_custkey % 4) + 1]
          END AS restaurant,
     CASE WHEN shape = 4 THEN o_orderkey END AS seq,
     CASE WHEN shape IN (1, 4, 5) THEN o_orderdate END AS ts
   FROM olog),
 canon_items AS (
-  SELECT c.*, i.sku, CASE WHEN c.shape = 4 THEN 1 ELSE i.qty END AS qty
-  FROM canon c JOIN it i ON i.o_orderkey = c.o_orderkey AND i.chunk = c.chunk
-  WHERE c.shape IN (3, 4, 5)
+  SELECT c.*, c.first_sku AS sku,
+         CASE WHEN c.no_items THEN NULL WHEN c.shape = 4 THEN 1 ELSE c.total_qty END AS qty
+  FROM canon c WHERE c.shape IN (3, 4, 5)
   UNION ALL
-  SELECT c.*, NULL AS sku, NULL AS qty FROM canon c WHERE c.shape IN (3, 4, 5) AND c.no_items
+  SELECT c.*, c.second_sku AS sku, 1 AS qty FROM canon c WHERE c.shape IN (3, 4, 5) AND NOT c.no_items
   UNION ALL
   SELECT c.*, c.first_sku AS sku,
          CASE WHEN c.first_sku IS NULL THEN NULL WHEN c.shape = 1 THEN 1 ELSE c.total_qty END AS qty
-  FROM canon c WHERE c.shape IN (1, 2))"""
+  FROM canon c WHERE c.shape IN (1, 2)
+  UNION ALL
+  SELECT c.*, NULL AS sku, NULL AS qty FROM canon c WHERE c.shape = 0)"""
 
 
 def with_orders(body: str) -> str:

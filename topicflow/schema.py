@@ -45,22 +45,3 @@ SIMPLE_ORDER = T.StructType([
     T.StructField("item", T.StringType(), True),
     T.StructField("quantity", T.LongType(), True),
 ])
-
-# Canonical order row that every value shape is brought to.
-CANONICAL_ORDER = T.StructType([
-    T.StructField("order_id", T.StringType(), True),
-    T.StructField("user", T.StringType(), True),
-    T.StructField("items", T.ArrayType(ITEM), True),
-    T.StructField("total", T.DoubleType(), True),
-    T.StructField("status", T.StringType(), True),
-    T.StructField("restaurant", T.StringType(), True),
-    T.StructField("seq", T.LongType(), True),
-    T.StructField("ts", T.TimestampType(), True),
-])
-
-# Trace context carried in the ``traceparent`` header.
-TRACE_CONTEXT = T.StructType([
-    T.StructField("trace_id", T.StringType(), True),
-    T.StructField("span_id", T.StringType(), True),
-    T.StructField("sampled", T.BooleanType(), True),
-])

@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 REQUIRED_CONF = {
     # Zone-less ISO text in order payloads is UTC (the writers use utcnow()).
     "spark.sql.session.timeZone": "UTC",
+    # A JSON object may name a field twice; the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 # Defaults for a fresh session; a cluster's own settings win when already present.
@@ -124,18 +126,3 @@ def checkpoint_base(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint directory (made by its first writer)."""
     return f"{checkpoint_base(spark)}/{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
-
-
-def widen(df):
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    Small inputs stored as one file of one row group scan as a single task, which would run
-    every per-row expression (hashing, JSON) on one core. Large inputs already have many
-    splits and pass through untouched, so this never adds a shuffle at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        small = df.rdd.getNumPartitions() < cores
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        return df
-    return df.repartition(cores) if small else df

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicflow.functions.records import strip
 from topicflow.schema import ORDER_FILE
 
 
@@ -14,7 +15,7 @@ def read_jsonl(spark: SparkSession, path: str, streaming: bool = False,
     text (not parsed), plus the source file. A stream picks up new files dropped into the
     directory (lines appended to a file already read are not seen)."""
     reader = (spark.readStream if streaming else spark.read).options(**(options or {}))
-    lines = reader.text(path).select(F.trim("value").alias("line"),
+    lines = reader.text(path).select(strip("value").alias("line"),
                                      F.col("_metadata.file_path").alias("file"))
     return lines.where(F.col("line") != "").select(
         F.lit(None).cast("binary").alias("key"), F.col("line").cast("binary").alias("value"),
@@ -24,8 +25,3 @@ def read_jsonl(spark: SparkSession, path: str, streaming: bool = False,
 def read_order_file(spark: SparkSession, path: str) -> DataFrame:
     """The order-file shape with its declared schema (never inferred)."""
     return spark.read.schema(ORDER_FILE).json(path)
-
-
-def write_lines(df: DataFrame, path: str, column: str = "value") -> None:
-    """Each row's ``column`` as one text line (topic → file copy in batch)."""
-    df.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)

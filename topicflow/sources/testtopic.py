@@ -11,8 +11,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +26,7 @@ PARTITIONS = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from topicflow.session import widen
-    return widen(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def produce_span_id(event_id) -> F.Column:
@@ -69,16 +66,6 @@ def events_topic(spark: SparkSession, sf_dir: str, keep_event_id: bool = False)
 _LOGS: dict[tuple[str, str], str] = {}
 
 
-def still_there(path: str | None) -> bool:
-    """A memoised folder is reused while it exists (local paths are checked; cluster paths,
-    written under the shared checkpoint folder, are trusted for the application's life)."""
-    if not path:
-        return False
-    if "://" in path and not path.startswith("file:"):
-        return True
-    return os.path.exists(path.removeprefix("file:"))
-
-
 def events_log(spark: SparkSession, sf_dir: str) -> str:
     """Root of a Parquet file log holding the events topic, written once per application.
 
@@ -89,9 +76,9 @@ def events_log(spark: SparkSession, sf_dir: str) -> str:
     from topicflow.operators.publish import publish
     from topicflow.session import scratch_dir
 
-    memo = (app_id(spark), os.path.abspath(sf_dir))
+    memo = (app_id(spark), sf_dir.rstrip("/"))
     root = _LOGS.get(memo)
-    if still_there(root):
+    if root is not None:
         return root
     root = scratch_dir(spark, "events-log")
     publish(events_records(spark, sf_dir), root, "event_id")
@@ -102,150 +89,124 @@ def events_log(spark: SparkSession, sf_dir: str) -> str:
 # --------------------------------------------------------- mixed-shape order topic
 
 ORDERS_TOPIC = "food.orders"
-# An order's items go into one record. One record cannot grow without bound, so an order
-# (or a run of copies of one line) with more items than this is cut into several records.
-ITEMS_PER_RECORD = 1024
-# Sub-chunk numbers of one line-number chunk stay below this.
-_SUB = 1 << 20
+# Fixed value of the test topic: every so many orders the value is not JSON (shape 0).
+UNREADABLE_EVERY = 50
+# An order's lines in the log; lines that agree in all of these are equal records.
+LINE_ORDER = ("line", "l_partkey", "l_suppkey", "qty", "price")
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order and chunk: sorted items array, first sku and total quantity.
-
-    Items are chunked by line number; a chunk holding more than ``ITEMS_PER_RECORD`` rows
-    (possible with repeated line numbers) is split further by a hash of each row's file
-    position, so no single group — and no single task — collects an unbounded array. The
-    group sizes come from a partial aggregate; the join back is on the order key, where
-    adaptive execution splits a skewed partition.
-    """
-    from topicflow.session import widen
-
-    raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    li = widen(raw.select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        F.floor(F.col("l_linenumber") / ITEMS_PER_RECORD).cast("bigint").alias("_lchunk"),
-        F.struct(F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("sku"),
-                 F.col("l_quantity").cast("bigint").alias("qty")).alias("it"),
-        F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_pos")))
-    sizes = li.groupBy("o_orderkey", "_lchunk").agg(F.count(F.lit(1)).alias("_n"))
-    # pieces average half the limit, so the hash split keeps every piece under it
-    pieces = F.ceil(F.col("_n") * 2 / ITEMS_PER_RECORD)
-    sub = F.when(F.col("_n") > ITEMS_PER_RECORD, F.pmod(F.col("_pos"), pieces)).otherwise(0)
-    chunked = li.join(sizes, ["o_orderkey", "_lchunk"]).select(
-        "o_orderkey", (F.col("_lchunk") * _SUB + sub).cast("bigint").alias("chunk"), "it")
-    return (chunked.groupBy("o_orderkey", "chunk")
-            .agg(F.array_sort(F.collect_list("it")).alias("items"),
-                 F.sum(F.col("it.qty")).alias("total_qty")))
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders ⟕ lineitem ⟕ customer: a row per line item (one for an order without any), with ``line``, ``sku``,
+    ``qty``, ``price`` and an ``items`` array made of the row's own columns. A record never gathers rows, so an
+    order of any size is dealt with alike."""
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    j = (o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
+         .join(c, o["o_custkey"] == c["c_custkey"], "left"))
+    sku = F.concat(F.lit("part-"), F.col("l_partkey").cast("string"))
+    extra = F.concat(F.lit("supp-"), F.col("l_suppkey").cast("string"))
+    qty = F.col("l_quantity").cast("bigint")
+    items = F.when(F.col("l_orderkey").isNotNull(), F.array(
+        F.struct(sku.alias("sku"), qty.alias("qty")),
+        F.struct(extra.alias("sku"), F.lit(1).cast("bigint").alias("qty"))))
+    return j.select(
+        "o_orderkey", "o_custkey", "c_name", "o_orderdate", "o_orderstatus", "o_orderpriority",
+        F.coalesce("l_linenumber", F.lit(0)).cast("bigint").alias("line"), sku.alias("sku"), qty.alias("qty"),
+        items.alias("items"), F.coalesce("l_extendedprice", "o_totalprice").cast("double").alias("price"),
+        "l_partkey", "l_suppkey")
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders ⋈ items ⋈ customer as JSON values in five producer shapes (by priority):
+    """One record per order line as JSON values in five producer shapes (by priority):
 
     1 widget {id, item, ts}; 2 simple {order_id, user, item, quantity};
     3 cart {order_id, user_id, items[{sku,qty}], amount, status}; 4 food {order_id, seq,
     restaurant, items[sku], total, ts (no zone)}; 5 file {order_id (int), user, items, total,
-    status, ts (Z)}. Columns: o_orderkey, chunk, shape, key, value (+ envelope columns).
+    status, ts (Z)}; 0 a value that is not JSON. Columns: o_orderkey, line, shape, key, value (+ envelope
+    columns).
     """
     from topicflow.functions.records import encode_value
     from topicflow.operators.orders import RESTAURANTS
 
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    it = order_items(spark, sf_dir)
-    j = (o.join(it, "o_orderkey", "left")
-         .join(c, o["o_custkey"] == c["c_custkey"], "left")
-         .withColumn("chunk", F.coalesce(F.col("chunk"), F.lit(0).cast("bigint"))))
-    shape = F.substring("o_orderpriority", 1, 1).try_cast("int")
-    first_sku = F.col("items")[0]["sku"]
+    j = order_lines(spark, sf_dir)
+    okey = F.col("o_orderkey")
+    shape = F.when(okey % UNREADABLE_EVERY == 0, F.lit(0)).otherwise(
+        F.substring("o_orderpriority", 1, 1).try_cast("int"))
     ts_z = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     ts_local = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    okey = F.col("o_orderkey")
     rest = F.element_at(F.array(*[F.lit(r) for r in RESTAURANTS]),
                         (F.pmod(F.col("o_custkey"), F.lit(len(RESTAURANTS))) + 1).cast("int"))
     value = (
-        F.when(shape == 1, encode_value(okey.alias("id"), first_sku.alias("item"),
-                                        ts_z.alias("ts")))
+        F.when(shape == 0, F.concat(F.lit("unreadable order "), okey.cast("string")).cast("binary"))
+        .when(shape == 1, encode_value(okey.alias("id"), F.col("sku").alias("item"), ts_z.alias("ts")))
         .when(shape == 2, encode_value(F.concat(F.lit("o"), okey.cast("string")).alias("order_id"),
-                                       F.col("c_name").alias("user"), first_sku.alias("item"),
-                                       F.col("total_qty").alias("quantity")))
+                                       F.col("c_name").alias("user"), F.col("sku").alias("item"),
+                                       F.col("qty").alias("quantity")))
         .when(shape == 3, encode_value(F.substring(F.md5(okey.cast("string")), 1, 8).alias("order_id"),
                                        F.col("o_custkey").alias("user_id"), F.col("items"),
-                                       F.round("o_totalprice", 2).alias("amount"),
+                                       F.round("price", 2).alias("amount"),
                                        F.lit("CREATED").alias("status")))
         .when(shape == 4, encode_value(F.md5(okey.cast("string")).alias("order_id"),
                                        okey.alias("seq"), rest.alias("restaurant"),
                                        F.transform("items", lambda x: x["sku"]).alias("items"),
-                                       F.col("o_totalprice").alias("total"), ts_local.alias("ts")))
+                                       F.col("price").alias("total"), ts_local.alias("ts")))
         .otherwise(encode_value(okey.alias("order_id"), F.col("c_name").alias("user"),
-                                F.col("items"), F.col("o_totalprice").alias("total"),
+                                F.col("items"), F.col("price").alias("total"),
                                 F.lit("PLACED").alias("status"), ts_z.alias("ts")))
     )
     key = F.when(shape.isin(2, 5), F.col("c_name"))
     return j.select(
-        "o_orderkey", "chunk", shape.alias("shape"),
+        "o_orderkey", "line", shape.alias("shape"),
         key.cast("binary").alias("key"), value.alias("value"),
         F.lit(ORDERS_TOPIC).alias("topic"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
-        (okey + F.col("chunk")).alias("seq_no"),
-        key.alias("key_text"),
+        (okey + F.col("line")).alias("seq_no"),
+        key.alias("key_text"), "l_partkey", "l_suppkey", "qty", "price",
     )
 
 
-def orders_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixed-shape order topic with partitions (key rule / round-robin) and offsets."""
-    from topicflow.operators.publish import assign_offsets, assign_partition
-
-    recs = assign_partition(order_records(spark, sf_dir), "key_text", PARTITIONS, seq="seq_no")
-    return assign_offsets(recs, "o_orderkey", tie_breakers=("chunk",)).drop("key_text")
-
-
 def orders_log(spark: SparkSession, sf_dir: str) -> str:
     """Root of a Parquet file log holding the order topic, written once per application."""
     from topicflow.operators.publish import assign_partition, publish
     from topicflow.session import scratch_dir
 
-    memo = (app_id(spark), os.path.abspath(sf_dir) + "#orders")
+    memo = (app_id(spark), sf_dir.rstrip("/") + "#orders")
     root = _LOGS.get(memo)
-    if still_there(root):
+    if root is not None:
         return root
     root = scratch_dir(spark, "orders-log")
     recs = assign_partition(order_records(spark, sf_dir), "key_text", PARTITIONS, seq="seq_no")
-    publish(recs, root, "o_orderkey", tie_breakers=("chunk",))
+    publish(recs, root, "o_orderkey", tie_breakers=LINE_ORDER)
     _LOGS[memo] = root
     return root
 
 
 def order_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order in the order-file shape as JSON lines, as a producer's file would hold
-    them: lines of pending orders padded with spaces, and a blank line after each urgent
-    open order."""
+    """Every order line in the order-file shape as JSON lines, as a producer's file would hold
+    them: lines of pending orders padded with spaces and tabs, and a blank line after each line of an
+    urgent open order."""
     from topicflow.functions.records import encode_value
 
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    # one line per order record: a very large order spans several lines (see order_items)
-    it = order_items(spark, sf_dir).drop("chunk", "total_qty")
-    j = o.join(it, "o_orderkey", "left").join(c, o["o_custkey"] == c["c_custkey"], "left")
+    j = order_lines(spark, sf_dir)
     line = encode_value(F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("user"),
-                        "items", F.col("o_totalprice").alias("total"),
+                        "items", F.col("price").alias("total"),
                         F.lit("PLACED").alias("status"),
                         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"),
                         ).cast("string")
-    padded = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("  "), line, F.lit(" ")))\
+    padded = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit(" \t"), line, F.lit("\t ")))\
         .otherwise(line)
-    lines = j.select(padded.alias("value"))
-    blanks = j.where((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT"))\
-        .select(F.lit("   ").alias("value"))
-    return lines.unionByName(blanks)
+    blank = (F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT")
+    return j.select(F.explode(F.when(blank, F.array(padded, F.lit(" \t "))).otherwise(F.array(padded))).alias("value"))
 
 
 def order_file_dir(spark: SparkSession, sf_dir: str) -> str:
     """Folder of JSON-lines order files derived from the driver tables (written once)."""
     from topicflow.session import scratch_dir
 
-    memo = (app_id(spark), os.path.abspath(sf_dir) + "#jsonl")
+    memo = (app_id(spark), sf_dir.rstrip("/") + "#jsonl")
     root = _LOGS.get(memo)
-    if still_there(root):
+    if root is not None:
         return root
     root = scratch_dir(spark, "order-files")
     order_file_lines(spark, sf_dir).write.mode("overwrite").text(root + "/in")

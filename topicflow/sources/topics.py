@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.schema import ENVELOPE, ENVELOPE_COLUMNS
-from topicflow.session import widen
 
 EARLIEST = "earliest"
 LATEST = "latest"
@@ -64,7 +63,7 @@ def read_topic(spark: SparkSession, source: str, topics: str | Sequence[str] | N
             raise ValueError("a file-log stream starting at 'latest' needs its checkpoint folder")
         df = from_positions(df, first_start_positions(spark, source, checkpoint),
                             column="log_end_offset")
-    return df if streaming else widen(df)
+    return df
 
 
 START_POSITIONS_DIR = "_tf_start_positions"
@@ -79,19 +78,15 @@ def first_start_positions(spark: SparkSession, root: str, checkpoint: str) -> Da
     """
     from pyspark.errors import AnalysisException
 
+    from topicflow.operators.publish import read_log_ends
+
     path = f"{checkpoint.rstrip('/')}/{START_POSITIONS_DIR}"
     try:
         return spark.read.parquet(path)
     except AnalysisException:
         pass
-    schema = "topic string, partition int, log_end_offset bigint"
-    try:
-        ends = (spark.read.parquet(f"{root.rstrip('/')}/_log_ends")
-                .groupBy("topic", "partition")
-                .agg(F.max("log_end_offset").alias("log_end_offset")))
-    except AnalysisException:  # empty log: everything is new
-        ends = spark.createDataFrame([], schema)
-    ends.write.mode("overwrite").parquet(path)
+    ends = read_log_ends(spark, root).where("topic is not null")
+    ends.select("topic", "partition", "log_end_offset").write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -137,20 +132,17 @@ def from_positions(records: DataFrame, positions: DataFrame,
     """Records at or past a group's committed position (resume in batch).
 
     ``positions`` holds one row per (topic, partition); partitions without a row are read
-    from the beginning. The positions table is small (one row per topic partition), so it is
-    broadcast when its checked size allows and shuffled otherwise.
+    from the beginning. Adaptive execution broadcasts it when it is measured small.
     """
     pos = positions.select("topic", "partition", F.col(column).alias("_tf_from"))
-    pos = broadcast_if_small(pos)
     return (records.join(pos, ["topic", "partition"], "left")
             .where(F.col("_tf_from").isNull() | (F.col("offset") >= F.col("_tf_from")))
             .drop("_tf_from"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast hint only after counting that ``df`` is within ``max_rows``.
-
-    Meant for materialised side tables (positions, group lists); the count is one cheap job.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def union_topics(*frames: DataFrame) -> DataFrame:
+    """Records of topics whose frames differ in columns as one frame; what a frame lacks is null."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

@@ -10,7 +10,10 @@ source is read at least once.
 
 from __future__ import annotations
 
+import hashlib
+from collections import deque
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +61,15 @@ def run_worker(stream: DataFrame, transform: Transform, output: str, checkpoint:
     return _trigger(w, trigger).start()
 
 
-def read_outcome(spark: SparkSession, output: str, outcome: str = OK) -> DataFrame:
-    """Rows a worker wrote with one outcome, across all its batches."""
-    return spark.read.parquet(output).where(F.col("outcome") == outcome).drop("outcome")
+def read_outcome(spark: SparkSession, output: str, outcome: str = OK, schema=None) -> DataFrame:
+    """Rows a worker wrote with one outcome, across all its batches. A worker that has met no record yet reads as
+    an empty frame of ``schema``."""
+    rows = _written(spark, output)
+    if rows is None:
+        if schema is None:
+            raise ValueError(f"nothing was written to {output}: give the schema of an empty result")
+        return spark.createDataFrame([], schema)
+    return rows.where(F.col("outcome") == outcome).drop("outcome")
 
 
 def copy_stream(stream: DataFrame, output: str, checkpoint: str, *, fmt: str = "parquet",
@@ -79,53 +88,88 @@ def publish_stream(stream: DataFrame, root: str, checkpoint: str, *, partitions:
                    trigger: str | None = "availableNow") -> StreamingQuery:
     """Continuously append a stream of records (key/value/headers/topic) to a file log.
 
-    Each micro-batch gets partitions (by key, or spread), dense offsets continuing the log
-    ends saved by the previous batch (a small table, so no scan of the log), and is written
-    as publish batch ``batch_id``: a micro-batch replayed after a failure replaces its own
-    files instead of appending twice.
+    Each micro-batch gets partitions (by key, or spread) and dense offsets behind the log's current ends. It
+    is published under an id made of the checkpoint folder and the batch number, so that a micro-batch
+    replayed after a failure replaces its own files, and a stream on a log that others filled only appends.
+    The batch is checkpointed once before anything is derived from it.
     """
     from topicflow.functions.partitioning import choose_partition
-    from topicflow.operators.publish import log_ends, publish, read_log_ends
+    from topicflow.operators.publish import publish
 
-    spark = stream.sparkSession
+    writer = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        ends = read_log_ends(spark, root, batch_id - 1) if batch_id > 0 else None
-        if ends is None and batch_id > 0:  # cold start on a log without saved ends
-            from topicflow.schema import ENVELOPE
-            ends = log_ends(spark.read.schema(ENVELOPE).parquet(root))
         k = F.lit(None).cast("string") if key_text is None else (
             F.col(key_text) if isinstance(key_text, str) else key_text)
-        # The sequence is the row's place in the micro-batch scan (task index + position).
-        # A file source reads a batch's files in the same splits and order every time, so
-        # both branches of the numbering (and a replay) see the same sequence.
         recs = (batch.withColumn("partition", choose_partition(k, partitions))
                 .withColumn("_tf_seq", F.monotonically_increasing_id()))
-        publish(recs, root, "_tf_seq", ends=ends, batch=batch_id)
+        publish(recs, root, "_tf_seq", publish_id=f"{writer}-{batch_id}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
-def dedup_stream(stream: DataFrame, keys: Sequence[str] = POSITION, ts: str = "timestamp",
-                 delay: str = "31 days") -> DataFrame:
-    """Drop replayed records: first copy of each key within the watermark delay wins.
+# Results that must not depend on how the input falls into micro-batches are written as one partial result per
+# batch and completed when they are read: no watermark, so nothing is ever late, and no state that grows.
+
+def partial_results(stream: DataFrame, partial: Transform, output: str, checkpoint: str,
+                    trigger: str | None = "availableNow") -> StreamingQuery:
+    """``partial`` of every micro-batch under ``output/batch_id=<n>``; a replayed batch overwrites its own."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch_id={batch_id}")
 
-    Set ``delay`` longer than the span a replay can cover; rows older than the watermark
-    are dropped as late by Spark, so too short a delay would drop new late rows as well.
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def dedup_stream(stream: DataFrame, output: str, checkpoint: str, keys: Sequence[str] = POSITION,
+                 trigger: str | None = "availableNow") -> StreamingQuery:
+    """Write each record once, whatever a replay delivers again and however long after.
+
+    A micro-batch keeps its first copy of each key that no other batch has written. What was written is
+    read by the keys only, and only within the batch's own range of them, so that the scan is pruned.
     """
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    spark = stream.sparkSession
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        new = batch.dropDuplicates(list(keys))
+        written = _written(spark, output)
+        if written is not None:
+            last = keys[-1]
+            low, high = batch.agg(F.min(last), F.max(last)).first()
+            written = written.where(F.col("batch_id") != batch_id)
+            if low is not None:
+                written = written.where(F.col(last).isNull() | F.col(last).between(F.lit(low), F.lit(high)))
+            written = written.select(*[F.col(k).alias(f"_w_{k}") for k in keys])
+            new = new.join(written, reduce(lambda a, b: a & b, [
+                F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]), "left_anti")
+        new.write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch_id={batch_id}")
+
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def _written(spark: SparkSession, output: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(output)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def window_counts(stream: DataFrame, output: str, checkpoint: str, size: str, by: Sequence[str] = ("topic",),
+                  ts: str = "timestamp", trigger: str | None = "availableNow") -> StreamingQuery:
+    """Records per tumbling event-time window, as partial counts per micro-batch (:func:`read_window_counts`)."""
+    from topicflow.operators.progress import rate_window
+    return partial_results(stream, lambda b: rate_window(b, size, by, ts), output, checkpoint, trigger)
 
 
-def stream_window_counts(stream: DataFrame, size: str, by: Sequence[str] = ("topic",),
-                         ts: str = "timestamp", delay: str = "10 minutes") -> DataFrame:
-    """Records per tumbling event-time window; a window is emitted once the watermark
-    passes its end (append mode), so state stays bounded by the delay."""
-    return (stream.withWatermark(ts, delay)
-            .groupBy(*by, F.window(F.col(ts), size).alias("w"))
-            .agg(F.count(F.lit(1)).alias("records"))
-            .select(*by, F.col("w.start").alias("window_start"),
-                    F.col("w.end").alias("window_end"), "records"))
+def read_window_counts(spark: SparkSession, output: str, by: Sequence[str] = ("topic",)) -> DataFrame:
+    """The windows' counts so far."""
+    return spark.read.parquet(output).groupBy(*by, "window_start", "window_end").agg(
+        F.sum("records").alias("records"))
 
 
 def run_group_streams(streams: dict[str, DataFrame], output: str, checkpoint_root: str, *,
@@ -180,11 +224,18 @@ def read_group_outputs(spark: SparkSession, output: str, groups, schema=None) ->
     return out
 
 
-def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
+def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None, late_rows_ok: bool = False) -> None:
+    """Wait for all queries to end. Raises when one fails, is still running after ``timeout_s``, or dropped rows
+    behind its watermark that the caller did not declare."""
     for q in queries:
-        q.awaitTermination(timeout_s)
+        ended = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+        if timeout_s is not None and not ended:
+            raise TimeoutError(f"the query {q.name or q.id} is still running after {timeout_s} s")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+        late = sum(o.numRowsDroppedByWatermark for p in q.recentProgress for o in p.stateOperators)
+        if late and not late_rows_ok:
+            raise RuntimeError(f"the query {q.name or q.id} dropped {late} rows behind its watermark")
 
 
 def observed(stream: DataFrame, name: str, *metrics: Column) -> DataFrame:
@@ -194,11 +245,11 @@ def observed(stream: DataFrame, name: str, *metrics: Column) -> DataFrame:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Listener keeping progress and idle notices: records per batch, input rate, metrics."""
+    """Listener keeping the latest progress and idle notices: records per batch, input rate, metrics."""
 
-    def __init__(self):
-        self.progress: list[dict] = []
-        self.idle: list[str] = []
+    def __init__(self, keep: int = 1000):
+        self.progress: deque[dict] = deque(maxlen=keep)
+        self.idle: deque[str] = deque(maxlen=keep)
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
