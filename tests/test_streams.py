@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from topicflow.operators.progress import order_check, rate_window
 from topicflow.operators.publish import assign_partition, delivery_report, forget_old_ends, publish, read_log_ends
 from topicflow.schema import ENVELOPE
-from topicflow.sources.files import read_jsonl
+from topicflow.sources.files import read_jsonl, read_numbered_jsonl
 from topicflow.sources.topics import read_topic
 from topicflow.streaming import streams as ST
 
@@ -72,6 +72,22 @@ def test_jsonl_blank_and_padded_lines(spark, scratch):
     assert got == ['{"order_id": 1}', '{"order_id": 2}']
 
 
+def test_line_numbers_of_split_files(spark, scratch):
+    d = scratch("jsonl")
+    want = {}
+    for name, n in (("a", 4000), ("b", 7)):
+        lines = [f'{{"n": {i}}}' if i % 5 else "  " for i in range(n)]
+        with open(f"{d}/{name}.jsonl", "w") as f:
+            f.write("\n".join(lines) + "\n")
+        want |= {(name, i + 1): line for i, line in enumerate(lines) if line.strip()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # many splits per file
+    try:
+        got = read_numbered_jsonl(spark, d).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {(r.file.rsplit("/", 1)[1][0], r.line_no): bytes(r.value).decode() for r in got} == want
+
+
 def test_bounded_fetch_progress_and_stop(spark, scratch):
     """maxFilesPerTrigger bounds each micro-batch; observe() metrics reach the listener;
     a processing-time query stopped and restarted on its checkpoint loses nothing."""

@@ -72,7 +72,15 @@ INPUT_TABLE = {
 }
 
 
-def input_table(name: str) -> str:
+# Reports that read a side table, or one topic of several.
+PART_READERS = {"topic_ends", "list_groups", "stored_lag", "start_earliest", "start_latest", "multi_topic",
+                "read_from_positions"}
+
+
+def input_table(name: str) -> str | None:
+    """The table a report reads whole, for records per second; None for other queries."""
+    if name in PART_READERS or name not in REGISTRY:
+        return None
     return INPUT_TABLE.get(name, "events")
 
 
