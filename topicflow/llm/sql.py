@@ -68,8 +68,44 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
 
 
+_NAME = "|".join(
+    "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in name)
+    for name in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = f"""({_NAME})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SECRET_KINDS = [(0, _ASSIGN), (1, "AKIA[A-Z0-9]{12,}"), (2, "[0-9a-f]{32,}"), (3, "[A-Za-z0-9+/_-]{20,}")]
+
+SECRET_SCAN = f"""
+WITH found AS (
+  {" UNION ALL ".join(
+      f"SELECT doc_id, source, {kind} AS kind, regexp_extract_all(text, '{pattern}') AS m, "
+      f"string_split_regex(text, '{pattern}') AS gaps FROM documents" for kind, pattern in _SECRET_KINDS)}),
+places AS (
+  SELECT doc_id, source, kind, u.i, m[u.i] AS body,
+         list_sum(list_transform(gaps[1:u.i], lambda x: length(x)))
+           + coalesce(list_sum(list_transform(m[1:u.i - 1], lambda x: length(x))), 0) AS start
+  FROM found, LATERAL (SELECT unnest(range(1, len(m) + 1)) AS i) u),
+spans AS (
+  SELECT *, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || CAST(CAST(start AS BIGINT) AS VARCHAR) || ':'
+            || CAST(CAST(start AS BIGINT) + length(body) AS VARCHAR) AS name
+  FROM places
+  WHERE CASE kind WHEN 0 THEN length(regexp_extract(body, '{_ASSIGN}', 2)) >= 8
+                  WHEN 3 THEN length(regexp_replace(body, '[^0-9]', '', 'g')) >= 3
+                              AND length(regexp_replace(body, '[^A-Za-z]', '', 'g')) >= 3
+                              AND len(list_distinct(string_split(body, ''))) >= 10
+                  ELSE true END),
+owners AS (SELECT body, count(DISTINCT coalesce(source, '')) AS n FROM spans WHERE kind = 3 GROUP BY body),
+judged AS (SELECT s.*, kind < 3 OR o.n <= 2 AS kept FROM spans s LEFT JOIN owners o ON s.kind = 3 AND s.body = o.body)
+SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+       count(*) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(name, ',' ORDER BY start, kind) FILTER (kept), '') AS spans,
+       count(*) FILTER (kind = 3 AND kept) AS n_owned, count(*) FILTER (NOT kept) AS n_examples
+FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_secret_scan": SECRET_SCAN,
         "op2_line_dedup": LINE_DEDUP,
         "op6_sharding": SHARDING.format(limit=sharding.LIMIT),
         "op10_benchmark_decontamination": DECONTAMINATION,
