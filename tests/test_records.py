@@ -59,3 +59,33 @@ def test_encode_keeps_nulls_and_microseconds(spark):
     df = spark.sql("select cast(null as string) a, timestamp_ntz'2024-01-01 00:00:07.179575' ts")
     text = df.select(R.encode_value("a", "ts").cast("string")).first()[0]
     assert text == '{"a":null,"ts":"2024-01-01T00:00:07.179575"}'
+
+
+def test_tolerant_decode_of_odd_values(spark):
+    values = [b'{"a":1,"a":2}', b"\xff\xfe", b"plain", None, b"5"]
+    df = spark.createDataFrame([(i, v and bytearray(v)) for i, v in enumerate(values)], "i int, value binary")
+    got = {r.i: r for r in df.select("i", R.decode_json_or_text().alias("d")).select(
+        "i", F.try_variant_get("d.json", "$.a", "int").alias("a"), "d.raw", "d.is_json", "d.raw_bytes").collect()}
+    assert got[0].is_json and got[0].a == 2                        # the last of a repeated name counts
+    assert not got[1].is_json and got[1].raw is None and bytes(got[1].raw_bytes) == values[1]
+    assert (got[2].is_json, got[2].raw, got[2].raw_bytes) == (False, "plain", None)
+    assert (got[3].is_json, got[3].raw, got[3].raw_bytes) == (False, None, None) and got[4].is_json
+
+
+def test_strip_and_blank_values(spark):
+    texts = ["\t a \r\n", " b　", "\x1cc\x1f", " \t", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    assert [r[0] for r in df.select(R.strip("t")).collect()] == [t.strip() for t in texts]
+    import pytest
+    blank = spark.createDataFrame([(bytearray(b"\t"),)], "value binary")
+    with pytest.raises(Exception, match="empty or null"):
+        blank.select(R.decode_json_strict("value", "a int")).collect()
+
+
+def test_record_line_and_union_of_topics(spark):
+    from topicflow.sources.topics import union_topics
+    a = spark.createDataFrame([(1, 2, bytearray(b"k"), bytearray(b"v"))], "partition int, offset bigint, key binary, value binary")
+    assert a.select(R.record_line()).first()[0] == "partition=1 offset=2 key=k value=v"
+    b = spark.createDataFrame([(3, "x")], "partition int, extra string")
+    both = {r.partition: r for r in union_topics(a, b).collect()}
+    assert both[1].extra is None and both[3].offset is None and both[3].extra == "x"

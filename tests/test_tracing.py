@@ -43,3 +43,14 @@ def test_link_spans_parent_and_root(spark):
     got = {r.offset: r for r in TS.link_spans(TS.consume_spans(recs), produced).collect()}
     assert got[0].parent_span_id == SID and got[0].parent_who == "api" and got[0].trace_id == TID
     assert got[1].parent_span_id is None and got[1].parent_who is None
+
+
+def test_all_zero_context_is_no_parent(spark):
+    hdr = "array<struct<key:string,value:binary>>"
+    zeros = [f"00-{'0' * 32}-{SID}-01", f"00-{TID}-{'0' * 16}-01", f"00-{'0' * 32}-{'0' * 16}-01"]
+    recs = spark.createDataFrame(
+        [("g", "t", 0, i, [("traceparent", bytearray(z.encode()))]) for i, z in enumerate(zeros)],
+        f"group string, topic string, partition int, offset bigint, headers {hdr}")
+    spans = TS.consume_spans(recs).collect()
+    assert all(r.parent_span_id is None and r.trace_id.strip("0") for r in spans)
+    assert len({r.trace_id for r in spans}) == 3
