@@ -20,10 +20,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KEPT_PIECES = 500_000
+KEPT_PIECES = 300_000
 KEPT_LENGTH = 64
-SLICE_PIECES = 400_000
-_UNSAFE = r"[\s\x1c-\x1f] "
+SLICE_PIECES = 100_000
+BATCH_BYTES = 16_000_000
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -82,6 +82,15 @@ class Encoder:
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        a = 0
+        while a < len(texts):  # bounded memory: about BATCH_BYTES of text at a time, or one longer text
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BATCH_BYTES, "right")))
+            for first, ids, offsets in self._documents(texts.slice(a, b - a)):
+                yield a + first, ids, offsets
+            a = b
+
+    def _documents(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         unsafe = np.flatnonzero(pc.match_substring_regex(texts, r"[\pZ\s\x1c-\x1f\x{85}] ").to_numpy(zero_copy_only=False))
         pieces = pc.split_pattern(texts, " ")
         if len(unsafe):
