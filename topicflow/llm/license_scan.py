@@ -87,8 +87,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
         for batch in batches:
             raw, offsets = utf8_column(batch.column("text"))
             a = 0
-            while a < batch.num_rows:  # about 4 MB of text at a time
-                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + (1 << 22), "right")) - 1)
+            while a < batch.num_rows:  # about 1 MB of text at a time
+                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + (1 << 20), "right")) - 1)
                 words = Words(raw[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
                 hashes, bounds = gram_hashes(words)
                 part = batch.slice(a, b - a)

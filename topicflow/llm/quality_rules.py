@@ -77,8 +77,8 @@ def with_statistics(docs: DataFrame, text_col: str, into: str) -> DataFrame:
         for batch in batches:
             raw, offsets = utf8_column(batch.column(text_col))
             found, a = [], 0
-            while a < batch.num_rows:  # about 4 MB of text at a time
-                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + (1 << 22), "right")) - 1)
+            while a < batch.num_rows:  # about 1 MB of text at a time
+                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + (1 << 20), "right")) - 1)
                 found.append(statistics(raw[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]))
                 a = b
             values = np.concatenate(found) if found else np.empty((0, len(STATISTICS)))
