@@ -120,8 +120,8 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *, publish_i
     Records without topic or partition fail and are kept under ``<root>/_rejects``. Offsets continue the log
     (``existing``, the log as read now, is scanned only when the log has no side table yet). With a
     ``publish_id`` that was published before, that publish is replaced instead of repeated. One writer per
-    log at a time keeps offsets dense. The records are computed once: a checkpoint holds them while
-    numbers, files, ends and report are made. For ``fmt="kafka"``, ``root`` is the bootstrap servers, the
+    log at a time keeps offsets dense. A checkpoint holds the records while numbers, files, ends and report
+    are made (before it, range partitioning samples the input once). For ``fmt="kafka"``, ``root`` is the bootstrap servers, the
     broker assigns offsets itself and there is no report.
     """
     if fmt == "kafka":
