@@ -23,6 +23,21 @@ def test_secrets_of_awkward_rows(tables):
     assert secret_scan.scan(tables[1]).count() == 0
 
 
+def test_examples_of_one_source_are_copied_by_many_repositories(spark):
+    example, own, key = "Ex4mpleKeyOfOneS0urce7", "0wned8yAnOwner9TimesXyz", "OfTwoS0urces3InManyRepos1"
+    rows = [(i, f"copied {example}", "hot") for i in range(11)] + [(i, f"mine {own} {own}", "hot") for i in range(20, 30)]
+    rows += [(i, f"copied {key}", "ab"[i % 2]) for i in range(40, 52)]
+    rows += [(i, "nobody N0b0dysKeyInManyRep0s", None) for i in range(60, 72)]
+    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for r in found.collect():
+        if 20 <= r.doc_id < 30:
+            assert [(s.kind, s.owners, s.repos) for s in r.spans] == [(3, 1, 10)] * 2 and r.n_examples == 0
+        else:
+            assert not r.spans and r.n_examples == 1
+    all_kept = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_repos=12)
+    assert all_kept.where("n_examples > 0").count() == 0
+
+
 def test_secret_scan_runs_no_python(spark, sf):
     plan = queries.op1_secret_scan(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -4,8 +4,9 @@ Three kinds of spans come from patterns alone: ``assign`` (a password-like name,
 characters or more), ``access`` (``AKIA...``) and ``hex``. A fourth, ``owned``, needs the whole corpus: runs of
 20 or more token characters that look alive (letters and digits, ten different characters) are candidates,
 whose hashes are aggregated by distinct repositories and owners. A candidate with at most ``max_owners``
-owners is somebody's own credential and becomes a span, however often that owner repeats it; one that more
-owners share is a widely copied example and is only counted.
+owners and at most ``max_repos`` repositories is somebody's own credential and becomes a span, however often a
+repository repeats it; one that more owners share, or that lies in more repositories of whatever owners, is a
+widely copied example and is only counted.
 
 Texts are read once; what is shuffled are matches and one narrow row per document. Counts are aggregated
 before they are shuffled, by (hash, repository) and (hash, owner), so that an example in a third of all
@@ -55,9 +56,9 @@ def _alive(match: Column) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         repo_col: str = "doc_id", max_owners: int = 2) -> DataFrame:
-    """Per row of ``docs``: the id column, ``spans`` (array of start, kind, end; by start, then kind), and
-    ``n_examples`` (candidates that are widely copied)."""
+         repo_col: str = "doc_id", max_owners: int = 2, max_repos: int = 10) -> DataFrame:
+    """Per row of ``docs``: the id column, ``spans`` (array of start, kind, end, and the owners and repos of an
+    ``owned`` one; by start, then kind), and ``n_examples`` (candidates that are widely copied)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.col(id_col).alias("id"), F.col(owner_col).cast("string").alias("owner"),
                       F.col(repo_col).cast("string").alias("repo"),
@@ -77,10 +78,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     spread = candidates.groupBy("h1", "h2").agg(
         F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"))
     judged = candidates.join(spread, ["h1", "h2"]).select(
-        "row", "kind", "start", "end", (F.col("owners") <= max_owners).alias("span"))
-    every = found.where("kind < 3").select("row", "kind", "start", "end", F.lit(True).alias("span")).unionByName(judged)
+        "row", "kind", "start", "end", "owners", "repos",
+        ((F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)).alias("span"))
+    base = found.where("kind < 3").select("row", "kind", "start", "end", F.lit(True).alias("span"))
+    every = base.unionByName(judged, allowMissingColumns=True)
     by_row = every.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.when(F.col("span"), F.struct("start", "kind", "end")))).alias("spans"),
+        F.sort_array(F.collect_list(F.when(F.col("span"), F.struct("start", "kind", "end", "owners", "repos")))).alias("spans"),
         F.count_if(~F.col("span")).alias("n_examples"))
     return own.select("row", "id").join(by_row, "row", "left").select(
         F.col("id").alias(id_col), F.coalesce("spans", F.expr("array()")).alias("spans"),
