@@ -3,10 +3,12 @@
 Three kinds of spans come from patterns alone: ``assign`` (a password-like name, a sign, a value of eight
 characters or more), ``access`` (``AKIA...``) and ``hex``. A fourth, ``owned``, needs the whole corpus: runs of
 20 or more token characters that look alive (letters and digits, ten different characters) are candidates,
-whose hashes are aggregated by distinct repositories and owners. A candidate with at most ``max_owners``
-owners and at most ``max_repos`` repositories is somebody's own credential and becomes a span, however often a
-repository repeats it; one that more owners share, or that lies in more repositories of whatever owners, is a
-widely copied example and is only counted.
+and so is the value of every other span (what is assigned, or the whole match), whatever its length. The hashes
+of all candidates are aggregated by distinct repositories and owners, a value being one candidate however it
+was found. A candidate with at most ``max_owners`` owners and at most ``max_repos`` repositories is somebody's
+own credential, however often a repository repeats it; one that more owners share, or that lies in more
+repositories of whatever owners, is a widely copied example. Of the long runs, the first become spans and the
+others are only counted; the spans of the three patterns stay either way and carry the verdict.
 
 Texts are read once; what is shuffled are matches and one narrow row per document. Counts are aggregated
 before they are shuffled, by (hash, repository) and (hash, owner), so that an example in a third of all
@@ -57,8 +59,8 @@ def _alive(match: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
          repo_col: str = "doc_id", max_owners: int = 2, max_repos: int = 10) -> DataFrame:
-    """Per row of ``docs``: the id column, ``spans`` (array of start, kind, end, and the owners and repos of an
-    ``owned`` one; by start, then kind), and ``n_examples`` (candidates that are widely copied)."""
+    """Per row of ``docs``: the id column, ``spans`` (array of start, kind, end, the value's owners and repos,
+    and whether it is owned; by start, then kind), and ``n_examples`` (long runs that are widely copied)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.col(id_col).alias("id"), F.col(owner_col).cast("string").alias("owner"),
                       F.col(repo_col).cast("string").alias("repo"),
@@ -72,19 +74,19 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     value = F.regexp_extract("match", PATTERNS[0], 2)
     found = found.where(F.when(F.col("kind") == 0, F.length(value) >= 8)
                         .when(F.col("kind") == 3, _alive(F.col("match"))).otherwise(True))
-    found = found.withColumns({"h1": F.xxhash64("match"), "h2": F.xxhash64(F.lit(1), "match")})
+    value = F.when(F.col("kind") == 0, value).otherwise(F.col("match"))
+    found = found.withColumns({"h1": F.xxhash64(value), "h2": F.xxhash64(F.lit(1), value)})
 
-    candidates = found.where("kind = 3").withColumns({c: F.coalesce(c, F.lit("")) for c in ("owner", "repo")})
+    candidates = found.withColumns({c: F.coalesce(c, F.lit("")) for c in ("owner", "repo")})
     spread = candidates.groupBy("h1", "h2").agg(
         F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"))
-    judged = candidates.join(spread, ["h1", "h2"]).select(
-        "row", "kind", "start", "end", "owners", "repos",
-        ((F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)).alias("span"))
-    base = found.where("kind < 3").select("row", "kind", "start", "end", F.lit(True).alias("span"))
-    every = base.unionByName(judged, allowMissingColumns=True)
-    by_row = every.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.when(F.col("span"), F.struct("start", "kind", "end", "owners", "repos")))).alias("spans"),
-        F.count_if(~F.col("span")).alias("n_examples"))
+    owned = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
+    judged = candidates.join(spread, ["h1", "h2"]).withColumn("owned", owned)
+    span = F.col("owned") | (F.col("kind") < 3)
+    by_row = judged.groupBy("row").agg(
+        F.sort_array(F.collect_list(F.when(span, F.struct("start", "kind", "end", "owners", "repos", "owned"))))
+        .alias("spans"),
+        F.count_if(~span).alias("n_examples"))
     return own.select("row", "id").join(by_row, "row", "left").select(
         F.col("id").alias(id_col), F.coalesce("spans", F.expr("array()")).alias("spans"),
         F.coalesce("n_examples", F.lit(0)).alias("n_examples"))
