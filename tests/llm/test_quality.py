@@ -39,6 +39,21 @@ def test_awkward_rows(spark, tables):
     assert quality_rules.score(tables[0], none, into="value").select("value").distinct().collect() == [(1.0,)]
 
 
+def test_a_repeated_id_does_not_crowd_out_the_others(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:20]
+    docs = [(ids[0], "one text")] * 100 + [(ids[1], "many texts " * n) for n in range(1, 101)]
+    docs += [(i, f"text {'!' * i}") for i in ids[2:]]
+    labels = [(ids[0], 0)] * 50 + [(i, i % 2) for i in ids]
+    seen = []
+    monkeypatch.setattr(quality_rules, "fit", lambda x, y: seen.append((x, y)))
+    quality_rules.train(spark.createDataFrame(docs, "doc_id long, text string"),
+                        spark.createDataFrame(labels, "doc_id long, quality int"), max_rows=20)
+    (x, y), = seen
+    bangs = x[:, quality_rules.STATISTICS.index("bangs")]
+    assert len(y) == 40 and len(set(bangs[bangs > 0])) == sum(i > 0 for i in ids[2:])
+    assert sum(b > 0 for b in bangs) == sum(i > 0 for i in ids[2:]) and set(y) == {0, 1}
+
+
 def test_compiled_expression_equals_the_model(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = quality_rules.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))

@@ -3,11 +3,14 @@
 Small trees are grown on samples of the labelled rows; every path from a root to a node is a rule, a conjunction
 of bounds on statistics. A lasso logistic fit weighs the rules, most of them with zero, and the rest is compiled
 into one Spark column expression. Statistics come from whole texts, in one pass over the documents; nothing is
-shuffled. The fit runs on the driver, on the statistics of at most ``max_rows`` labelled rows (those with the
-smallest hashes of their ids): that bound is a parameter and doesn't depend on the data; scores cover all rows.
+shuffled but the distinct rows of the fit. The fit runs on the driver, on the statistics of at most ``max_rows``
+distinct labels (those with the smallest hashes of their ids) and at most twice as many rows: that bound is a
+parameter and doesn't depend on the data; scores cover all rows. Rows of one id, label and statistics are one row
+of the fit, each chosen label with a document has one, and what else there is under repeated ids comes in the
+order of a hash of the row, so that no id crowds out the others.
 
 Defined results: a null text is an empty one, and is scored; repeated rows score alike; label rows without id or
-label are passed over, several labels of a document all count; without any label, every score is 1 (nothing
+label are passed over, different labels of a document all count; without any label, every score is 1 (nothing
 is known against any text); with labels of one kind, all scores are one constant; an empty table gives no rows.
 """
 
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicflow.llm.common import Words, free_name, utf8_column
+from topicflow.llm.common import Words, free_name, materialize, utf8_column
 
 MAX_ROWS = 20_000
 THRESHOLD = 0.7
@@ -196,13 +199,18 @@ def held_out(id_col: str) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           max_rows: int = MAX_ROWS) -> RuleModel:
-    """Fit on documents with labels that are not held out, at most ``max_rows`` label rows."""
+    """Fit on documents with labels that are not held out, at most ``max_rows`` distinct labels and
+    ``2 * max_rows`` distinct rows."""
     chosen = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)) \
-        .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")) \
+        .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).distinct() \
         .orderBy(F.xxhash64("id"), "id", "y").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = with_statistics(texts.join(F.broadcast(chosen), "id").select("id", "y", "text"), "text", "s") \
-        .select("id", "y", "s.*").orderBy("id", "y", *STATISTICS).limit(2 * max_rows).toPandas()
+    every = materialize(with_statistics(texts.join(F.broadcast(chosen), "id").select("id", "y", "text"), "text", "s")
+                        .select("id", "y", "s").distinct())
+    first = every.groupBy("id", "y").agg(F.min("s").alias("s")).withColumn("later", F.lit(False))
+    rows = every.join(F.broadcast(first), ["id", "y", "s"], "left") \
+        .orderBy(F.coalesce("later", F.lit(True)), F.xxhash64("id", "y", "s"), "id", "y", "s") \
+        .limit(2 * max_rows).select("y", "s.*").toPandas()
     return fit(rows[STATISTICS].to_numpy(float), (rows["y"].to_numpy() > 0).astype(float))
 
 
