@@ -43,6 +43,15 @@ def test_simhash_keeps_one_of_each_group(tables):
     assert simhash.one_of_each_group(tables[1]).count() == 0
 
 
+def test_simhash_keeps_one_row_of_each_group_under_repeated_ids(spark):
+    other = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(4)]
+    rows = [(1, plain.SENTENCE, "a"), (1, other[0], "a"), (1, other[0], "b"), (2, plain.SENTENCE, "a"), (2, other[1], "a"),
+            (3, other[1], "a"), (1, other[2], "a"), (None, other[3], "a"), (None, other[3], "b"), (None, other[0], "a")]
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    want = [(1, plain.SENTENCE), (1, other[0]), (2, other[1]), (1, other[2]), (None, other[3]), (None, other[0])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("most", [200, 4096])
 def test_simhash_links_at_any_run_length(spark, most):
     rng = np.random.default_rng(3)

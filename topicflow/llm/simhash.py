@@ -140,12 +140,17 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = 3, most: int = MO
         keyed = todo.join(F.broadcast(table), "mask").select("fp", F.explode("finer").alias("mask")).distinct()
 
 
+def _roots(fingerprints: DataFrame, max_bits: int = 3, most: int = MOST) -> DataFrame:
+    """A materialized table of distinct ``fp`` with ``root``, the same for all of a component."""
+    found = connected_components(fingerprint_links(fingerprints.select("fp"), max_bits, most))
+    return fingerprints.join(found, fingerprints.fp == found.node, "left").select(
+        *fingerprints.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def components(fingerprints: DataFrame, id_col: str, max_bits: int = 3, most: int = MOST) -> DataFrame:
     """For each distinct ``fp`` of a materialized table (id_col, fp): the smallest id of its component."""
     least = materialize(fingerprints.groupBy("fp").agg(F.min(id_col).alias("least")))
-    found = connected_components(fingerprint_links(least.select("fp"), max_bits, most))
-    named = least.join(found, least.fp == found.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = _roots(least, max_bits, most)
     roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return named.join(roots, "root").select("fp", "component_id")
 
@@ -161,11 +166,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                       max_bits: int = 3) -> DataFrame:
-    """``docs`` with the document of the smallest id of each group; same columns. Of rows with one id one
-    stays; rows without id can't stand for a group, are not compared and stay."""
-    named = docs.where(F.col(id_col).isNotNull())
-    found = near_duplicates(named, id_col, text_col, shingle, max_bits)
-    kept = free_name(docs.columns, "kept")
-    stays = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(kept)).distinct()
-    first = named.join(stays, F.col(id_col) == F.col(kept), "left_semi").dropDuplicates([id_col])
-    return first.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each group, that of the smallest id and, under one id, of the smallest hash of the
+    text; same columns. Rows without id don't stand for rows with one, nor the other way round: of a group's rows
+    without id, one stays as well."""
+    unnamed = F.col("id").isNull().alias("unnamed")
+    own = with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", shingle, "fp")
+    rows = own.select("id", "fp", F.xxhash64("text").alias("hash"))
+    least = materialize(rows.groupBy("fp", unnamed).agg(F.min(F.struct("id", "hash")).alias("least")))
+    roots = _roots(materialize(least.select("fp").distinct()), max_bits)
+    one = least.join(roots, "fp").groupBy("root", "unnamed").agg(F.min("least").alias("least"))
+    kept, hashed, at = (free_name(docs.columns, c) for c in ("kept", "hashed", "at"))
+    stays = one.select(F.col("least.id").alias(kept), F.col("least.hash").alias(at))
+    first = docs.withColumn(hashed, F.xxhash64(text_col)).join(
+        stays, F.col(id_col).eqNullSafe(F.col(kept)) & (F.col(hashed) == F.col(at)), "left_semi")
+    return first.dropDuplicates([id_col, hashed]).drop(hashed)
