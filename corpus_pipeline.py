@@ -37,7 +37,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-duplicates."""
+    """The row of the smallest id of each group of near-duplicates."""
     return simhash.one_of_each_group(docs, shingle=3, max_bits=3)
 
 
@@ -48,7 +48,7 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces in sequences of 2048."""
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), special_tokens=True))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

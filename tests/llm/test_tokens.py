@@ -12,7 +12,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from topicflow.llm import packing, sharding, token_store
+import corpus_pipeline
+from topicflow.llm import packing, queries, sharding, token_store
 from topicflow.llm.tokens import encoder, tokenizer_json
 
 BYTE, WORD = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
@@ -37,6 +38,29 @@ def test_ids_equal_those_of_whole_texts(texts):
         assert got == [x + [7] for x in ids_of(path, texts)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.tuples(gaps, pieces, gaps), max_size=8).map(lambda x: "".join("".join(y) for y in x)), max_size=5))
+def test_ids_equal_those_of_an_unmodified_tokenizer(texts):
+    for path in (BYTE, WORD):
+        own = encoder(tokenizer_json(path), 7, special_tokens=True)
+        got = [ids[a:b].tolist() for _, ids, off in own.documents(pa.array(texts, pa.string())) for a, b in zip(off, off[1:])]
+        assert got == [e.ids + [7] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_queries_take_special_tokens_as_the_library_does(spark, scratch):
+    folder, text = scratch("special"), "x <|endoftext|> y <|startoftext|>z"
+    spark.createDataFrame([(1, text), (2, "later")], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    plain_ids = [Tokenizer.from_file(p).encode(text, add_special_tokens=False).ids for p in (BYTE, WORD)]
+    assert plain_ids != [ids_of(p, [text])[0] for p in (BYTE, WORD)]
+    stored = {r.doc_id: r for r in queries.op3_token_store(spark, folder).collect()}
+    assert (stored[1].n_tokens, stored[1].ids_crc32) == (len(plain_ids[0]) + 1, plain.crc([*plain_ids[0], 2]))
+    assert stored[2].start == len(plain_ids[0]) + 1
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for packed in (queries.op5_best_fit_packing(spark, folder), corpus_pipeline.pack_sequences(spark, docs, folder)):
+        found, = packed.where("doc_id = 1").collect()
+        assert (found.length, found.ids_crc32) == (len(plain_ids[1]) + 1, plain.crc([*plain_ids[1], 0]))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 400), min_size=1, max_size=3000), st.integers(9, 16))
 def test_huffman_round_trip(ids, longest):

@@ -148,14 +148,15 @@ PIECE = [T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongT
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-                 capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+                 capacity: int = CAPACITY, with_ids: bool = False, special_tokens: bool = False) -> DataFrame:
     """Documents' ids, each with the end id, cut into pieces of at most ``capacity``: the id column, piece,
-    start, length, ids_crc32 and, if asked for, ids (unsigned 32 bits, little-endian)."""
+    start, length, ids_crc32 and, if asked for, ids (unsigned 32 bits, little-endian). With ``special_tokens``,
+    strings of special tokens are their one id."""
     json = docs.sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer))
     fields = [docs.schema[id_col], *PIECE] + [T.StructField("ids", T.BinaryType())] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(json.value, end_id)
+        own = encoder(json.value, end_id, special_tokens)
         for batch in batches:
             keys = batch.column(id_col)
             for first, ids, offsets in own.documents(batch.column(text_col)):

@@ -86,7 +86,8 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written as Huffman blocks and read back."""
     path = scratch_dir(spark, "token-store")
-    token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2,
+                      special_tokens=True)
     return token_store.read(spark, path, with_ids=False).withColumnRenamed("doc", "doc_id")
 
 
@@ -102,7 +103,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of 2048, best fit decreasing."""
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), special_tokens=True))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -129,7 +129,8 @@ def _unpack_ids(data: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=1)
 
 
-def _tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str, block_tokens: int) -> DataFrame:
+def _tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str, block_tokens: int,
+               special_tokens: bool) -> DataFrame:
     """Runs of documents in ascending order: part, doc (ids), n_tokens, ids (compressed)."""
     spark = docs.sparkSession
     json = spark.sparkContext.broadcast(tokenizer_json(tokenizer))
@@ -143,7 +144,7 @@ def _tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
         T.StructField("n_tokens", T.ArrayType(T.LongType())), T.StructField("ids", T.BinaryType())])
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part = encoder(json.value, end_id), TaskContext.get().partitionId()
+        own, part = encoder(json.value, end_id, special_tokens), TaskContext.get().partitionId()
 
         def row(doc: pa.Array, sizes: list[int], ids: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -164,10 +165,11 @@ def _tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-          longest: int = LONGEST, block_tokens: int = BLOCK_TOKENS) -> None:
-    """Encode the texts, each followed by ``end_id``, and write them to the store at ``path``."""
+          longest: int = LONGEST, block_tokens: int = BLOCK_TOKENS, special_tokens: bool = False) -> None:
+    """Encode the texts, each followed by ``end_id``, and write them to the store at ``path``; with
+    ``special_tokens``, strings of special tokens are their one id."""
     spark = docs.sparkSession
-    tokens = _tokenized(docs, tokenizer, end_id, id_col, text_col, block_tokens)
+    tokens = _tokenized(docs, tokenizer, end_id, id_col, text_col, block_tokens, special_tokens)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)

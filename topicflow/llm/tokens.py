@@ -4,7 +4,8 @@ Neither byte-level BPE nor word BPE joins anything across the place before a spa
 character other than white space. Texts are therefore cut there, the cuts of a batch are made distinct
 in Arrow, and the library encodes each distinct piece once; a bounded table per Python worker keeps the
 first pieces it meets for later batches. Ids are those of the library for the whole text. Strings of
-special tokens within a text are ordinary text. A null text is an empty one.
+special tokens within a text are ordinary text, or their one id with ``special_tokens``, as by the library's
+default. A null text is an empty one.
 """
 
 from __future__ import annotations
@@ -33,18 +34,18 @@ def tokenizer_json(path: str) -> str:
 
 
 @functools.cache
-def encoder(json: str, end_id: int) -> Encoder:
+def encoder(json: str, end_id: int, special_tokens: bool = False) -> Encoder:
     """One encoder for each Python worker and tokenizer."""
-    return Encoder(json, end_id)
+    return Encoder(json, end_id, special_tokens)
 
 
 class Encoder:
-    def __init__(self, json: str, end_id: int):
+    def __init__(self, json: str, end_id: int, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
         # entry 0 is the end of a document; pieces at a text's begin and after a space have own entries
         self.flat, self.size = np.array([end_id], np.uint32), np.array([1], np.int64)
         self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})
