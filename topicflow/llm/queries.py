@@ -11,7 +11,8 @@ import public_tokenizers
 
 from topicflow.llm import decontaminate as decon
 from topicflow.llm import (
-    embedding_dedup, license_scan, line_dedup, packing, quality_rules, secret_scan, sharding, simhash, token_store,
+    embedding_dedup, license_scan, line_dedup, packing, periodic_runs, quality_rules, secret_scan, sharding, simhash,
+    token_store, vector_codes,
 )
 from topicflow.llm.common import table
 from topicflow.session import scratch_dir
@@ -106,6 +107,47 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), special_tokens=True))
 
 
+def _with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """Documents of which each tenth (by a checksum of its id) repeats some of its words to its end."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.withColumns({"checksum": checksum, "words": F.when(
+        checksum % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))})
+    docs = docs.withColumns({"n": F.expr("nullif(size(words), 0)"), "g": F.expr("checksum div 10")})
+    docs = docs.withColumn("a", F.expr("cast(g % n as int)")).withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.expr("flatten(array_repeat(slice(words, a + 1, p), cast((n - a) div p + 1 as int)))")
+    rest = F.slice(again, F.lit(1), F.expr("n - a"))
+    new = F.array_join(F.concat(F.expr("slice(words, 1, a)"), rest), " ")
+    return docs.select("doc_id", F.coalesce(F.when(F.col("n").isNotNull(), new), "text").alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least four periods in all documents, and the texts without what they repeat."""
+    docs = _with_repeated_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find_runs(docs.select("doc_id", "text"))
+
+    def stronger(x, y):
+        left, right = x.length * y.period, y.length * x.period
+        return F.when(left != right, F.sign(right - left)).when(x.start != y.start, F.sign(x.start - y.start)) \
+            .otherwise(F.sign(x.period - y.period)).cast("int")
+
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    best = F.get(F.array_sort("runs", stronger), F.lit(0))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings as four bytes each, with what the codebooks lose."""
+    coded, book = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.sha2(F.lit(vector_codes.listed(book)), 256).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -118,4 +160,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op13_vector_codes": op13_vector_codes,
     }

@@ -103,10 +103,44 @@ SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind =
 FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id"""
 
 
+def _vector_codes() -> str:
+    """Four rounds over (vector, part, position) rows, each joined with the codebooks of the round before."""
+    steps = ["""
+WITH kept AS (
+  SELECT vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS (
+  SELECT vec_id, (i - 1) // (n // 4) AS part, (i - 1) % (n // 4) AS pos, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT vec_id, len(embedding) AS n, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM kept)),
+book0 AS (
+  SELECT part, e, pos, x AS c
+  FROM cells JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 256) USING (vec_id))"""]
+    for r in range(5):
+        steps.append(f"""
+dist{r} AS (
+  SELECT vec_id, part, e, sum((x - c) * (x - c)) AS d FROM cells JOIN book{r} USING (part, pos) GROUP BY vec_id, part, e),
+near{r} AS (SELECT vec_id, part, min(d) AS d, arg_min(e, (d, e)) AS e FROM dist{r} GROUP BY vec_id, part)""")
+        if r < 4:
+            steps.append(f"""
+book{r + 1} AS (
+  SELECT b.part, b.e, b.pos, CASE WHEN n IS NULL THEN c ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS c
+  FROM book{r} b LEFT JOIN (
+    SELECT part, e, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+    FROM cells JOIN near{r} USING (vec_id, part) GROUP BY part, e, pos) m ON b.part = m.part AND b.e = m.e AND b.pos = m.pos)""")
+    return ",".join(steps) + """,
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near4 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, e, pos)) FROM book4) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scan": SECRET_SCAN,
         "op2_line_dedup": LINE_DEDUP,
         "op6_sharding": SHARDING.format(limit=sharding.LIMIT),
         "op10_benchmark_decontamination": DECONTAMINATION,
+        "op13_vector_codes": _vector_codes(),
     }
