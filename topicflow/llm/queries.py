@@ -12,7 +12,7 @@ import public_tokenizers
 from topicflow.llm import decontaminate as decon
 from topicflow.llm import (
     embedding_dedup, license_scan, line_dedup, packing, periodic_runs, quality_rules, secret_scan, sharding, simhash,
-    token_store, vector_codes,
+    token_store, toxicity, vector_codes,
 )
 from topicflow.llm.common import table
 from topicflow.session import scratch_dir
@@ -140,6 +140,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of all documents, by a network learnt from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings as four bytes each, with what the codebooks lose."""
     coded, book = vector_codes.compress(table(spark, sf_dir, "embeddings"))
@@ -161,5 +170,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": op9_license_scan,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_toxicity": op12_toxicity,
         "op13_vector_codes": op13_vector_codes,
     }
