@@ -3,17 +3,20 @@
 Each step of the network is a word. Its input is the word's own vector, if it is in the vocabulary, beside the sum
 of the vectors of its character 3-, 5- and 7-grams (with the word's borders). Two gated recurrent layers read a window of
 ``WINDOW`` words from both ends; an attention layer weighs their states, and the pooled state gives the window's log
-odds. Softsign, x / (1 + |x|), stands for the hyperbolic tangent throughout: numpy computes it several times faster. All overlapping windows of a text are scored, one every ``STRIDE`` words and one at its end; a logistic layer
-over their greatest, upper and mean values and their sum gives the text's score.
+odds. Softsign, x / (1 + |x|), stands for the hyperbolic tangent throughout: numpy computes it several times faster.
+All overlapping windows of a text are scored, one every ``STRIDE`` words and one at its end; a logistic layer over their
+greatest, upper and mean values and their sum gives the text's score.
 
 All is trained in numpy on the driver, on at most ``max_rows`` labelled texts of at most ``max_chars`` characters (those
-with the smallest hashes of their ids, half of them of each label as far as there are); these bounds are parameters and
-don't depend on the data. Scores cover the whole texts of all rows, in one pass without a shuffle; each distinct word of
-a run of texts (about 1 MB) has its input worked out once.
+with the smallest hashes of their ids, half of them of each label as far as there are, one text for each id and label);
+these bounds are parameters and don't depend on the data. A third of them is kept apart for the last layer. Scores cover
+the whole texts of all rows, in one pass without a shuffle; each distinct word of a run of texts (about 1 MB) has its
+input worked out once.
 
 Defined results: a null text is an empty one; a text without words has one empty window and a score; equal texts
-score alike, up to single-precision sums; label rows without id or label are passed over, different labels of a text all count; without any label, every
-score is 0.5; with labels of one kind, all scores are one constant; an empty table gives no rows.
+score alike, up to single-precision sums; label rows without id or label are passed over, different labels of a text all
+count; without any label, every score is 0.5; with labels of one kind, all scores are one constant; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -396,9 +399,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     short = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.length("text") <= max_chars)
     rows = []
     for y, n in sorted(part.items()):
-        ids = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)  # n rows of an id and a label
-        found = short.join(F.broadcast(ids), "id").distinct()
-        rows += found.orderBy(F.xxhash64("id"), F.xxhash64("text"), "text").limit(n).collect()
+        ids = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)
+        own = F.struct(F.xxhash64("text").alias("hash"), "text")
+        rows += short.join(F.broadcast(ids), "id").groupBy("id", "y").agg(F.min(own).alias("first")) \
+            .select("id", "y", "first.text").orderBy("id").collect()
     y = np.array([r.y for r in rows], float)
     share = np.array([totals[r.y] for r in rows], float) / np.maximum(1, np.where(y > 0, y.sum(), (1 - y).sum()))
     return fit([r.text for r in rows], y, share)
