@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from topicflow.functions.records import decode_json_or_text, parse_once
 from topicflow.schema import POSITION
 
-# The test topic's restaurants; fixed values among them: the two kitchens that take longer.
-RESTAURANTS = ("Tandoori Tales", "Copper Ladle", "Harbour Noodles", "Masala Magic")
+# The two kitchens that take longer.
 SLOW_RESTAURANTS = ("Tandoori Tales", "Masala Magic")
 SLOW_COST = 2
 FAST_COST = 1

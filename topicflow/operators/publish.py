@@ -1,16 +1,25 @@
 """Publishing tables to topics: partition choice, offsets, the append itself, delivery report.
 
 The file log at ``<root>/topic=…/partition=…/batch=<version>/`` has a side table
-``<root>/_log_ends/version=<n>/``: per topic partition its begin and end offset after each publish, and
-the id of the publish. A publish takes the latest version, appends behind its ends and saves the next one,
-so nothing stored is read or replaced. Only a publish with an id that is already in the side table (a replay
-after a failure) replaces the files of that id.
+``<root>/_log_ends/version=<n>/ends.json``: per topic partition its begin and end offset after each publish, how many
+records that publish adds, and the publish's id. Any number of writers may publish at the same time. A writer counts
+its records per topic partition, then claims the next version: a file that only one writer can create, with the ends
+of the version before plus its own counts. The writer that comes second takes the new ends and claims the version
+after; nothing but the bases of its offsets changes, and they are added when the records are written. So a claim
+reserves a dense range of offsets per partition, and no two publishes share a folder.
+
+A publish with an id that holds a claim (a replay after a failure) writes its own reserved range again. Each version
+names the last ``RECENT`` publishes; an id that leaves that list gets a file of its own first, so that
+finding an id or the latest ends costs a few small reads, however long the log is.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +27,9 @@ from pyspark.sql import functions as F
 from topicflow.functions.partitioning import choose_partition
 from topicflow.operators.ranking import COUNT, number_rows, place_rows, range_row_number, task_starts
 from topicflow.schema import ENVELOPE_COLUMNS
+from topicflow.sources.store import Store
 
-# Producer settings of the demo producers, as sink options. The file log ignores the
+# Producer settings of the demo producers, as sink options. The file log ignores the
 # broker-only ones; the Kafka sink passes ``kafka.*`` through to its producer.
 DURABLE_SINK_OPTIONS = {
     "kafka.acks": "all",
@@ -81,28 +91,123 @@ def log_ends(log: DataFrame) -> DataFrame:
 
 LOG_ENDS_DIR = "_log_ends"
 REJECTS_DIR = "_rejects"
-ENDS_SCHEMA = ("topic string, partition int, log_begin_offset bigint, log_end_offset bigint, "
-               "publish_id string")
+ENDS_SCHEMA = "topic string, partition int, log_begin_offset bigint, log_end_offset bigint"
+RECENT = 1000
+Place = tuple[str, int]
+
+
+@dataclass
+class Version:
+    """One claim: begin and end offset of each topic partition after it, its own numbers of records, recent ids."""
+
+    number: int
+    publish_id: str | None
+    ends: dict[Place, tuple[int, int]]
+    added: dict[Place, int]
+    recent: list[tuple[str, int]]
+
+    def base(self, place: Place) -> int:
+        """The first offset of this publish in a partition."""
+        return self.ends[place][1] - self.added.get(place, 0)
+
+    def text(self) -> str:
+        rows = [{"topic": t, "partition": p, "log_begin_offset": b, "log_end_offset": e, "added": self.added.get((t, p), 0)}
+                for (t, p), (b, e) in sorted(self.ends.items())]
+        return "\n".join(json.dumps(r) for r in [{"publish_id": self.publish_id, "recent": self.recent}, *rows]) + "\n"
+
+    @classmethod
+    def parsed(cls, number: int, text: str) -> Version:
+        head, *rows = map(json.loads, text.splitlines())
+        places = [((r["topic"], r["partition"]), r) for r in rows]
+        return cls(number, head["publish_id"], {k: (r["log_begin_offset"], r["log_end_offset"]) for k, r in places},
+                   {k: r["added"] for k, r in places if r["added"]}, [(i, n) for i, n in head["recent"]])
+
+
+class Versions:
+    """The claims of a log."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.store = Store(spark, root)
+
+    def read(self, number: int) -> Version | None:
+        text = self.store.read(f"{LOG_ENDS_DIR}/version={number}/ends.json")
+        return None if text is None else Version.parsed(number, text)
+
+    def numbers(self) -> list[int]:
+        return sorted(int(n[len("version="):]) for n in self.store.names(LOG_ENDS_DIR) if n.startswith("version="))
+
+    def last(self, since: int = -1) -> Version | None:
+        """The latest claim: from a hint onwards, which may be old but never too new."""
+        hint = self.store.read(f"{LOG_ENDS_DIR}/_last")
+        found = self.read(max(int(hint) if hint else 0, since, 0))
+        if found is None and since < 0:  # no hint yet: a new log, or one whose first writer died
+            found = next((v for n in reversed(self.numbers()) if (v := self.read(n)) is not None), None)
+        while found is not None and (after := self.read(found.number + 1)) is not None:
+            found = after
+        return found
+
+    def of(self, publish_id: str, last: Version | None) -> Version | None:
+        """The claim of an id."""
+        if last is None:
+            return None
+        number = dict(last.recent).get(publish_id)
+        if number is None:
+            text = self.store.read(self._named(publish_id))
+            number = None if text is None else int(text)
+        if number is None:
+            return None
+        found = self.read(number)
+        if found is None:
+            raise ValueError(f"version {number}, of the publish {publish_id}, was removed: it can't be replayed")
+        return found
+
+    def claim(self, publish_id: str, added: dict[Place, int], begin: Version) -> Version:
+        """Reserve offsets behind the latest ends; ``begin`` stands for the last claim of a log that has none."""
+        last = self.last()
+        while True:
+            old = last or begin
+            ends = {place: old.ends.get(place, (0, 0)) for place in {*old.ends, *added}}
+            ends = {place: (b, e + added.get(place, 0)) for place, (b, e) in ends.items()}
+            recent = [*old.recent, (publish_id, old.number + 1)]
+            for evicted, number in recent[:-RECENT]:
+                self.store.replace(self._named(evicted), str(number))
+            own = Version(old.number + 1, publish_id, ends, added, recent[-RECENT:])
+            if self.store.create(f"{LOG_ENDS_DIR}/version={own.number}/ends.json", own.text()):
+                self.store.replace(f"{LOG_ENDS_DIR}/_last", str(own.number))
+                return own
+            last = self.last(old.number + 1)
+
+    def done(self, number: int) -> None:
+        self.store.replace(f"{LOG_ENDS_DIR}/version={number}/_written", "")
+
+    @staticmethod
+    def _named(publish_id: str) -> str:
+        return f"{LOG_ENDS_DIR}/_ids/{hashlib.sha256(publish_id.encode()).hexdigest()}"
 
 
-def _versions(spark: SparkSession, root: str) -> DataFrame:
-    """All versions of the side table (column ``version``); empty for a new log."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(f"{ENDS_SCHEMA}, version bigint").parquet(f"{root.rstrip('/')}/{LOG_ENDS_DIR}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], f"{ENDS_SCHEMA}, version bigint")
+def read_log_ends(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """(topic, partition, log_begin_offset, log_end_offset) as of a version, by default the latest; empty for a new
+    log. Offsets of a publish that is still being written count."""
+    versions = Versions(spark, root)
+    found = versions.last() if version is None else versions.read(version)
+    rows = [(t, p, b, e) for (t, p), (b, e) in sorted(found.ends.items())] if found else []
+    return spark.createDataFrame(rows, ENDS_SCHEMA)
 
 
-def read_log_ends(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """(topic, partition, log_begin_offset, log_end_offset) as of a version, by default the latest."""
-    rows = _versions(spark, root)
-    if version is None:
-        version = rows.agg(F.max("version")).first()[0]
-    return rows.where((F.col("version") == F.lit(version)) & F.col("topic").isNotNull()).select(
-        "topic", "partition", "log_begin_offset", "log_end_offset")
+def unfinished_publishes(spark: SparkSession, root: str) -> list[str]:
+    """Ids of publishes that reserved offsets and have not finished writing: running, or failed and to be replayed
+    under their id."""
+    versions = Versions(spark, root)
+    found = (versions.read(n) for n in versions.numbers()
+             if versions.store.read(f"{LOG_ENDS_DIR}/version={n}/_written") is None)
+    return [v.publish_id for v in found if v is not None]
+
+
+def _last_folder(spark: SparkSession, root: str) -> int:
+    """The highest number of a publish's folder in a log without side table, -1 if it has none."""
+    stored = spark.read.parquet(root)
+    found = stored.agg(F.max("batch")).first()[0] if "batch" in stored.columns else None
+    return -1 if found is None else int(found)
 
 
 def _problem() -> Column:
@@ -118,11 +223,12 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *, publish_i
     ``records`` carries key/value/headers/topic/partition (see :func:`assign_partition`); other columns
     only appear in the report, which has every record with its ``offset``, ``status`` and ``error``.
     Records without topic or partition fail and are kept under ``<root>/_rejects``. Offsets continue the log
-    (``existing``, the log as read now, is scanned only when the log has no side table yet). With a
-    ``publish_id`` that was published before, that publish is replaced instead of repeated. One writer per
-    log at a time keeps offsets dense. A checkpoint holds the records while numbers, files, ends and report
-    are made (before it, range partitioning samples the input once). For ``fmt="kafka"``, ``root`` is the bootstrap servers, the
-    broker assigns offsets itself and there is no report.
+    (``existing``, the log as read now, is scanned only when the log has no side table yet), densely whatever
+    other writers publish meanwhile. With a ``publish_id`` that was published before, the same records take their
+    offsets again instead of new ones; other numbers of records raise ValueError. A writer that dies after
+    its claim leaves a gap until it is replayed (:func:`unfinished_publishes`). A checkpoint holds the records while
+    numbers, files, ends and report are made (before it, range partitioning samples the input once). For
+    ``fmt="kafka"``, ``root`` is the bootstrap servers, the broker assigns offsets itself and there is no report.
     """
     if fmt == "kafka":
         from topicflow.sources.topics import kafka_connector_hint
@@ -131,41 +237,40 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *, publish_i
              .write.format("kafka").options(**kafka_sink_options(root, options)).save())
         return None
     spark, by, root = records.sparkSession, ["topic", "partition"], root.rstrip("/")
-    versions = _versions(spark, root)
-    known = versions.agg(F.max("version").alias("last"), F.max(F.when(
-        F.col("publish_id") == F.lit(publish_id), F.col("version"))).alias("same")).first()
-    version = known.same if known.same is not None else (0 if known.last is None else known.last + 1)
-    ends = versions.where(F.col("version") == version - 1).drop("version", "publish_id") \
-        .where("topic is not null")
-    if known.last is None and existing is not None:
-        ends = log_ends(existing)
-
+    versions = Versions(spark, root)
+    last = versions.last()
     key = F.col(order_key) if isinstance(order_key, str) else order_key
     placed = place_rows(records.withColumn("_tf_key", key), by, ["_tf_key", *tie_breakers])
     starts = task_starts(placed, by)
-    starts = starts.join(ends.withColumnsRenamed({"topic": "_t", "partition": "_p"}),
-                         (F.col("topic") == F.col("_t")) & (F.col("partition") == F.col("_p")), "left").drop("_t", "_p")
-    report = number_rows(placed, starts, by, "offset", F.coalesce("log_end_offset", F.lit(0))).drop("_tf_key")
+    counts = starts.groupBy(*by).agg(F.sum(COUNT).alias("n")).collect()  # a row for each topic partition
+    added = {(r.topic, r.partition): r.n for r in counts if r.topic is not None and r.partition is not None}
+    own = None if publish_id is None else versions.of(publish_id, last)
+    if own is not None and own.added != added:
+        raise ValueError(f"the publish {publish_id} had other numbers of records: {own.added}, now {added}")
+    if own is None:
+        begin = Version(-1, None, {}, {}, [])
+        if last is None and existing is not None:
+            begin.ends = {(r.topic, r.partition): (r.log_begin_offset, r.log_end_offset)
+                          for r in log_ends(existing).collect()}
+            begin.number = _last_folder(spark, root)
+        own = versions.claim(publish_id or uuid.uuid4().hex, added, begin)
+
+    bases = spark.createDataFrame([(*place, own.base(place)) for place in added], "_t string, _p int, _tf_own bigint")
+    starts = starts.join(bases, (F.col("topic") == F.col("_t")) & (F.col("partition") == F.col("_p")), "left") \
+        .drop("_t", "_p")
+    report = number_rows(placed, starts, by, "offset", F.coalesce("_tf_own", F.lit(0))).drop("_tf_key")
     report = report.withColumn("error", _problem()).withColumns({
         "offset": F.when(F.col("error").isNull(), F.col("offset")),
         "status": F.when(F.col("error").isNull(), F.lit(DELIVERED)).otherwise(F.lit(FAILED))})
-    (to_envelope(report.where("error is null")).withColumn("batch", F.lit(version)).write.mode("overwrite")
+    (to_envelope(report.where("error is null")).withColumn("batch", F.lit(own.number)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .options(**{k: v for k, v in (options or {}).items() if not k.startswith("kafka.")})
      .partitionBy("topic", "partition", "batch").format(fmt).save(root))
-    counts = starts.groupBy(*by).agg(F.sum(COUNT).alias("_n"))
-    if not counts.where(_problem().isNotNull()).isEmpty():
+    if len(added) < len(counts):
         failed = report.where("error is not null")
         (failed.select(*[c for c in ("key", "value", "headers", "topic", "partition", "error") if c in failed.columns])
-         .write.mode("overwrite").parquet(f"{root}/{REJECTS_DIR}/batch={version}"))
-    new = counts.where(_problem().isNull()).join(ends, by, "full").select(
-        *by, F.coalesce("log_begin_offset", F.lit(0)).cast("bigint").alias("log_begin_offset"),
-        (F.coalesce("log_end_offset", F.lit(0)) + F.coalesce("_n", F.lit(0))).cast("bigint").alias("log_end_offset"))
-    # a row without topic names the publish even when nothing is in the log yet
-    named = spark.createDataFrame([(None, None, None, None)],
-                                  "topic string, partition int, log_begin_offset bigint, log_end_offset bigint")
-    new.unionByName(named).withColumn("publish_id", F.lit(publish_id or uuid.uuid4().hex)).coalesce(1) \
-        .write.mode("overwrite").parquet(f"{root}/{LOG_ENDS_DIR}/version={version}")
+         .write.mode("overwrite").parquet(f"{root}/{REJECTS_DIR}/batch={own.number}"))
+    versions.done(own.number)
     return report
 
 
@@ -175,12 +280,9 @@ def delivery_report(published: DataFrame, *identity: str) -> DataFrame:
 
 
 def forget_old_ends(spark: SparkSession, root: str, keep: int = 100) -> None:
-    """Remove all but the last ``keep`` versions of the side table (a replay needs the one before its own)."""
-    last = _versions(spark, root).agg(F.max("version")).first()[0]
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{LOG_ENDS_DIR}")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("version=") and int(name[len("version="):]) <= (last or 0) - keep:
-            fs.delete(status.getPath(), True)
+    """Remove all but the last ``keep`` versions of the side table. A publish whose version is gone can't be replayed."""
+    versions = Versions(spark, root)
+    last = versions.last()
+    for number in versions.numbers():
+        if last is not None and number <= last.number - keep:
+            versions.store.delete(f"{LOG_ENDS_DIR}/version={number}")

@@ -88,8 +88,8 @@ canon AS (
                WHEN 5 THEN c_name END AS "user",
     CASE shape WHEN 3 THEN round(price, 2) WHEN 4 THEN price WHEN 5 THEN price END AS total,
     CASE shape WHEN 3 THEN 'CREATED' WHEN 5 THEN 'PLACED' END AS status,
-    CASE WHEN shape = 4 THEN ['Tandoori Tales', 'Copper Ladle', 'Harbour Noodles', 'Masala Magic'][(o_custkey % 4) + 1]
-         END AS restaurant,
+    CASE WHEN shape = 4 THEN CASE o_custkey % 4 WHEN 0 THEN 'Tandoori Tales' WHEN 1 THEN 'Masala Magic'
+         ELSE 'kitchen-' || CAST(o_custkey % 4 AS VARCHAR) END END AS restaurant,
     CASE WHEN shape = 4 THEN o_orderkey END AS seq,
     CASE WHEN shape IN (1, 4, 5) THEN o_orderdate END AS ts
   FROM olog),

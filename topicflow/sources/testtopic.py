@@ -89,6 +89,7 @@ def events_log(spark: SparkSession, sf_dir: str) -> str:
 # --------------------------------------------------------- mixed-shape order topic
 
 ORDERS_TOPIC = "food.orders"
+KITCHENS = 4
 # Fixed value of the test topic: every so many orders the value is not JSON (shape 0).
 UNREADABLE_EVERY = 50
 # An order's lines in the log; lines that agree in all of these are equal records.
@@ -127,7 +128,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns).
     """
     from topicflow.functions.records import encode_value
-    from topicflow.operators.orders import RESTAURANTS
+    from topicflow.operators.orders import SLOW_RESTAURANTS
 
     j = order_lines(spark, sf_dir)
     okey = F.col("o_orderkey")
@@ -135,8 +136,10 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).try_cast("int"))
     ts_z = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     ts_local = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    rest = F.element_at(F.array(*[F.lit(r) for r in RESTAURANTS]),
-                        (F.pmod(F.col("o_custkey"), F.lit(len(RESTAURANTS))) + 1).cast("int"))
+    kitchen = F.pmod(F.col("o_custkey"), F.lit(KITCHENS))
+    rest = F.when(kitchen < len(SLOW_RESTAURANTS), F.element_at(
+        F.array(*[F.lit(r) for r in SLOW_RESTAURANTS]), F.least(kitchen + 1, F.lit(len(SLOW_RESTAURANTS))).cast("int"))) \
+        .otherwise(F.concat(F.lit("kitchen-"), kitchen.cast("string")))
     value = (
         F.when(shape == 0, F.concat(F.lit("unreadable order "), okey.cast("string")).cast("binary"))
         .when(shape == 1, encode_value(okey.alias("id"), F.col("sku").alias("item"), ts_z.alias("ts")))
