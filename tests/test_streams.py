@@ -8,6 +8,7 @@ from topicflow.operators.publish import assign_partition, delivery_report, forge
 from topicflow.schema import ENVELOPE
 from topicflow.sources.files import read_jsonl, read_numbered_jsonl
 from topicflow.sources.topics import read_topic
+from topicflow.streaming import stateful as SF
 from topicflow.streaming import streams as ST
 
 
@@ -204,7 +205,7 @@ def test_streams_do_not_depend_on_micro_batches(spark, scratch):
         src.write.mode("append").partitionBy("topic", "partition").parquet(replay)
     one = {"maxFilesPerTrigger": "1"}
     s = read_topic(spark, replay, "t", streaming=True, options=one).select("topic", "partition", "offset", "timestamp")
-    ST.await_all([ST.dedup_stream(s, f"{out}/dedup", scratch("ck"))])
+    ST.await_all([SF.dedup_stream(s, f"{out}/dedup", scratch("ck"))])
     got = spark.read.parquet(f"{out}/dedup")
     assert got.count() == 40 and got.select("topic", "partition", "offset").distinct().count() == 40
     s = read_topic(spark, root, "t", streaming=True, options=one)

@@ -71,7 +71,7 @@ def test_only_the_bases_change_when_another_writer_was_first(spark, scratch, mon
     _dense(spark, root, 80)
     least = {r.partition: r.least for r in report.groupBy("partition").agg(F.min("offset").alias("least")).collect()}
     first = PUB.Versions(spark, root).read(0)
-    assert least == {p: n for (_, p), n in first.added.items()}
+    assert least == {p: a.records for (_, p), a in first.added.items()}
 
 
 def test_a_writer_that_died_after_its_claim_is_replayed(spark, scratch, monkeypatch):

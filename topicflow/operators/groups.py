@@ -12,14 +12,18 @@ partition and interval, and groups are fanned out over that small table.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicflow.sources.topics import EARLIEST, LATEST
 
+FEW_POINTS, MOST_CELLS = 8, 1 << 16  # points compared one by one; entries of a constant array
 
 @dataclass(frozen=True)
 class Group:
@@ -75,35 +79,72 @@ def interval_summary(records: DataFrame, groups: Sequence[Group], ts: str = "tim
     """The log per topic partition and interval between the groups' time points: ``interval`` (how many points
     lie at or before the record; null without time), records, first and last offset and time."""
     at = F.col(ts).cast("timestamp_ntz")
-    points = _points(groups)
-    interval = sum((F.when(at >= _ts(p), 1).otherwise(0) for p in points), F.lit(0))
+    interval = points_before(F.unix_micros(at.cast("timestamp")), [_micros(p) for p in _points(groups)])
     return records.where(F.col("topic").isin(sorted({t for g in groups for t in g.topics}))).groupBy(
         "topic", "partition", F.when(at.isNotNull(), interval).alias("interval")).agg(
             F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"),
             F.max("offset").alias("last_offset"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
 
 
+def _micros(text: str) -> int:
+    """ISO text without zone as microseconds of UTC, the zone that sessions are held in."""
+    return (datetime.fromisoformat(text) - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+
+
+def points_before(value: Column, points: Sequence[int]) -> Column:
+    """How many of the ascending ``points`` are at most ``value``, in a time that doesn't grow with their number.
+
+    An even grid over the points' range tells, by one look into a constant array, how many lie before the value's cell;
+    those of its own cell are compared. The grid is made finer until a cell holds few; where it can't be (points of
+    a crowded moment beside far ones), the cell's are filtered.
+    """
+    if len(points) <= FEW_POINTS:
+        return sum((F.when(value >= F.lit(p), 1).otherwise(0) for p in points), F.lit(0))
+    low, cells = points[0], len(points)
+    while True:
+        width = max(1, -(-(points[-1] - low + 1) // cells))
+        own = Counter((p - low) // width for p in points)
+        if max(own.values()) <= FEW_POINTS or cells >= MOST_CELLS:
+            break
+        cells *= 2
+    before = list(accumulate((own.get(c, 0) for c in range(-1, cells)), initial=0))  # of cell -1 (below all) and up
+    def constant(xs):
+        return F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")  # folded to one literal
+    cell = F.greatest(F.lit(-1), F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(cells)))
+    at = (cell + 2).cast("int")
+    first, end = F.element_at(constant(before), at), F.element_at(constant([*before[1:], len(points)]), at)
+    if max(own.values()) <= FEW_POINTS:
+        listed = constant([*points, *[points[-1]] * FEW_POINTS])
+        inside = sum((F.when((first + k < end) & (value >= F.element_at(listed, (first + k + 1).cast("int"))), 1).otherwise(0)
+                      for k in range(max(own.values()))), F.lit(0))
+    else:
+        inside = F.size(F.filter(F.slice(constant(points), (first + 1).cast("int"), (end - first).cast("int")), lambda p: p <= value))
+    return (first + inside).cast("int")
+
+
 def _points(groups: Sequence[Group]) -> list[str]:
-    return sorted({p for g in groups for p in (g.joined_at, g.consumed_until, g.fetched_until) if p is not None})
+    return sorted({p for g in groups for p in (g.joined_at, g.consumed_until, g.fetched_until) if p is not None},
+                  key=_micros)
 
 
 def fan_out_summary(summary: DataFrame, groups: Sequence[Group]) -> DataFrame:
-    """The rows of :func:`interval_summary` once per subscribed group, flagged ``started``, ``consumed``, ``fetched``."""
-    points = _points(groups)
-    entry = lambda g: F.struct(
-        F.lit(g.name).alias("group"),
-        F.lit(-1 if g.start == EARLIEST else points.index(g.joined_at) + 1 if g.joined_at else 1 << 30).alias("from_"),
-        F.lit(points.index(g.consumed_until) if g.consumed_until else -1).alias("until"),
-        F.lit(points.index(g.fetched_until or g.consumed_until) if g.fetched_until or g.consumed_until else -1)
-        .alias("planned"))
-    pairs = []
-    for t in sorted({t for g in groups for t in g.topics}):
-        pairs += [F.lit(t), F.array(*[entry(g) for g in groups if t in g.topics])]
-    f = summary.withColumn("_g", F.explode(F.element_at(F.create_map(*pairs), F.col("topic"))))
-    started = (F.col("_g.from_") < 0) | F.coalesce(F.col("interval") >= F.col("_g.from_"), F.lit(False))
-    return f.withColumns({"group": F.col("_g.group"), "started": started}).withColumns({
-        "consumed": F.col("started") & F.coalesce(F.col("interval") <= F.col("_g.until"), F.lit(False)),
-        "fetched": F.col("started") & F.coalesce(F.col("interval") <= F.col("_g.planned"), F.lit(False))}).drop("_g")
+    """The rows of :func:`interval_summary` once per subscribed group, flagged ``started``, ``consumed``, ``fetched``: a
+    join of two small tables on the topic."""
+    place = {p: i for i, p in enumerate(_points(groups))}
+    rows = []
+    for g in groups:
+        planned = g.fetched_until or g.consumed_until
+        start = -1 if g.start == EARLIEST else place[g.joined_at] + 1 if g.joined_at else 1 << 30
+        rows += [(t, g.name, start, place[g.consumed_until] if g.consumed_until else -1, place[planned] if planned else -1)
+                 for t in dict.fromkeys(g.topics)]
+    subscribed = summary.sparkSession.createDataFrame(
+        rows, "topic string, group string, _from int, _until int, _planned int")
+    f = summary.join(subscribed, "topic")
+    started = (F.col("_from") < 0) | F.coalesce(F.col("interval") >= F.col("_from"), F.lit(False))
+    return f.withColumn("started", started).withColumns({
+        "consumed": F.col("started") & F.coalesce(F.col("interval") <= F.col("_until"), F.lit(False)),
+        "fetched": F.col("started") & F.coalesce(F.col("interval") <= F.col("_planned"), F.lit(False))}) \
+        .drop("_from", "_until", "_planned")
 
 
 def group_positions(records: DataFrame, groups: Sequence[Group],

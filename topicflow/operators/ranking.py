@@ -35,12 +35,13 @@ def place_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFr
             .checkpoint(eager=True))
 
 
-def task_starts(placed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per task and group: the first row's place, the number of rows, and the group's rows in earlier tasks.
+def task_starts(placed: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
+    """Per task and group: the first row's place, the number of rows, the group's rows in earlier tasks, and ``more``
+    aggregates of the same pass.
 
     Tasks hold ranges of the groups' order, so this has at most one row per task and one per group.
     """
-    per_task = placed.groupBy(PID, *by).agg(F.count(F.lit(1)).alias(COUNT), F.min(POS).alias(FIRST))
+    per_task = placed.groupBy(PID, *by).agg(F.count(F.lit(1)).alias(COUNT), F.min(POS).alias(FIRST), *more)
     before = Window.partitionBy(*by).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     return per_task.withColumn(BASE, F.coalesce(F.sum(COUNT).over(before), F.lit(0)))
 

@@ -25,6 +25,7 @@ from topicflow.sources import files as FI
 from topicflow.sources import testtopic as TT
 from topicflow.sources.testtopic import events_topic
 from topicflow.sources.topics import EARLIEST, LATEST, read_topic
+from topicflow.streaming import stateful as SF
 from topicflow.streaming import streams as ST
 
 ALL_TOPICS = ("demo.click", "demo.view", "demo.error", "demo.purchase", "demo.signup")
@@ -700,8 +701,8 @@ def dedup(spark, sf_dir):
     s = read_topic(spark, replay, ALL_TOPICS, streaming=True,
                    options={"maxFilesPerTrigger": "8"})
     out = scratch_dir(spark, "dedup")
-    ST.await_all([ST.dedup_stream(s.select(*POSITION, ntz("timestamp")), out, _ck(spark, "dedup"))])
-    return spark.read.parquet(out).drop("batch_id")
+    ST.await_all([SF.dedup_stream(s.select(*POSITION, ntz("timestamp")), out, _ck(spark, "dedup"))])
+    return spark.read.parquet(out)
 
 
 @register("fan_out_stream", S.with_topic("""
@@ -816,9 +817,220 @@ def trace_link_stream(spark, sf_dir):
     return TS.link_spans(consumed, produced)
 
 
-def _produced(records: DataFrame) -> DataFrame:
+def _produced(records: DataFrame, ts: str | None = None) -> DataFrame:
     c = TR.parse_traceparent(R.header_value(TR.TRACEPARENT_HEADER))
-    return records.select(c["trace_id"].alias("trace_id"), c["span_id"].alias("span_id"), *POSITION)
+    return records.select(c["trace_id"].alias("trace_id"), c["span_id"].alias("span_id"), *POSITION,
+                          *([F.col(ts).alias("produced_ts")] if ts else []))
+
+
+# Live streams: the events published in time order, a third of the month at a time, and every stream run again after
+# each publish. So state is carried over restarts, and windows and spans close while the log grows.
+SLICES = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+LIVE_DELAY, LIVE_STEP = "1 hour", 1000
+_LIVE: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def live_outputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Folders that the live streams have written, once per application."""
+    from topicflow.operators.publish import publish
+    memo = (app_id(spark), sf_dir.rstrip("/"))
+    if memo in _LIVE:
+        return _LIVE[memo]
+    root = scratch_dir(spark, "live-log")
+    out = {k: scratch_dir(spark, f"live-{k}") for k in ("rates", "links", "progress")}
+    ck = {k: _ck(spark, f"live-{k}") for k in out}
+    out["log"] = root
+    recs, at = TT.events_records(spark, sf_dir), F.col("timestamp").cast("timestamp_ntz")
+    bounds = [None, *SLICES, None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = recs if low is None else recs.where(at >= F.lit(low).cast("timestamp_ntz"))
+        part = part if high is None else part.where(at < F.lit(high).cast("timestamp_ntz"))
+        publish(part, root, "event_id", key_sketches=True)
+        s = read_topic(spark, root, ALL_TOPICS, streaming=True)
+        consumed = TS.consume_spans(G.consumed(s, DEMO_GROUPS), ts="timestamp")
+        produced = _produced(s, "timestamp")
+        links = TS.link_spans_stream(consumed, produced, within="1 hour", delay=LIVE_DELAY)
+        ST.await_all([
+            ST.copy_stream(SF.live_rates(s, "1 hour", LIVE_DELAY), out["rates"], ck["rates"]),
+            ST.copy_stream(links, out["links"], ck["links"]),
+            SF.progress_stream(G.consumed(s, DEMO_GROUPS).select("group", "timestamp", *POSITION), out["progress"],
+                               ck["progress"], every=LIVE_STEP)])
+    _LIVE[memo] = out
+    return out
+
+
+@register("rate_live", S.with_topic("""
+SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS records,
+       count(*) / CAST(3600 AS DOUBLE) AS per_second
+FROM rec GROUP BY topic, time_bucket(INTERVAL 1 HOUR, ts)
+HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM rec) - INTERVAL 1 HOUR"""))
+def rate_live(spark, sf_dir):
+    """The rates that a stream has emitted: all windows closed so far, each once."""
+    return spark.read.parquet(live_outputs(spark, sf_dir)["rates"]).select(
+        "topic", ntz("window_start"), ntz("window_end"), "records", "per_second")
+
+
+@register("trace_link_live", REGISTRY["trace_link_stream"][1])
+def trace_link_live(spark, sf_dir):
+    """Span links that a stream-stream join has emitted, from its state."""
+    return spark.read.parquet(live_outputs(spark, sf_dir)["links"]).drop("ts", "parent_produced_ts")
+
+
+@register("progress_live", REGISTRY["progress_points"][1].replace("% 5000", f"% {LIVE_STEP}"))
+def progress_live(spark, sf_dir):
+    """Progress points written while the log was read."""
+    return spark.read.parquet(live_outputs(spark, sf_dir)["progress"] + "/points").drop("batch_id")
+
+
+@register("publish_history", S.with_topic(f"""
+SELECT CAST(CASE WHEN ts < TIMESTAMP '{SLICES[0]}' THEN 0 WHEN ts < TIMESTAMP '{SLICES[1]}' THEN 1 ELSE 2 END AS BIGINT) AS version,
+       topic, partition, min("offset") AS first_offset, max("offset") + 1 AS end_offset, count(*) AS records,
+       CAST(sum(strlen(CAST(user_id AS VARCHAR)) + strlen(props)) AS BIGINT) AS bytes, min(ts) AS first_ts, max(ts) AS last_ts
+FROM rec GROUP BY ALL"""))
+def publish_history(spark, sf_dir):
+    """What each publish of the live log added, from the side table."""
+    from topicflow.operators.publish import publish_history
+    return publish_history(spark, live_outputs(spark, sf_dir)["log"]).withColumns({
+        c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
+
+
+@register("start_by_time", S.with_topic(f"""
+SELECT topic, partition, "offset" FROM rec WHERE topic = 'demo.purchase' AND ts >= TIMESTAMP '{RESUME_CUT}'"""))
+def start_by_time(spark, sf_dir):
+    """The purchases from a time on: publishes that end earlier aren't read."""
+    from topicflow.sources.topics import read_since
+    return read_since(spark, live_outputs(spark, sf_dir)["log"], "demo.purchase", RESUME_CUT).select(*POSITION)
+
+
+@register("key_spread_sketch", S.with_topic("""
+SELECT topic, partition, count(*) AS records, true AS within_bound FROM rec GROUP BY topic, partition"""))
+def key_spread_sketch(spark, sf_dir):
+    """Key spread from the sketches of all publishes, held against the exact count: within five standard errors."""
+    from topicflow.operators.publish import stored_key_spread
+    root = live_outputs(spark, sf_dir)["log"]
+    exact = G.key_spread(read_topic(spark, root, ALL_TOPICS)).select("topic", "partition", F.col("distinct_keys").alias("exact"))
+    off = F.abs(F.col("distinct_keys") - F.col("exact"))
+    return stored_key_spread(spark, root).join(exact, ["topic", "partition"]).select(
+        "topic", "partition", "records", (off <= 1 + 0.08 * F.col("exact")).alias("within_bound"))
+
+
+POLL_RECORDS = 8192
+
+
+@register("bounded_polls", S.with_topic(f"""
+SELECT topic, partition, "offset", ts AS timestamp, true AS in_bound FROM rec"""))
+def bounded_polls(spark, sf_dir):
+    """The whole log, at most 8,192 records at a time, from positions committed after each poll."""
+    from topicflow.streaming.polls import Reader
+    out = scratch_dir(spark, "polls")
+    reader = Reader(spark, live_outputs(spark, sf_dir)["log"], ALL_TOPICS, _ck(spark, "polls"), max_records=POLL_RECORDS)
+    reader.drain(lambda batch, number: batch.select(*POSITION, ntz("timestamp")).write.mode("overwrite")
+                 .parquet(f"{out}/poll={number}"))
+    rows = spark.read.parquet(out)
+    sizes = rows.groupBy("poll").agg((F.count(F.lit(1)) <= POLL_RECORDS).alias("in_bound"))
+    return rows.join(sizes, "poll").drop("poll")
+
+
+@register("file_follow", ORDER_FILE_SQL)
+def file_follow(spark, sf_dir):
+    """Order files followed by byte positions, some of their lines at a time."""
+    from topicflow.streaming.follow import Follower
+    path, out = TT.order_file_dir(spark, sf_dir), scratch_dir(spark, "follow")
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    follower = Follower(spark, path, _ck(spark, "follow"), max_bytes=size // 3 + 1)
+    follower.drain(lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/step={number}"))
+    v = R.value_text()
+    return spark.read.parquet(out).select(
+        F.get_json_object(v, "$.order_id").try_cast("bigint").alias("order_id"), F.get_json_object(v, "$.user").alias("user"),
+        F.get_json_object(v, "$.total").try_cast("double").alias("total"))
+
+
+@register("trace_tree", S.with_topic("""
+, consumed AS (
+  SELECT md5(CAST(event_id AS VARCHAR)) AS trace_id, substr(sha256('produce:' || CAST(event_id AS VARCHAR)), 1, 16) AS produced,
+         event_type <> 'click' AS kept,
+         substr(sha256('consume:' || grp || ':' || md5(CAST(event_id AS VARCHAR)) || ':' || CAST("offset" AS VARCHAR)), 1, 16) AS c
+  FROM fan WHERE consumed),
+spans AS (
+  SELECT DISTINCT md5(CAST(event_id AS VARCHAR)) AS trace_id, CAST(NULL AS VARCHAR) AS parent,
+         substr(sha256('produce:' || CAST(event_id AS VARCHAR)), 1, 16) AS span_id
+  FROM rec WHERE event_type <> 'click'
+  UNION ALL SELECT trace_id, produced, c FROM consumed
+  UNION ALL SELECT trace_id, c, substr(sha256('process:' || c), 1, 16) FROM consumed),
+tree AS (
+  SELECT trace_id, span_id, span_id AS root_span_id, CAST(0 AS INTEGER) AS depth, span_id AS path,
+         CASE WHEN parent IS NULL THEN 'root' ELSE 'orphan' END AS kind
+  FROM spans s WHERE parent IS NULL
+     OR NOT EXISTS (SELECT 1 FROM spans p WHERE p.trace_id = s.trace_id AND p.span_id = s.parent)
+  UNION ALL
+  SELECT s.trace_id, s.span_id, t.root_span_id, t.depth + 1, t.path || '/' || s.span_id, 'child'
+  FROM tree t JOIN spans s ON s.trace_id = t.trace_id AND s.parent = t.span_id)
+SELECT trace_id, span_id, root_span_id, depth, path, kind FROM tree""", DEMO_GROUPS)
+          .replace("WITH ", "WITH RECURSIVE ", 1))
+def trace_tree(spark, sf_dir):
+    """Produce, consume and process spans of the demo groups as trees. The producers of clicks sent no span of their own,
+    so the spans that read clicks are orphans."""
+    r = log(spark, sf_dir)
+    made = _produced(r.where("topic <> 'demo.click'")).select("trace_id", "span_id", F.lit(None).cast("string").alias("parent_span_id"))
+    read = TS.consume_spans(done(spark, sf_dir)).select("trace_id", "span_id", "parent_span_id")
+    spans = made.unionByName(read).unionByName(TS.process_spans(read).drop("name"))
+    return TS.span_trees(spans).select("trace_id", "span_id", "root_span_id", "depth", F.array_join("path", "/").alias("path"), "kind")
+
+
+RANGES_CTE = """
+own AS (
+  SELECT grp, topic, partition, "offset" FROM fan WHERE consumed AND user_id % 5 <> 0),
+bounds AS (
+  SELECT grp, topic, partition, min("offset") AS b, max("offset") + 1 AS e FROM fan GROUP BY grp, topic, partition),
+missing AS (
+  SELECT f.grp, f.topic, f.partition, f."offset",
+         f."offset" - row_number() OVER (PARTITION BY f.grp, f.topic, f.partition ORDER BY f."offset") AS island
+  FROM fan f WHERE NOT (f.consumed AND f.user_id % 5 <> 0)),
+gaps AS (
+  SELECT grp AS "group", topic, partition, min("offset") AS from_offset, max("offset") + 1 AS to_offset, count(*) AS records
+  FROM missing GROUP BY grp, topic, partition, island)"""
+
+
+def _unseen(spark, sf_dir):
+    """What the demo groups have not committed when every fifth user's records failed in all of them, and the bounds."""
+    from topicflow.operators.ranges import unseen_ranges
+    r = log(spark, sf_dir)
+    bounds = G.group_positions(r, DEMO_GROUPS).select(
+        "group", "topic", "partition", F.col("log_begin_offset").alias("begin_offset"), F.col("log_end_offset").alias("end_offset"))
+    committed = done(spark, sf_dir).where(R.decode_key().try_cast("bigint") % 5 != 0).select("group", *POSITION)
+    return unseen_ranges(committed, bounds), bounds
+
+
+@register("unseen_ranges", S.with_topic("SELECT * FROM gaps", DEMO_GROUPS, RANGES_CTE))
+def unseen_ranges(spark, sf_dir):
+    return _unseen(spark, sf_dir)[0]
+
+
+@register("safe_positions", S.with_topic("""
+SELECT b.grp AS "group", b.topic, b.partition, coalesce(min(g.from_offset), max(b.e)) AS committed
+FROM bounds b LEFT JOIN gaps g ON g."group" = b.grp AND g.topic = b.topic AND g.partition = b.partition
+GROUP BY b.grp, b.topic, b.partition""", DEMO_GROUPS, RANGES_CTE))
+def safe_positions(spark, sf_dir):
+    """Up to where each group can commit without losing a record that failed."""
+    from topicflow.operators.ranges import safe_positions
+    return safe_positions(*_unseen(spark, sf_dir))
+
+
+@register("publish_two_writers", """
+SELECT 'all.events' AS topic,
+       CAST(CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) % 3 AS INTEGER) AS partition,
+       count(*) AS records, count(*) AS distinct_offsets, CAST(0 AS BIGINT) AS begin_offset, count(*) AS end_offset,
+       true AS dense
+FROM events GROUP BY ALL""")
+def publish_two_writers(spark, sf_dir):
+    """Two streams that append to one log at the same time: no record is lost, offsets are dense."""
+    root, halves = scratch_dir(spark, "two-writers"), (ALL_TOPICS[:2], ALL_TOPICS[2:])
+    ST.await_all([
+        ST.publish_stream(stream_log(spark, sf_dir, topics).withColumn("topic", F.lit("all.events")), root,
+                          _ck(spark, f"writer-{i}"), partitions=TT.PARTITIONS, key_text=R.decode_key())
+        for i, topics in enumerate(halves)])
+    return P.order_check(read_topic(spark, root, "all.events"))
 
 
 # ---------------------------------------------------------------- stored positions

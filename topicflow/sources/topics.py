@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topicflow.schema import ENVELOPE, ENVELOPE_COLUMNS
 
@@ -140,6 +141,25 @@ def from_positions(records: DataFrame, positions: DataFrame,
             .drop("_tf_from"))
 
 
+def read_publishes(spark: SparkSession, root: str, topics: str | Sequence[str], versions: Sequence[int]) -> DataFrame:
+    """Records of some publishes of a file log: only their folders are read."""
+    rows = spark.read.schema(T.StructType([*ENVELOPE.fields, T.StructField("batch", T.LongType())])).parquet(root)
+    return rows.where(F.col("topic").isin(_topics(topics)) & F.col("batch").isin(list(versions))).select(*ENVELOPE_COLUMNS)
+
+
+def read_since(spark: SparkSession, root: str, topics: str | Sequence[str], since: str) -> DataFrame:
+    """Records of a file log at or after a time (ISO text, UTC): a group that starts at ``latest`` as of then.
+
+    The side table has the first and last time of each publish per partition; publishes that end earlier aren't
+    read. Where a record's time isn't known to the side table, its publish is read."""
+    from topicflow.operators.publish import publish_history
+
+    at = F.lit(since).cast("timestamp")
+    known = publish_history(spark, root).where(F.col("topic").isin(_topics(topics)))
+    wanted = known.where(F.col("last_ts").isNull() | (F.col("last_ts") >= at)).select("version").distinct().collect()
+    return read_publishes(spark, root, topics, [r.version for r in wanted]).where(F.col("timestamp") >= at)
+
+
 def union_topics(*frames: DataFrame) -> DataFrame:
     """Records of topics whose frames differ in columns as one frame; what a frame lacks is null."""
     out = frames[0]

@@ -13,13 +13,11 @@ from __future__ import annotations
 import hashlib
 from collections import deque
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from topicflow.schema import POSITION
 
 OK = "ok"
 REJECTED = "rejected"
@@ -122,33 +120,6 @@ def partial_results(stream: DataFrame, partial: Transform, output: str, checkpoi
     return _trigger(w, trigger).start()
 
 
-def dedup_stream(stream: DataFrame, output: str, checkpoint: str, keys: Sequence[str] = POSITION,
-                 trigger: str | None = "availableNow") -> StreamingQuery:
-    """Write each record once, whatever a replay delivers again and however long after.
-
-    A micro-batch keeps its first copy of each key that no other batch has written. What was written is
-    read by the keys only, and only within the batch's own range of them, so that the scan is pruned.
-    """
-    spark = stream.sparkSession
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        new = batch.dropDuplicates(list(keys))
-        written = _written(spark, output)
-        if written is not None:
-            last = keys[-1]
-            low, high = batch.agg(F.min(last), F.max(last)).first()
-            written = written.where(F.col("batch_id") != batch_id)
-            if low is not None:
-                written = written.where(F.col(last).isNull() | F.col(last).between(F.lit(low), F.lit(high)))
-            written = written.select(*[F.col(k).alias(f"_w_{k}") for k in keys])
-            new = new.join(written, reduce(lambda a, b: a & b, [
-                F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]), "left_anti")
-        new.write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch_id={batch_id}")
-
-    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
-
-
 def _written(spark: SparkSession, output: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
     try:
