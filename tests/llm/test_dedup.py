@@ -120,3 +120,11 @@ def test_embeddings_against_all_pairs(spark, tile):
 def test_embeddings_of_an_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label string")
     assert embedding_dedup.near_duplicates(none).count() == 0
+
+
+def test_vectors_of_extreme_norms(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1e200, 2.002e200]), (3, [1e-200, 2e-200]), (4, [2e-200, 1e-200]), (5, [5e-324, 0.0]),
+            (6, [1e308, 0.0]), (7, [1e-310, 2e-310])]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 7: (3, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}

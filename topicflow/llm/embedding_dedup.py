@@ -46,7 +46,12 @@ def _unit(batch: pa.RecordBatch) -> np.ndarray:
     """The vectors of a batch in which all have one length, normalised in double precision."""
     lists = batch.column("vector")
     values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    vectors = values.reshape(batch.num_rows, -1)
+    return _normalised(values.reshape(batch.num_rows, -1))
+
+
+def _normalised(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors; dividing by the largest component first keeps squares of any finite numbers in range."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -134,7 +139,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
             flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             x = np.zeros((len(rep), width))
             x[np.arange(width) < dims[:, None]] = flat
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            x = _normalised(x)
             sig = batch.column("sig").flatten().to_numpy().reshape(len(rep), -1)
             i, j = _verify(x, sig, table, chunk, low != high, bounds, least)
             n = np.bincount(i, members[j], len(rep)) + np.bincount(j, members[i], len(rep))
