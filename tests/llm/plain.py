@@ -37,29 +37,38 @@ def awkward():
     return rows
 
 
-def secrets(rows, max_owners=2):
-    """(id, assign, access, hex, base hash, all spans) per row."""
-    out, owners, found = [], defaultdict(set), []
-    for _, text, owner in rows:
-        text = text or ""
-        runs = [m for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text)
-                if sum(c.isdigit() for c in m[0]) >= 3 and sum(c.isalpha() for c in m[0]) >= 3 and len(set(m[0])) >= 10]
-        for m in runs:
-            owners[m[0]].add(owner or "")
-        found.append(runs)
+def secrets(rows, max_owners=2, max_repos=10):
+    """(id, assign, access, hex, base hash, all spans, owned, spread and example long runs, base verdicts) per row."""
     name = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-    for (id_, text, _), runs in zip(rows, found):
-        text = text or ""
-        base = [(m.start(), 0, m.end()) for m in re.finditer(name, text, re.I | re.A) if len(m[1]) >= 8
-                and m[0].isascii()]
-        base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
-        base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
-        every = base + [(m.start(), 3, m.end()) for m in runs if len(owners[m[0]]) <= max_owners]
+    owners, repos, found = defaultdict(set), defaultdict(set), []
+    for id_, text, owner in rows:
+        text, own = text or "", []
+        own += [(m.start(), 0, m.end(), m[1]) for m in re.finditer(name, text, re.I | re.A) if len(m[1]) >= 8 and m[0].isascii()]
+        own += [(m.start(), 1, m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+        own += [(m.start(), 2, m.end(), m[0]) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+        own += [(m.start(), 3, m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text)
+                if sum(c.isdigit() for c in m[0]) >= 3 and sum(c.isalpha() for c in m[0]) >= 3 and len(set(m[0])) >= 10]
+        for *_, value in own:
+            owners[value].add(owner or "")
+            repos[value].add(id_)
+        found.append(own)
+
+    def verdict(value):
+        return "example" if len(owners[value]) > max_owners else "spread" if len(repos[value]) > max_repos else "owned"
+
+    out = []
+    for (id_, _, _), own in zip(rows, found):
+        judged = [(a, k + (k == 3 and verdict(v) == "spread"), b, verdict(v)) for a, k, b, v in own]
 
         def joined(spans):
-            return ",".join(f"{('assign', 'access', 'hex', 'owned')[k]}:{a}:{b}" for a, k, b in sorted(spans))
+            return ",".join(f"{('assign', 'access', 'hex', 'owned', 'spread')[k]}:{a}:{b}" for a, k, b, _ in sorted(spans))
+        base = [s for s in judged if s[1] < 3]
         n = [sum(s[1] == k for s in base) for k in range(3)]
-        out.append((id_, *n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(every)))
+        runs = [s for s in judged if s[1] >= 3]
+        out.append((id_, *n, hashlib.sha256(joined(base).encode()).hexdigest(),
+                    joined(base + [s for s in runs if s[3] != "example"]),
+                    *(sum(s[3] == v for s in runs) for v in ("owned", "spread", "example")),
+                    *(sum(s[3] == v for s in base) for v in ("owned", "spread", "example"))))
     return out
 
 

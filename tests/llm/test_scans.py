@@ -1,5 +1,6 @@
 """Secret scan (1), license scan (9), benchmark decontamination (10)."""
 
+import numpy as np
 import plain
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from topicflow.llm import decontaminate, license_scan, queries, secret_scan
 
 
 def test_secrets_of_the_documents(spark, sf, documents):
-    got = queries.op1_secret_scan(spark, sf).drop("n_owned", "n_examples")
+    got = queries.op1_secret_scan(spark, sf)
     assert plain.rows_of(got) == sorted(plain.secrets(documents), key=repr)
 
 
@@ -23,19 +24,45 @@ def test_secrets_of_awkward_rows(tables):
     assert secret_scan.scan(tables[1]).count() == 0
 
 
-def test_examples_of_one_source_are_copied_by_many_repositories(spark):
+def test_values_of_few_owners_in_many_repositories_are_a_class_of_their_own(spark):
     example, own, key = "Ex4mpleKeyOfOneS0urce7", "0wned8yAnOwner9TimesXyz", "OfTwoS0urces3InManyRepos1"
     rows = [(i, f"copied {example}", "hot") for i in range(11)] + [(i, f"mine {own} {own}", "hot") for i in range(20, 30)]
     rows += [(i, f"copied {key}", "ab"[i % 2]) for i in range(40, 52)]
     rows += [(i, "nobody N0b0dysKeyInManyRep0s", None) for i in range(60, 72)]
-    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"))
-    for r in found.collect():
+    rows += [(i, "shared Sh4redByThr33Own3rs0nly", "abc"[i % 3]) for i in range(80, 92)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in secret_scan.scan(docs).collect():
         if 20 <= r.doc_id < 30:
             assert [(s.kind, s.owners, s.repos) for s in r.spans] == [(3, 1, 10)] * 2 and r.n_examples == 0
+        elif r.doc_id < 80:
+            assert [(s.kind, s.verdict) for s in r.spans] == [(4, "spread")] and r.n_examples == 0
         else:
             assert not r.spans and r.n_examples == 1
-    all_kept = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_repos=12)
-    assert all_kept.where("n_examples > 0").count() == 0
+    kept = secret_scan.scan(docs, max_repos=12)
+    assert kept.where("exists(spans, s -> s.verdict <> 'owned')").isEmpty()
+
+
+def test_spark_sql_and_python_agree_where_every_bound_matters(spark, tmp_path):
+    """One value per class and kind, at the bounds and beyond them, in all three forms of the rule."""
+    import duckdb
+    from topicflow.llm import sql
+    rows, n = [], 0
+    for owners in (1, 2, 3):
+        for repos in (3, 10, 11):
+            tag = f"{owners}x{repos:02d}"
+            for text in (f"token: val{tag}ue1", f"AKIA{owners}{repos:02d}ABCDEFGHIJKLM", f"{owners}{repos:02d}" + "0a1b2c3d" * 5,
+                         f"Run{tag}AbCdEfGh0123456789"):
+                for i in range(repos):
+                    rows.append((n, f"x {text} y", f"o{i % owners}" if owners > 1 else None))
+                    n += 1
+    rows += [(n, f"password = Run1x03AbCdEfGh0123456789", "other"), (n + 1, None, "a"), (n + 2, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = plain.rows_of(queries.op1_secret_scan(spark, str(tmp_path)))
+    assert got == sorted(plain.secrets(rows), key=repr)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.execute(sql.SECRET_SCAN).fetchall(), key=repr)
 
 
 def test_values_of_base_matches_are_judged(spark):
@@ -46,10 +73,10 @@ def test_values_of_base_matches_are_judged(spark):
     rows += [(200 + i, f"x {sign} y", "b") for i, sign in enumerate(["secret: mine.own", "token='mine.own'"])]
     rows += [(300 + i, "x password: oneSourceEx y", "a") for i in range(11)]
     found = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
-    got = {r.doc_id: [(s.kind, s.owners, s.repos, s.owned) for s in r.spans] for r in found}
-    want = {10 * i + j: [(kind, 3, 3, False)] for i, kind in enumerate(copied.values()) for j in range(3)}
-    want |= {100: [(0, 2, 3, True)], 101: [(1, 1, 1, True)], 102: [(2, 1, 1, True)]}
-    want |= {200: [(0, 2, 3, True)], 201: [(0, 2, 3, True)]} | {300 + i: [(0, 1, 11, False)] for i in range(11)}
+    got = {r.doc_id: [(s.kind, s.owners, s.repos, s.verdict) for s in r.spans] for r in found}
+    want = {10 * i + j: [(kind, 3, 3, "example")] for i, kind in enumerate(copied.values()) for j in range(3)}
+    want |= {100: [(0, 2, 3, "owned")], 101: [(1, 1, 1, "owned")], 102: [(2, 1, 1, "owned")]}
+    want |= {200: [(0, 2, 3, "owned")], 201: [(0, 2, 3, "owned")]} | {300 + i: [(0, 1, 11, "spread")] for i in range(11)}
     assert got == want and not any(r.n_examples for r in found)
 
 
@@ -116,6 +143,46 @@ def test_benchmark_matches_are_the_longest(spark):
     assert [tuple(m) for m in found.matches] == [("1", 5, 2, 20)] and [tuple(h) for h in found.hits] == [(2, 22)]
 
 
+def test_benchmark_passage_of_many_items_and_blocks(spark, monkeypatch):
+    """A passage in 300 items and 300 documents: listed once per document, whatever the number of blocks; one block
+    at a time is on the driver."""
+    passage = " ".join(f"p{i}" for i in range(25))
+    items = [(i, f"{passage} own{i} " + " ".join(f"x{i}y{k}" for k in range(12))) for i in range(300)]
+    texts = [f"start{d} {passage} end{d}" if d % 2 else f"a {items[d][1]} b {passage}" for d in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    alive, most, real = set(), [0], decontaminate.Block.__init__
+
+    def counted(self, *args):
+        alive.add(len(alive))
+        real(self, *args)
+        most[0] = max(most[0], len(self.words))
+    monkeypatch.setattr(decontaminate.Block, "__init__", counted)
+    want = sorted(plain.decontaminated(list(enumerate(texts)), items), key=repr)
+    for block_words in (1 << 19, 1000):
+        alive.clear()
+        found = decontaminate.find_matches(docs, benchmark, block_words=block_words)
+        assert plain.rows_of(digest(found)) == want
+        assert (len(alive) == 1) == (block_words > 1000) and most[0] <= 300
+        sizes = {r.doc_id: len(r.found.matches) for r in found.collect()}
+        assert max(sizes.values()) <= 2 * len(alive)
+        most[0] = 0
+    assert len(alive) > 5
+
+
+def test_longest_beginnings_by_the_items_own_suffix_array():
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 3, rng.integers(1, 30))) for _ in range(20)]
+    block = decontaminate.Block(list(map(str, range(20))), texts, 4)
+    lists = [t.split() for t in texts]
+    for _ in range(200):
+        run = [f"w{k}" for k in rng.integers(0, 3, rng.integers(1, 12))]
+        words = decontaminate.Words(*decontaminate.utf8_column(decontaminate.pa.array([" ".join(run)])))
+        item, at, k = block.longest(words.hash)
+        best = max(n for n in range(len(run) + 1) if any(x[i: i + n] == run[:n] for x in lists for i in range(len(x) - n + 1)))
+        assert k == best and lists[item][at: at + k] == run[:k]
+
+
 def test_benchmark_empty_tables(spark, tables):
     none = spark.createDataFrame([], "item_id long, text string")
     items = spark.createDataFrame(ITEMS, none.schema)

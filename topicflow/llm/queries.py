@@ -71,11 +71,15 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: int):
         return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
 
+    def judged(verdict: str):
+        return F.size(F.filter("spans", lambda s: (s.kind < 3) & (s.verdict == verdict))).cast("long")
+
     base = F.filter("spans", lambda s: s.kind < 3)
     return found.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
-        count(3).alias("n_owned"), "n_examples")
+        count(3).alias("n_owned"), count(4).alias("n_spread"), "n_examples",
+        *[judged(v).alias(f"base_{v}") for v in (secret_scan.OWNED, secret_scan.SPREAD, secret_scan.EXAMPLE)])
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,10 +5,11 @@ characters or more), ``access`` (``AKIA...``) and ``hex``. A fourth, ``owned``,
 20 or more token characters that look alive (letters and digits, ten different characters) are candidates,
 and so is the value of every other span (what is assigned, or the whole match), whatever its length. The hashes
 of all candidates are aggregated by distinct repositories and owners, a value being one candidate however it
-was found. A candidate with at most ``max_owners`` owners and at most ``max_repos`` repositories is somebody's
-own credential, however often a repository repeats it; one that more owners share, or that lies in more
-repositories of whatever owners, is a widely copied example. Of the long runs, the first become spans and the
-others are only counted; the spans of the three patterns stay either way and carry the verdict.
+was found. A candidate that more than ``max_owners`` owners share is a widely copied example. Of the others, one in at most
+``max_repos`` repositories is somebody's own credential (``owned``), however often a repository repeats it; one in
+more is a class of its own (``spread``): a live credential that its owner has copied about, or an example that one owner
+uses throughout. Long runs of these two classes become spans, those of examples are only counted; the spans of the three
+patterns stay either way and carry the verdict.
 
 Texts are read once; what is shuffled are matches and one narrow row per document. Counts are aggregated
 before they are shuffled, by (hash, repository) and (hash, owner), so that an example in a third of all
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 
 from topicflow.llm.common import materialize
 
-KINDS = ["assign", "access", "hex", "owned"]
+KINDS = ["assign", "access", "hex", "owned", "spread"]
+OWNED, SPREAD, EXAMPLE = "owned", "spread", "example"
 
 # The patterns of the contract; (?i:) covers ASCII letters only. Where a shortest length is in
 # the pattern itself, shorter runs can't hold another match.
@@ -59,14 +61,14 @@ def _alive(match: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
          repo_col: str = "doc_id", max_owners: int = 2, max_repos: int = 10) -> DataFrame:
-    """Per row of ``docs``: the id column, ``spans`` (array of start, kind, end, the value's owners and repos,
-    and whether it is owned; by start, then kind), and ``n_examples`` (long runs that are widely copied)."""
+    """Per row of ``docs``: the id column, ``spans`` (array of start, kind, end, the value's owners and repos and its
+    ``verdict``; by start, then kind), and ``n_examples`` (long runs that are widely copied)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.col(id_col).alias("id"), F.col(owner_col).cast("string").alias("owner"),
                       F.col(repo_col).cast("string").alias("repo"),
-                      *[_matches(text, p).alias(k) for k, p in zip(KINDS, PATTERNS)])
+                      *[_matches(text, p).alias(k) for k, p in zip(KINDS[:4], PATTERNS)])
     own = materialize(own).withColumn("row", F.monotonically_increasing_id())
-    listed = F.concat(*[_of_kind(i, F.col(k)) for i, k in enumerate(KINDS)])
+    listed = F.concat(*[_of_kind(i, F.col(k)) for i, k in enumerate(KINDS[:4])])
     found = own.select("row", "owner", "repo", F.posexplode(listed).alias("turn", "m")).select(
         "row", "owner", "repo", "turn", "m.*")
     place = F.sum(F.col("gap") + F.length("match")).over(W.partitionBy("row", "kind").orderBy("turn"))
@@ -80,11 +82,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     candidates = found.withColumns({c: F.coalesce(c, F.lit("")) for c in ("owner", "repo")})
     spread = candidates.groupBy("h1", "h2").agg(
         F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"))
-    owned = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
-    judged = candidates.join(spread, ["h1", "h2"]).withColumn("owned", owned)
-    span = F.col("owned") | (F.col("kind") < 3)
+    verdict = F.when(F.col("owners") > max_owners, EXAMPLE).when(F.col("repos") > max_repos, SPREAD).otherwise(OWNED)
+    judged = candidates.join(spread, ["h1", "h2"]).withColumn("verdict", verdict)
+    judged = judged.withColumn("kind", F.when((F.col("kind") == 3) & (F.col("verdict") == SPREAD), 4).otherwise(F.col("kind")))
+    span = (F.col("verdict") != EXAMPLE) | (F.col("kind") < 3)
     by_row = judged.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.when(span, F.struct("start", "kind", "end", "owners", "repos", "owned"))))
+        F.sort_array(F.collect_list(F.when(span, F.struct("start", "kind", "end", "owners", "repos", "verdict"))))
         .alias("spans"),
         F.count_if(~span).alias("n_examples"))
     return own.select("row", "id").join(by_row, "row", "left").select(

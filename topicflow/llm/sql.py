@@ -84,22 +84,35 @@ places AS (
          list_sum(list_transform(gaps[1:u.i], lambda x: length(x)))
            + coalesce(list_sum(list_transform(m[1:u.i - 1], lambda x: length(x))), 0) AS start
   FROM found, LATERAL (SELECT unnest(range(1, len(m) + 1)) AS i) u),
-spans AS (
-  SELECT *, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || CAST(CAST(start AS BIGINT) AS VARCHAR) || ':'
-            || CAST(CAST(start AS BIGINT) + length(body) AS VARCHAR) AS name
-  FROM places
-  WHERE CASE kind WHEN 0 THEN length(regexp_extract(body, '{_ASSIGN}', 2)) >= 8
+valued AS (
+  SELECT *, CASE kind WHEN 0 THEN regexp_extract(body, '{_ASSIGN}', 2) ELSE body END AS secret FROM places),
+candidates AS (
+  SELECT *, coalesce(source, '') AS owner, coalesce(CAST(doc_id AS VARCHAR), '') AS repo FROM valued
+  WHERE CASE kind WHEN 0 THEN length(secret) >= 8
                   WHEN 3 THEN length(regexp_replace(body, '[^0-9]', '', 'g')) >= 3
                               AND length(regexp_replace(body, '[^A-Za-z]', '', 'g')) >= 3
                               AND len(list_distinct(string_split(body, ''))) >= 10
                   ELSE true END),
-owners AS (SELECT body, count(DISTINCT coalesce(source, '')) AS n FROM spans WHERE kind = 3 GROUP BY body),
-judged AS (SELECT s.*, kind < 3 OR o.n <= 2 AS kept FROM spans s LEFT JOIN owners o ON s.kind = 3 AND s.body = o.body)
+frequency AS (
+  SELECT secret, count(DISTINCT owner) AS owners, count(DISTINCT repo) AS repos FROM candidates GROUP BY secret),
+verdicts AS (
+  SELECT c.*, CASE WHEN owners > 2 THEN 'example' WHEN repos > 10 THEN 'spread' ELSE 'owned' END AS verdict
+  FROM candidates c JOIN frequency f ON c.secret = f.secret),
+judged AS (
+  SELECT doc_id, start, verdict, kind < 3 OR verdict <> 'example' AS kept,
+         CASE WHEN kind = 3 AND verdict = 'spread' THEN 4 ELSE kind END AS kind,
+         CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' WHEN 2 THEN 'hex' ELSE verdict END || ':'
+           || CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(start AS BIGINT) + length(body) AS VARCHAR) AS name
+  FROM verdicts)
 SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
        count(*) FILTER (kind = 2) AS n_hex,
        sha256(coalesce(string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3), '')) AS base_sha256,
        coalesce(string_agg(name, ',' ORDER BY start, kind) FILTER (kept), '') AS spans,
-       count(*) FILTER (kind = 3 AND kept) AS n_owned, count(*) FILTER (NOT kept) AS n_examples
+       count(*) FILTER (kind = 3 AND kept) AS n_owned, count(*) FILTER (kind = 4) AS n_spread,
+       count(*) FILTER (NOT kept) AS n_examples,
+       count(*) FILTER (kind < 3 AND verdict = 'owned') AS base_owned,
+       count(*) FILTER (kind < 3 AND verdict = 'spread') AS base_spread,
+       count(*) FILTER (kind < 3 AND verdict = 'example') AS base_example
 FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id"""
 
 
