@@ -12,7 +12,7 @@ checkpointed in compressed form between counting and coding. To the driver come
 the vocabulary and one total for each partition.
 
 Defined results: a null text is an empty one and has its end id; documents without id come first; repeated
-rows are stored each (in the order of their texts' hashes); an empty table gives an empty store. A very long
+rows are stored each, rows of one id in the order of the input; an empty table gives an empty store. A very long
 document is a block of its own.
 """
 
@@ -134,10 +134,9 @@ def _tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
     """Runs of documents in ascending order: part, doc (ids), n_tokens, ids (compressed)."""
     spark = docs.sparkSession
     json = spark.sparkContext.broadcast(tokenizer_json(tokenizer))
-    tie = free_name(docs.columns, "tie")
-    narrow = docs.select(id_col, text_or_empty(text_col).alias(text_col))
-    narrow = narrow.withColumn(tie, F.xxhash64(text_col))
-    ordered = narrow.repartitionByRange(id_col, tie).sortWithinPartitions(id_col, tie, text_col)
+    tie = free_name(docs.columns, "tie")  # the place in the input: equal ids are spread, and bounds are sampled without texts
+    narrow = docs.select(id_col, text_or_empty(text_col).alias(text_col)).withColumn(tie, F.monotonically_increasing_id())
+    ordered = narrow.repartitionByRange(id_col, tie).sortWithinPartitions(id_col, tie).drop(tie)
     kind = docs.schema[id_col].dataType
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("doc", T.ArrayType(kind)),

@@ -3,7 +3,9 @@
 Neither byte-level BPE nor word BPE joins anything across the place before a space that follows a
 character other than white space. Texts are therefore cut there, the cuts of a batch are made distinct
 in Arrow, and the library encodes each distinct piece once; a bounded table per Python worker keeps the
-first pieces it meets for later batches. Ids are those of the library for the whole text. Strings of
+first pieces it meets for later batches. New pieces go to the library as one text, a thousand at a time: they may stand
+one after the other just as they do in a document. Which ids are whose follows from the bytes that the ids stand for;
+runs where these don't end where the pieces do are encoded piece by piece. Ids are those of the library for the whole text. Strings of
 special tokens within a text are ordinary text, or their one id with ``special_tokens``, as by the library's
 default. A null text is an empty one.
 """
@@ -25,7 +27,9 @@ KEPT_PIECES = 300_000
 KEPT_LENGTH = 64
 SLICE_PIECES = 100_000
 BATCH_BYTES = 16_000_000
+JOINED_PIECES = 1000
 _CUT = re.compile(r"(?<=\S)(?= )")
+_PLAIN = re.compile(r"[!-~]+")
 
 
 def tokenizer_json(path: str) -> str:
@@ -46,17 +50,68 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(json)
         self.tokenizer.encode_special_tokens = not special_tokens
+        spec = self.tokenizer.to_str()
+        self.lossless = '"normalizer":null' in spec.replace(" ", "") and '"ByteLevel"' in spec
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)")
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(max(names.values(), default=-1) + 1, np.int64)  # that each id stands for
+        for name, i in names.items():
+            self.bytes[i] = len(name.removesuffix("</w>"))
         # entry 0 is the end of a document; pieces at a text's begin and after a space have own entries
         self.flat, self.size = np.array([end_id], np.uint32), np.array([1], np.int64)
         self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})
 
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids: list[list[int]] = []
         for i in range(0, len(pieces), 20_000):
             ids += [e.ids for e in self.tokenizer.encode_batch_fast(pieces[i: i + 20_000], add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum())), size
 
+    def _joinable(self, piece: str) -> bool:
+        """Whether a piece's bytes are those of its ids, and a space after it is a place to cut."""
+        if _PLAIN.fullmatch(piece) is None and not (self.lossless and piece and not piece[-1].isspace()):
+            return False
+        return "<" not in piece or self.special.search(piece) is None
+
+    def _encode(self, pieces: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces, one after the other, and how many each has."""
+        if not spaced:
+            return self._each(pieces)
+        plain = np.fromiter(map(self._joinable, pieces), bool, len(pieces))
+        runs, others = [], [f" {pieces[i]}" for i in np.flatnonzero(~plain)]
+        own = np.flatnonzero(plain)
+        for i in range(0, len(own), JOINED_PIECES):
+            runs.append([pieces[k] for k in own[i: i + JOINED_PIECES].tolist()])
+        flats, sizes = [], []
+        for i in range(0, len(runs), 20):
+            texts = [f" {' '.join(run)}" for run in runs[i: i + 20]]
+            for run, found in zip(runs[i: i + 20], self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(found.ids, np.uint32)
+                length = np.fromiter((len(p.encode()) for p in run), np.int64, len(run)) + self.lossless
+                ends, reached = np.cumsum(length), np.cumsum(self.bytes[ids])
+                last = np.searchsorted(reached, ends)
+                if len(ids) and last[-1] == len(ids) - 1 and (reached[last] == ends).all():
+                    flats.append(ids)
+                    sizes.append(np.diff(last, prepend=-1))
+                else:
+                    flat, size = self._each([f" {p}" for p in run])
+                    flats.append(flat)
+                    sizes.append(size)
+        flat, size = self._each(others)
+        if not len(own):
+            return flat, size
+        if not len(others):
+            return np.concatenate(flats), np.concatenate(sizes)
+        # in the order of the pieces
+        flat, every = np.concatenate([*flats, flat]), np.concatenate([*sizes, size])
+        place = np.empty(len(pieces), np.int64)
+        place[own], place[~plain] = np.arange(len(own)), len(own) + np.arange(len(others))
+        start = (np.cumsum(every) - every)[place]
+        size = every[place]
+        at = np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
+        return flat[at], size
+
     def _entries(self, pieces: list[str], spaced: bool, extra: list) -> np.ndarray:
         """For each distinct piece, its entry; those that aren't kept are appended to ``extra``."""
         known = self.known[spaced]
@@ -64,7 +119,7 @@ class Encoder:
         new = np.flatnonzero(at < 0)
         if len(new):
             words = [pieces[i] for i in new.tolist()]
-            flat, size = self._encode([f" {p}" for p in words] if spaced else words)
+            flat, size = self._encode(words, spaced)
             room = max(0, KEPT_PIECES - len(known))
             keep = np.fromiter((len(w) <= KEPT_LENGTH for w in words), bool, len(words))
             keep &= np.cumsum(keep) <= room
