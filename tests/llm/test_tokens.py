@@ -185,6 +185,22 @@ def test_shards_fit(spark, limit):
     assert all(n > limit for n in above.values())
 
 
+def test_written_shards_hold_whole_rows_within_the_limit(spark, sf, scratch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id = 3")).withColumn("tags", F.array(F.lit("a"), "lang"))
+    path, limit = f"{scratch('shards')}/out", 50_000
+    manifest = sharding.write_shards(docs, path, "doc_id", limit).collect()
+    assert all(r.n_bytes <= limit or r.n_rows == 1 for r in manifest) and len(manifest) > 5
+    back = spark.read.parquet(path)
+    assert back.drop("shard").columns == docs.columns
+    assert plain.rows_of(back.drop("shard")) == plain.rows_of(docs)
+    assert sum(r.n_rows for r in manifest) == docs.count()
+    whole = back.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert sum(r.n_bytes for r in manifest) > whole
+    empty = f"{scratch('shards')}/out"
+    assert sharding.write_shards(docs.limit(0), empty, "doc_id", limit).count() == 0
+
+
 def test_shards_of_an_empty_table(tables):
     docs = tables[1].drop("key")
     assert sharding.assign_shards(docs, "doc_id", F.octet_length("text")).count() == 0

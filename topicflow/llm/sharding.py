@@ -8,7 +8,8 @@ exceed the limit have no further key bits: they split on the bits of a hash of t
 holds a third of all rows makes many shards. A single row above the limit is a shard of its own.
 
 Defined results: a null size counts as 0 bytes, a null key is a key; repeated rows are placed each; an empty table
-gives no rows. A shard is named by its bits; the name of the only shard of a small table is empty.
+gives no rows. A shard is named by its bits; the name of the only shard of a small table is empty. ``write_shards``
+writes rows by their shard, the limit counting the bytes of all columns.
 """
 
 from __future__ import annotations
@@ -68,3 +69,39 @@ def assign_shards(rows: DataFrame, key_col: str, size: Column, limit: int = LIMI
         bit, step = bit + step, 8
         if bit < BITS and todo.groupBy(g).agg((F.min(key) != F.max(key)).alias("differ")).where("differ").isEmpty():
             bit = BITS  # only repeated keys are left: no further key bit tells their rows apart
+
+
+def row_bytes(rows: DataFrame) -> Column:
+    """Bytes of a row's values: text and bytes by their length, numbers by their width, others by their JSON text."""
+    widths = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "date": 4,
+              "timestamp": 8, "timestamp_ntz": 8}
+    total = F.lit(0).cast("long")
+    for name, kind in rows.dtypes:
+        value = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = F.octet_length(value)
+        elif kind in widths:
+            size = F.lit(widths[kind])
+        else:
+            size = F.octet_length(F.to_json(F.struct(value)))
+        total = total + F.coalesce(size, F.lit(0))
+    return total
+
+
+def write_shards(rows: DataFrame, path: str, key_col: str, limit: int = LIMIT) -> DataFrame:
+    """Write whole rows under ``path/shard=<s…>``, one folder for each shard (``s`` and its bits), and return the
+    manifest: shard, n_rows, n_bytes, counted on the rows read back.
+
+    Raises if a shard of several rows exceeds ``limit``. The rows are checkpointed once and shuffled once, by shard, so
+    that each shard is written by one task; a shard is at most ``limit`` bytes, or one row."""
+    names = rows.columns
+    placed = assign_shards(rows, key_col, row_bytes(rows), limit).select(
+        *[F.col(f"`{c}`") for c in names], F.concat(F.lit("s"), "shard").alias("shard"))
+    placed.repartition("shard").write.partitionBy("shard").parquet(path)
+    back = rows.sparkSession.read.schema(placed.schema).parquet(path)
+    manifest = back.groupBy("shard").agg(
+        F.count("*").alias("n_rows"), F.sum(row_bytes(back.drop("shard"))).alias("n_bytes"))
+    over = manifest.where((F.col("n_bytes") > limit) & (F.col("n_rows") > 1))
+    if not over.isEmpty():
+        raise RuntimeError(f"shards above {limit} bytes: {[r.shard for r in over.limit(5).collect()]}")
+    return manifest
