@@ -112,6 +112,60 @@ def test_license_spans_bear_added_and_missing_words(spark):
     assert spans == {0: ["bsd"], 1: ["bsd"], 2: [], 3: ["bsd", "bsd"]}
 
 
+def voted(text, phrases, templates, slack=3, coverage=0.8):
+    """(labels, score) of one text: every template's grams at every place, by diagonal, one by one."""
+    w, spans = plain.words(text), []
+    texts = [(k, t, True) for t, k in phrases.items()] + [(k, t, False) for k, own in templates.items() for t in own]
+    for label, t, phrase in texts:
+        own = plain.words(t)
+        diagonals = {}
+        for at in range(len(w) - 2):
+            for place in range(len(own) - 2):
+                if w[at: at + 3] == own[place: place + 3]:
+                    diagonals.setdefault(at - place, []).append((at, place))
+        groups, last = [], None
+        for d in sorted(diagonals):
+            if phrase or last is None or d - last > slack:
+                groups.append([])
+            groups[-1] += diagonals[d]
+            last = d
+        for pairs in groups:
+            places = {p for _, p in pairs}
+            first, end = min(a for a, _ in pairs), max(a for a, _ in pairs) + 3
+            part = len({p + k for p in places for k in range(3)}) / len(own)
+            if len(places) == len(own) - 2 if phrase else part >= coverage and end - first <= 1.25 * len(own) + slack:
+                spans.append((label, part))
+    return sorted({x for x, _ in spans}), max((p for _, p in spans), default=0.0)
+
+
+def test_labels_and_scores_against_votes_one_by_one(spark, documents):
+    rng = np.random.default_rng(9)
+    every = {**license_scan.TEMPLATES, **license_scan.FULL_TEXTS}
+    texts = [t for _, t, _ in documents if t and len(t) < 600][:40]
+    for label, own in every.items():
+        words = own[0].split()
+        for drop in (0.0, 0.03, 0.2):
+            kept = [x for x in words if rng.random() >= drop]
+            for at in sorted(rng.integers(0, len(kept) + 1, int(drop * 30)), reverse=True):
+                kept.insert(int(at), "inserted")
+            texts.append(f"before {' '.join(kept)} after {words[0]}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (sorted({s.label for s in r.spans}), r.score) for r in license_scan.scan(docs).collect()}
+    want = {i: voted(t, license_scan.PHRASES, every) for i, t in enumerate(texts)}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(np.isclose(got[k][1], want[k][1]) for k in want)
+    assert {x for labels, _ in got.values() for x in labels} >= {*every, "mit"} - {"cc-by"}
+    whole = {label: got[len(texts) - 3 * (len(every) - i)][0] for i, label in enumerate(every)}
+    assert whole["bsd-2-text"] == ["bsd", "bsd-2-text"] and whole["bsd-3-text"] == ["bsd", "bsd-3-text"]
+
+
+def test_templates_beyond_the_broadcast_bound_are_joined_alike(spark, documents, monkeypatch):
+    docs = spark.createDataFrame([(d, t) for d, t, _ in documents], "doc_id long, text string")
+    want = plain.rows_of(license_scan.scan(docs).select("doc_id", "n_words", "spans", "score"))
+    monkeypatch.setattr(license_scan, "BROADCAST_PLACES", 10)
+    assert plain.rows_of(license_scan.scan(docs).select("doc_id", "n_words", "spans", "score")) == want
+
+
 ITEMS = [(1, " ".join(f"item{i}" for i in range(14))), (2, "item0 item1"), (3, plain.SENTENCE), (3, plain.SENTENCE),
          (4, ""), (5, None), (None, "no id here")]
 

@@ -50,6 +50,69 @@ TEMPLATES: dict[str, list[str]] = {
     "unlicense": ["This is free and unencumbered software released into the public domain"],
 }
 
+# Whole texts, as published; where two licenses share sentences, each has its own text with its own label.
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution.")
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.")
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+FULL_TEXTS: dict[str, list[str]] = {
+    "mit-text": [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+        "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+        "SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+    "isc-text": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, "
+        "OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION "
+        "OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE."],
+    "bsd-2-text": [f"{_BSD_CONDITIONS} {_BSD_DISCLAIMER}"],
+    "bsd-3-text": [f"{_BSD_CONDITIONS} {_BSD_THIRD} {_BSD_DISCLAIMER}"],
+    "zlib-text": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. If you use this software in a product, an acknowledgment in the product documentation would be "
+        "appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+        "distribution."],
+    "apache-2-notice": [
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+        "governing permissions and limitations under the License."],
+    "gpl-2-notice": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+        "details."],
+}
+BROADCAST_PLACES = 200_000
+
 
 def gram_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the rolling word 3-grams within each text, and len + 1 offsets."""
@@ -76,12 +139,14 @@ def _template_rows(phrases: Mapping[str, str], templates: Mapping[str, Sequence[
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: Mapping[str, str] = PHRASES,
-         templates: Mapping[str, Sequence[str]] = TEMPLATES, slack: int = 3, coverage: float = 0.8) -> DataFrame:
+         templates: Mapping[str, Sequence[str]] = {**TEMPLATES, **FULL_TEXTS}, slack: int = 3, coverage: float = 0.8) -> DataFrame:
     """Per row of ``docs``: the id column, n_words, spans (array of label, phrase, first, end, coverage), score."""
     spark = docs.sparkSession
+    places = _template_rows(phrases, templates)
     table = spark.createDataFrame(
-        _template_rows(phrases, templates),
-        "gram long, template int, label string, phrase boolean, size int, place int")
+        places, "gram long, template int, label string, phrase boolean, size int, place int")
+    if len(places) <= BROADCAST_PLACES:  # a larger set of templates is joined by a shuffle of both sides
+        table = F.broadcast(table)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,7 +171,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("mark", T.LongType()),
         T.StructField("n_words", T.LongType()), T.StructField("grams", T.ArrayType(T.LongType()))]))
     every = listed.select("id", "mark", "n_words", F.posexplode("grams").alias("at", "gram"))
-    voted = every.join(F.broadcast(table), "gram", "left").where("template is not null or gram = -1")
+    voted = every.join(table, "gram", "left").where("template is not null or gram = -1")
     voted = voted.withColumn("at", F.col("at") - 1).withColumn("diagonal", F.col("at") - F.col("place"))
     # all that follows happens within a document; rows of one id and text are counted, not mixed
     voted = voted.repartition("id", "mark")
