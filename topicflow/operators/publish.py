@@ -286,9 +286,10 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *, publish_i
     keyed = records.withColumn("_tf_key", key).drop("offset")  # records of another log get offsets of this one
     placed = place_rows(keyed, by, ["_tf_key", *tie_breakers])
     starts = task_starts(placed, by, *_measures(records)).checkpoint(eager=True)  # a row for each task and partition
-    totals = starts.groupBy(*by).agg(F.sum(COUNT), F.sum("_tf_bytes"), F.min("_tf_first_us"), F.max("_tf_last_us"))
+    totals = starts.groupBy(*by).agg(F.sum(COUNT), F.sum("_tf_bytes"), F.min("_tf_first_us"), F.max("_tf_last_us"),
+                                     F.count(F.lit(1)))
     counts = [tuple(r) for r in totals.collect()]  # a row for each topic partition
-    added = {(t, p): Added(*rest) for t, p, *rest in counts if t is not None and p is not None}
+    added = {(t, p): Added(*rest) for t, p, *rest, _ in counts if t is not None and p is not None}
     own = None if publish_id is None else versions.of(publish_id, last)
     if own is not None and {k: a.records for k, a in own.added.items()} != {k: a.records for k, a in added.items()}:
         raise ValueError(f"the publish {publish_id} had other numbers of records: {own.added}, now {added}")
@@ -303,7 +304,8 @@ def publish(records: DataFrame, root: str, order_key: str | Column, *, publish_i
     bases = spark.createDataFrame([(*place, own.base(place)) for place in added], "_t string, _p int, _tf_own bigint")
     starts = starts.join(bases, (F.col("topic") == F.col("_t")) & (F.col("partition") == F.col("_p")), "left") \
         .drop("_t", "_p")
-    report = number_rows(placed, starts, by, "offset", F.coalesce("_tf_own", F.lit(0))).drop("_tf_key")
+    report = number_rows(placed, starts, by, "offset", F.coalesce("_tf_own", F.lit(0)),
+                         size=sum(c[-1] for c in counts)).drop("_tf_key")
     report = report.withColumn("error", _problem()).withColumns({
         "offset": F.when(F.col("error").isNull(), F.col("offset")),
         "status": F.when(F.col("error").isNull(), F.lit(DELIVERED)).otherwise(F.lit(FAILED))})

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from topicflow.session import checkpoint_base
 
+MOST_BROADCAST = 1_000_000  # rows of a few numbers and a group's name
 PID, POS, TIE = "_tf_pid", "_tf_pos", "_tf_tie"
 BASE, FIRST, COUNT = "_tf_base", "_tf_first", "_tf_n"
 
@@ -47,13 +48,16 @@ def task_starts(placed: DataFrame, by: Sequence[str], *more: Column) -> DataFram
 
 
 def number_rows(placed: DataFrame, starts: DataFrame, by: Sequence[str], out: str,
-                offset: Column | None = None) -> DataFrame:
+                offset: Column | None = None, size: int | None = None) -> DataFrame:
     """Number placed rows from 1 (or from ``offset``, a column of ``starts``) within their group.
 
-    ``starts`` is broadcast: one row per task and per group bounds it, whatever the number of rows.
+    ``starts`` has one row per task and per group, whatever the number of rows; it is broadcast when counted to be at most
+    ``MOST_BROADCAST``. Pass its ``size`` if known, else pass it checkpointed.
     """
-    small = F.broadcast(starts.select(*[F.col(c).alias(f"_s{c}") for c in [PID, *by]], FIRST,
-                                      (F.col(BASE) + (F.lit(1) if offset is None else offset)).alias(BASE)))
+    small = starts.select(*[F.col(c).alias(f"_s{c}") for c in [PID, *by]], FIRST,
+                          (F.col(BASE) + (F.lit(1) if offset is None else offset)).alias(BASE))
+    if (starts.count() if size is None else size) <= MOST_BROADCAST:
+        small = F.broadcast(small)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in [PID, *by]])
     joined = placed.join(small, same)
     number = (F.col(BASE) + F.col(POS) - F.col(FIRST)).cast("bigint")
@@ -67,4 +71,4 @@ def range_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str], *,
     Pass only the columns needed: the checkpoint writes what ``df`` holds.
     """
     placed = place_rows(df, by, order)
-    return number_rows(placed, task_starts(placed, by), by, out)
+    return number_rows(placed, task_starts(placed, by).checkpoint(eager=True), by, out)

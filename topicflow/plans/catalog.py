@@ -75,7 +75,7 @@ INPUT_TABLE = {
 
 # Reports that read a side table, or one topic of several.
 PART_READERS = {"topic_ends", "list_groups", "stored_lag", "start_earliest", "start_latest", "multi_topic",
-                "read_from_positions"}
+                "read_from_positions", "publish_history", "start_by_time", "rate_live", "trace_link_live", "progress_live"}
 
 
 def input_table(name: str) -> str | None:
