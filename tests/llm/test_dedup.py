@@ -17,6 +17,16 @@ def test_lines_of_awkward_rows(tables):
     assert line_dedup.dedup_lines(tables[1]).count() == 0
 
 
+def test_counts_take_the_place_of_columns_of_their_names(tables):
+    got = line_dedup.dedup_lines(tables[0], counts=("FOUND", "kept"))
+    assert got.columns == [*(c for c in tables[0].columns if c not in ("found", "kept")), "FOUND", "kept"]
+    want = line_dedup.dedup_lines(tables[0], counts=("lines_", "removed_"))
+    assert plain.rows_of(got.select("doc_id", "text", "FOUND", "kept")) == \
+        plain.rows_of(want.select("doc_id", "text", "lines_", "removed_"))
+    with pytest.raises(ValueError):
+        line_dedup.dedup_lines(tables[0], counts=("text", "kept"))
+
+
 def test_lines_cover_overlapping_windows(spark):
     docs = spark.createDataFrame([(1, "a\nb\nc\nd\ne"), (2, "x\na\nb\nc\nd\n\ny"), (3, "b\nc\nd")], "doc_id long, text string")
     assert [r.text for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == ["a\nb\nc\nd\ne", "x\ny", ""]

@@ -64,7 +64,12 @@ def remove_lines(text: str, begins: list[int]) -> tuple[str, int, int]:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] | None = None
                 ) -> DataFrame:
-    """``docs`` with shortened texts; ``counts`` names two more columns: non-blank lines, and those removed."""
+    """``docs`` with shortened texts; ``counts`` names two more columns, in place of columns of these names: non-blank
+    lines, and those removed."""
+    taken = {c.lower() for c in counts or ()}
+    if taken & {id_col.lower(), text_col.lower()}:
+        raise ValueError("the counts can't take the place of the id or the text")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
     id_, text = F.col(id_col), F.col(text_col).cast("string")
     own = docs.select(id_.alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     listed = materialize(own.mapInArrow(_windows, T.StructType([
