@@ -1,5 +1,9 @@
 """Bounded polls, start by time, publish history, key sketches."""
 
+import contextlib
+import io
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,6 +23,16 @@ def _records(spark, lo, hi, topic="t", n=3):
         F.col("seq").cast("string"), n)
 
 
+def _pruned_to(df, *versions):
+    """Whether the scan is pruned to the folders of these publishes."""
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.explain("formatted")
+    filters = re.search(r"PartitionFilters: \[(.*)\]", plan.getvalue()).group(1)
+    wanted = f" = {versions[0]})" if len(versions) == 1 else f" IN ({','.join(map(str, versions))})"
+    return re.search(r"batch#\d+L?" + re.escape(wanted), filters) is not None
+
+
 def _positions(log):
     return sorted((r.topic, r.partition, r.offset) for r in log.select("topic", "partition", "offset").collect())
 
@@ -40,8 +54,7 @@ def test_polls_are_bounded_and_resume(spark, scratch):
     committed = {r.partition: r.committed for r in ST.positions_from_checkpoint(spark, ck).collect()}
     ends = {r.partition: r.end_offset for r in G.topic_profile(read_topic(spark, root, "t")).collect()}
     assert committed == ends and reader.next_poll() is None
-    folders = {f.split("batch=")[1].split("/")[0] for f in reader.records(reader.last).inputFiles()}
-    assert folders == {"3"}
+    assert reader.last.versions == [3] and _pruned_to(reader.records(reader.last), 3)
 
 
 def test_a_poll_that_failed_comes_again(spark, scratch):
@@ -105,7 +118,7 @@ def test_start_by_time_reads_only_publishes_that_can_hold_it(spark, scratch):
     publish(_records(spark, 180, 190).withColumn("timestamp", F.lit(None).cast("timestamp")), root, "seq")
     got = read_since(spark, root, "t", "2024-01-01 02:30:00")
     assert got.count() == 30
-    assert {f.split("batch=")[1].split("/")[0] for f in got.inputFiles()} == {"2", "3"}
+    assert _pruned_to(got, 2, 3)
     history = publish_history(spark, root)
     assert history.agg(F.sum("records")).first()[0] == 190 and history.count() == 12
     assert history.where("version = 3 and (first_ts is not null or last_ts is not null)").isEmpty()

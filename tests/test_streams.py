@@ -369,6 +369,10 @@ def test_positions_from_checkpoint(spark, scratch):
             f.write('v1\n{"nextBatchWatermarkMs":0}')
     got = {r.partition: r.committed for r in ST.positions_from_checkpoint(spark, ck).collect()}
     assert got == {0: 9, 1: 4}
+    with open(f"{ck}/offsets/1", "w") as f:
+        f.write(f"v7\n{meta}\n" + '{"demo.orders":{"0":9,"1":4}}')
+    with pytest.raises(ValueError, match="v7"):
+        ST.positions_from_checkpoint(spark, ck)
 
     root, out, ck2 = scratch("log"), scratch("out"), scratch("ck")
     publish(_records(spark, 0, 5), root, "seq")

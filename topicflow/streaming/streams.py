@@ -160,7 +160,8 @@ def positions_from_checkpoint(spark: SparkSession, checkpoint: str) -> DataFrame
 
     ``offsets/<n>`` holds a version line, a metadata line, then one JSON line per source; a
     Kafka source's line maps topic → partition → next offset to read. Lines of other sources
-    do not have that shape and drop out. Read with Spark; nothing is listed by hand.
+    do not have that shape and drop out. Read with Spark; nothing is listed by hand. These files are Spark's own, not
+    a public format: any version but ``v1`` raises ValueError. :class:`topicflow.streaming.polls.Reader` writes the same.
     """
     root = checkpoint.rstrip("/")
     commits = spark.read.text(f"{root}/commits").select(
@@ -169,6 +170,9 @@ def positions_from_checkpoint(spark: SparkSession, checkpoint: str) -> DataFrame
     lines = (spark.read.text(f"{root}/offsets")
              .select(F.col("_metadata.file_name").try_cast("bigint").alias("batch"), "value")
              .join(last, "batch"))
+    odd = lines.where(F.col("value").rlike(r"^v\d+$") & (F.col("value") != "v1")).first()
+    if odd is not None:
+        raise ValueError(f"{checkpoint} is a checkpoint of format {odd.value}; v1 is known")
     parsed = lines.select(F.from_json("value", "map<string,map<string,bigint>>").alias("m"))
     return (parsed.where(F.col("m").isNotNull())
             .select(F.explode("m").alias("topic", "parts"))
