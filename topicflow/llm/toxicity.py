@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from topicflow.llm.common import Words, finish, free_name, utf8_column
 
-MAX_ROWS, MAX_CHARS, THRESHOLD = 4000, 20_000, 0.7
+MAX_ROWS, MAX_CHARS, THRESHOLD = 3000, 10_000, 0.7
 WINDOW, STRIDE = 24, 16
 WORDS, GRAMS, SIZES, SEEN, DROPPED = 1024, 4096, (3, 5, 7), 6, 0.3
 WORD_DIM, GRAM_DIM, HIDDEN, ATTENTION = 6, 10, 8, 8
