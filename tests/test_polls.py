@@ -135,3 +135,27 @@ def test_key_sketches_are_merged_over_publishes(spark, scratch):
     for r in stored_key_spread(spark, root).collect():
         assert r.records == exact[r.partition].records
         assert abs(r.distinct_keys - exact[r.partition].distinct_keys) <= 0.05 * exact[r.partition].distinct_keys
+
+
+@pytest.mark.parametrize("most", [256, 1])  # bounds in the filter, or broadcast
+def test_a_poll_shuffles_no_record(spark, scratch, monkeypatch, most):
+    from topicflow.streaming import polls
+    monkeypatch.setattr(polls, "MOST_LITERAL", most)
+    root, seen = scratch("log"), []
+    for lo in (0, 300):
+        publish(_records(spark, lo, lo + 300), root, "seq")
+
+    def handle(batch, number):
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            batch.explain()
+        assert "hashpartitioning" not in plan.getvalue() and "offset" in re.search(r"PushedFilters: (.*)", plan.getvalue()).group(1)
+        seen.append(_positions(batch))
+    Reader(spark, root, "t", scratch("ck"), max_records=70).drain(handle)
+    assert max(map(len, seen)) <= 70 and sorted(p for x in seen for p in x) == _positions(read_topic(spark, root, "t"))
+
+
+def test_ranges_are_merged_to_few_that_cover_all():
+    from topicflow.streaming.polls import _merged
+    assert _merged([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
+    assert _merged([(0, 1), (10, 11), (12, 13), (40, 41)], most=2) == [(0, 13), (40, 41)]
