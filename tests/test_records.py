@@ -89,3 +89,13 @@ def test_record_line_and_union_of_topics(spark):
     b = spark.createDataFrame([(3, "x")], "partition int, extra string")
     both = {r.partition: r for r in union_topics(a, b).collect()}
     assert both[1].extra is None and both[3].offset is None and both[3].extra == "x"
+
+
+def test_strip_searches_only_text_with_odd_ends(spark):
+    from pyspark.sql import functions as F
+    texts = ["a b", "x　", " y", "z\n", "q \r\n", "!", "~", "é", " é ", "a\x1f", "\x00a", "a\x7f", "a\nb", "a \n b", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    searched = F.regexp_replace("t", r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    assert all(a == b for a, b in df.select(R.strip("t"), searched).collect())
+    # a bare line is taken as it is: the pattern stands in a branch only
+    assert "CASE WHEN" in df.select(R.strip("t").alias("s"))._jdf.queryExecution().optimizedPlan().toString()
