@@ -76,3 +76,21 @@ def test_groups_with_many_time_points(spark):
         assert alone and all(got[g.name, r.partition] == tuple(r) for r in alone)
     some = G.fan_out(log, groups[5:6]).where("consumed").agg(F.max("offset")).first()[0]
     assert some + 1 == max(v[5] for k, v in got.items() if k[0] == "g5")
+
+
+def test_children_of_roots_take_no_step(spark):
+    """A root, its child and that one's child: one join of the open spans, whose result alone is checkpointed."""
+    import unittest.mock
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    kept = []
+    real = DataFrame.checkpoint
+    rows = [("t", "a", None), ("t", "b", "a"), ("t", "c", "b"), ("t", "d", "x"), ("t", "e", "d"), ("t", "y", "z"), ("t", "z", "y")]
+    with unittest.mock.patch.object(DataFrame, "checkpoint", lambda df, *a, **k: (kept.append(out := real(df, *a, **k)), out)[1]):
+        got = {r.span_id: r for r in span_trees(spark.createDataFrame(rows[:3], "trace_id string, span_id string, parent_span_id string")).collect()}
+        assert [x.count() for x in kept] == [3, 3, 1]  # the links, where their first step led, the second
+        both = {r.span_id: r for r in span_trees(spark.createDataFrame(rows, "trace_id string, span_id string, parent_span_id string")).collect()}
+    assert [(got[x].root_span_id, got[x].depth, got[x].kind) for x in "abc"] == [("a", 0, "root"), ("a", 1, "child"), ("a", 2, "child")]
+    assert [(both[x].root_span_id, both[x].depth, both[x].kind) for x in "cdeyz"] == [
+        ("a", 2, "child"), ("d", 0, "orphan"), ("d", 1, "child"), (None, None, "cycle"), (None, None, "cycle")]
