@@ -102,3 +102,21 @@ def test_dead_letters_keep_the_record_and_tell_decode_errors(spark):
     got = {r.offset: (r.reason, r.value and bytes(r.value)) for r in O.order_rejects(df).collect()}
     assert got == {0: ("decode:not JSON", b"not json"), 1: ("missing:item", values[1]),
                    2: ("decode:not JSON", values[2]), 4: ("decode:not JSON", None)}
+
+
+def test_order_lines_shuffle_the_lines_once_and_broadcast_nothing(spark, tmp_path):
+    from topicflow.sources import testtopic as TT
+    from pyspark.sql import functions as F
+    d = str(tmp_path)
+    spark.range(6).selectExpr("id o_orderkey", "if(id = 5, null, id % 3) o_custkey", "'O' o_orderstatus", "1.5D o_totalprice",
+                              "timestamp_ntz'2024-01-01' o_orderdate", "concat(id, '-X') o_orderpriority").write.parquet(f"{d}/orders.parquet")
+    spark.createDataFrame([(0, "a"), (1, "b"), (1, "b2")], "c_custkey bigint, c_name string").write.parquet(f"{d}/customer.parquet")
+    spark.range(8).selectExpr("if(id = 7, null, id % 4) l_orderkey", "id l_partkey", "id l_suppkey", "int(id) l_linenumber", "2D l_quantity",
+                              "3D l_extendedprice").write.parquet(f"{d}/lineitem.parquet")
+    got = TT.order_lines(spark, d)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 2
+    o, li, c = (TT.table(spark, d, t) for t in ("orders", "lineitem", "customer"))
+    want = o.join(li, o.o_orderkey == li.l_orderkey, "left").join(c, o.o_custkey == c.c_custkey, "left")
+    key = lambda df, n: sorted(map(str, df.select("o_orderkey", "c_name", "l_partkey", n).collect()))
+    assert key(got.withColumn("q", F.col("qty").cast("double")), "q") == [x.replace("l_quantity", "q") for x in key(want, "l_quantity")]

@@ -138,3 +138,35 @@ def test_the_store_creates_a_file_once(spark, scratch, scheme):
     assert store.read("a/b") == "new"
     store.delete("a")
     assert store.read("a/b") is None
+
+
+def test_encode_makes_the_records_once_and_stores_no_more(spark, scratch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        made.add(1)
+        return f"{i:06d}" * 500
+    root = scratch("log")
+    source = spark.range(4000).select(F.col("id").alias("seq"), F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.lit("w").alias("wide"))
+    report = publish(source, root, "seq", encode=lambda d: d.select("topic", "partition", text("seq").cast("binary").alias("value")))
+    assert made.value == 4000 and "wide" not in report.columns and "_tf_key" not in report.columns
+    got = read_topic(spark, root, "t").select("offset", F.col("value").cast("string").substr(1, 6).cast("int").alias("n")).collect()
+    assert len(got) == 4000 and all(r.offset == r.n for r in got)
+    assert PUB.Versions(spark, root).last().added["t", 0].bytes == 4000 * 3000
+
+
+def test_a_file_of_the_log_has_parts_for_several_tasks(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    root = scratch("log")
+    value = F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"/{k}")), 512) for k in range(40)])
+    publish(spark.range(4000).select(F.col("id").alias("seq"), F.lit("t").alias("topic"), F.lit(0).alias("partition"), value.cast("binary").alias("value")),
+            root, "seq")
+    for f in glob.glob(f"{root}/topic=t/partition=0/*/*.parquet"):  # 20 MB in all
+        found = pq.ParquetFile(f).metadata
+        assert max(found.row_group(i).column(c).total_compressed_size
+                   for i in range(found.num_row_groups) for c in range(found.num_columns)) < 10 << 20
+    assert read_topic(spark, root, "t").count() == 4000
