@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from topicflow.llm import packing, queries, sharding, token_store
-from topicflow.llm.tokens import encoder, tokenizer_json
+from topicflow.llm.tokens import Encoder, encoder, tokenizer_json
 
 BYTE, WORD = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
 
@@ -47,6 +47,36 @@ def test_ids_equal_those_of_an_unmodified_tokenizer(texts):
         assert got == [e.ids + [7] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
 
 
+def test_pieces_met_before_are_not_encoded_again(monkeypatch):
+    own, asked = Encoder(tokenizer_json(BYTE), 7), []
+    real = own._encode
+    monkeypatch.setattr(own, "_encode", lambda pieces, spaced: asked.append(len(pieces)) or real(pieces, spaced))
+    words = [f"w{i}" for i in range(400_000)]
+    text = "x " + " ".join(words)
+
+    def ids(texts):
+        return [found[a:b].tolist() for _, found, off in own.documents(pa.array(texts)) for a, b in zip(off, off[1:])]
+
+    first = ids([text])
+    asked.clear()
+    assert ids([text]) == first and sum(asked) == 0
+    texts = ["x w399999 w0, new w399999", "", "w7 w0"]  # a batch much smaller than what is kept
+    assert ids(texts) == [x + [7] for x in ids_of(BYTE, texts)]
+    assert first == [x + [7] for x in ids_of(BYTE, [text])]
+
+
+@pytest.mark.parametrize("longest, every", [(9, 7), (16, 256), (20, 64), (33, 5)])
+def test_codes_stand_one_after_the_other(longest, every):
+    ids = np.minimum(np.random.default_rng(longest).zipf(1.2, 1003), 400).astype(np.uint32)
+    lengths = token_store.code_lengths(np.bincount(ids).astype(np.int64) ** (longest // 8), longest)
+    lengths[-1] = longest if longest == 33 else lengths[-1]  # one id alone takes more than half of 64 bits
+    codes = token_store.canonical_codes(lengths)
+    payload, points = token_store.encode(ids, codes, lengths, every)
+    bits = "".join(f"{codes[i]:0{lengths[i]}b}" for i in ids)
+    assert "".join(f"{x:08b}" for x in payload) == bits.ljust(len(payload) * 8, "0") and len(payload) == -(-len(bits) // 8)
+    assert points.tolist() == [int(lengths[ids[:k]].sum()) for k in range(0, len(ids), every)]
+
+
 def test_queries_take_special_tokens_as_the_library_does(spark, scratch):
     folder, text = scratch("special"), "x <|endoftext|> y <|startoftext|>z"
     spark.createDataFrame([(1, text), (2, "later")], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")

@@ -79,44 +79,56 @@ def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray, every: int =
     """The codes one after the other, and the bits at which every ``every``-th id begins."""
     if not len(ids):
         return b"", np.empty(0, np.int64)
-    size = lengths[ids]
-    ends = np.cumsum(size)
-    at = ends - size
-    word, bit = at >> 5, at & 31
-    value = codes[ids].astype(np.uint64) << (64 - bit - size).astype(np.uint64)
-    first = np.flatnonzero(np.diff(word, prepend=-1))  # codes don't overlap: their sum in a word is their union
-    out = np.zeros(int(ends[-1] >> 5) + 2, np.uint64)
-    out[word[first]] = np.add.reduceat(value >> np.uint64(32), first)
-    low = np.add.reduceat(value & np.uint64(0xFFFFFFFF), first)
-    out[word[first] + 1] += low
-    return out.astype(">u4").tobytes()[: -(-int(ends[-1]) // 8)], at[::every].copy()
-
-
-def decode_table(lengths: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each run of ``longest`` bits, the id that begins there and the length of its code."""
+    longest, group = int(lengths.max()), 1
+    while 2 * group * longest <= 64:
+        group *= 2
+    points = np.arange(0, len(ids), every)
+    single, value = np.zeros((2, -(-len(ids) // group) * group), np.uint64)
+    lengths.astype(np.uint64).take(ids, out=single[: len(ids)], mode="clip")
+    codes.astype(np.uint64).take(ids, out=value[: len(ids)], mode="clip")
+    size = single
+    while len(value) * group > len(single):  # codes side by side, as many as always fit in 64 bits
+        value, size = (value[::2] << size[1::2]) | value[1::2], size[::2] + size[1::2]
+    ends = np.cumsum(size.astype(np.int64))
+    at = ends - size.astype(np.int64)
+    word, bit = at >> 6, (at & 63).astype(np.uint64)
+    value <<= np.uint64(64) - size
+    first = np.flatnonzero(np.diff(word, prepend=-1))  # codes don't overlap: their union fills a word
+    out = np.zeros(int(ends[-1] >> 6) + 2, np.uint64)
+    out[word[first]] = np.bitwise_or.reduceat(value >> bit, first)
+    last = np.append(first[1:] - 1, len(word) - 1)  # only a word's last group goes on in the next
+    out[word[last] + 1] |= value[last] << (np.uint64(63) - bit[last]) << np.uint64(1)
+    inner = single.reshape(-1, group)[points // group].astype(np.int64)
+    before = np.where(np.arange(group) < (points % group)[:, None], inner, 0).sum(axis=1)
+    return out.astype(">u8").tobytes()[: -(-int(ends[-1]) // 8)], at[points // group] + before
+
+
+def decode_table(lengths: np.ndarray, longest: int) -> np.ndarray:
+    """For each run of ``longest`` bits, the id that begins there and, in the last 6 bits, the length of its code."""
     used = np.flatnonzero(lengths)
     turn = used[np.lexsort((used, lengths[used]))]
     span = np.left_shift(np.int64(1), longest - lengths[turn])
-    ids, size = np.zeros(2**longest, np.int64), np.ones(2**longest, np.int64)
-    ids[: span.sum()], size[: span.sum()] = np.repeat(turn, span), np.repeat(lengths[turn], span)
-    return ids, size
+    table = np.ones(2**longest, np.int64)
+    table[: span.sum()] = np.repeat(turn << 6 | lengths[turn], span)
+    return table
 
 
-def decode(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray], longest: int,
-           every: int = EVERY) -> np.ndarray:
+def decode(payload: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, longest: int, every: int = EVERY) -> np.ndarray:
     """The ``n`` ids of a block: at each step one more id after every checkpoint."""
-    ids, size = table
-    data = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.int64)
-    window = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
-    out = np.zeros((every, len(checkpoints)), np.int64)
+    data = payload + b"\0" * (every * longest // 8 + 12)  # what follows the last id is read too
+    window = np.empty(len(data) // 4 * 4 - 4, np.int64)
+    for k in range(4):
+        window[k::4] = np.frombuffer(data, ">u4", len(window) // 4, k)
+    out = np.zeros((min(every, n), len(checkpoints)), np.int64)
     at = checkpoints.astype(np.int64)
-    last = 8 * len(payload)
-    mask = 2**longest - 1
-    for step in range(min(every, n)):
-        found = (window[at >> 3] >> (32 - longest - (at & 7))) & mask
-        out[step] = ids[found]
-        at = np.minimum(at + size[found], last)
-    return out.T.reshape(-1)[:n].astype(np.uint32)
+    mask, shift = 2**longest - 1, 32 - longest
+    for step in out:
+        found = window.take(at >> 3)
+        found >>= shift - (at & 7)
+        found &= mask
+        table.take(found, out=step, mode="clip")
+        at += step & 63
+    return (out >> 6).astype(np.uint32).T.reshape(-1)[:n]
 
 
 def _pack_ids(ids: np.ndarray) -> bytes:
