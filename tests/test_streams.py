@@ -1,5 +1,7 @@
 """Streaming: resume from the checkpoint, exactly-once batch output, dedup, JSON lines."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -379,3 +381,24 @@ def test_positions_from_checkpoint(spark, scratch):
     ST.await_all([ST.copy_stream(read_topic(spark, root, "t", streaming=True)
                                  .select("topic", "partition", "offset"), out, ck2)])
     assert ST.positions_from_checkpoint(spark, ck2).count() == 0
+
+
+def test_publish_stream_stores_a_batch_once_compressed_and_in_order(spark, scratch, monkeypatch):
+    from topicflow.session import checkpoint_base
+    frame = type(spark.range(0))
+    src, root, kept, real = scratch("in"), scratch("log"), [], frame.checkpoint
+    spark.range(0, 4000, numPartitions=3).select(F.concat(F.lit("line "), F.col("id"), F.lit(" "), F.repeat(F.lit("x"), 500))) \
+        .write.mode("overwrite").option("compression", "gzip").text(src)
+    before = set(os.listdir(checkpoint_base(spark).removeprefix("file:")))
+    monkeypatch.setattr(frame, "checkpoint", lambda df, *a, **k: kept.append(df.columns) or real(df, *a, **k))
+    monkeypatch.setattr(frame, "repartitionByRange", lambda *a: 1 / 0)
+    lines = read_jsonl(spark, src, streaming=True).withColumn("topic", F.lit("t"))
+    ST.await_all([ST.publish_stream(lines, root, scratch("ck"), partitions=2)])
+    assert kept and not any("value" in columns for columns in kept)  # a row for each task at most
+    assert not [x for x in set(os.listdir(checkpoint_base(spark).removeprefix("file:"))) - before if x.startswith("publish-")]
+    rows = read_topic(spark, root, "t").select("partition", "offset", "value").collect()
+    assert sorted(int(bytes(r.value).split()[1]) for r in rows) == list(range(4000))
+    for p in (0, 1):  # dense offsets, in the lines' order within a file
+        own = [int(bytes(r.value).split()[1]) for r in sorted(rows, key=lambda r: r.offset) if r.partition == p]
+        assert [r.offset for r in sorted(rows, key=lambda r: r.offset) if r.partition == p] == list(range(len(own)))
+        assert sum(a > b for a, b in zip(own, own[1:])) < 3
