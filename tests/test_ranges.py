@@ -94,3 +94,32 @@ def test_children_of_roots_take_no_step(spark):
     assert [(got[x].root_span_id, got[x].depth, got[x].kind) for x in "abc"] == [("a", 0, "root"), ("a", 1, "child"), ("a", 2, "child")]
     assert [(both[x].root_span_id, both[x].depth, both[x].kind) for x in "cdeyz"] == [
         ("a", 2, "child"), ("d", 0, "orphan"), ("d", 1, "child"), (None, None, "cycle"), (None, None, "cycle")]
+
+
+def test_spans_are_placed_by_trace_as_by_steps(spark, monkeypatch):
+    """One shuffle for all traces that fit a task: no checkpoint of the spans, the same places as the steps give."""
+    import unittest.mock
+
+    from pyspark.sql import Row
+
+    from topicflow.operators import tracing
+    rng, rows = random.Random(5), []
+    for t in range(300):
+        ids = [f"{rng.choice(['a', 'Z', 'é', '0'])}{i}" for i in range(rng.choice([1, 2, 3, 5, 40]))]
+        rows += [(f"t{t % 290}", s, rng.choice([None, "gone", *ids[:i], *ids]), i) for i, s in enumerate(ids)]
+    rows += [(None, f"n{i}", "x", i) for i in range(50)] + [("t1", None, "a0", i) for i in range(50)]
+    rows += [("hot", f"h{i}", f"h{i - 1}" if i else None, i) for i in range(500)]
+    rows += rng.sample(rows, 200) + [(t, s, "other", -1) for t, s, _, _ in rng.sample(rows, 100)]
+    spans = spark.createDataFrame(rows, "trace_id string, span_id string, parent_span_id string, note int").repartition(3)
+    want = sorted(map(str, span_trees(spans).collect()))
+    kept, frame = [], type(spans)
+    real = frame.checkpoint
+    monkeypatch.setattr(tracing, "FEW_SPANS", 0)
+    with unittest.mock.patch.object(frame, "checkpoint", lambda df, *a, **k: (kept.append(out := real(df, *a, **k)), out)[1]):
+        assert sorted(map(str, span_trees(spans).collect())) == want and not kept
+        monkeypatch.setattr(tracing, "TRACE_SPANS", 300)
+        assert sorted(map(str, span_trees(spans).collect())) == want and max(x.count() for x in kept) == 500  # the hot trace alone
+    assert span_trees(spans.limit(0)).collect() == [] and tracing._placed_by_trace(spans.limit(0)).collect() == []
+    assert tracing._placed_by_trace(spans).schema.names == span_trees(spans.limit(0)).schema.names
+    only = tracing._placed_by_trace(spans.where("trace_id is null")).first()
+    assert isinstance(only, Row) and only.kind is None and only.path is None
