@@ -159,3 +159,36 @@ def test_ranges_are_merged_to_few_that_cover_all():
     from topicflow.streaming.polls import _merged
     assert _merged([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
     assert _merged([(0, 1), (10, 11), (12, 13), (40, 41)], most=2) == [(0, 13), (40, 41)]
+
+
+def test_polls_fetched_ahead_are_the_same_polls(spark, scratch, monkeypatch):
+    """One read of the log for several polls; what each hands over, its plan and its commit are as without."""
+    from topicflow.session import checkpoint_base
+    from topicflow.streaming import polls
+    root, seen, reads, real = scratch("log"), {}, [], polls.read_publishes
+    for lo in (0, 300, 307):
+        publish(_records(spark, lo, {0: 300, 300: 307, 307: 600}[lo]), root, "seq")
+    monkeypatch.setattr(polls, "read_publishes", lambda *a: reads.append(a) or real(*a))
+
+    def run(ck, ahead, fail=None, max_polls=None):
+        def handle(batch, number):
+            if number == fail:
+                raise RuntimeError("handler failed")
+            assert batch.columns == read_topic(spark, root, "t").columns
+            seen.setdefault((ck, number), sorted(map(str, batch.collect())))
+        return Reader(spark, root, "t", ck, max_records=40, ahead=ahead).drain(handle, max_polls)
+    one, many = scratch("ck"), scratch("ck")
+    run(one, 1)
+    single, reads[:] = len(reads), []
+    with pytest.raises(RuntimeError):
+        run(many, 6, fail=4)
+    run(many, 6, max_polls=3)
+    publish(_records(spark, 600, 630), root, "seq")
+    run(one, 1), reads.clear()
+    run(many, 6)
+    got = [[(n, v) for (ck, n), v in sorted(seen.items()) if ck == x] for x in (one, many)]
+    assert [v for _, v in got[0]] and sorted(r for _, v in got[0] for r in v) == sorted(r for _, v in got[1] for r in v)
+    assert [x for x in got[0][:15]] == [x for x in got[1][:15]] and max(len(v) for _, v in got[1]) == 40
+    assert len(reads) <= 3 < single and sorted(r for _, v in got[1] for r in v) == sorted(map(str, read_topic(spark, root, "t").collect()))
+    import os
+    assert not [x for x in os.listdir(checkpoint_base(spark).removeprefix("file:")) if x.startswith("fetched-")]
