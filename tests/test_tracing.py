@@ -54,3 +54,20 @@ def test_all_zero_context_is_no_parent(spark):
     spans = TS.consume_spans(recs).collect()
     assert all(r.parent_span_id is None and r.trace_id.strip("0") for r in spans)
     assert len({r.trace_id for r in spans}) == 3
+
+
+def test_a_header_is_searched_once(spark):
+    """What matches is cut at its dashes: one search a header, the parts that the pattern's groups have."""
+    import contextlib
+    import io
+    odd = [f"00-{TID}-{SID}-01", "-a-B-", "x-1f-2-00", f"00-{TID}-{SID}-01\n", f"00-{TID}\n-{SID}-01", "00-0-0-0-0", "a-g-1-1", "--1-1", "",
+           f"00-{TID}0-{SID}-01", "é-AB-cd-é", None]
+    df = spark.createDataFrame([(h,) for h in odd], "h string")
+    part = lambda i: F.regexp_extract("h", TR.TRACEPARENT_PATTERN, i)
+    want = F.when(F.col("h").rlike(TR.TRACEPARENT_PATTERN), F.struct(F.lpad(F.lower(part(2)), 32, "0"), F.lpad(F.lower(part(3)), 16, "0"), part(4) == "01"))
+    parsed = df.select(TR.parse_traceparent("h").alias("got"), want.alias("want"))
+    assert all(r.got == r.want for r in parsed.collect()) and parsed.where("got is not null").count() == 5
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.select(TR.parse_traceparent("h")).explain()
+    assert "regexp_extract" not in plan.getvalue()
